@@ -111,18 +111,16 @@ def monomial(cols: Sequence[ColLike], exps: Sequence[int]) -> Column:
 
 
 def argmin_index(values: Sequence[Column]) -> Column:
-    """0-based index of the smallest value; ties go to the lowest index."""
-    best_v, best_i = values[0], F.lit(0)
-    for i, v in enumerate(values[1:], start=1):
-        better = v < best_v
-        best_i = F.when(better, F.lit(i)).otherwise(best_i)
-        best_v = F.when(better, v).otherwise(best_v)
-    return best_i
+    """0-based index of the smallest value; ties go to the lowest index.
+    Linear in the number of values (one array, its minimum, its position)."""
+    arr = F.array(*values)
+    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
 
 
 def argmax_index(values: Sequence[Column]) -> Column:
     """0-based index of the largest value; ties go to the lowest index."""
-    return argmin_index([-v for v in values])
+    arr = F.array(*values)
+    return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
 
 
 def max_of(values: Sequence[Column]) -> Column:

@@ -22,11 +22,14 @@ def li_design(spark: SparkSession, sf: str) -> DataFrame:
                      (F.col("l_quantity") / 10.0).alias("x1"),
                      (F.col("l_discount") * 10.0).alias("x2"),
                      (F.col("l_tax") * 10.0).alias("x3"),
-                     (F.col("l_extendedprice") / 1000.0).alias("y"))
+                     (F.col("l_extendedprice") / 1000.0).alias("y"),
+                     (F.col("l_returnflag") == "R").cast("double").alias("yr"),
+                     F.col("l_returnflag").alias("flag"))
 
 
 LI_SQL = ("SELECT l_orderkey, l_linenumber, l_quantity / 10.0 AS x1, l_discount * 10.0 AS x2, "
-          "l_tax * 10.0 AS x3, l_extendedprice / 1000.0 AS y FROM lineitem")
+          "l_tax * 10.0 AS x3, l_extendedprice / 1000.0 AS y, "
+          "CAST(l_returnflag = 'R' AS DOUBLE) AS yr, l_returnflag AS flag FROM lineitem")
 
 
 def ev_design(spark: SparkSession, sf: str) -> DataFrame:
