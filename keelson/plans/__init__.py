@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_prep", "q_linear", "q_classify", "q_anomaly", "q_cluster"]
+_MODULES = ["q_prep", "q_linear", "q_classify", "q_anomaly", "q_cluster", "q_text"]
 
 
 def registry():
