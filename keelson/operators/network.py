@@ -192,7 +192,7 @@ def train(df: DataFrame, features: str, label: str, W0: Weights, classes: Sequen
         return J, _flatten(g)
 
     J, g = fg(x)
-    hist = [(0, J)]
+    hist = [(0, float(J))]
     S, Yh = [], []
     for it in range(1, max_iter + 1):
         q = g.copy()
@@ -225,7 +225,7 @@ def train(df: DataFrame, features: str, label: str, W0: Weights, classes: Sequen
                 S.pop(0)
                 Yh.pop(0)
         x, J, g = xn, Jn, gn
-        hist.append((it, J))
+        hist.append((it, float(J)))
         if np.max(np.abs(g)) < 1e-9:
             break
     return TrainResult(_unflatten(x, shapes), hist)

@@ -32,6 +32,38 @@ def similarities(features: str, landmarks: np.ndarray, sigma: float) -> list[Col
     return [rbf(array_sqdist(features, c), sigma) for c in landmarks]
 
 
+# Above this many L * n terms similarities are computed with numpy over
+# Arrow batches rather than as one generated expression.
+EXPR_MAX_TERMS = 256
+
+
+def similarity_features(df: DataFrame, features: str, landmarks: np.ndarray, sigma: float,
+                        out: str = "sims") -> DataFrame:
+    """V4 as an array column ``out`` (one entry per landmark)."""
+    L = np.asarray(landmarks, dtype=float)
+    if L.shape[0] > MAX_LANDMARKS:
+        raise ValueError("too many landmarks to inline")
+    if L.size <= EXPR_MAX_TERMS:
+        return df.withColumn(out, F.array(*similarities(features, L, sigma)))
+    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+    schema = StructType(df.schema.fields + [StructField(out, ArrayType(DoubleType()))])
+    two_s2 = 2.0 * sigma * sigma
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.stack(pdf[features].to_numpy()).astype(float)
+            S = np.empty((X.shape[0], L.shape[0]))
+            for j in range(L.shape[0]):
+                d = X - L[j]
+                S[:, j] = np.exp(-np.einsum("ij,ij->i", d, d) / two_s2)
+            pdf[out] = list(S)
+            yield pdf
+
+    return df.mapInPandas(run, schema)
+
+
 def rbf_score(features: str, landmarks: np.ndarray, coef: Sequence[float], b: float,
               sigma: float) -> Column:
     """V3 (kernel): sum_l alpha_l y_l K(x, s_l) + b."""
@@ -74,9 +106,14 @@ def fit_linear(df: DataFrame, features: Sequence[Column] | str, label: str, C: f
 
 def fit_rbf(df: DataFrame, features: str, label: str, landmarks: np.ndarray, sigma: float,
             C: float = 1.0, max_iter: int = 200):
-    """V2 (approximate, by design): linear SVM on landmark similarities."""
-    sims = similarities(features, landmarks, sigma)
-    return fit_linear(df, sims, label, C, max_iter)
+    """V2 (approximate, by design): linear SVM on landmark similarities
+    (featurised once and cached for the optimiser's passes)."""
+    feats = similarity_features(df.select(features, label), features, landmarks, sigma) \
+        .select("sims", label).persist()
+    try:
+        return fit_linear(feats, "sims", label, C, max_iter)
+    finally:
+        feats.unpersist()
 
 
 def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
@@ -84,13 +121,18 @@ def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
     """V5: validation error for every (C, sigma); returns rows sorted by
     error then C then sigma (the first is the choice)."""
     out = []
-    for C in Cs:
-        for s in sigmas:
-            w, b = fit_rbf(train, features, label, landmarks, s, C)
-            sims = similarities(features, landmarks, s)
-            score = F.lit(b)
-            for c, wi in zip(sims, w):
-                score = score + c * F.lit(float(wi))
-            err = val.agg(F.avg((classify(score) != F.col(label)).cast("double"))).first()[0]
-            out.append((float(C), float(s), float(err)))
+    for s in sigmas:
+        tr = similarity_features(train.select(features, label), features, landmarks, s) \
+            .select("sims", label).persist()
+        va = similarity_features(val.select(features, label), features, landmarks, s) \
+            .select("sims", label).persist()
+        try:
+            for C in Cs:
+                w, b = fit_linear(tr, "sims", label, C, max_iter=100)
+                score = array_dot("sims", w, intercept=b)
+                err = va.agg(F.avg((classify(score) != F.col(label)).cast("double"))).first()[0]
+                out.append((float(C), float(s), float(err)))
+        finally:
+            tr.unpersist()
+            va.unpersist()
     return sorted(out, key=lambda t: (t[2], t[0], t[1]))
