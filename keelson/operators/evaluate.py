@@ -105,7 +105,7 @@ def kfold_ridge(df: DataFrame, cols: Sequence[str], y: str, fold: Column, k: int
 def cv_score(folds: list[dict]) -> float:
     """Weighted mean of the fold errors (weights = fold sizes)."""
     n = sum(f["n"] for f in folds)
-    return sum(f["mse"] * f["n"] for f in folds) / n
+    return float(sum(f["mse"] * f["n"] for f in folds) / n)
 
 
 def fold_mean(preds: DataFrame, id_cols: Sequence[str], p_col: str = "p") -> DataFrame:
@@ -113,6 +113,43 @@ def fold_mean(preds: DataFrame, id_cols: Sequence[str], p_col: str = "p") -> Dat
     return preds.groupBy(*id_cols).agg(F.avg(p_col).alias(p_col))
 
 
+def kfold_frequency_models(df: DataFrame, feature: str, label: str, fold: Column, k: int,
+                           classes: Sequence | None = None) -> DataFrame:
+    """Per-fold class-frequency models P_f(class | feature value), Laplace
+    smoothed, each trained without its fold, averaged over the folds (E7).
+
+    One grouped count (fold x value x class, partial aggregation); every
+    other table has at most k x |values| x |classes| rows.  Returns
+    (feature, class, p)."""
+    from keelson.operators.features import distinct_classes
+    from keelson.operators.indexing import broadcast_if_small
+    classes = list(classes) if classes is not None else distinct_classes(df, label)
+    K = len(classes)
+    cnt = df.groupBy(fold.alias("fold"), col(feature).alias(feature),
+                     col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    grid = (cnt.select(feature).distinct()
+            .select(feature, F.explode(F.array(*[F.lit(f) for f in range(k)])).alias("fold"))
+            .select(feature, "fold", F.explode(F.array(*[F.lit(c) for c in classes])).alias("class")))
+    nhc = cnt.groupBy(feature, "class").agg(F.sum("n").alias("nhc"))
+    nh = cnt.groupBy(feature).agg(F.sum("n").alias("nh"))
+    nfh = cnt.groupBy("fold", feature).agg(F.sum("n").alias("nfh"))
+    pf = (grid.join(broadcast_if_small(cnt), ["fold", feature, "class"], "left")
+          .join(broadcast_if_small(nhc), [feature, "class"], "left")
+          .join(broadcast_if_small(nh), feature)
+          .join(broadcast_if_small(nfh), ["fold", feature], "left"))
+    p = ((F.coalesce(F.col("nhc"), F.lit(0)) - F.coalesce(F.col("n"), F.lit(0)) + F.lit(1.0))
+         / (F.col("nh") - F.coalesce(F.col("nfh"), F.lit(0)) + F.lit(K)))
+    return fold_mean(pf.withColumn("p", p), [feature, "class"], "p")
+
+
+def fold_frequency_predict(df: DataFrame, id_col: str, feature: str, models: DataFrame) -> DataFrame:
+    """(id, class, p) for every row and class from the averaged models
+    (the model table is keyed by feature value and bounded in size)."""
+    from keelson.operators.indexing import broadcast_if_small
+    return df.select(id_col, feature).join(broadcast_if_small(models), feature) \
+             .select(id_col, "class", "p")
+
+
 def lambda_grid(df: DataFrame, cols: Sequence[str], y: str, fold: Column, k: int,
                 lambdas: Sequence[float]) -> list[tuple[float, float]]:
     """E8 for ridge: cross-validated error for every lambda from the same

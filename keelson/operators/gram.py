@@ -129,7 +129,7 @@ def cost(G: np.ndarray, theta: np.ndarray, lam: float = 0.0, intercept: bool = T
     A, b, yy, m = split_gram(G)
     sse = float(theta @ A @ theta - 2.0 * theta @ b + yy)
     reg = float(np.sum(theta[1:] ** 2) if intercept else np.sum(theta ** 2))
-    return sse / (2.0 * m) + lam * reg / (2.0 * m)
+    return float(sse / (2.0 * m) + lam * reg / (2.0 * m))
 
 
 def gradient(G: np.ndarray, theta: np.ndarray, lam: float = 0.0, intercept: bool = True) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_prep", "q_linear", "q_classify", "q_anomaly", "q_cluster", "q_text", "q_recsvm", "q_network"]
+_MODULES = ["q_prep", "q_linear", "q_classify", "q_anomaly", "q_cluster", "q_text", "q_recsvm", "q_network", "q_select"]
 
 
 def registry():
