@@ -31,6 +31,8 @@ NORMALISE_RULES = [
 # Fixed value: token delimiters of the spam exercise (plus newline, return).
 DELIMITERS = r"[ @$/#.\-:&*+=\[\]?!(){},'" + '"' + r">_<;%\n\r]"
 NON_ALNUM = r"[^a-zA-Z0-9]"
+# characters that are neither alphanumeric nor delimiters
+KEEP_CLASS = r"[^a-zA-Z0-9 @$/#.\-:&*+=\[\]?!(){},'" + '"' + r">_<;%\n\r]"
 # Fixed value: word pattern of the count vectoriser (runs of >= 2 word chars).
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -46,10 +48,14 @@ def normalise(text: Column | str) -> Column:
 
 def tokenise(text: Column | str) -> Column:
     """Split on the delimiter set, drop non-alphanumerics, drop empty
-    tokens -> array<string> in text order."""
-    parts = F.split(col(text), DELIMITERS)
-    cleaned = F.transform(parts, lambda t: F.regexp_replace(t, NON_ALNUM, ""))
-    return F.filter(cleaned, lambda t: F.length(t) > 0)
+    tokens -> array<string> in text order.
+
+    Computed as ONE whole-text replace of the characters that are neither
+    alphanumeric nor delimiters, then a split: removing such characters
+    never merges two tokens (the delimiters stay), so this equals
+    stripping every token separately, without a per-token lambda."""
+    cleaned = F.regexp_replace(col(text), KEEP_CLASS, "")
+    return F.filter(F.split(cleaned, DELIMITERS + "+"), lambda t: F.length(t) > 0)
 
 
 def token_rows(df: DataFrame, id_col: str, text: str, normalised: bool = True) -> DataFrame:

@@ -11,6 +11,7 @@ from keelson.operators import sparse_linear as SL
 from keelson.operators import text as TX
 from keelson.operators.indexing import top_k
 from keelson.plans.base import query, r, rs, table
+from keelson.session import cut_lineage
 
 
 def _s(x: str) -> str:
@@ -44,6 +45,12 @@ def _tokens(spark, sf):
     return TX.token_rows(_docs(spark, sf), "doc_id", "text")
 
 
+def _counts(spark, sf):
+    """Term counts, checkpointed: several branches read them, and the regex
+    pass over the whole texts then runs once."""
+    return cut_lineage(TX.term_counts(_docs(spark, sf), "doc_id", "text"))
+
+
 @query("text_normalise", sql=f"SELECT page_id, {NORM('html')} AS text FROM pages")
 def text_normalise(spark, sf):
     """Normalise whole web pages (tags, numbers, URLs, addresses, $)."""
@@ -82,7 +89,7 @@ wi AS (SELECT st.doc_id, st.pos, voc.idx FROM st JOIN voc ON voc.word = st.stem)
 
 
 def _word_indices(spark, sf):
-    st = TX.stem_tokens(_tokens(spark, sf), full=False)
+    st = cut_lineage(TX.stem_tokens(_tokens(spark, sf), full=False))
     vocab = TX.build_vocab(st, "stem", "doc_id", min_df=_VOCAB_MIN_DF, start=1) \
         .withColumnRenamed("stem", "word")
     return TX.word_indices(st, vocab)
@@ -137,8 +144,7 @@ nr AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY doc_id)
 SELECT w.doc_id, w.term, {rs('w.w / nr.nrm', 8)} AS w FROM w JOIN nr ON nr.doc_id = w.doc_id""")
 def tfidf(spark, sf):
     """Smoothed tf-idf with unit L2 rows."""
-    docs = _docs(spark, sf)
-    c = TX.term_counts(docs, "doc_id", "text")
+    c = _counts(spark, sf)
     n_docs = table(spark, sf, "documents").count()
     return TX.tfidf(c, n_docs).select("doc_id", "term", r("w", 8).alias("w"))
 
@@ -159,7 +165,7 @@ model AS (SELECT cls.class, voc.term,
 
 def _nb(spark, sf):
     docs = _docs(spark, sf)
-    c = TX.term_counts(docs, "doc_id", "text")
+    c = _counts(spark, sf)
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     model, priors, classes = TX.nb_fit(c, labels)
     return docs, c, model, priors, classes
@@ -216,8 +222,7 @@ def text_svm(spark, sf):
     """Linear SVM (hinge, L2, alpha 1e-3) on tf-idf of the labelled
     documents, trained by distributed subgradient descent; returns the
     weight per term."""
-    docs = _docs(spark, sf)
-    c = TX.term_counts(docs, "doc_id", "text")
+    c = _counts(spark, sf)
     w = TX.tfidf(c, table(spark, sf, "documents").count())
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     weights, b, _ = SL.fit_hinge(w, labels, iters=8)
@@ -229,7 +234,7 @@ def text_classify(spark, sf):
     """Counts -> tf-idf -> naive Bayes fit on labelled documents ->
     prediction for every document (a chained estimator)."""
     docs = _docs(spark, sf)
-    c = TX.term_counts(docs, "doc_id", "text")
+    c = _counts(spark, sf)
     w = TX.tfidf(c, table(spark, sf, "documents").count()).withColumnRenamed("w", "n")
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     model, priors, classes = TX.nb_fit(w, labels)
