@@ -18,9 +18,10 @@ from keelson.session import cut_lineage
 
 def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term: str = "term",
               x: str = "w", label: str = "label", alpha: float = 1e-3, iters: int = 10,
-              t0: float = 1.0):
+              t0: float | None = None):
     """Minimise alpha/2 ||w||^2 + mean_i max(0, 1 - y_i (w.x_i + b)),
-    y in {-1, +1} (labels 0/1 are mapped).  Step 1 / (alpha (t + t0)).
+    y in {-1, +1} (labels 0/1 are mapped).  Step 1 / (alpha (t + t0)) with
+    t0 = 1 / alpha by default (first steps close to 1, then decaying).
     Returns (weights (term, weight), bias, history [(iter, objective)])."""
     y = labels.select(id_col, F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
     data = feats.join(y.select(id_col), id_col).select(id_col, term, F.col(x).alias("_x"))
@@ -28,6 +29,7 @@ def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term:
     weights = data.select(term).distinct().withColumn("weight", F.lit(0.0))
     weights = cut_lineage(weights)
     b, hist = 0.0, []
+    t0 = 1.0 / alpha if t0 is None else t0
     for t in range(1, iters + 1):
         margins = (data.join(weights, term)
                    .groupBy(id_col).agg(F.sum(F.col("_x") * F.col("weight")).alias("_m")))

@@ -1,0 +1 @@
+from keelson.streaming import scoring  # noqa: F401
