@@ -52,7 +52,7 @@ def read_item_names(spark: SparkSession, path: str) -> DataFrame:
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
     """Whole files -> (path, text), one row per file."""
-    return (spark.read.option("wholetext", "true").text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("text")))
 
 
