@@ -37,6 +37,17 @@ KEEP_CLASS = r"[^a-zA-Z0-9 @$/#.\-:&*+=\[\]?!(){},'" + '"' + r">_<;%\n\r]"
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Regex work over whole texts is CPU-bound and rows are large: when a
+    scan yields fewer partitions than the cluster has task slots (a few big
+    row groups), spread the rows round-robin first.  At scale the scan
+    already has many more splits than slots and nothing is shuffled."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def normalise(text: Column | str) -> Column:
     """Lower case, strip tags, numbers -> 'number', URLs -> 'httpaddr',
     e-mail addresses -> 'emailaddr', dollar signs -> 'dollar'."""
@@ -61,7 +72,7 @@ def tokenise(text: Column | str) -> Column:
 def token_rows(df: DataFrame, id_col: str, text: str, normalised: bool = True) -> DataFrame:
     """(id, pos, token) rows, pos 0-based, over the whole text."""
     src = normalise(text) if normalised else col(text)
-    return df.select(id_col, F.posexplode(tokenise(src)).alias("pos", "token"))
+    return spread(df).select(id_col, F.posexplode(tokenise(src)).alias("pos", "token"))
 
 
 def step1a(t: Column | str) -> Column:
@@ -129,7 +140,7 @@ def words(text: Column | str, lowercase: bool = True) -> Column:
 
 def term_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """(doc, term, n) counts (partial aggregation before the shuffle)."""
-    return (df.select(id_col, F.explode(words(text)).alias("term"))
+    return (spread(df).select(id_col, F.explode(words(text)).alias("term"))
             .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -141,7 +152,7 @@ def bigram_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
     pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1),
                         lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1)))
     pairs = F.when(F.size(w) >= 2, pairs).otherwise(F.array().cast("array<string>"))
-    return (df.select(id_col, words(text).alias("_w"))
+    return (spread(df).select(id_col, words(text).alias("_w"))
             .select(id_col, F.explode(pairs).alias("bigram"))
             .groupBy(id_col, "bigram").agg(F.count(F.lit(1)).alias("n")))
 
