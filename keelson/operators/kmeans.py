@@ -121,10 +121,21 @@ def fit(df: DataFrame, features: str, dims: int, init: np.ndarray, max_iters: in
     unweighted mean of the cluster cohesions) changes by less than tol, or
     max_iters updates.  Every iteration is one aggregate job that returns
     both the cohesion per cluster and the new centre sums."""
+    from pyspark import StorageLevel
     cents = np.asarray(init, dtype=float)
     hist, prev = [], None
     x = col(features)
     it = 0
+    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hist, cents, it = _iterate(data, features, dims, cents, max_iters, tol, x)
+    finally:
+        data.unpersist()
+    return KMeansResult(cents, hist, it)
+
+
+def _iterate(df, features, dims, cents, max_iters, tol, x):
+    hist, prev, it = [], None, 0
     for it in range(1, max_iters + 1):
         a = assign(df, features, cents)
         aggs = [F.count(F.lit(1)).alias("n"), F.avg("d2").alias("coh")]
@@ -139,7 +150,7 @@ def fit(df: DataFrame, features: str, dims: int, init: np.ndarray, max_iters: in
         if tol is not None and prev is not None and abs(prev - overall) < tol:
             break
         prev = overall
-    return KMeansResult(cents, hist, it)
+    return hist, cents, it
 
 
 def quantise(df: DataFrame, features: str, centroids: np.ndarray, out: str = "quantised") -> DataFrame:

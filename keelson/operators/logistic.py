@@ -80,6 +80,16 @@ def numeric_gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Se
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _design(df: DataFrame, cols: Sequence[str], targets: Sequence) -> DataFrame:
+    """Only the design columns, persisted (memory, spilling to disk) for
+    the iterations of a fit; a lost executor recomputes its blocks from the
+    scan."""
+    from pyspark import StorageLevel
+    sel = [col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)]
+    sel += [(col(t) if isinstance(t, str) else t).alias(f"_y{j}") for j, t in enumerate(targets)]
+    return df.select(*sel).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _newton_aggs(xs: list[Column], y: Column, theta: np.ndarray, tag: str) -> list[Column]:
     z = linear(xs, theta)
     p = sigmoid(z)
@@ -123,20 +133,24 @@ def fit(df: DataFrame, cols: Sequence[str], y: str, lam: float = 0.0, max_iter:
     """C4: minimise C2 by Newton's method (one aggregate per iteration).
     The data should be cached by the caller when it is expensive to
     recompute; each iteration reads only the listed columns."""
-    xs = [F.lit(1.0)] + [col(c).cast("double") for c in cols]
-    yy = col(y).cast("double")
+    data = _design(df, cols, [y])
+    xs = [F.lit(1.0)] + [F.col(f"_x{j}") for j in range(len(cols))]
+    yy = F.col("_y0")
     theta = np.zeros(len(xs)) if theta0 is None else np.asarray(theta0, dtype=float)
-    m = float(df.count())
-    hist = []
-    for it in range(max_iter):
-        row = df.agg(*_newton_aggs(xs, yy, theta, "")).first()
-        new, J, gnorm = _newton_step(row, "", theta, m, lam)
-        hist.append((it, J))
-        converged = gnorm < tol or np.max(np.abs(new - theta)) < tol
-        theta = new
-        if converged:
-            break
-    J = df.agg(cost_expr(cols, y, theta, lam).alias("J")).first()["J"]
+    try:
+        m = float(data.count())
+        hist = []
+        for it in range(max_iter):
+            row = data.agg(*_newton_aggs(xs, yy, theta, "")).first()
+            new, J, gnorm = _newton_step(row, "", theta, m, lam)
+            hist.append((it, J))
+            converged = gnorm < tol or np.max(np.abs(new - theta)) < tol
+            theta = new
+            if converged:
+                break
+        J = data.agg(cost_expr(xs[1:], yy, theta, lam).alias("J")).first()["J"]
+    finally:
+        data.unpersist()
     return LogisticModel(theta, float(J), len(hist), hist)
 
 
@@ -185,26 +199,31 @@ def fit_one_vs_all(df: DataFrame, cols: Sequence[str], label: str, lam: float =
     """One binary model per class; every Newton iteration computes the
     gradients and Hessians of all K classes in a single aggregate."""
     classes = list(classes) if classes is not None else distinct_classes(df, label)
-    xs = [F.lit(1.0)] + [col(c).cast("double") for c in cols]
+    data = _design(df, cols, [label])
+    xs = [F.lit(1.0)] + [F.col(f"_x{j}") for j in range(len(cols))]
     thetas = {c: np.zeros(len(xs)) for c in classes}
-    m = float(df.count())
-    active = set(range(len(classes)))
-    for _ in range(max_iter):
-        aggs = []
-        for ci in sorted(active):
-            c = classes[ci]
-            aggs += _newton_aggs(xs, (col(label) == F.lit(c)).cast("double"), thetas[c], f"c{ci}_")
-        row = df.agg(*aggs).first()
-        done = set()
-        for ci in sorted(active):
-            c = classes[ci]
-            new, _, gnorm = _newton_step(row, f"c{ci}_", thetas[c], m, lam)
-            if gnorm < tol or np.max(np.abs(new - thetas[c])) < tol:
-                done.add(ci)
-            thetas[c] = new
-        active -= done
-        if not active:
-            break
+    try:
+        m = float(data.count())
+        active = set(range(len(classes)))
+        for _ in range(max_iter):
+            aggs = []
+            for ci in sorted(active):
+                c = classes[ci]
+                aggs += _newton_aggs(xs, (F.col("_y0") == F.lit(c)).cast("double"), thetas[c],
+                                     f"c{ci}_")
+            row = data.agg(*aggs).first()
+            done = set()
+            for ci in sorted(active):
+                c = classes[ci]
+                new, _, gnorm = _newton_step(row, f"c{ci}_", thetas[c], m, lam)
+                if gnorm < tol or np.max(np.abs(new - thetas[c])) < tol:
+                    done.add(ci)
+                thetas[c] = new
+            active -= done
+            if not active:
+                break
+    finally:
+        data.unpersist()
     return OneVsAll(classes, thetas)
 
 
