@@ -134,9 +134,58 @@ def fit(df: DataFrame, features: str, dims: int, init: np.ndarray, max_iters: in
     return KMeansResult(cents, hist, it)
 
 
+def _step_arrow(df: DataFrame, features: str, C: np.ndarray):
+    """One assign + update pass for wide models: every partition emits its
+    per-cluster partial sums keyed by (k, j) (j = -2 count, -1 distance sum,
+    0..n-1 coordinate sums); the partials are summed by key, so only
+    K x (n + 2) numbers reach the driver."""
+    K, n = C.shape
+
+    def run(batches):
+        import pandas as pd
+        sums, cnt, dsum, seen = np.zeros((K, n)), np.zeros(K), np.zeros(K), False
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.stack(pdf[features].to_numpy()).astype(float)
+            D = np.empty((X.shape[0], K))
+            for j in range(K):
+                diff = X - C[j]
+                D[:, j] = np.einsum("ij,ij->i", diff, diff)
+            k = np.argmin(D, axis=1)
+            np.add.at(sums, k, X)
+            cnt += np.bincount(k, minlength=K)
+            dsum += np.bincount(k, weights=D[np.arange(len(k)), k], minlength=K)
+            seen = True
+        if seen:
+            vals = np.hstack([cnt[:, None], dsum[:, None], sums])
+            kk, jj = np.meshgrid(np.arange(K), np.arange(-2, n), indexing="ij")
+            yield pd.DataFrame({"k": kk.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
+                                "value": vals.ravel()})
+
+    rows = (df.select(features).mapInPandas(run, "k int, j int, value double")
+            .groupBy("k", "j").agg(F.sum("value").alias("value")).collect())
+    tot = np.zeros((K, n + 2))
+    for r in rows:
+        tot[r["k"], r["j"] + 2] = r["value"]
+    return tot
+
+
 def _iterate(df, features, dims, cents, max_iters, tol, x):
     hist, prev, it = [], None, 0
     for it in range(1, max_iters + 1):
+        if cents.size > EXPR_MAX_TERMS:
+            tot = _step_arrow(df, features, cents)
+            live = tot[:, 0] > 0
+            overall = float(np.mean(tot[live, 1] / tot[live, 0]))
+            hist.append((it, overall))
+            new = cents.copy()
+            new[live] = tot[live, 2:] / tot[live, 0][:, None]
+            cents = new
+            if tol is not None and prev is not None and abs(prev - overall) < tol:
+                break
+            prev = overall
+            continue
         a = assign(df, features, cents)
         aggs = [F.count(F.lit(1)).alias("n"), F.avg("d2").alias("coh")]
         aggs += [F.avg(x[i]).alias(f"m{i}") for i in range(dims)]
