@@ -88,7 +88,7 @@ def class_means(df: DataFrame, features: str, label: str, dims: int) -> tuple[li
 
 
 def fit_linear(df: DataFrame, features: Sequence[Column] | str, label: str, C: float = 1.0,
-               max_iter: int = 200, dims: int | None = None):
+               max_iter: int = 200, dims: int | None = None, tol: float = 1e-6):
     """V1: soft-margin linear SVM; returns (w, b)."""
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector
@@ -99,7 +99,7 @@ def fit_linear(df: DataFrame, features: Sequence[Column] | str, label: str, C: f
     data = df.select(vec.alias("features"), F.col(label).cast("double").alias("label"))
     m = data.count()
     svc = LinearSVC(regParam=1.0 / (C * m), standardization=False, maxIter=max_iter,
-                    fitIntercept=True)
+                    fitIntercept=True, tol=tol)
     model = svc.fit(data)
     return np.array(model.coefficients.toArray()), float(model.intercept)
 
@@ -117,22 +117,34 @@ def fit_rbf(df: DataFrame, features: str, label: str, landmarks: np.ndarray, sig
 
 
 def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
-                landmarks: np.ndarray, Cs: Sequence[float], sigmas: Sequence[float]):
+                landmarks: np.ndarray, Cs: Sequence[float], sigmas: Sequence[float],
+                parallelism: int = 4):
     """V5: validation error for every (C, sigma); returns rows sorted by
-    error then C then sigma (the first is the choice)."""
-    out = []
+    error then C then sigma (the first is the choice).
+
+    Each sigma's similarity features are computed once and persisted; the
+    independent trial fits (looser tolerance 1e-4) are submitted from a
+    thread pool, as cross-validators do, so their small optimiser jobs share
+    the cluster instead of running one after another."""
+    from concurrent.futures import ThreadPoolExecutor
+    feats = {}
     for s in sigmas:
-        tr = similarity_features(train.select(features, label), features, landmarks, s) \
-            .select("sims", label).persist()
-        va = similarity_features(val.select(features, label), features, landmarks, s) \
-            .select("sims", label).persist()
-        try:
-            for C in Cs:
-                w, b = fit_linear(tr, "sims", label, C, max_iter=100)
-                score = array_dot("sims", w, intercept=b)
-                err = va.agg(F.avg((classify(score) != F.col(label)).cast("double"))).first()[0]
-                out.append((float(C), float(s), float(err)))
-        finally:
+        feats[s] = tuple(
+            similarity_features(d.select(features, label), features, landmarks, s)
+            .select("sims", label).persist() for d in (train, val))
+
+    def trial(C, s):
+        tr, va = feats[s]
+        w, b = fit_linear(tr, "sims", label, C, max_iter=100, tol=1e-4)
+        score = array_dot("sims", w, intercept=b)
+        err = va.agg(F.avg((classify(score) != F.col(label)).cast("double"))).first()[0]
+        return (float(C), float(s), float(err))
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            out = list(pool.map(lambda cs: trial(*cs), [(C, s) for s in sigmas for C in Cs]))
+    finally:
+        for tr, va in feats.values():
             tr.unpersist()
             va.unpersist()
     return sorted(out, key=lambda t: (t[2], t[0], t[1]))

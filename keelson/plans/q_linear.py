@@ -7,7 +7,6 @@ rule, recursive CTE for gradient descent)."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from keelson.operators import features as FT
