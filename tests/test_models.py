@@ -227,3 +227,21 @@ def test_sparse_hinge_objective_decreases(spark):
     pred = SL.decision(feats, w, b, lab).join(lab, "doc_id")
     acc = pred.agg(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
     assert acc > 0.8
+
+
+def test_svm_learns_separable_and_circle_data(spark):
+    from keelson.operators import svm as SV
+    rng = np.random.default_rng(14)
+    X = rng.uniform(-1, 1, size=(300, 2))
+    y_lin = (X[:, 0] + 0.5 * X[:, 1] > 0.1).astype(int)
+    y_circ = ((X ** 2).sum(1) < 0.4).astype(int)
+    df = spark.createDataFrame([([float(a), float(b)], int(c), int(d))
+                                for (a, b), c, d in zip(X, y_lin, y_circ)],
+                               "x array<double>, yl int, yc int")
+    w, b = SV.fit_linear(df, "x", "yl", C=10.0)
+    pred = (X @ w + b >= 0).astype(int)
+    assert (pred == y_lin).mean() > 0.95
+    L = X[:40]
+    w2, b2 = SV.fit_rbf(df, "x", "yc", L, sigma=0.5, C=10.0)
+    S = np.exp(-((X[:, None, :] - L[None]) ** 2).sum(-1) / (2 * 0.25))
+    assert ((S @ w2 + b2 >= 0).astype(int) == y_circ).mean() > 0.9
