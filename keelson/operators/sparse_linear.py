@@ -24,7 +24,9 @@ def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term:
     t0 = 1 / alpha by default (first steps close to 1, then decaying).
     Returns (weights (term, weight), bias, history [(iter, objective)])."""
     y = labels.select(id_col, F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
-    data = feats.join(y.select(id_col), id_col).select(id_col, term, F.col(x).alias("_x"))
+    # every iteration reads the labelled features twice: materialise once
+    data = cut_lineage(feats.join(y.select(id_col), id_col)
+                       .select(id_col, term, F.col(x).alias("_x")))
     m = y.count()
     weights = data.select(term).distinct().withColumn("weight", F.lit(0.0))
     weights = cut_lineage(weights)
@@ -33,8 +35,10 @@ def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term:
     for t in range(1, iters + 1):
         margins = (data.join(weights, term)
                    .groupBy(id_col).agg(F.sum(F.col("_x") * F.col("weight")).alias("_m")))
-        margins = y.join(margins, id_col, "left").na.fill(0.0, ["_m"]) \
-                   .withColumn("_m", F.col("_m") + F.lit(b))
+        # one row per document, read by the statistics and the subgradient:
+        # cut so the features x weights join runs once per iteration
+        margins = cut_lineage(y.join(margins, id_col, "left").na.fill(0.0, ["_m"])
+                              .withColumn("_m", F.col("_m") + F.lit(b)))
         active = margins.filter(F.col("_y") * F.col("_m") < 1.0)
         stats = margins.agg(F.avg(F.greatest(F.lit(0.0), 1.0 - F.col("_y") * F.col("_m"))).alias("loss"),
                             F.sum(F.when(F.col("_y") * F.col("_m") < 1.0, -F.col("_y"))

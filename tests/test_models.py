@@ -229,6 +229,36 @@ def test_sparse_hinge_objective_decreases(spark):
     assert acc > 0.8
 
 
+def test_sparse_hinge_matches_dense_iterations(spark):
+    """Brute force: the same subgradient steps on a dense numpy matrix
+    give the same weights, bias and objective history."""
+    from keelson.operators import sparse_linear as SL
+    rng = np.random.default_rng(21)
+    m, V, alpha, iters = 40, 8, 0.05, 5
+    X = np.where(rng.uniform(size=(m, V)) < 0.4, rng.integers(1, 4, size=(m, V)), 0).astype(float)
+    X[:, 0] = np.maximum(X[:, 0], 1.0)          # every term column and doc has a value
+    X[0, :] = np.maximum(X[0, :], 1.0)
+    lab = (X[:, 1] + X[:, 2] > X[:, 3] + 1).astype(int)
+    rows = [(i, f"t{j}", float(X[i, j])) for i in range(m) for j in range(V) if X[i, j] != 0]
+    feats = spark.createDataFrame(rows, "doc_id long, term string, w double")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(lab)], "doc_id long, label int")
+    w_df, b, hist = SL.fit_hinge(feats, labels, alpha=alpha, iters=iters)
+    y = np.where(lab > 0, 1.0, -1.0)
+    w, bb, t0, ref = np.zeros(V), 0.0, 1.0 / alpha, []
+    for t in range(1, iters + 1):
+        mg = X @ w + bb
+        act = y * mg < 1.0
+        ref.append(np.maximum(0.0, 1.0 - y * mg).mean() + alpha / 2.0 * (w @ w))
+        g = -(y[act, None] * X[act]).sum(0)
+        eta = 1.0 / (alpha * (t + t0))
+        w = w - eta * (alpha * w + g / m)
+        bb = bb - eta * float(-y[act].sum()) / m
+    got = {r["term"]: r["weight"] for r in w_df.collect()}
+    assert np.allclose([got[f"t{j}"] for j in range(V)], w, rtol=1e-9, atol=1e-12)
+    assert b == pytest.approx(bb, rel=1e-9, abs=1e-12)
+    assert np.allclose([h[1] for h in hist], ref, rtol=1e-9)
+
+
 def test_svm_learns_separable_and_circle_data(spark):
     from keelson.operators import svm as SV
     rng = np.random.default_rng(14)
