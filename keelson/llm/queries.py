@@ -67,3 +67,51 @@ d AS (SELECT *, CAST(('0x' || substr(md5('17:' || doc_id), 1, 13)) AS BIGINT) /
 SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, CAST(c.k AS INTEGER) AS "copy",
   md5('17:' || d.doc_id || ':' || c.k) AS shuffle_key
 FROM d JOIN c ON c.source IS NOT DISTINCT FROM d.source AND c.cdf <= d.u"""
+
+
+@query
+def op5_int8_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows of ``embeddings`` for each row whose vec_id is
+    divisible by 100: query_id, rank, vec_id, score (Euclidean distance)."""
+    from keelson.llm.knn import nearest
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(e.filter("vec_id % 100 = 0"), e, k=10)
+
+
+SQL["op5_int8_block_knn"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+d AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+    list_prepend(0.0::DOUBLE, [(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(q.v, c.v)]), lambda a, x: a + x)) AS score
+  FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM d
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10"""
+
+
+@query
+def op6_rank_sync_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document under byte_bpe_50k.json: doc_id,
+    n_bytes, n_tokens, over_limit (more than 512 tokens)."""
+    import public_tokenizers
+
+    from keelson.llm.tokens import token_counts
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Sequences of 2048 ids of byte_bpe_50k.tiktoken; its free id 50256 pads."""
+    import public_tokenizers
+
+    from keelson.llm.packing import pack
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                vocab_size=50_256, seq_len=2048, pad_id=50_256)
+
+
+@query
+def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids: shard, seq, n_tokens,
+    input_ids, position_ids, cu_seqlens, doc_ids, doc_starts."""
+    return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
