@@ -128,3 +128,17 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b",
     return (e.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")))
             .groupBy("id").agg(F.min("component").alias("component")))
+
+
+# Rows of an id list that may be broadcast (16 bytes each); beyond, a shuffle join.
+BROADCAST_IDS = 500_000
+
+
+def drop_rows(docs: DataFrame, bad: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows named by ``bad`` (doc_id, text_key =
+    xxhash64 of the text).  The list is written and counted first; a short one
+    is broadcast, a longer one joined by shuffle."""
+    bad = cut_lineage(bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_text")).distinct())
+    few = bad.count() <= BROADCAST_IDS
+    on = F.col(key).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text) == F.col("_bad_text"))
+    return docs.join(F.broadcast(bad) if few else bad, on, "left_anti")

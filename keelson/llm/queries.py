@@ -115,3 +115,13 @@ def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids: shard, seq, n_tokens,
     input_ids, position_ids, cu_seqlens, doc_ids, doc_starts."""
     return packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_spaced_seed_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of documents with benchmark items, at least 10 words of which
+    80 in 100 are equal: doc_id, item_id, doc_from, doc_to, item_from, n_equal
+    (word positions)."""
+    from keelson.llm.decontam import overlaps
+    return overlaps(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                    table(spark, sf_dir, "benchmark")).drop("text_key")
