@@ -125,3 +125,17 @@ def op8_spaced_seed_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keelson.llm.decontam import overlaps
     return overlaps(table(spark, sf_dir, "documents").select("doc_id", "text"),
                     table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with p_junk, p_toxic and keep."""
+    from keelson.llm.quality import classify, fit
+    return classify(docs, fit(docs, labels))
+
+
+@query
+def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier keeps, with their scores:
+    doc_id, p_junk, p_toxic."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classified(docs, table(spark, sf_dir, "labels")).filter("keep").select("doc_id", "p_junk", "p_toxic")
