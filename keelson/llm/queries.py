@@ -139,3 +139,12 @@ def op2_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc_id, p_junk, p_toxic."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classified(docs, table(spark, sf_dir, "labels")).filter("keep").select("doc_id", "p_junk", "p_toxic")
+
+
+@query
+def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents (five-word shingles, Jaccard at
+    least 0.8): doc_id, class_id, set_id, n_links, n_copies."""
+    from keelson.llm.setjoin import similarity_classes
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return similarity_classes(docs, similarity=0.8, k=5).drop("text_key")
