@@ -148,3 +148,12 @@ def op9_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keelson.llm.setjoin import similarity_classes
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return similarity_classes(docs, similarity=0.8, k=5).drop("text_key")
+
+
+@query
+def op4_sparse_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of at least 50 words that another document
+    holds as well: doc_id, n_words, n_repeated, spans (word positions)."""
+    from keelson.llm.repeats import repeated_passages
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeated_passages(docs, min_words=50).drop("text_key")
