@@ -357,22 +357,23 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 def classify(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text",
-             threshold: float = 0.6) -> DataFrame:
-    """``docs`` with p_junk, p_toxic and keep (both at most ``threshold``).
+             threshold: float = 0.6, prefix: str = "") -> DataFrame:
+    """``docs`` with p_junk, p_toxic and keep (both at most ``threshold``), their
+    names led by ``prefix``.
 
     A null or empty text has nothing against it: both scores 0, kept.  Columns
     with these names are replaced, all others stay; repeated rows score alike.
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two arrays of BUCKETS weights
-    names = ["p_junk", "p_toxic"]
+    names, keep = [prefix + "p_junk", prefix + "p_toxic"], prefix + "keep"
 
     @F.pandas_udf("p_junk double, p_toxic double")
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = shared.value.scorer()
         for b in texts:
-            yield pd.DataFrame([score(t) if t and t.strip() else (0.0, 0.0) for t in b], columns=names)
+            yield pd.DataFrame([score(t) if t and t.strip() else (0.0, 0.0) for t in b], columns=["p_junk", "p_toxic"])
 
-    return (docs.drop(*names, "keep").withColumn("_s", scores(F.col(text).cast("string")))
-            .withColumns({n: F.col(f"_s.{n}") for n in names}).drop("_s")
-            .withColumn("keep", (F.col("p_junk") <= threshold) & (F.col("p_toxic") <= threshold)))
+    return (docs.drop(*names, keep).withColumn("_s", scores(F.col(text).cast("string")))
+            .withColumns({names[0]: F.col("_s.p_junk"), names[1]: F.col("_s.p_toxic")}).drop("_s")
+            .withColumn(keep, (F.col(names[0]) <= threshold) & (F.col(names[1]) <= threshold)))

@@ -157,3 +157,11 @@ def op4_sparse_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keelson.llm.repeats import repeated_passages
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_passages(docs, min_words=50).drop("text_key")
+
+
+@query
+def op3_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: doc_id, n_email, n_ip, n_card, n_phone,
+    base_sha256, spans."""
+    from keelson.llm.pii import pii_spans
+    return pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
