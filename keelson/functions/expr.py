@@ -131,3 +131,21 @@ def normal_log_pdf(x: ColLike, mu: float, var: float) -> Column:
     """log N(x; mu, var), var > 0."""
     d = col(x) - F.lit(float(mu))
     return F.lit(-0.5 * math.log(2 * math.pi * var)) - d * d / F.lit(2.0 * var)
+
+
+def complete(df, cols):
+    """Rows in which every listed column is present: not null and, as a number,
+    not NaN.  Fits and costs apply it once to X and y, so that all their sums
+    run over the same rows."""
+    ok = None
+    for c in cols:
+        x = col(c).cast("double")
+        one = x.isNotNull() & ~F.isnan(x)
+        ok = one if ok is None else ok & one
+    return df if ok is None else df.filter(ok)
+
+
+def complete_vector(c):
+    """True for an array that is not null and holds neither null nor NaN."""
+    x = col(c).cast("array<double>")
+    return F.coalesce(x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v)), F.lit(False))

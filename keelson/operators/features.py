@@ -10,14 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.expr import col, monomial, monomial_exponents
-from keelson.operators.indexing import bounded_count
-
-MAX_CLASSES = 10_000
-
 
 @dataclass
 class Normalizer:
@@ -125,17 +121,21 @@ def equalize_hist(df: DataFrame, x: str, out: str = "eq", nbins: int = 256) -> D
     cumulative share of each bin is interpolated linearly between bin
     centres.  Jobs: one min/max aggregate, one grouped count with at most
     ``nbins`` groups (partial aggregation), then a projection with the
-    ``nbins`` cumulative shares inlined."""
-    c = col(x).cast("double")
+    ``nbins`` cumulative shares inlined.  Null and NaN values are in no bin and
+    give null; without any value the column is null."""
+    c = F.nanvl(col(x).cast("double"), F.lit(None).cast("double"))
     r = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    if r["lo"] is None:
+        return df.withColumn(out, F.lit(None).cast("double"))
     lo, hi = float(r["lo"]), float(r["hi"])
     if hi == lo:
-        return df.withColumn(out, F.lit(1.0))
+        return df.withColumn(out, F.when(c.isNotNull(), F.lit(1.0)))
     span = hi - lo
     w = span / nbins
-    b = F.least(F.floor((c - F.lit(lo)) * F.lit(float(nbins)) / F.lit(span)), F.lit(nbins - 1))
+    b = F.floor((c - F.lit(lo)) * F.lit(float(nbins)) / F.lit(span))
+    b = F.when(b >= nbins, F.lit(nbins - 1)).otherwise(b)
     hist = {int(row["b"]): int(row["n"]) for row in
-            df.groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+            df.filter(c.isNotNull()).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = float(sum(hist.values()))
     cdf, acc = [], 0
     for i in range(nbins):
@@ -154,18 +154,28 @@ def equalize_hist(df: DataFrame, x: str, out: str = "eq", nbins: int = 256) -> D
     return df.withColumn(out, val)
 
 
-def distinct_classes(df: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> list:
-    """Sorted distinct labels; raises if the label is not categorical."""
-    d = df.select(label).distinct()
-    if bounded_count(d, max_classes) > max_classes:
-        raise ValueError(f"{label} has more than {max_classes} distinct values")
-    return sorted(r[0] for r in d.collect() if r[0] is not None)
+def distinct_classes(df: DataFrame, label: str) -> list:
+    """Sorted distinct labels (nulls are no class).  The list becomes
+    columns or models, so it is for labels whose classes are a model's size;
+    :func:`class_rows` is the form for any number of classes."""
+    d = df.select(label).filter(F.col(label).isNotNull()).distinct()
+    return sorted(r[0] for r in d.collect())
 
 
 def classes_table(df: DataFrame, label: str) -> DataFrame:
-    """P12 as a frame: (class, class_index) sorted."""
-    return (df.select(col(label).alias("class")).distinct()
-            .withColumn("class_index", F.dense_rank().over(Window.orderBy("class")) - 1))
+    """P12 as a frame: (class, class_index) sorted, numbered without a
+    single-task sort; nulls are no class."""
+    from keelson.operators.indexing import global_row_index
+    d = df.select(col(label).alias("class")).filter(F.col("class").isNotNull()).distinct()
+    return global_row_index(d, ["class"], name="_n", start=0).select(
+        "class", F.col("_n").cast("int").alias("class_index"))
+
+
+def class_rows(df: DataFrame, id_col: str, label: str) -> DataFrame:
+    """P6 in long form, for any number of classes: (id, class_index) of the
+    one entry that is 1 in each row; rows without a class have none."""
+    return (df.select(id_col, col(label).alias("class")).join(classes_table(df, label), "class")
+            .select(id_col, "class_index"))
 
 
 def one_hot(df: DataFrame, label: str, classes: Sequence | None = None,

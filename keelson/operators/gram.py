@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col
+from keelson.functions.expr import col, complete, complete_vector
 
 
 def _pairs(k: int):
@@ -35,7 +35,9 @@ def gram_aggs(terms: Sequence[Column]) -> list[Column]:
 
 def gram_frame(df: DataFrame, cols: Sequence[Column | str], y: Column | str | None = None,
                group_cols: Sequence[str] = (), intercept: bool = True) -> DataFrame:
-    """One row per group with the upper triangle of G = sum z z'."""
+    """One row per group with the upper triangle of G = sum z z' over the rows
+    in which all of ``cols`` and ``y`` are present."""
+    df = complete(df, [*cols, *([y] if y is not None else [])])
     terms = ([F.lit(1.0)] if intercept else []) + [col(c).cast("double") for c in cols]
     if y is not None:
         terms.append(col(y).cast("double"))
@@ -93,7 +95,7 @@ def gram_long(df: DataFrame, array_col: str, dims: int, centre: Sequence[float]
             yield pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"),
                                 "value": acc[iu]})
 
-    part = df.select(array_col).mapInPandas(partials, "i int, j int, value double")
+    part = df.select(array_col).filter(complete_vector(array_col)).mapInPandas(partials, "i int, j int, value double")
     return part.groupBy("i", "j").agg(F.sum("value").alias("value"))
 
 

@@ -7,7 +7,8 @@
 * ``top_k_per_group`` relies on Spark's window group limit (a partial
   per-map-task limit before the shuffle), so a hot group ships at most
   ``k`` rows per input partition.
-* ``broadcast_if_small`` broadcasts a side only after proving its row count.
+* Join sides carry no hint: the planner broadcasts by size in bytes, and AQE
+  by the size it measured.
 """
 
 from __future__ import annotations
@@ -19,23 +20,6 @@ from pyspark.sql import functions as F
 
 from keelson.session import cut_lineage
 
-# Largest side we broadcast without a shuffle join; checked, never assumed.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_count(df: DataFrame, limit: int) -> int:
-    """Row count, but never scans past ``limit + 1`` rows."""
-    return df.limit(limit + 1).count()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven to hold <= max_rows
-    rows; otherwise leave the join to a shuffle (and AQE)."""
-    if bounded_count(df, max_rows) <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def global_row_index(df: DataFrame, order: Sequence[Column | str], name: str = "rn",
                      start: int = 1) -> DataFrame:
     """Add a dense 1-based (by default) row number in ``order``.
@@ -62,7 +46,9 @@ def top_k_per_group(df: DataFrame, group_cols: Sequence[str], order: Sequence[Co
     The ``row_number() <= k`` filter is planned as a WindowGroupLimit: a
     partial limit runs before the shuffle, so each group receives at most
     k rows per map task however skewed the group sizes are."""
-    w = Window.partitionBy(*group_cols).orderBy(*order) if group_cols else Window.orderBy(*order)
+    if not group_cols:
+        return top_k(df, order, k, rank_name)
+    w = Window.partitionBy(*group_cols).orderBy(*order)
     return (df.withColumn(rank_name, F.row_number().over(w))
             .filter(F.col(rank_name) <= k))
 

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col, linear
+from keelson.functions.expr import col, complete, linear
 from keelson.operators import gram as G
 
 
@@ -29,7 +29,7 @@ def cost_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[float
     d = h - col(y)
     reg = float(sum(t * t for t in theta[1:]))
     m = F.count(F.lit(1))
-    return df.agg(((F.sum(d * d) + F.lit(lam * reg)) / (F.lit(2.0) * m)).alias(name))
+    return complete(df, [*cols, y]).agg(((F.sum(d * d) + F.lit(lam * reg)) / (F.lit(2.0) * m)).alias(name))
 
 
 def gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[float],
@@ -44,7 +44,7 @@ def gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[f
     for j, x in enumerate(xs):
         reg = 0.0 if j == 0 else lam * theta[j]
         aggs.append(((F.sum(d * x) + F.lit(reg)) / m).alias(f"g{j}"))
-    wide = df.agg(*aggs)
+    wide = complete(df, [*cols, y]).agg(*aggs)
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(j).alias("idx"), F.col(f"g{j}").alias("grad")) for j in range(len(xs))])))
 
@@ -82,10 +82,12 @@ def gradient_descent(Gm: np.ndarray, alpha: float, iters: int, lam: float = 0.0,
 
 
 def accuracy_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[float]) -> DataFrame:
-    """Mean squared error and mean(1 - |h - y| / y) * 100."""
+    """Mean squared error and mean(1 - |h - y| / y) * 100 over the complete
+    rows; a row with y = 0 has no relative error and counts in the first only."""
     h = hypothesis(cols, theta)
-    return df.agg(F.avg((h - col(y)) * (h - col(y))).alias("mse"),
-                  (F.avg(F.lit(1.0) - F.abs(h - col(y)) / col(y)) * F.lit(100.0)).alias("accuracy_pct"))
+    share = F.lit(1.0) - F.try_divide(F.abs(h - col(y)), col(y))
+    return complete(df, [*cols, y]).agg(F.avg((h - col(y)) * (h - col(y))).alias("mse"),
+                                        (F.avg(share) * F.lit(100.0)).alias("accuracy_pct"))
 
 
 def cost_surface(spark: SparkSession, Gm: np.ndarray, t0_range, t1_range, n: int) -> DataFrame:
@@ -108,4 +110,4 @@ def r2_frame(df: DataFrame, pred: Column, y: str) -> DataFrame:
     yy = col(y)
     sse = F.sum((yy - pred) * (yy - pred))
     sst = F.var_pop(yy) * F.count(F.lit(1))
-    return df.agg((F.lit(1.0) - sse / sst).alias("r2"))
+    return df.filter(pred.isNotNull() & yy.isNotNull()).agg((F.lit(1.0) - F.try_divide(sse, sst)).alias("r2"))

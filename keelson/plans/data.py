@@ -35,7 +35,7 @@ LI_SQL = ("SELECT l_orderkey, l_linenumber, l_quantity / 10.0 AS x1, l_discount
 def ev_design(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
     return ev.select("event_id", "user_id", "event_type", "value", "ts",
-                     F.get_json_object("props", "$.k").cast("double").alias("k"),
+                     F.get_json_object("props", "$.k").try_cast("double").alias("k"),
                      (F.col("event_type") == "error").cast("int").alias("is_error"))
 
 

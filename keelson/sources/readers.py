@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,10 +40,11 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_item_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """S4: 'id title..' lines -> (item_id, title): first token is the id,
-    the rest (trimmed) is the title."""
+    the rest (trimmed) is the title.  An id that is no number and a missing
+    title are null."""
     parts = F.split(F.trim(F.col(value)), " ", 2)
-    return lines.select(parts[0].cast("bigint").alias("item_id"),
-                        F.trim(parts[1]).alias("title"))
+    return lines.select(F.get(parts, 0).try_cast("bigint").alias("item_id"),
+                        F.trim(F.get(parts, 1)).alias("title"))
 
 
 def read_item_names(spark: SparkSession, path: str) -> DataFrame:
@@ -62,18 +63,20 @@ def read_labelled_tree(spark: SparkSession, root: str, limit_per_class: int | No
 
     The label is the category's index in sorted order; ``limit_per_class``
     keeps exactly that many files per category (first by name)."""
+    from keelson.operators.features import classes_table
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(root))
-    files = files.select(
-        "path", "content",
-        F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("category"),
-        F.regexp_extract("path", r"/([^/]+)$", 1).alias("name"))
-    cats = files.select("category").distinct().withColumn(
-        "label", (F.dense_rank().over(Window.orderBy("category")) - 1).cast("int"))
-    out = files.join(F.broadcast(cats), "category")
-    if limit_per_class is not None:
-        out = limit_per_group(out, ["category"], [F.col("name"), F.col("path")], limit_per_class)
-    return out
+    category = F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("category")
+    name = F.regexp_extract("path", r"/([^/]+)$", 1).alias("name")
+    paths = files.select("path", category, name)
+    cats = classes_table(paths, "category").select(
+        F.col("class").alias("category"), F.col("class_index").alias("label"))
+    if limit_per_class is None:
+        out = files.select("path", "content", category, name).join(cats, "category")
+    else:  # only paths are ranked; the files' bytes come in at the end
+        kept = limit_per_group(paths, ["category"], [F.col("name"), F.col("path")], limit_per_class)
+        out = files.select("path", "content").join(kept.join(cats, "category"), "path")
+    return out.select("category", "path", "content", "name", "label")
 
 
 def limit_per_group(df: DataFrame, group_cols: Sequence[str], order, limit: int) -> DataFrame:

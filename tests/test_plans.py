@@ -29,14 +29,26 @@ def test_global_row_index_has_no_single_partition_window(spark):
     assert "SinglePartition" not in _plan(out)
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    big = spark.range(100)
-    out = IX.broadcast_if_small(big, max_rows=50)
-    assert "broadcast" not in out._jdf.queryExecution().analyzed().toString().lower()
-    out2 = IX.broadcast_if_small(small, max_rows=50)
-    assert "broadcast" in out2._jdf.queryExecution().analyzed().toString().lower()
+def test_hot_user_is_salted(spark):
+    """With broadcasting off, the gradient by user combines per task before a
+    shuffle of its own instead of reusing the join's partitioning."""
+    from keelson.operators import recommend as RC
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = spark.createDataFrame([(1, i, 1.0) for i in range(20)] + [(2, 1, 2.0)], "user long, item long, rating double")
+        X = r.select("item").distinct().withColumn("x0", F.lit(0.5))
+        T = r.select("user").distinct().withColumn("t0", F.lit(0.5))
+        j = RC.salted_join(r, T, "user", "item").groupBy("user").agg(F.sum("t0").alias("s"))
+        plan = _plan(j)
+        assert "user#" in plan and "_salt" in plan
+        top = plan[:plan.index("SortMergeJoin")]
+        assert "partial_sum" in top or plan.count("Exchange") >= 3
+        assert {x.user: x.s for x in j.collect()} == {1: 10.0, 2: 0.5}
+        g = {(x.kind, x.id): x.grad for x in RC.gradient(r, X, T, 1, 0.0).collect()}
+        assert abs(g[("Theta", 1)] - 20 * (0.25 - 1.0) * 0.5) < 1e-12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 @pytest.mark.skipif(not os.path.isdir(SF0001), reason="test tables absent")
