@@ -1,11 +1,9 @@
-"""k-means (K1-K7) over an ``array<double>`` feature column.
+"""k-means (K1-K7) over an array feature column.
 
-Assignment is a narrow projection: the K centroids (a K x n model) are
-inlined as literals and the argmin over K unrolled squared distances runs
-in generated code.  The update is one grouped aggregate with n averages per
-cluster (map-side partial aggregation, K groups).  Each iteration costs one
-scan; lineage is cut with reliable checkpoints of the *centroid table*
-only (the data itself is re-read, never re-derived)."""
+Assignment is numpy over Arrow batches for any number of centroids (the model
+travels with the function).  A round emits per-partition sums per cluster,
+added by key, so only K x (n + 2) numbers reach the driver.  The data is
+persisted for the rounds (memory, then disk) and read again if lost."""
 
 from __future__ import annotations
 
@@ -13,81 +11,61 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import array_sqdist, col
-
-MAX_K = 1024
-MAX_CENTROID_VALUES = 1_000_000
-
-
-def _check_model(centroids: np.ndarray) -> None:
-    if centroids.shape[0] > MAX_K or centroids.size > MAX_CENTROID_VALUES:
-        raise ValueError("centroid model too large to inline")
-
+from keelson.functions.expr import col, complete_vector
 
 def init_first_by_key(df: DataFrame, features: str, key: str, k: int) -> np.ndarray:
     """K1 (deterministic): the K rows with the smallest key (a global top-K
     plan: per-partition top-K, then a K-row merge)."""
-    rows = df.orderBy(key).select(features).limit(k).collect()
+    rows = df.filter(complete_vector(features)).orderBy(key).select(features).limit(k).collect()
     return np.array([list(r[0]) for r in rows], dtype=float)
 
 
 def init_random(df: DataFrame, features: str, k: int, seed: int = 7) -> np.ndarray:
-    """K1: K random distinct rows."""
-    rows = df.select(features).distinct().orderBy(F.rand(seed)).limit(k).collect()
-    return np.array([list(r[0]) for r in rows], dtype=float)
-
-
-def distances(features: str, centroids: np.ndarray) -> list[Column]:
-    _check_model(centroids)
-    return [array_sqdist(features, c) for c in centroids]
-
-
-# Above this many K * n terms the assignment runs as numpy over Arrow
-# batches instead of one generated expression (compile time and the JVM
-# method-size limit grow with the expression).
-EXPR_MAX_TERMS = 256
+    """K1: K random distinct rows: a random top-k (twice as many rows at each
+    try) of which repeats are dropped, so that the data isn't shuffled."""
+    take, ok = 2 * k, df.filter(complete_vector(features)).select(features)
+    while True:
+        rows = [tuple(r[0]) for r in ok.orderBy(F.rand(seed)).limit(take).collect()]
+        distinct = list(dict.fromkeys(rows))
+        if len(distinct) >= k or len(rows) < take:
+            return np.array(distinct[:k], dtype=float)
+        take *= 2
+
+
+def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index, squared distance) of the nearest centre; the first on ties."""
+    D = np.empty((X.shape[0], C.shape[0]))
+    for j in range(C.shape[0]):
+        diff = X - C[j]
+        D[:, j] = np.einsum("ij,ij->i", diff, diff)
+    k = np.argmin(D, axis=1)
+    return k, D[np.arange(len(k)), k]
 
 
 def assign(df: DataFrame, features: str, centroids: np.ndarray, k_col: str = "k",
            d_col: str = "d2") -> DataFrame:
-    """K2: nearest centroid (lowest index on ties) and its squared distance."""
-    centroids = np.asarray(centroids, dtype=float)
-    _check_model(centroids)
-    if centroids.size > EXPR_MAX_TERMS:
-        return _assign_arrow(df, features, centroids, k_col, d_col)
-    ds = F.array(*distances(features, centroids))
-    out = df.withColumn("_dists", ds)
-    return (out.withColumn(d_col, F.array_min("_dists"))
-            .withColumn(k_col, (F.array_position("_dists", F.col(d_col)) - 1).cast("int"))
-            .drop("_dists"))
-
-
-def _assign_arrow(df: DataFrame, features: str, C: np.ndarray, k_col: str,
-                  d_col: str) -> DataFrame:
-    """Same result as the expression path: per batch, squared distances to
-    each centroid (sum of squared differences), first minimum wins."""
-    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-    schema = StructType(df.schema.fields + [StructField(k_col, IntegerType()),
-                                            StructField(d_col, DoubleType())])
-
-    def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf[features].to_numpy()).astype(float)
-            D = np.empty((X.shape[0], C.shape[0]))
-            for j in range(C.shape[0]):
-                diff = X - C[j]
-                D[:, j] = np.einsum("ij,ij->i", diff, diff)
-            k = np.argmin(D, axis=1)
-            pdf[k_col] = k.astype("int32")
-            pdf[d_col] = D[np.arange(len(k)), k]
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    """K2: nearest centroid (lowest index on ties) and its squared distance,
+    for any number of centroids (numpy over Arrow batches).  A row whose vector
+    is null or holds a null or NaN gets null for both."""
+    C = np.asarray(centroids, dtype=float)
+
+    @F.pandas_udf(f"{k_col} int, {d_col} double")
+    def run(vectors: pd.Series) -> pd.DataFrame:
+        out = pd.DataFrame({k_col: pd.Series([None] * len(vectors), dtype="Int32"), d_col: np.nan})
+        ok = vectors.notna().to_numpy()
+        if ok.any():
+            k, d = nearest(np.stack(vectors[ok].to_numpy()).astype(float), C)
+            out.loc[ok, k_col], out.loc[ok, d_col] = k, d
+        return out
+
+    whole = F.when(complete_vector(features), F.col(features).cast("array<double>"))
+    out = df.withColumn("_a", run(whole))
+    return out.withColumns({k_col: F.col(f"_a.{k_col}"),
+                            d_col: F.when(F.col(f"_a.{k_col}").isNotNull(), F.col(f"_a.{d_col}"))}).drop("_a")
 
 
 def update(assigned: DataFrame, features: str, dims: int, old: np.ndarray,
@@ -97,14 +75,14 @@ def update(assigned: DataFrame, features: str, dims: int, old: np.ndarray,
     x = col(features)
     aggs = [F.avg(x[i]).alias(f"m{i}") for i in range(dims)]
     new = old.copy()
-    for r in assigned.groupBy(k_col).agg(*aggs).collect():
+    for r in assigned.filter(F.col(k_col).isNotNull()).groupBy(k_col).agg(*aggs).collect():
         new[int(r[k_col])] = [r[f"m{i}"] for i in range(dims)]
     return new
 
 
 def cohesion(assigned: DataFrame, k_col: str = "k", d_col: str = "d2") -> DataFrame:
     """K4: per-cluster mean squared distance to the own centroid."""
-    return assigned.groupBy(k_col).agg(F.count(F.lit(1)).alias("n"),
+    return assigned.filter(F.col(k_col).isNotNull()).groupBy(k_col).agg(F.count(F.lit(1)).alias("n"),
                                        F.avg(d_col).alias("cohesion"))
 
 
@@ -113,32 +91,44 @@ class KMeansResult:
     centroids: np.ndarray
     history: list = field(default_factory=list)  # (iter, overall cohesion)
     iterations: int = 0
+    path: list = field(default_factory=list)     # the centroids of each round
 
 
 def fit(df: DataFrame, features: str, dims: int, init: np.ndarray, max_iters: int = 10,
         tol: float | None = 0.001) -> KMeansResult:
-    """K5: assign -> cohesion -> update, until the overall cohesion (the
-    unweighted mean of the cluster cohesions) changes by less than tol, or
-    max_iters updates.  Every iteration is one aggregate job that returns
-    both the cohesion per cluster and the new centre sums."""
+    """K5: rounds of assign -> cohesion -> update; the last round assigns
+    without an update, so labels (:func:`assign` with the result) and the
+    history's last cohesion belong to the returned centroids.  Rounds end when
+    the overall cohesion (the unweighted mean of the cluster cohesions) changes
+    by less than tol, or after ``max_iters``.  Every round is one job that
+    returns the cohesion and the new centre sums.  Rows without a complete
+    vector take no part."""
     from pyspark import StorageLevel
     cents = np.asarray(init, dtype=float)
-    hist, prev = [], None
-    x = col(features)
-    it = 0
-    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(features).filter(complete_vector(features)).persist(StorageLevel.MEMORY_AND_DISK)
+    hist, prev, path = [], None, [cents]
     try:
-        hist, cents, it = _iterate(data, features, dims, cents, max_iters, tol, x)
+        for it in range(1, max_iters + 1):
+            tot = _step(data, features, cents)
+            live = tot[:, 0] > 0
+            overall = float(np.mean(tot[live, 1] / tot[live, 0])) if live.any() else 0.0
+            hist.append((it, overall))
+            if it == max_iters or (tol is not None and prev is not None and abs(prev - overall) < tol):
+                break
+            new = cents.copy()
+            new[live] = tot[live, 2:] / tot[live, 0][:, None]
+            cents, prev = new, overall
+            path.append(cents)
     finally:
         data.unpersist()
-    return KMeansResult(cents, hist, it)
+    return KMeansResult(cents, hist, len(hist), path)
 
 
-def _step_arrow(df: DataFrame, features: str, C: np.ndarray):
-    """One assign + update pass for wide models: every partition emits its
-    per-cluster partial sums keyed by (k, j) (j = -2 count, -1 distance sum,
-    0..n-1 coordinate sums); the partials are summed by key, so only
-    K x (n + 2) numbers reach the driver."""
+def _step(df: DataFrame, features: str, C: np.ndarray) -> np.ndarray:
+    """One assign pass: every partition emits its per-cluster partial sums
+    keyed by (k, j) (j = -2 count, -1 distance sum, 0..n-1 coordinate sums);
+    the partials are summed by key, so only K x (n + 2) numbers reach the
+    driver."""
     K, n = C.shape
 
     def run(batches):
@@ -148,14 +138,10 @@ def _step_arrow(df: DataFrame, features: str, C: np.ndarray):
             if len(pdf) == 0:
                 continue
             X = np.stack(pdf[features].to_numpy()).astype(float)
-            D = np.empty((X.shape[0], K))
-            for j in range(K):
-                diff = X - C[j]
-                D[:, j] = np.einsum("ij,ij->i", diff, diff)
-            k = np.argmin(D, axis=1)
+            k, d = nearest(X, C)
             np.add.at(sums, k, X)
             cnt += np.bincount(k, minlength=K)
-            dsum += np.bincount(k, weights=D[np.arange(len(k)), k], minlength=K)
+            dsum += np.bincount(k, weights=d, minlength=K)
             seen = True
         if seen:
             vals = np.hstack([cnt[:, None], dsum[:, None], sums])
@@ -171,42 +157,16 @@ def _step_arrow(df: DataFrame, features: str, C: np.ndarray):
     return tot
 
 
-def _iterate(df, features, dims, cents, max_iters, tol, x):
-    hist, prev, it = [], None, 0
-    for it in range(1, max_iters + 1):
-        if cents.size > EXPR_MAX_TERMS:
-            tot = _step_arrow(df, features, cents)
-            live = tot[:, 0] > 0
-            overall = float(np.mean(tot[live, 1] / tot[live, 0]))
-            hist.append((it, overall))
-            new = cents.copy()
-            new[live] = tot[live, 2:] / tot[live, 0][:, None]
-            cents = new
-            if tol is not None and prev is not None and abs(prev - overall) < tol:
-                break
-            prev = overall
-            continue
-        a = assign(df, features, cents)
-        aggs = [F.count(F.lit(1)).alias("n"), F.avg("d2").alias("coh")]
-        aggs += [F.avg(x[i]).alias(f"m{i}") for i in range(dims)]
-        rows = a.groupBy("k").agg(*aggs).collect()
-        overall = float(np.mean([r["coh"] for r in rows]))
-        hist.append((it, overall))
-        new = cents.copy()
-        for r in rows:
-            new[int(r["k"])] = [r[f"m{i}"] for i in range(dims)]
-        cents = new
-        if tol is not None and prev is not None and abs(prev - overall) < tol:
-            break
-        prev = overall
-    return hist, cents, it
+def quantise(df: DataFrame, features: str, centroids: np.ndarray, out: str = "quantised") -> DataFrame:
+    """K6: replace each row by its centroid (plus k and distortion d2); null
+    where the row has no complete vector."""
+    C = np.asarray(centroids, dtype=float)
 
+    @F.pandas_udf("array<double>")
+    def look_up(k: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(i) else C[int(i)] for i in k])
 
-def quantise(df: DataFrame, features: str, centroids: np.ndarray, out: str = "quantised") -> DataFrame:
-    """K6: replace each row by its centroid (plus k and distortion d2)."""
-    a = assign(df, features, centroids)
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centroids])
-    return a.withColumn(out, F.element_at(table, F.col("k") + 1))
+    return assign(df, features, centroids).withColumn(out, look_up("k"))
 
 
 def members(assigned: DataFrame, k: int, k_col: str = "k") -> DataFrame:

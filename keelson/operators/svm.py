@@ -12,13 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import array_dot, array_sqdist, rbf
-
-MAX_LANDMARKS = 4096
-
+from keelson.functions.expr import array_dot, array_sqdist, complete, complete_vector, rbf
 
 def linear_score(features: str, w: Sequence[float], b: float) -> Column:
     """V3 (linear): x . w + b."""
@@ -27,41 +25,40 @@ def linear_score(features: str, w: Sequence[float], b: float) -> Column:
 
 def similarities(features: str, landmarks: np.ndarray, sigma: float) -> list[Column]:
     """Gaussian similarity of each row to every landmark."""
-    if landmarks.shape[0] > MAX_LANDMARKS:
-        raise ValueError("too many landmarks to inline")
     return [rbf(array_sqdist(features, c), sigma) for c in landmarks]
 
 
-# Above this many L * n terms similarities are computed with numpy over
-# Arrow batches rather than as one generated expression.
-EXPR_MAX_TERMS = 256
-
-
 def similarity_features(df: DataFrame, features: str, landmarks: np.ndarray, sigma: float,
                         out: str = "sims") -> DataFrame:
-    """V4 as an array column ``out`` (one entry per landmark)."""
+    """V4 as an array column ``out`` (one entry per landmark, any number of
+    landmarks, numpy over Arrow batches); null for a row without a complete
+    vector."""
     L = np.asarray(landmarks, dtype=float)
-    if L.shape[0] > MAX_LANDMARKS:
-        raise ValueError("too many landmarks to inline")
-    if L.size <= EXPR_MAX_TERMS:
-        return df.withColumn(out, F.array(*similarities(features, L, sigma)))
-    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
-    schema = StructType(df.schema.fields + [StructField(out, ArrayType(DoubleType()))])
     two_s2 = 2.0 * sigma * sigma
 
-    def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf[features].to_numpy()).astype(float)
+    @F.pandas_udf("array<double>")
+    def run(vectors: pd.Series) -> pd.Series:
+        sims = pd.Series([None] * len(vectors), dtype=object)
+        ok = vectors.notna().to_numpy()
+        if ok.any():
+            X = np.stack(vectors[ok].to_numpy()).astype(float)
             S = np.empty((X.shape[0], L.shape[0]))
             for j in range(L.shape[0]):
                 d = X - L[j]
                 S[:, j] = np.exp(-np.einsum("ij,ij->i", d, d) / two_s2)
-            pdf[out] = list(S)
-            yield pdf
+            for i, row in zip(np.flatnonzero(ok), S):
+                sims.iat[i] = row
+        return sims
+
+    return df.withColumn(out, run(F.when(complete_vector(features), F.col(features).cast("array<double>"))))
 
-    return df.mapInPandas(run, schema)
+
+def row_landmarks(df: DataFrame, features: str, key: str, n: int = 64, seed: int = 17) -> np.ndarray:
+    """``n`` landmarks: the vectors of a seeded sample of rows (a top-n by a
+    hash of the key)."""
+    rows = (df.filter(complete_vector(features)).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+            .select(features).limit(n).collect())
+    return np.array([list(r[0]) for r in rows], dtype=float)
 
 
 def rbf_score(features: str, landmarks: np.ndarray, coef: Sequence[float], b: float,
@@ -96,11 +93,19 @@ def fit_linear(df: DataFrame, features: Sequence[Column] | str, label: str, C: f
         vec = array_to_vector(F.col(features))
     else:
         vec = array_to_vector(F.array(*features))
-    data = df.select(vec.alias("features"), F.col(label).cast("double").alias("label"))
-    m = data.count()
-    svc = LinearSVC(regParam=1.0 / (C * m), standardization=False, maxIter=max_iter,
-                    fitIntercept=True, tol=tol)
-    model = svc.fit(data)
+    if isinstance(features, str):
+        df = df.filter(complete_vector(features))
+    else:
+        df = complete(df, features)
+    data = df.filter(F.col(label).isNotNull()).select(
+        vec.alias("features"), F.col(label).cast("double").alias("label")).persist()
+    try:
+        m = data.count()
+        svc = LinearSVC(regParam=1.0 / (C * m), standardization=False, maxIter=max_iter,
+                        fitIntercept=True, tol=tol)
+        model = svc.fit(data)
+    finally:
+        data.unpersist()
     return np.array(model.coefficients.toArray()), float(model.intercept)
 
 

@@ -86,20 +86,21 @@ def kmeans_cohesion(spark, sf):
 
 
 @query("kmeans_fit", sql=f"""
-{_km_sql(K, 3)}
-SELECT k, pos, {rs('v', 8)} AS value FROM c3""")
+{_km_sql(K, 2)}
+SELECT k, pos, {rs('v', 8)} AS value FROM c2""")
 def kmeans_fit(spark, sf):
-    """K5: three assign/update iterations from the fixed initialisation."""
+    """K5: three rounds from the fixed initialisation; the last assigns without
+    an update, so two updates are made."""
     x, c0 = _init(spark, sf, K)
     res = KM.fit(x, "x", EMB_DIMS, c0, max_iters=3, tol=None)
     return KM.centroid_table(spark, res.centroids).select("k", "pos", r("value", 8).alias("value"))
 
 
 @query("kmeans_quantise", sql=f"""
-{_km_sql(QK, 2)}, {_assign_sql('q', 'c2')}
+{_km_sql(QK, 1)}, {_assign_sql('q', 'c1')}
 SELECT vec_id, k, {rs('d2', 8)} AS d2 FROM q""")
 def kmeans_quantise(spark, sf):
-    """K6: fit 16 centroids (2 iterations) and replace every vector by its
+    """K6: fit 16 centroids (2 rounds, one update) and replace every vector by its
     centroid; reports the centroid id and the distortion."""
     x, c0 = _init(spark, sf, QK)
     res = KM.fit(x, "x", EMB_DIMS, c0, max_iters=2, tol=None)
@@ -107,6 +108,17 @@ def kmeans_quantise(spark, sf):
     return q.select("vec_id", "k", r("d2", 8).alias("d2"))
 
 
+@query("kmeans_members", sql=f"""
+{_km_sql(K, 2)}, {_assign_sql('q', 'c2')}
+SELECT vec_id, {rs('d2', 8)} AS d2 FROM q WHERE k = 0""")
+def kmeans_members(spark, sf):
+    """K7: the members of cluster 0 of the fitted model (labels match the
+    centroids that kmeans_fit returns)."""
+    x, c0 = _init(spark, sf, K)
+    res = KM.fit(x, "x", EMB_DIMS, c0, max_iters=3, tol=None)
+    return KM.members(KM.assign(x, "x", res.centroids), 0).select("vec_id", r("d2", 8).alias("d2"))
+
+
 # ---------------------------------------------------------------- PCA
 def _emb_normaliser(x):
     xc = F.col("x")

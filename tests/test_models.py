@@ -90,11 +90,22 @@ def test_kmeans_brute_force(spark):
         k = d.argmin(1)
         c = np.array([pts[k == j].mean(0) if np.any(k == j) else c[j] for j in range(3)])
     assert res.centroids == pytest.approx(c, abs=1e-9)
-    # the numpy (Arrow) assignment path agrees with the expression path
-    wide = np.repeat(init, 100, axis=0)[:300]
-    a1 = {r["id"]: r["k"] for r in KM.assign(df, "x", init).collect()}
-    a2 = {r["id"]: r["k"] for r in KM._assign_arrow(df, "x", init, "k", "d2").collect()}
-    assert a1 == a2 and wide.shape[0] == 300
+    # labels belong to the returned centroids, and so does the last cohesion
+    got = {r["id"]: (r["k"], r["d2"]) for r in KM.assign(df, "x", res.centroids).collect()}
+    d = ((pts[:, None, :] - res.centroids[None, :, :]) ** 2).sum(-1)
+    assert [got[i][0] for i in range(len(pts))] == d.argmin(1).tolist()
+    own = [d[d.argmin(1) == j, j].mean() for j in range(3)]
+    assert res.history[-1][1] == pytest.approx(np.mean(own))
+    # rows without a complete vector take no part and have no cluster
+    holes = df.unionByName(spark.createDataFrame([(900, None), (901, [1.0, None]), (902, [float("nan"), 0.0])],
+                                                 "id long, x array<double>"))
+    again = KM.fit(holes, "x", 2, init, max_iters=5, tol=None)
+    assert again.centroids == pytest.approx(res.centroids, abs=1e-9)
+    assert {r["k"] for r in KM.assign(holes, "x", init).filter("id >= 900").collect()} == {None}
+    # hundreds of centroids run the same way
+    wide = np.random.default_rng(1).normal(size=(300, 2))
+    d = ((pts[:, None, :] - wide[None, :, :]) ** 2).sum(-1)
+    assert [r["k"] for r in KM.assign(df, "x", wide).orderBy("id").collect()] == d.argmin(1).tolist()
 
 
 def test_pca_exercise_like_values(spark):
