@@ -14,9 +14,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col
+from keelson.functions.expr import col, complete
 from keelson.operators import gram as G
 from keelson.operators.features import permutation_key
+from keelson.session import cut_lineage
 
 
 def accuracy(df: DataFrame, pred: str, truth: str) -> DataFrame:
@@ -102,6 +103,20 @@ def kfold_ridge(df: DataFrame, cols: Sequence[str], y: str, fold: Column, k: int
     return out
 
 
+def kfold_predict(df: DataFrame, cols: Sequence[str], y: str, fold: Column, k: int, keep: Sequence[str],
+                  lam: float = 0.0) -> DataFrame:
+    """E6, rows: the out-of-fold prediction of every complete row, from the
+    model trained on the other folds: (keep.., fold, y, pred)."""
+    from keelson.functions.expr import linear
+    rows = complete(df, [*cols, y]).withColumn("fold", fold)
+    thetas = {f["fold"]: f["theta"] for f in kfold_ridge(rows, cols, y, F.col("fold"), k, lam)}
+    pred = None
+    for f, th in thetas.items():
+        h = linear(cols, th[1:], intercept=th[0])
+        pred = F.when(F.col("fold") == f, h) if pred is None else pred.when(F.col("fold") == f, h)
+    return rows.select(*keep, "fold", col(y).alias("y"), (F.lit(None).cast("double") if pred is None else pred).alias("pred"))
+
+
 def cv_score(folds: list[dict]) -> float:
     """Weighted mean of the fold errors (weights = fold sizes)."""
     n = sum(f["n"] for f in folds)
@@ -118,36 +133,36 @@ def kfold_frequency_models(df: DataFrame, feature: str, label: str, fold: Column
     """Per-fold class-frequency models P_f(class | feature value), Laplace
     smoothed, each trained without its fold, averaged over the folds (E7).
 
-    One grouped count (fold x value x class, partial aggregation); every
-    other table has at most k x |values| x |classes| rows.  Returns
-    (feature, class, p)."""
-    from keelson.operators.features import distinct_classes
-    from keelson.operators.indexing import broadcast_if_small
-    classes = list(classes) if classes is not None else distinct_classes(df, label)
+    One grouped count (fold x value x class, partial aggregation) is written
+    once; everything else comes from that small table.  Returns (feature,
+    class, p)."""
+    cnt = cut_lineage(df.groupBy(fold.alias("fold"), col(feature).alias(feature), col(label).alias("class"))
+                      .agg(F.count(F.lit(1)).alias("n")))
+    if classes is None:
+        classes = sorted(r[0] for r in cnt.select("class").filter("class IS NOT NULL").distinct().collect())
     K = len(classes)
-    cnt = df.groupBy(fold.alias("fold"), col(feature).alias(feature),
-                     col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    grid = (cnt.select(feature).distinct()
-            .select(feature, F.explode(F.array(*[F.lit(f) for f in range(k)])).alias("fold"))
-            .select(feature, "fold", F.explode(F.array(*[F.lit(c) for c in classes])).alias("class")))
-    nhc = cnt.groupBy(feature, "class").agg(F.sum("n").alias("nhc"))
-    nh = cnt.groupBy(feature).agg(F.sum("n").alias("nh"))
-    nfh = cnt.groupBy("fold", feature).agg(F.sum("n").alias("nfh"))
-    pf = (grid.join(broadcast_if_small(cnt), ["fold", feature, "class"], "left")
-          .join(broadcast_if_small(nhc), [feature, "class"], "left")
-          .join(broadcast_if_small(nh), feature)
-          .join(broadcast_if_small(nfh), ["fold", feature], "left"))
-    p = ((F.coalesce(F.col("nhc"), F.lit(0)) - F.coalesce(F.col("n"), F.lit(0)) + F.lit(1.0))
-         / (F.col("nh") - F.coalesce(F.col("nfh"), F.lit(0)) + F.lit(K)))
-    return fold_mean(pf.withColumn("p", p), [feature, "class"], "p")
-
-
-def fold_frequency_predict(df: DataFrame, id_col: str, feature: str, models: DataFrame) -> DataFrame:
-    """(id, class, p) for every row and class from the averaged models
-    (the model table is keyed by feature value and bounded in size)."""
-    from keelson.operators.indexing import broadcast_if_small
-    return df.select(id_col, feature).join(broadcast_if_small(models), feature) \
-             .select(id_col, "class", "p")
+    # per value: the counts of every class, in all and without each fold
+    per = cnt.groupBy(feature).agg(F.sum("n").alias("nh"), F.collect_list(F.struct("fold", "class", "n")).alias("c"))
+    total = lambda cond: F.aggregate(F.filter("c", cond), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    per = per.withColumn("class", F.explode(F.array(*[F.lit(c) for c in classes])))
+    per = per.withColumn("nhc", total(lambda x: x["class"] == F.col("class")))
+
+    def without(f: int) -> Column:
+        held = total(lambda x: (x["class"] == F.col("class")) & (x["fold"] == f))
+        return (F.col("nhc") - held + F.lit(1.0)) / (F.col("nh") - total(lambda x: x["fold"] == f) + F.lit(K))
+
+    p = [without(f) for f in range(k)]
+    mean = p[0]
+    for x in p[1:]:
+        mean = mean + x
+    return per.select(feature, "class", (mean / F.lit(float(k))).alias("p"))
+
+
+def fold_frequency_predict(df: DataFrame, id_col: str, feature: str, models: DataFrame,
+                           keep: Sequence[str] = ()) -> DataFrame:
+    """(id, class, p, keep..) for every row and class from the averaged models."""
+    models = cut_lineage(models)
+    return df.select(id_col, feature, *keep).join(models, feature).select(id_col, "class", "p", *keep)
 
 
 def lambda_grid(df: DataFrame, cols: Sequence[str], y: str, fold: Column, k: int,
@@ -172,30 +187,41 @@ def learning_curve(train: DataFrame, val: DataFrame, cols: Sequence[str], y: str
     """For each size i, fit on the first i training rows (in ``order``)
     and report training and validation error (errors without the penalty).
 
-    Rows are numbered with a distributed global index; each row falls into
-    the first size bucket that contains it, the Gram of every bucket comes
-    from one grouped aggregate, and prefix Grams are running sums."""
+    The last point is always all training rows; larger sizes are left out.
+    Only the order key, X and y are sorted; each row falls into the first size
+    bucket that contains it, the Gram of every bucket comes from one grouped
+    aggregate, and prefix Grams are running sums."""
     from keelson.operators.indexing import global_row_index
-    sizes = sorted(set(int(s) for s in sizes))
-    idx = global_row_index(train, order, name="_rn")
-    bucket = None
-    for s in reversed(sizes):
-        bucket = F.when(F.col("_rn") <= s, F.lit(s)) if bucket is None else \
-            F.when(F.col("_rn") <= s, F.lit(s)).otherwise(bucket)
-    grams = G.grouped_grams(idx.withColumn("_b", bucket).filter(F.col("_b").isNotNull()),
-                            cols, y, "_b")
+    slim = complete(train, [*cols, y]).select(*order, *[col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)],
+                                              col(y).cast("double").alias("_cy"))
+    idx = global_row_index(slim, order, name="_rn")
+    m = int(idx.agg(F.max("_rn")).first()[0] or 0)
+    sizes = sorted({int(s) for s in sizes if s < m} | ({m} if m else set()))
+    if not sizes:
+        return []
+    bucket = F.lit(sizes[-1])
+    for s in reversed(sizes[:-1]):
+        bucket = F.when(F.col("_rn") <= s, F.lit(s)).otherwise(bucket)
+    names = [f"_c{i}" for i in range(len(cols))]
+    grams = G.grouped_grams(idx.withColumn("_b", bucket), names, "_cy", "_b")
     Gv = G.gram(val, cols, y)
     out, acc = [], None
     for s in sizes:
-        if s in grams:
-            acc = grams[s] if acc is None else acc + grams[s]
-        if acc is None or acc[0, 0] < s:
-            break
+        acc = grams[s] if acc is None else acc + grams[s]
         theta = G.solve(acc, lam)
         out.append((s, G.cost(acc, theta, 0.0), G.cost(Gv, theta, 0.0)))
     return out
 
 
+def doubling_sizes(start: int = 10, stop: int = 2 ** 62) -> list[int]:
+    """1-2-5 sizes from ``start`` on, far beyond any table (see learning_curve)."""
+    out, ten = [], start
+    while ten <= stop:
+        out += [ten, 2 * ten, 5 * ten]
+        ten *= 10
+    return out
+
+
 def validation_curve(train: DataFrame, val: DataFrame, cols: Sequence[str], y: str,
                      lambdas: Sequence[float]) -> list[tuple[float, float, float]]:
     """Training / validation error for each lambda (two Gram scans)."""

@@ -70,6 +70,21 @@ def lambda_grid(spark, sf):
         .select("lambda", r("cv_mse").alias("cv_mse"))
 
 
+@query("kfold_rows", sql=f"""
+WITH d AS (SELECT l_orderkey, l_linenumber, x1, y, {_FOLD.format(key='l_orderkey', k=KF)} AS fold FROM ({LI_SQL})),
+s AS (SELECT fold, count(*) * 1.0 AS n, sum(x1) AS sx, sum(y) AS sy, sum(x1 * x1) AS sxx, sum(x1 * y) AS sxy FROM d GROUP BY fold),
+t AS (SELECT a.fold, sum(b.n) AS n, sum(b.sx) AS sx, sum(b.sy) AS sy, sum(b.sxx) AS sxx, sum(b.sxy) AS sxy
+      FROM s a JOIN s b ON b.fold <> a.fold GROUP BY a.fold),
+th AS (SELECT fold, (sxy - sx * sy / n) / (sxx - sx * sx / n) AS t1, sx, sy, n FROM t)
+SELECT l_orderkey, l_linenumber, CAST(d.fold AS INTEGER) AS fold, {rs('d.y')} AS y,
+       {rs('(th.sy - th.t1 * th.sx) / th.n + th.t1 * d.x1')} AS pred FROM d JOIN th ON th.fold = d.fold""")
+def kfold_rows(spark, sf):
+    """E6 (rows): the out-of-fold prediction of every line item."""
+    d = li_design(spark, sf)
+    out = EV.kfold_predict(d, ["x1"], "y", EV.fold_of("l_orderkey", KF), KF, keep=["l_orderkey", "l_linenumber"])
+    return out.select("l_orderkey", "l_linenumber", "fold", r("y").alias("y"), r("pred").alias("pred"))
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     """Polynomial degree x lambda grid, 5-fold cross-validated, from one
@@ -81,7 +96,7 @@ def grid_search(spark, sf):
 
 
 # ---------------------------------------------------------------- curves on events
-SIZES = [10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10000, 20000, 50000, 100000, 200000]
+SIZES = EV.doubling_sizes(10)
 VAL_LAMBDAS = [0.0, 1.0, 10.0, 100.0, 1000.0, 10000.0, 100000.0]
 _SPLIT = (f"CASE WHEN {_FOLD.format(key='event_id', k=5)} = 0 THEN 'val' ELSE 'train' END")
 _EVS = f"ev AS (SELECT event_id, k, value, {_SPLIT} AS split FROM ({EV_SQL}))"
@@ -106,23 +121,24 @@ def _ev_split(spark, sf):
 @query("learning_curve", sql=f"""
 WITH {_EVS},
 t AS (SELECT k, value, row_number() OVER (ORDER BY event_id) AS rn FROM ev WHERE split = 'train'),
-sz AS (SELECT * FROM (VALUES {', '.join(f'({s})' for s in SIZES)}) s(size)),
+sz AS (SELECT DISTINCT least(size, (SELECT count(*) FROM t)) AS size
+       FROM (VALUES {', '.join(f'({s})' for s in SIZES)}) s(size)),
 g AS (SELECT size, count(*) * 1.0 AS n, sum(k) AS sx, sum(value) AS sy, sum(k * k) AS sxx,
              sum(k * value) AS sxy, sum(value * value) AS syy
       FROM sz JOIN t ON t.rn <= sz.size GROUP BY size HAVING count(*) = size),
 th AS (SELECT size, (sxy - sx * sy / n) / (sxx - sx * sx / n) AS t1, sx, sy, n FROM g),
 th2 AS (SELECT size, t1, (sy - t1 * sx) / n AS t0 FROM th),
 v AS ({_sums("ev WHERE split = 'val'")})
-SELECT CAST(g.size AS INTEGER) AS size,
+SELECT CAST(g.size AS BIGINT) AS size,
        {rs(_jc('g'))} AS train_error, {rs(_jc('v'))} AS val_error
 FROM g JOIN th2 ON th2.size = g.size, v""")
 def learning_curve(spark, sf):
-    """Fit y ~ k on the first i training events (by id) for growing i;
+    """Fit y ~ k on the first i training events (by id) for growing i, up to all;
     training and validation error per size, from one bucketed Gram scan."""
     train, val = _ev_split(spark, sf)
     res = EV.learning_curve(train, val, ["k"], "value", ["event_id"], SIZES)
     return spark.createDataFrame([(int(s), float(a), float(b)) for s, a, b in res],
-                                 "size int, train_error double, val_error double") \
+                                 "size long, train_error double, val_error double") \
         .select("size", r("train_error").alias("train_error"), r("val_error").alias("val_error"))
 
 
@@ -166,7 +182,7 @@ def _probs(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "event_type", F.hour("ts").alias("h"))
     fold = EV.fold_of("event_id", KF)
     fm = EV.kfold_frequency_models(ev, "h", "event_type", fold, KF)
-    return ev, EV.fold_frequency_predict(ev, "event_id", "h", fm)
+    return EV.fold_frequency_predict(ev, "event_id", "h", fm, keep=["event_type"])
 
 
 @query("fold_mean", sql=f"WITH {_PROBS} SELECT event_id, class, {rs('p', 8)} AS p FROM pr")
@@ -174,7 +190,7 @@ def fold_mean(spark, sf):
     """Element-wise mean over the 5 fold models' class probabilities
     (each model: Laplace-smoothed class frequency given the hour, trained
     without its fold), attached to every event."""
-    _, probs = _probs(spark, sf)
+    probs = _probs(spark, sf)
     return probs.select("event_id", "class", r("p", 8).alias("p"))
 
 
@@ -184,7 +200,7 @@ SELECT event_id, {', '.join(f"{rs(f'max(CASE WHEN class = {chr(39)}{c}{chr(39)}
 FROM pr GROUP BY event_id""")
 def submission_pivot(spark, sf):
     """The prediction table (one column per class) as written to CSV."""
-    _, probs = _probs(spark, sf)
+    probs = _probs(spark, sf)
     wide = writers.submission_frame(probs, "event_id", "class", "p", CLASSES)
     return wide.select("event_id", *[r(c, 8).alias(c) for c in CLASSES])
 
@@ -196,8 +212,7 @@ z AS (SELECT event_id, sum(p) AS z, sum(CASE WHEN class = truth THEN p END) AS p
 SELECT {rs('avg(-ln(pt / z))', 10)} AS log_loss FROM z""")
 def log_loss(spark, sf):
     """Multi-class log loss of the fold-averaged probabilities."""
-    ev, probs = _probs(spark, sf)
-    j = probs.join(ev.select("event_id", F.col("event_type").alias("truth")), "event_id")
+    j = _probs(spark, sf).withColumnRenamed("event_type", "truth")
     return EV.log_loss(j, "event_id", "class", "p", "truth").select(r("log_loss", 10).alias("log_loss"))
 
 
