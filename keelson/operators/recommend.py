@@ -2,14 +2,13 @@
 (R1-R6, P13).
 
 The rating mask is row presence, so nothing is ever materialised for the
-(user x item) grid.  Cost and gradients join ratings with the factor
-tables (item factors broadcast only when their count is proven small;
-user factors shuffle with the ratings, AQE splitting hot users).  Training
-is alternating least squares with the exact, UNWEIGHTED penalty of the
-reference cost: each half-step aggregates the per-entity normal equations
-(F(F+1)/2 + F sums, map-side combined, so a user holding a third of all
-ratings is pre-aggregated before the shuffle) and solves all F x F
-systems in Arrow batches."""
+(user x item) grid.  Ratings meet a factor table on (id, salt), the factor
+rows repeated for each of SALTS salts, so a user or item with a third of all
+ratings is dealt to SALTS tasks; the following sums by id are combined per
+task before their shuffle.  Training is alternating least squares with the
+exact, UNWEIGHTED penalty of the cost: each half-step aggregates the
+per-entity normal equations (F(F+1)/2 + F sums) and solves all F x F systems
+in Arrow batches."""
 
 from __future__ import annotations
 
@@ -17,11 +16,22 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.indexing import broadcast_if_small
 from keelson.operators.indexing import top_k as _top_k
 from keelson.session import cut_lineage
 
 
+# Tasks that a hot user's or item's ratings are dealt to.
+SALTS = 16
+
+
+def salted_join(ratings: DataFrame, other: DataFrame, key: str, by: str) -> DataFrame:
+    """``ratings`` joined with one row per ``key`` of ``other``; the ratings of
+    a key are dealt by a hash of ``by``."""
+    left = ratings.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    right = other.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def fcols(prefix: str, k: int) -> list[str]:
     return [f"{prefix}{f}" for f in range(k)]
 
@@ -32,11 +42,12 @@ def item_mean(ratings: DataFrame, item: str = "item", rating: str = "rating") ->
                                      F.count(F.lit(1)).alias("n"))
 
 
-def normalise(ratings: DataFrame, item: str = "item", rating: str = "rating") -> DataFrame:
+def normalise(ratings: DataFrame, item: str = "item", rating: str = "rating",
+              user: str = "user") -> DataFrame:
     """R2: rating - item mean (grouped mean joined back; unrated cells do
     not exist in the long table, so they stay untouched)."""
     means = ratings.groupBy(item).agg(F.avg(rating).alias("_mean"))
-    return ratings.join(means, item).withColumn("norm", F.col(rating) - F.col("_mean")) \
+    return salted_join(ratings, means, item, user).withColumn("norm", F.col(rating) - F.col("_mean")) \
                   .drop("_mean")
 
 
@@ -56,7 +67,7 @@ def cost(ratings: DataFrame, X: DataFrame, T: DataFrame, k: int, lam: float,
          user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
     """1/2 sum over rated (x_i . theta_u - y)^2 + lam/2 (||X||^2 + ||Theta||^2)."""
     xs, ts = fcols("x", k), fcols("t", k)
-    j = ratings.join(broadcast_if_small(X), item).join(T, user)
+    j = salted_join(salted_join(ratings, X, item, user), T, user, item)
     err = _dot(xs, ts) - F.col(rating)
     fit = j.agg((F.sum(err * err) / 2.0).alias("fit"))
     rx = X.agg(F.sum(_dot(xs, xs)).alias("rx"))
@@ -70,8 +81,8 @@ def gradient(ratings: DataFrame, X: DataFrame, T: DataFrame, k: int, lam: float,
              user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
     """(kind, id, f, grad) for item factors ('X') and user factors ('Theta')."""
     xs, ts = fcols("x", k), fcols("t", k)
-    j = ratings.join(broadcast_if_small(X), item).join(T, user) \
-               .withColumn("_e", _dot(xs, ts) - F.col(rating))
+    j = salted_join(salted_join(ratings, X, item, user), T, user, item) \
+        .withColumn("_e", _dot(xs, ts) - F.col(rating))
     gx = j.groupBy(item).agg(*[F.sum(F.col("_e") * F.col(t)).alias(f"g{f}") for f, t in enumerate(ts)])
     gt = j.groupBy(user).agg(*[F.sum(F.col("_e") * F.col(x)).alias(f"g{f}") for f, x in enumerate(xs)])
     gx = X.join(gx, item, "left").select(
@@ -90,7 +101,7 @@ def _solve_side(ratings: DataFrame, fixed: DataFrame, key: str, other: str, fixe
     """For every entity of ``key``: solve (sum v v' + lam I) w = sum y v,
     with v the fixed factors of the rated partners."""
     k = len(fixed_cols)
-    j = ratings.join(fixed, other)
+    j = salted_join(ratings, fixed, other, key)
     aggs = []
     for a in range(k):
         for b in range(a, k):
@@ -126,6 +137,7 @@ def train_als(ratings: DataFrame, X0: DataFrame, T0: DataFrame, k: int, lam: flo
     tables are checkpointed (lineage cut) after every half-step.
     Entities without ratings keep the minimiser of their penalty (0)."""
     xs, ts = fcols("x", k), fcols("t", k)
+    ratings = cut_lineage(ratings)
     X, T = cut_lineage(X0), cut_lineage(T0)
     hist = []
     for it in range(1, iters + 1):

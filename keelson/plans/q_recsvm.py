@@ -15,6 +15,7 @@ from keelson.operators import recommend as RC
 from keelson.operators import svm as SV
 from keelson.plans.base import query, r, rs, table
 from keelson.plans.data import EMB_DIMS, emb
+from keelson.session import cut_lineage
 
 K = 3
 LAM = 1.5
@@ -32,11 +33,13 @@ def _ts(c):
 
 
 def ratings(spark, sf):
+    """The ratings table, written once for all that a query does with it."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-            .agg(F.avg(F.ceil(F.col("l_quantity") / 10.0)).alias("rating")))
+            .agg(F.avg(F.ceil(F.col("l_quantity") / 10.0)).alias("rating"))
+            .transform(cut_lineage))
 
 
 def init_factors(rt):
@@ -62,7 +65,7 @@ SELECT r.user_id, r.item_id, r.rating, {rs('r.rating - m.mu', 8)} AS norm
 FROM r JOIN m ON m.item_id = r.item_id""")
 def ratings_normalise(spark, sf):
     """R2: mean normalisation of the ratings per item."""
-    n = RC.normalise(ratings(spark, sf), item="item_id")
+    n = RC.normalise(ratings(spark, sf), item="item_id", user="user_id")
     return n.select("user_id", "item_id", "rating", r("norm", 8).alias("norm"))
 
 
@@ -110,7 +113,7 @@ def cofi_gradient(spark, sf):
 def cofi_train(spark, sf):
     """Alternating least squares on the mean-normalised ratings (3
     factors, lam 1.5, 3 sweeps); returns the cost after every sweep."""
-    rt = RC.normalise(ratings(spark, sf), item="item_id") \
+    rt = RC.normalise(ratings(spark, sf), item="item_id", user="user_id") \
         .select("user_id", "item_id", F.col("norm").alias("rating"))
     X, T = init_factors(rt)
     _, _, hist = RC.train_als(rt, X, T, K, LAM, iters=3, user="user_id", item="item_id")
@@ -143,11 +146,31 @@ def recommend_topk(spark, sf):
                                               "title")
 
 
+@query("recommend_trained")
+def recommend_trained(spark, sf):
+    """R5 then R6: factors trained on the mean-normalised ratings (3 sweeps)
+    give the most active user's top-10 items."""
+    rt = ratings(spark, sf)
+    norm = cut_lineage(RC.normalise(rt, item="item_id", user="user_id")
+                       .select("user_id", "item_id", F.col("norm").alias("rating")))
+    X0, T0 = init_factors(rt)
+    X, T, _ = RC.train_als(norm, X0, T0, K, LAM, iters=3, user="user_id", item="item_id")
+    top_user = (rt.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+                .orderBy(F.col("n").desc(), "user_id").first())
+    if top_user is None:
+        return spark.createDataFrame([], "rank int, item_id long, prediction double")
+    t = T.filter(F.col("user_id") == top_user["user_id"]).first()
+    means = RC.item_mean(rt, item="item_id").select("item_id", "mean_rating")
+    top = RC.recommend_for_user(X, [t[f"t{f}"] for f in range(K)], means, 10, K, item="item_id")
+    return top.select("rank", "item_id", r("prediction", 8).alias("prediction"))
+
+
 # ---------------------------------------------------------------- SVM
 W_LIN = [math.sin(j + 1) / 10.0 for j in range(EMB_DIMS)]
 B_LIN = 0.05
 SIGMA = 1.0
 B_RBF = -0.1
+LANDMARKS = 64
 
 _EU = ("e AS (SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, "
        "CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)")
@@ -215,9 +238,9 @@ def svm_fit(spark, sf):
 
 @query("svm_rbf_fit")
 def svm_rbf_fit(spark, sf):
-    """V2: kernel SVM approximated on class-mean landmark similarities."""
+    """V2: kernel SVM on the similarities to LANDMARKS sampled rows."""
     x = _binary(spark, sf)
-    _, L = _landmarks(x)
+    L = SV.row_landmarks(x, "x", "vec_id", LANDMARKS)
     w, b = SV.fit_rbf(x, "x", "y", L, SIGMA, C=1.0)
     rows = [(0, b)] + [(j + 1, float(v)) for j, v in enumerate(w)]
     return spark.createDataFrame(rows, "idx int, weight double")
@@ -229,6 +252,6 @@ def svm_grid(spark, sf):
     by key)."""
     x = _binary(spark, sf)
     train, val = EV.split(x, "vec_id")
-    _, L = _landmarks(train)
+    L = SV.row_landmarks(train, "x", "vec_id", LANDMARKS)
     res = SV.grid_search(train, val, "x", "y", L, [0.1, 1.0, 10.0], [0.5, 1.0, 2.0])
     return spark.createDataFrame(res, "C double, sigma double, val_error double")
