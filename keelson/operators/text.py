@@ -4,12 +4,12 @@ Normalisation and tokenisation are chained built-in string functions (one
 narrow stage).  Stemming runs once per DISTINCT token (an Arrow-batched
 pandas UDF over the vocabulary) and is joined back.  Counts, document
 frequencies, TF-IDF norms and naive Bayes sums are grouped aggregates with
-map-side combining; joins against vocabularies and models are broadcast
-only after their row count is proven small, else they shuffle (with AQE
-skew handling for hot terms or documents)."""
+map-side combining; joins against vocabularies and models carry no hint, the
+planner and AQE choose by measured size."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from keelson.functions.expr import col
-from keelson.operators.indexing import broadcast_if_small, global_row_index
+from keelson.operators.indexing import global_row_index
+from keelson.session import cut_lineage
 
 # The normalisation chain of the spam exercise, in order.
 WS_CLASS = r"[^ \t\n\r\f]"
@@ -28,6 +29,9 @@ NORMALISE_RULES = [
     (WS_CLASS + "+@" + WS_CLASS + "+", "emailaddr"),
     (r"[$]+", "dollar"),
 ]
+# The same rules as they run here: an address match always begins where a run
+# without blanks begins; saying so keeps long runs linear.
+ANCHORED_RULES = [("(?<!" + WS_CLASS + ")" + p if rep == "emailaddr" else p, rep) for p, rep in NORMALISE_RULES]
 # Fixed value: token delimiters of the spam exercise (plus newline, return).
 DELIMITERS = r"[ @$/#.\-:&*+=\[\]?!(){},'" + '"' + r">_<;%\n\r]"
 NON_ALNUM = r"[^a-zA-Z0-9]"
@@ -52,7 +56,7 @@ def normalise(text: Column | str) -> Column:
     """Lower case, strip tags, numbers -> 'number', URLs -> 'httpaddr',
     e-mail addresses -> 'emailaddr', dollar signs -> 'dollar'."""
     out = F.lower(col(text))
-    for pat, rep in NORMALISE_RULES:
+    for pat, rep in ANCHORED_RULES:
         out = F.regexp_replace(out, pat, rep)
     return out
 
@@ -97,9 +101,12 @@ def stem_tokens(tokens: DataFrame, token_col: str = "token", out: str = "stem",
     ``full=False`` applies only step 1a (a pure expression)."""
     if not full:
         return tokens.withColumn(out, step1a(token_col))
-    distinct = tokens.select(token_col).distinct()
-    stems = distinct.select(token_col, porter_udf(F.col(token_col)).alias(out))
-    return tokens.join(broadcast_if_small(stems), token_col)
+    return tokens.join(distinct_stems(tokens, token_col, out), token_col)
+
+
+def distinct_stems(tokens: DataFrame, token_col: str = "token", out: str = "stem") -> DataFrame:
+    """(token, stem) of the distinct tokens."""
+    return tokens.select(token_col).distinct().select(token_col, porter_udf(F.col(token_col)).alias(out))
 
 
 def build_vocab(terms: DataFrame, term_col: str = "term", id_col: str | None = None,
@@ -121,7 +128,7 @@ def word_indices(tokens: DataFrame, vocab: DataFrame, term_col: str = "stem",
     """T4: look each token up in the vocabulary; unknown tokens drop out,
     order and repeats are kept (pos)."""
     v = vocab.select(F.col(vocab_term).alias(term_col), idx)
-    return tokens.join(broadcast_if_small(v), term_col)
+    return tokens.join(v, term_col)
 
 
 def term_presence(indices: DataFrame, id_col: str = "doc_id", idx: str = "idx") -> DataFrame:
@@ -157,6 +164,24 @@ def bigram_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
             .groupBy(id_col, "bigram").agg(F.count(F.lit(1)).alias("n")))
 
 
+def ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 2) -> DataFrame:
+    """T7 with an n-gram range: (doc, term, n) of all runs of ``low`` to
+    ``high`` consecutive words, joined by one blank."""
+    w = F.col("_w")
+
+    def runs(n: int) -> Column:
+        if n == 1:
+            return w
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
+        return F.when(F.size(w) >= n, F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))) \
+            .otherwise(F.array().cast("array<string>"))
+
+    grams = [runs(n) for n in range(low, high + 1)]
+    return (spread(df).select(id_col, words(text).alias("_w")).filter(w.isNotNull())
+            .select(id_col, F.explode(F.concat(*grams)).alias("term"))
+            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
+
+
 def tfidf(counts: DataFrame, n_docs: int, id_col: str = "doc_id", term: str = "term",
           n: str = "n", use_idf: bool = True) -> DataFrame:
     """Tf * (ln((1 + N) / (1 + df)) + 1), rows scaled to unit L2 norm.
@@ -176,44 +201,44 @@ def nb_fit(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label:
            term: str = "term", n: str = "n", alpha: float = 1.0):
     """T10 fit: multinomial naive Bayes on (doc, term, n) for labelled docs.
 
-    Returns (model, priors): model rows (class, term, log_prob) for every
-    class x vocabulary term, with log_prob = ln((N_ct + alpha) /
-    (N_c + alpha * V)); priors (class, log_prior).  The class x term grid is
-    generated by exploding the (few) classes onto the vocabulary rows."""
-    lab = labels.select(id_col, F.col(label).alias("class"))
-    train = counts.join(lab, id_col)
-    classes = sorted(r[0] for r in lab.select("class").distinct().collect())
-    n_docs = lab.groupBy("class").agg(F.count(F.lit(1)).alias("nd"))
-    total_docs = lab.count()
-    priors = n_docs.select("class", F.log(F.col("nd") / F.lit(float(total_docs))).alias("log_prior"))
-    nct = train.groupBy("class", term).agg(F.sum(n).alias("nct"))
-    vocab = train.select(term).distinct()
-    V = vocab.count()
-    nc = nct.groupBy("class").agg(F.sum("nct").alias("nc"))
-    grid = vocab.select(term, F.explode(F.array(*[F.lit(c) for c in classes])).alias("class"))
-    model = (grid.join(nct, ["class", term], "left").na.fill(0, ["nct"])
-             .join(broadcast_if_small(nc, 10_000), "class")
-             .select("class", term, F.log((F.col("nct") + F.lit(alpha))
-                                          / (F.col("nc") + F.lit(alpha * V))).alias("log_prob")))
+    Returns (model, priors, classes): the model has one row per vocabulary term
+    with the log probabilities c0, c1, .. = ln((N_ct + alpha) / (N_c + alpha V))
+    in the order of ``classes``; priors are the log priors in that order.  The
+    per-class sums of each term are written once and give vocabulary size,
+    class totals and the model.  Rows without a label don't count; classes are
+    a model's size."""
+    lab = labels.select(id_col, F.col(label).alias("class")).filter(F.col("class").isNotNull())
+    per = {r["class"]: r["nd"] for r in lab.groupBy("class").agg(F.count(F.lit(1)).alias("nd")).collect()}
+    classes = sorted(per)
+    priors = [math.log(per[c] / sum(per.values())) for c in classes]
+    sums = [F.sum(F.when(F.col("class") == F.lit(c), F.col(n)).otherwise(F.lit(0))).alias(f"c{i}")
+            for i, c in enumerate(classes)]
+    if not classes:
+        return counts.select(term).limit(0), priors, classes
+    wide = cut_lineage(counts.join(lab, id_col).groupBy(term).agg(*sums))
+    tot = wide.agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(classes))]).first()
+    model = wide.select(term, *[F.log((F.col(f"c{i}") + F.lit(alpha))
+                                      / F.lit(float((tot[f"c{i}"] or 0) + alpha * tot["v"]))).alias(f"c{i}")
+                                for i in range(len(classes))])
     return model, priors, classes
 
 
-def nb_predict(docs: DataFrame, counts: DataFrame, model: DataFrame, priors: DataFrame,
+def nb_rows(model: DataFrame, priors: Sequence[float], classes: Sequence, term: str = "term") -> DataFrame:
+    """The model in long form: (class, term, log_prob, log_prior)."""
+    return model.select(term, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("class"), F.col(f"c{i}").alias("log_prob"), F.lit(p).alias("log_prior"))
+        for i, (c, p) in enumerate(zip(classes, priors))]))).select("class", term, "log_prob", "log_prior")
+
+
+def nb_predict(docs: DataFrame, counts: DataFrame, model: DataFrame, priors: Sequence[float],
                classes: Sequence, id_col: str = "doc_id", term: str = "term",
                n: str = "n") -> DataFrame:
     """T10 predict: argmax_c log prior_c + sum_t n_t log theta_ct over the
     model's vocabulary (other terms ignored); ties -> first class."""
-    wide = model.groupBy(term).pivot("class", list(classes)).agg(F.first("log_prob"))
-    lp = [F.col(f"`{c}`") for c in classes]
-    scored = counts.join(wide, term)
-    sums = scored.groupBy(id_col).agg(*[F.sum(F.col(n) * x).alias(f"_s{i}")
-                                        for i, x in enumerate(lp)])
-    pri = {r["class"]: r["log_prior"] for r in priors.collect()}
-    allc = docs.select(id_col).join(sums, id_col, "left")
-    post = [F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(float(pri[c]))
-            for i, c in enumerate(classes)]
-    arr = F.array(*post)
-    best = F.array_max(arr)
-    idx = F.array_position(arr, best)
-    cls = F.element_at(F.array(*[F.lit(c) for c in classes]), idx.cast("int"))
-    return allc.select(id_col, cls.alias("pred"), best.alias("score"))
+    sums = counts.join(model, term).groupBy(id_col).agg(
+        *[F.sum(F.col(n) * F.col(f"c{i}")).alias(f"_s{i}") for i in range(len(classes))])
+    post = F.array(*[F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)])
+    best = F.array_max(post)
+    cls = F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position(post, best).cast("int"))
+    return (docs.select(id_col).join(sums, id_col, "left")
+            .select(id_col, cls.alias("pred"), best.alias("score")))

@@ -76,8 +76,7 @@ def stem_step1a(spark, sf):
 @query("porter_stems")
 def porter_stems(spark, sf):
     """Full Porter stemmer, run once per distinct token (Arrow UDF)."""
-    d = _tokens(spark, sf).select("token").distinct()
-    return TX.stem_tokens(d, full=True)
+    return TX.distinct_stems(_tokens(spark, sf))
 
 
 _WI = f"""{_TOKENS},
@@ -89,12 +88,25 @@ wi AS (SELECT st.doc_id, st.pos, voc.idx FROM st JOIN voc ON voc.word = st.stem)
 
 
 def _word_indices(spark, sf):
-    st = cut_lineage(TX.stem_tokens(_tokens(spark, sf), full=False))
+    return _look_up(TX.stem_tokens(_tokens(spark, sf), full=False))
+
+
+def _look_up(st):
+    """Stemmed tokens against the vocabulary of stems in >= 2 documents, which
+    comes from the distinct (document, stem) pairs; tokens aren't written."""
     vocab = TX.build_vocab(st, "stem", "doc_id", min_df=_VOCAB_MIN_DF, start=1) \
         .withColumnRenamed("stem", "word")
     return TX.word_indices(st, vocab)
 
 
+@query("porter_word_indices")
+def porter_word_indices(spark, sf):
+    """T3 + T4: full Porter stems looked up in the vocabulary of stems in >= 2
+    documents (sorted, 1-based); unknown tokens dropped."""
+    st = TX.stem_tokens(_tokens(spark, sf), full=True)
+    return _look_up(st).select("doc_id", "pos", "idx")
+
+
 @query("word_indices", sql=f"WITH {_WI} SELECT doc_id, pos, idx FROM wi")
 def word_indices(spark, sf):
     """T4: stemmed tokens looked up in the vocabulary built from the corpus
@@ -126,13 +138,22 @@ def bigram_counts(spark, sf):
     return TX.bigram_counts(_docs(spark, sf), "doc_id", "text")
 
 
+@query("ngram_counts", sql=f"""
+SELECT doc_id, term, count(*) AS n FROM (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
+  FROM (SELECT doc_id, {_WORDS} AS w FROM documents)) GROUP BY doc_id, term""")
+def ngram_counts(spark, sf):
+    """T7 (n-gram range 1 to 2): words and consecutive word pairs per document."""
+    return TX.ngram_counts(_docs(spark, sf), "doc_id", "text", 1, 2)
+
+
 @query("vocab", sql=f"""
 WITH {_COUNTS}
 SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT term FROM cnt)""")
 def vocab(spark, sf):
     """Sorted distinct terms -> 0-based index (distributed numbering)."""
-    c = TX.term_counts(_docs(spark, sf), "doc_id", "text")
-    return TX.build_vocab(c, "term", start=0)
+    w = _docs(spark, sf).select(F.explode(TX.words("text")).alias("term"))
+    return TX.build_vocab(w, "term", start=0)
 
 
 @query("tfidf", sql=f"""
@@ -177,8 +198,8 @@ SELECT model.class, model.term, {rs('model.log_prob', 8)} AS log_prob, {rs('pri.
 FROM model JOIN pri ON pri.class = model.class""")
 def nb_model(spark, sf):
     """T10 fit: multinomial naive Bayes (alpha = 1) on labelled documents."""
-    _, _, model, priors, _ = _nb(spark, sf)
-    return model.join(priors, "class").select(
+    _, _, model, priors, classes = _nb(spark, sf)
+    return TX.nb_rows(model, priors, classes).select(
         "class", "term", r("log_prob", 8).alias("log_prob"), r("log_prior", 8).alias("log_prior"))
 
 
@@ -209,9 +230,9 @@ FROM t JOIN vi ON vi.term = t.term""")
 def top_weights(spark, sf):
     """V6: the 15 strongest predictors of the positive class (naive Bayes
     log-ratio weights), joined with the vocabulary index."""
-    docs, c, model, _, _ = _nb(spark, sf)
-    wide = model.groupBy("term").pivot("class", [0, 1]).agg(F.first("log_prob"))
-    wt = wide.select("term", (F.col("`1`") - F.col("`0`")).alias("weight"))
+    _, c, model, _, classes = _nb(spark, sf)
+    lp = {cls: F.col(f"c{i}") for i, cls in enumerate(classes)}
+    wt = model.select("term", (lp[1] - lp[0]).alias("weight"))
     best = top_k(wt, [F.col("weight").desc(), F.col("term")], 15)
     vi = TX.build_vocab(c, "term", start=0)
     return best.join(vi, "term").select("rank", "term", "idx", r("weight", 8).alias("weight"))
@@ -229,7 +250,28 @@ def text_svm(spark, sf):
     return weights.select("term", "weight")
 
 
-@query("text_classify")
+_TFIDF_NB = f"""{_COUNTS},
+d AS (SELECT term, count(*) AS df FROM cnt GROUP BY term),
+w AS (SELECT cnt.doc_id, cnt.term, cnt.n * (ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + d.df)) + 1.0) AS w
+      FROM cnt JOIN d ON d.term = cnt.term),
+nr AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY doc_id),
+tw AS (SELECT w.doc_id, w.term, w.w / nr.nrm AS n FROM w JOIN nr ON nr.doc_id = w.doc_id),
+lab AS (SELECT doc_id, quality AS class FROM labels),
+nct AS (SELECT class, term, sum(n) AS nct FROM tw JOIN lab ON lab.doc_id = tw.doc_id GROUP BY class, term),
+voc AS (SELECT DISTINCT term FROM nct), nc AS (SELECT class, sum(nct) AS nc FROM nct GROUP BY class),
+pri AS (SELECT class, ln(count(*) / (SELECT count(*) FROM lab)) AS log_prior FROM lab GROUP BY class),
+model AS (SELECT nc.class, voc.term, ln((coalesce(nct.nct, 0) + 1.0) / (nc.nc + 1.0 * (SELECT count(*) FROM voc))) AS log_prob
+          FROM nc CROSS JOIN voc LEFT JOIN nct ON nct.class = nc.class AND nct.term = voc.term)"""
+
+
+@query("text_classify", sql=f"""
+WITH {_TFIDF_NB},
+s AS (SELECT tw.doc_id, model.class, sum(tw.n * model.log_prob) AS s
+      FROM tw JOIN model ON model.term = tw.term GROUP BY tw.doc_id, model.class),
+post AS (SELECT d.doc_id, pri.class, coalesce(s.s, 0.0) + pri.log_prior AS post
+         FROM documents d CROSS JOIN pri LEFT JOIN s ON s.doc_id = d.doc_id AND s.class = pri.class)
+SELECT doc_id, class AS pred FROM
+  (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY post DESC, class) AS rn FROM post) WHERE rn = 1""")
 def text_classify(spark, sf):
     """Counts -> tf-idf -> naive Bayes fit on labelled documents ->
     prediction for every document (a chained estimator)."""
