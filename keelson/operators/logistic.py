@@ -1,10 +1,9 @@
 """Logistic regression and one-vs-all.
 
-Fitting is Newton's method: each iteration is ONE aggregate that returns
-the gradient, the Hessian (upper triangle) and the cost, summed with
-map-side partial aggregation; the (n+1)^2 system is solved on the driver.
-One-vs-all fits all K classes in the same aggregate (K gradients and
-Hessians per scan), so K classes cost no more scans than one."""
+Fitting is damped Newton: each pass sums loss, gradient and Hessian of all
+classes that are still moving, as numpy products per partition added by key;
+the (n+1)^2 systems are solved on the driver.  Named columns and array
+features of any width run the same way."""
 
 from __future__ import annotations
 
@@ -15,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import argmax_index, col, linear, log_loss_margin, sigmoid
+from keelson.functions.expr import argmax_index, col, complete, complete_vector, linear, log_loss_margin, sigmoid
 from keelson.operators.features import distinct_classes, polymap_columns
 
 
@@ -32,8 +31,8 @@ def hypothesis(cols: Sequence[Column | str], theta: Sequence[float]) -> Column:
 def cost_expr(cols, y, theta, lam: float) -> Column:
     """C2 aggregate: mean cross-entropy + lam/2m sum_{j>=1} theta_j^2."""
     reg = float(sum(t * t for t in theta[1:]))
-    m = F.count(F.lit(1))
-    return (F.sum(log_loss_margin(score(cols, theta), y)) + F.lit(lam * reg / 2.0)) / m
+    loss = log_loss_margin(score(cols, theta), y)   # null in a row with a missing value
+    return (F.sum(loss) + F.lit(lam * reg / 2.0)) / F.count(loss)
 
 
 def gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[float],
@@ -44,7 +43,7 @@ def gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Sequence[f
     m = F.count(F.lit(1))
     aggs = [((F.sum(e * x) + F.lit(0.0 if j == 0 else lam * theta[j])) / m).alias(f"g{j}")
             for j, x in enumerate(xs)]
-    return df.agg(*aggs).select(F.inline(F.array(*[
+    return complete(df, [*cols, y]).agg(*aggs).select(F.inline(F.array(*[
         F.struct(F.lit(j).alias("idx"), F.col(f"g{j}").alias("grad")) for j in range(len(xs))])))
 
 
@@ -68,7 +67,7 @@ def numeric_gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Se
         aggs.append(F.sum(log_loss_margin(linear(xs, tm), yy)).alias(f"lm{j}"))
     e = sigmoid(linear(xs, theta)) - yy
     aggs += [F.sum(e * x).alias(f"g{j}") for j, x in enumerate(xs)]
-    wide = df.agg(*aggs)
+    wide = complete(df, [*cols, y]).agg(*aggs)
     m = F.col("m")
     rows = []
     for j in range(P):
@@ -80,44 +79,56 @@ def numeric_gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Se
     return wide.select(F.inline(F.array(*rows)))
 
 
-def _design(df: DataFrame, cols: Sequence[str], targets: Sequence) -> DataFrame:
-    """Only the design columns, persisted (memory, spilling to disk) for
-    the iterations of a fit; a lost executor recomputes its blocks from the
-    scan."""
+def _design(df: DataFrame, cols: Sequence[str] | str, target: Column) -> DataFrame:
+    """(_x array with a leading 1, _y) of the complete rows, persisted (memory,
+    spilling to disk) for the iterations of a fit; a lost executor recomputes
+    its blocks from the scan.  ``cols`` are numeric columns or one array."""
     from pyspark import StorageLevel
-    sel = [col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(cols)]
-    sel += [(col(t) if isinstance(t, str) else t).alias(f"_y{j}") for j, t in enumerate(targets)]
-    return df.select(*sel).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _newton_aggs(xs: list[Column], y: Column, theta: np.ndarray, tag: str) -> list[Column]:
-    z = linear(xs, theta)
-    p = sigmoid(z)
-    e = p - y
-    w = p * (F.lit(1.0) - p)
-    aggs = [F.sum(log_loss_margin(z, y)).alias(f"{tag}J")]
-    aggs += [F.sum(e * x).alias(f"{tag}g{j}") for j, x in enumerate(xs)]
-    k = len(xs)
-    for i in range(k):
-        for j in range(i, k):
-            aggs.append(F.sum(w * xs[i] * xs[j]).alias(f"{tag}h{i}_{j}"))
-    return aggs
-
-
-def _newton_step(row, tag: str, theta: np.ndarray, m: float, lam: float):
-    k = len(theta)
-    g = np.array([row[f"{tag}g{j}"] for j in range(k)], dtype=float)
-    H = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            H[i, j] = H[j, i] = row[f"{tag}h{i}_{j}"]
-    reg = np.full(k, lam)
-    reg[0] = 0.0
-    g = g + reg * theta
-    H = H + np.diag(reg)
-    J = (row[f"{tag}J"] + lam / 2.0 * float(np.sum(theta[1:] ** 2))) / m
-    step = np.linalg.lstsq(H, g, rcond=None)[0]
-    return theta - step, J, float(np.max(np.abs(g / m)))
+    if isinstance(cols, str):
+        rows, x = df.filter(complete_vector(cols)), col(cols).cast("array<double>")
+    else:
+        rows, x = complete(df, cols), F.array(*[col(c).cast("double") for c in cols]) if cols else F.array().cast("array<double>")
+    return (rows.select(F.concat(F.array(F.lit(1.0)), x).alias("_x"), target.alias("_y"))
+            .filter(F.col("_y").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _newton_sums(data: DataFrame, thetas: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+    """(loss, gradient, Hessian) sums of each class c against target _y = c:
+    numpy products per partition, added by (class, position), so a pass sends
+    K (1 + k + k (k + 1) / 2) numbers of each partition and any width runs the
+    same way."""
+    k = len(next(iter(thetas.values())))
+    upper = np.triu_indices(k)
+
+    def run(batches):
+        import pandas as pd
+        acc, seen = {c: np.zeros(1 + k + len(upper[0])) for c in thetas}, False
+        for b in batches:
+            if not len(b):
+                continue
+            seen = True
+            X, label = np.stack(b["_x"].to_numpy()), b["_y"].to_numpy()
+            for c, theta in thetas.items():
+                y = (label == c).astype(float)
+                z = X @ theta
+                p = np.exp(-np.logaddexp(0.0, -z))
+                loss = np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0.0) - y * z
+                h = (X * (p * (1 - p))[:, None]).T @ X
+                acc[c] += np.concatenate([[loss.sum()], X.T @ (p - y), h[upper]])
+        if seen:
+            for c, v in acc.items():
+                yield pd.DataFrame({"c": np.int32(c), "j": np.arange(len(v), dtype=np.int32), "value": v})
+
+    rows = data.mapInPandas(run, "c int, j int, value double").groupBy("c", "j").agg(F.sum("value").alias("value")).toPandas()
+    out = {}
+    for c in thetas:
+        r = rows[rows["c"] == c]
+        v = np.zeros(1 + k + len(upper[0]))
+        v[r["j"].to_numpy()] = r["value"].to_numpy()
+        H = np.zeros((k, k))
+        H[upper] = v[1 + k:]
+        out[c] = (float(v[0]), v[1:1 + k], H + np.triu(H, 1).T)
+    return out
 
 
 @dataclass
@@ -126,32 +137,64 @@ class LogisticModel:
     cost: float
     iterations: int
     history: list = field(default_factory=list)
+    converged: bool = False
+
+
+def _newton(data: DataFrame, start: dict[int, np.ndarray], m: float, lam: float, max_iter: int, tol: float) -> dict[int, LogisticModel]:
+    """Damped Newton for all classes at once, one pass per iteration: a step
+    that raises the cost is halved; a class is done when its mean gradient is
+    below ``tol`` or its cost no longer changes."""
+    best = {c: None for c in start}      # (J, theta, full step) of the last accepted point
+    trial, models = dict(start), {}
+    hist: dict[int, list] = {c: [] for c in start}
+    for it in range(max_iter + 1):
+        sums = _newton_sums(data, trial)
+        for c, (loss, g, H) in sums.items():
+            theta = trial[c]
+            reg = np.full(len(theta), lam)
+            reg[0] = 0.0
+            J = (loss + lam / 2.0 * float(np.sum(theta[1:] ** 2))) / m
+            g, H = g + reg * theta, H + np.diag(reg)
+            old = best[c]
+            if old is not None and J > old[0] + 1e-14 * abs(old[0]):
+                step = (theta - old[1]) / 2.0
+                if np.max(np.abs(step)) < tol:
+                    models[c] = LogisticModel(old[1], old[0], len(hist[c]), hist[c], old[2] < 1e-6)
+                    del trial[c]
+                else:
+                    trial[c] = old[1] + step
+                continue
+            hist[c].append((len(hist[c]), J))
+            gnorm = float(np.max(np.abs(g / m)))
+            if gnorm < tol or it == max_iter:
+                models[c] = LogisticModel(theta, J, len(hist[c]), hist[c], gnorm < 1e-6)
+                del trial[c]
+                continue
+            best[c] = (J, theta, gnorm)
+            trial[c] = theta - np.linalg.lstsq(H, g, rcond=None)[0]
+        if not trial:
+            break
+    for c in trial:
+        models[c] = LogisticModel(best[c][1], best[c][0], len(hist[c]), hist[c], False)
+    return models
 
 
-def fit(df: DataFrame, cols: Sequence[str], y: str, lam: float = 0.0, max_iter: int = 25,
+def fit(df: DataFrame, cols: Sequence[str] | str, y: str, lam: float = 0.0, max_iter: int = 25,
         tol: float = 1e-10, theta0: Sequence[float] | None = None) -> LogisticModel:
-    """C4: minimise C2 by Newton's method (one aggregate per iteration).
-    The data should be cached by the caller when it is expensive to
-    recompute; each iteration reads only the listed columns."""
-    data = _design(df, cols, [y])
-    xs = [F.lit(1.0)] + [F.col(f"_x{j}") for j in range(len(cols))]
-    yy = F.col("_y0")
-    theta = np.zeros(len(xs)) if theta0 is None else np.asarray(theta0, dtype=float)
+    """C4: minimise C2 by damped Newton steps over the complete rows; ``cols``
+    are numeric columns or the name of one array column of any width.
+    ``converged`` says whether the gradient vanished (it doesn't on separable
+    data without a penalty)."""
+    data = _design(df, cols, col(y).cast("double").cast("int"))
     try:
+        first = data.select(F.size("_x").alias("k")).first()
+        if first is None:
+            raise ValueError("no complete row to fit")
         m = float(data.count())
-        hist = []
-        for it in range(max_iter):
-            row = data.agg(*_newton_aggs(xs, yy, theta, "")).first()
-            new, J, gnorm = _newton_step(row, "", theta, m, lam)
-            hist.append((it, J))
-            converged = gnorm < tol or np.max(np.abs(new - theta)) < tol
-            theta = new
-            if converged:
-                break
-        J = data.agg(cost_expr(xs[1:], yy, theta, lam).alias("J")).first()["J"]
+        start = np.zeros(first["k"]) if theta0 is None else np.asarray(theta0, dtype=float)
+        return _newton(data, {1: start}, m, lam, max_iter, tol)[1]
     finally:
         data.unpersist()
-    return LogisticModel(theta, float(J), len(hist), hist)
 
 
 def gd_steps(df: DataFrame, cols: Sequence[str], y: str, alpha: float, steps: int,
@@ -161,6 +204,7 @@ def gd_steps(df: DataFrame, cols: Sequence[str], y: str, alpha: float, steps: in
     theta.  Returns [(iter, J(theta_iter), theta_iter)], iter 0..steps."""
     xs = [F.lit(1.0)] + [col(c).cast("double") for c in cols]
     yy = col(y).cast("double")
+    df = complete(df, [*cols, y])
     theta = np.zeros(len(xs))
     out = []
     for it in range(steps + 1):
@@ -191,40 +235,27 @@ def predict(cols: Sequence[Column | str], theta: Sequence[float], threshold: flo
 class OneVsAll:
     classes: list
     thetas: dict  # class -> np.ndarray
+    converged: dict = field(default_factory=dict)  # class -> bool
 
 
-def fit_one_vs_all(df: DataFrame, cols: Sequence[str], label: str, lam: float = 0.0,
+def fit_one_vs_all(df: DataFrame, cols: Sequence[str] | str, label: str, lam: float = 0.0,
                    classes: Sequence | None = None, max_iter: int = 25,
                    tol: float = 1e-10) -> OneVsAll:
-    """One binary model per class; every Newton iteration computes the
-    gradients and Hessians of all K classes in a single aggregate."""
+    """One binary model per class; every pass computes the sums of all
+    classes that haven't converged.  ``cols`` as in :func:`fit`."""
     classes = list(classes) if classes is not None else distinct_classes(df, label)
-    data = _design(df, cols, [label])
-    xs = [F.lit(1.0)] + [F.col(f"_x{j}") for j in range(len(cols))]
-    thetas = {c: np.zeros(len(xs)) for c in classes}
+    number = F.coalesce(*[F.when(col(label) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
+    data = _design(df.filter(col(label).isNotNull()), cols, number)
     try:
+        first = data.select(F.size("_x").alias("k")).first()
+        if first is None:
+            raise ValueError("no complete row to fit")
         m = float(data.count())
-        active = set(range(len(classes)))
-        for _ in range(max_iter):
-            aggs = []
-            for ci in sorted(active):
-                c = classes[ci]
-                aggs += _newton_aggs(xs, (F.col("_y0") == F.lit(c)).cast("double"), thetas[c],
-                                     f"c{ci}_")
-            row = data.agg(*aggs).first()
-            done = set()
-            for ci in sorted(active):
-                c = classes[ci]
-                new, _, gnorm = _newton_step(row, f"c{ci}_", thetas[c], m, lam)
-                if gnorm < tol or np.max(np.abs(new - thetas[c])) < tol:
-                    done.add(ci)
-                thetas[c] = new
-            active -= done
-            if not active:
-                break
+        fitted = _newton(data, {i: np.zeros(first["k"]) for i in range(len(classes))}, m, lam, max_iter, tol)
     finally:
         data.unpersist()
-    return OneVsAll(classes, thetas)
+    return OneVsAll(classes, {c: fitted[i].theta for i, c in enumerate(classes)},
+                    {c: fitted[i].converged for i, c in enumerate(classes)})
 
 
 def predict_one_vs_all(model: OneVsAll, cols: Sequence[Column | str]):

@@ -10,7 +10,7 @@ from keelson.operators import evaluate as EV
 from keelson.operators import features as FT
 from keelson.operators import logistic as LG
 from keelson.plans.base import query, r, rs
-from keelson.plans.data import LI_SQL, li_design
+from keelson.plans.data import LI_SQL, emb, li_design
 
 THETA = [-1.0, 0.3, -0.5]
 LAM = 1.0
@@ -74,6 +74,27 @@ def log_fit(spark, sf):
     return spark.createDataFrame(rows, "idx int, theta double, J double")
 
 
+def _pair(x):
+    return x.withColumn("y5", (F.col("label") < 5).cast("int"))
+
+
+@query("log_fit_wide")
+def log_fit_wide(spark, sf):
+    """C4 on array features: label < 5 against the 64-d embeddings (lam = 1);
+    theta, final cost and whether the gradient vanished."""
+    model = LG.fit(_pair(emb(spark, sf)), "x", "y5", lam=1.0)
+    rows = [(j, float(t), model.cost, model.converged) for j, t in enumerate(model.theta)]
+    return spark.createDataFrame(rows, "idx int, theta double, J double, converged boolean")
+
+
+@query("ova_fit_wide")
+def ova_fit_wide(spark, sf):
+    """C6 on array features: all labels against the 64-d embeddings (lam = 1)."""
+    model = LG.fit_one_vs_all(emb(spark, sf), "x", "label", lam=1.0)
+    rows = [(int(c), j, float(t), model.converged[c]) for c in model.classes for j, t in enumerate(model.thetas[c])]
+    return spark.createDataFrame(rows, "class int, idx int, theta double, converged boolean")
+
+
 def _gd_sql(steps, alpha):
     ctes = [f"d AS ({LI_SQL})", "s0 AS (SELECT 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1, 0.0::DOUBLE AS t2)"]
     sel = []
