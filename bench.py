@@ -18,7 +18,8 @@ HEADLINE = [
     "gram", "lin_normal", "lin_predict", "normalize", "equalize_hist", "log_gd_steps",
     "log_fit", "ova_fit", "confusion", "best_threshold", "kmeans_fit", "pca_cov", "tfidf",
     "word_indices", "nb_predict", "cofi_gradient", "recommend_topk", "nn_gradient",
-    "kfold_oof", "learning_curve", "fold_mean",
+    "kfold_oof", "learning_curve", "fold_mean", "text_svm", "svm_grid", "cofi_train",
+    "nn_train", "text_classify", "porter_stems",
 ]
 
 
@@ -35,6 +36,7 @@ def main() -> None:
         from pyspark.sql import SparkSession
         SparkSession.builder.config("spark.eventLog.enabled", "true").config(
             "spark.eventLog.dir", tempfile.mkdtemp(prefix="bench-events-", dir="/tmp"))
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 16g pyspark-shell")
     spark = get_session(master=f"local[{cpus}]", partitions=cpus)
     reg = registry()
     keys = os.environ.get("BENCH_QUERIES")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import sys
 import time
 
@@ -66,7 +67,9 @@ def duck_connection(sf_dir: str):
 def check(sf_dir: str, keys=None, spark=None, verbose=True) -> dict:
     from keelson.plans import registry
     from keelson.session import get_session
-    spark = spark or get_session()
+    if spark is None:
+        os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 8g pyspark-shell")
+        spark = get_session(os.environ.get("KEELSON_MASTER", "local[8]"), partitions=8)
     con = duck_connection(sf_dir)
     reg = registry()
     out = {}

@@ -16,47 +16,64 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_session(master: str | None = None, partitions: int | None = None,
                 app: str = "keelson") -> SparkSession:
-    """Build (or reuse) a session with AQE on and the UI off."""
-    master = master or os.environ.get("KEELSON_MASTER", "local[8]")
-    cpus = partitions or int(os.environ.get("BENCH_CPUS", "8"))
-    spark = (
-        SparkSession.builder.master(master)
-        .appName(app)
+    """Build (or reuse) a session with AQE on and the UI off.  Master, shuffle
+    partitions and memory are the cluster's (spark-submit's) unless given;
+    KEELSON_MASTER names a master for runs outside of it."""
+    b = (
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
-        .getOrCreate()
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    master = master or os.environ.get("KEELSON_MASTER")
+    if master:
+        b = b.master(master)
+    if partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(partitions))
+    spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only for
-    local sessions where the setting is absent."""
+    """The shared checkpoint folder: the context's, else the one that
+    spark.checkpoint.dir names.  Only a single-JVM local session without the
+    setting gets a scratch folder of its own."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set: iterative operators need a "
-            "shared folder for reliable checkpoints on a cluster")
-    path = tempfile.mkdtemp(prefix="keelson-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: iterative operators need a "
+                "shared folder for reliable checkpoints on a cluster")
+        current = tempfile.mkdtemp(prefix="keelson-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors when it isn't installed
+    there: a zip of it goes out with the application, once per context."""
+    import shutil
+
+    sc = spark.sparkContext
+    if getattr(sc, "_keelson_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="keelson-zip-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "keelson"), "zip", root, "keelson"))
+    sc._keelson_shipped = True
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint (survives executor loss)."""
+    """Materialise ``df`` with a reliable checkpoint (survives executor loss).
+    With spark.cleaner.referenceTracking.cleanCheckpoints (see get_session) its
+    files go when the result is no longer used."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
