@@ -62,6 +62,16 @@ def log_gradient(spark, sf):
         .select("idx", r("grad", 10).alias("grad"))
 
 
+@query("relabel", sql=f"""
+SELECT l_orderkey, l_linenumber, CASE flag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' ELSE flag END AS label
+FROM ({LI_SQL})""")
+def relabel(spark, sf):
+    """Class names of the return flags; other values pass through."""
+    d = li_design(spark, sf)
+    return d.select("l_orderkey", "l_linenumber",
+                    FT.relabel("flag", {"R": "returned", "A": "accepted"}).alias("label"))
+
+
 @query("log_fit")
 def log_fit(spark, sf):
     """C4: regularised logistic fit (degree-2 map, lam = 1) by Newton

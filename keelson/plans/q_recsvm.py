@@ -69,6 +69,18 @@ def ratings_normalise(spark, sf):
     return n.select("user_id", "item_id", "rating", r("norm", 8).alias("norm"))
 
 
+@query("ratings_append", sql=f"""
+WITH {_R}, n AS (SELECT -1 AS user_id, p_partkey AS item_id, 5.0 AS rating FROM part WHERE p_size = 1)
+SELECT user_id, item_id, {rs('rating', 8)} AS rating FROM
+  (SELECT user_id, item_id, rating FROM r UNION ALL SELECT user_id, item_id, rating FROM n)""")
+def ratings_append(spark, sf):
+    """A new user's ratings (5 for every part of size 1) join the table."""
+    new = table(spark, sf, "part").filter("p_size = 1").select(
+        F.lit(-1).cast("long").alias("user_id"), F.col("p_partkey").alias("item_id"), F.lit(5.0).alias("rating"))
+    return RC.append_ratings(ratings(spark, sf).select("user_id", "item_id", "rating"), new).select(
+        "user_id", "item_id", r("rating", 8).alias("rating"))
+
+
 _DOT = " + ".join(f"({x}) * ({t})" for x, t in zip(_xs("item_id"), _ts("user_id")))
 
 
