@@ -63,7 +63,8 @@ def assign(df: DataFrame, features: str, centroids: np.ndarray, k_col: str = "k"
         return out
 
     whole = F.when(complete_vector(features), F.col(features).cast("array<double>"))
-    out = df.withColumn("_a", run(whole))
+    # said to be nondeterministic, so that a filter on the label doesn't run it twice
+    out = df.withColumn("_a", run.asNondeterministic()(whole))
     return out.withColumns({k_col: F.col(f"_a.{k_col}"),
                             d_col: F.when(F.col(f"_a.{k_col}").isNotNull(), F.col(f"_a.{d_col}"))}).drop("_a")
 
