@@ -4,6 +4,7 @@ session settings and connected components."""
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,21 +27,49 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (normal(raw) for raw in (text or "").split()) if w]
 
 
+# Signs that words often begin or end with.
+EDGES = ".,;:!?\"'()[]|&#$%*-"
+
+
 def normal(raw: str) -> str:
-    return "".join(filter(str.isalnum, raw.lower()))
+    """The letters and digits of a word, in lower case."""
+    low = raw.lower()
+    if low.isalnum():
+        return low
+    core = low.strip(EDGES)
+    return core if core.isalnum() else "".join(filter(str.isalnum, core))
+
 
+class Recent(dict):
+    """word -> f(word) for the words met lately: when CACHE_ENTRIES are held
+    they become the old ones, of which those met again stay."""
 
-class WordHashes(dict):
-    """raw word -> 64-bit hash of its normal form (0: nothing is left of it)."""
+    def __init__(self, f):
+        super().__init__()
+        self.f, self.old = f, {}
 
-    def __missing__(self, raw: str) -> int:
-        import xxhash
+    def __missing__(self, raw):
         if len(self) >= CACHE_ENTRIES:
+            self.old = dict(self)
             self.clear()
-        norm = normal(raw)
-        h = (xxhash.xxh3_64_intdigest(norm) or 1) if norm else 0
-        self[raw] = h
-        return h
+        v = self.old.get(raw)
+        if v is None:
+            v = self.f(raw)
+        self[raw] = v
+        return v
+
+
+def word_hash(raw: str) -> int:
+    """64-bit hash of a word's normal form; 0 if nothing is left of it."""
+    norm = normal(raw)
+    return (xxhash.xxh3_64_intdigest(norm) or 1) if norm else 0
+
+
+class WordHashes(Recent):
+    """raw word -> word_hash."""
+
+    def __init__(self):
+        super().__init__(word_hash)
 
     def of(self, text: str | None) -> np.ndarray:
         """Hashes of the normal words of ``text``, in order."""
@@ -81,6 +110,10 @@ def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+# Tasks that one node's neighbours are dealt to.
+STAR_SALTS = 16
+
+
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b",
                          max_rounds: int = 60) -> DataFrame:
     """(id, component): component is the smallest id reachable over ``edges``.
@@ -102,7 +135,9 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b",
             both = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         low = both.groupBy("u").agg(F.min("v").alias("m0")).select(
             "u", F.least("u", "m0").alias("m"))
-        j = both.join(low, "u")
+        # a node with very many neighbours is dealt to several tasks by them
+        j = (both.withColumn("_s", F.pmod(F.xxhash64("v"), F.lit(STAR_SALTS)).cast("int"))
+             .join(low.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(STAR_SALTS - 1)))), ["u", "_s"]).drop("_s"))
         if large:
             out = j.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:

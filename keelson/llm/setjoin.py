@@ -32,8 +32,9 @@ COORDS = 128          # min-hash values of a set
 LAM = 0.7             # inverse of the mean number of children that identical sets share
 DEPTH = 4             # most levels of a run
 LEAF = 64             # a bucket of at most so many sets isn't split further
-BLOCK = 512           # sets in a block of a large bucket or group
-BLOCK_SHINGLES = 400_000   # and shingles in a block of a group
+BUCKET_BLOCK = 4096   # sets in a block of a large bucket
+BLOCK = 512           # sets in a block of a candidate group
+BLOCK_SHINGLES = 400_000   # and shingles in it
 SIGMAS = 4.0          # how far below the threshold an estimate may lie
 COLUMNS = 4096        # shingles multiplied at once
 
@@ -215,7 +216,7 @@ def candidate_edges(leaves: DataFrame, sets: DataFrame, similarity: float) -> Da
     """(a, b): spanning edges of the buckets' pairs whose estimate may reach
     the threshold."""
     least = similarity - SIGMAS * math.sqrt(similarity * (1 - similarity) / COORDS)
-    rows = tiles(leaves, "path", F.ceil(F.col("size") / BLOCK)).join(sets.select("node", "low"), "node")
+    rows = tiles(leaves, "path", F.ceil(F.col("size") / BUCKET_BLOCK)).join(sets.select("node", "low"), "node")
     keys = ["path", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,9 +246,11 @@ def candidate_edges(leaves: DataFrame, sets: DataFrame, similarity: float) -> Da
                 a.append(x + at[n])
                 b.append(y + at[n])
             a, b = np.concatenate([*a, np.empty(0, np.int64)]), np.concatenate([*b, np.empty(0, np.int64)])
-            label = spanning(len(g), a, b)
-            moved = label != np.arange(len(g))
-            yield pd.DataFrame({"a": node[moved], "b": node[label[moved]]})
+            # spanning edges over all buckets of the batch together
+            ids, place = np.unique(node, return_inverse=True)
+            label = spanning(len(ids), place[a], place[b])
+            moved = label != np.arange(len(ids))
+            yield pd.DataFrame({"a": ids[moved], "b": ids[label[moved]]})
 
     return (rows.repartition(*keys).sortWithinPartitions(*keys)
             .select("path", "i", "j", "block", "node", "low").mapInPandas(run, "a long, b long").distinct())
