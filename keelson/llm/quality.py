@@ -10,6 +10,7 @@ scorer per aspect, which then scores every document.
 
 from __future__ import annotations
 
+import functools
 import math
 import operator
 import re
@@ -18,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import CACHE_ENTRIES, normal, small_batches
+from keelson.llm.common import Recent, normal, small_batches
 
 # The bounded sample that the scorers are fitted on.
-SAMPLE_DOCS = 12_000       # documents, labelled ones first, in order of a hash
+SAMPLE_DOCS = 10_000       # documents, labelled ones first, in order of a hash
 SAMPLE_CHARS = 20_000      # longer documents are not drawn into the sample
 BUCKETS = 1 << 17          # hashed features of each scorer
 LEXICON_ODDS = 4.0         # log odds of a word that is typical of toxic documents
@@ -49,75 +51,69 @@ TOXIC = ("insults", "lexicon", "given_toxic")
 TOXIC_MODES = (("insults", "lexicon", "given_toxic"), ("lexicon", "given_toxic"))
 
 
-# ---- statistics of a text: per-word counts in the fields of one integer ----
-FIELD = 32
-LETTERS, CAPITALS, SYMBOLS, BARE, MARKED, FUNCTION, INSULT = range(7)
+# ---- statistics of a text ----------------------------------------------------
+SIGN, LOWER, CAPITAL, DIGIT, BLANK, CLOSING, CLASSES = range(7)
+CLOSING_SIGNS = ".,;:!?"
+MARKS = re.compile(r"[!#$%&*=~^|]{2,}")
 
 
-def word_fields(raw: str) -> int:
-    letters = sum(map(str.isalpha, raw))
-    other = sum(1 for c in raw if not c.isalnum())
-    norm = normal(raw)
-    values = (letters, sum(map(str.isupper, raw)), other, not norm,
-              bool(norm) and re.search(r"[!#$%&*=~^|]{2,}", raw) is not None,
-              norm in FUNCTION_WORDS, norm in INSULTS)
-    return sum(int(v) << (FIELD * i) for i, v in enumerate(values))
+@functools.lru_cache(maxsize=1)
+def class_table() -> np.ndarray:
+    """Class of every character up to U+FFFE; later ones count as signs."""
+    out = np.zeros(0x10000, np.uint8)
+    for i in range(0xFFFF):
+        c = chr(i)
+        out[i] = (BLANK if c.isspace() else CAPITAL if c.isupper() else LOWER if c.isalpha() else DIGIT if c.isdigit()
+                  else CLOSING if c in CLOSING_SIGNS else SIGN)
+    return out
 
 
-def shape(raw: str) -> str:
-    """Letters to a or A, digits to 0, other characters kept; runs cut to two."""
-    out: list[str] = []
-    for c in raw:
-        k = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
-        if out[-2:] != [k, k]:
-            out.append(k)
-    return "".join(out[:12])
+def classes_of(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return class_table()[np.minimum(codes, 0xFFFF)]
 
 
-def bucket(name: str) -> int:
-    import xxhash
-    return xxhash.xxh3_64_intdigest(name) % BUCKETS
+def plain_words(text: str) -> list[str]:
+    """Words in lower case, cut at blanks and closing signs."""
+    low = text.lower()
+    for c in CLOSING_SIGNS:
+        low = low.replace(c, " ")
+    return low.split()
 
 
-def toxic_features(raw: str) -> tuple[int, ...]:
-    """Buckets of a word and of its beginnings (words of rich inflection)."""
-    w = normal(raw)
-    return (bucket("w" + w), bucket("4" + w[:4]), bucket("5" + w[:5])) if len(w) > 2 else ()
-
+def statistics(text: str) -> tuple[np.ndarray, set[str], dict[str, float]]:
+    """(character classes, distinct words, ratios that labellers and scorers
+    use) of a text."""
+    cls, words = classes_of(text), plain_words(text)
+    count = np.bincount(cls, minlength=CLASSES).tolist()
+    ends = np.append(np.flatnonzero((cls[1:] == BLANK) & (cls[:-1] != BLANK)), len(cls) - 1)
+    named = np.concatenate([[0], np.cumsum((cls == LOWER) | (cls == CAPITAL) | (cls == DIGIT))])
+    starts = np.flatnonzero((cls != BLANK) & np.append(True, cls[:-1] == BLANK))[:len(ends)]
+    n, letters, signs = max(1, len(words)), count[LOWER] + count[CAPITAL], count[SIGN] + count[CLOSING]
+    distinct = set(words)
+    return cls, distinct, {
+        "words": len(words), "symbols": signs / max(1, signs + letters), "capitals": count[CAPITAL] / max(1, letters),
+        "repeats": sum(map(operator.eq, words, words[1:])) / n,
+        "bare": int((named[ends[:len(starts)] + 1] == named[starts]).sum()) / max(1, len(starts)),
+        "marked": len(MARKS.findall(text)) / n, "function": sum(map(FUNCTION_WORDS.__contains__, words)) / n,
+        "variety": len(distinct) / n,
+        "top": max((words.count(w) for w in words[len(words) // 4::max(1, len(words) // 4)]), default=0) / n,
+        "insults": len(INSULTS.intersection(distinct))}
 
-class Cached(dict):
-    """word -> f(word), at most CACHE_ENTRIES words at a time."""
 
-    def __init__(self, f):
-        super().__init__()
-        self.f = f
-
-    def __missing__(self, raw):
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        v = self[raw] = self.f(raw)
-        return v
+def bucket(name: str) -> int:
+    return xxhash.xxh3_64_intdigest(name) % BUCKETS
 
 
-class Stats:
-    """Ratios of a text that labellers and scorers use."""
+@functools.lru_cache(maxsize=50_000)
+def beginning(name: str) -> int:
+    return bucket(name)
 
-    def __init__(self):
-        self.fields = Cached(word_fields)
 
-    def of(self, text: str) -> tuple[list[str], set[str], dict[str, float]]:
-        words = text.split()
-        total = sum(map(self.fields.__getitem__, words))
-        n = max(1, len(words))
-        f = [(total >> (FIELD * i)) & ((1 << FIELD) - 1) for i in range(7)]
-        distinct = set(words)
-        return words, distinct, {
-            "words": len(words), "symbols": f[SYMBOLS] / max(1, f[SYMBOLS] + f[LETTERS]),
-            "capitals": f[CAPITALS] / max(1, f[LETTERS]),
-            "repeats": sum(map(operator.eq, words, words[1:])) / n, "bare": f[BARE] / n,
-            "marked": f[MARKED] / n, "function": f[FUNCTION] / n, "variety": len(distinct) / n,
-            "top": max((words.count(w) for w in words[len(words) // 4::max(1, len(words) // 4)]), default=0) / n,
-            "insults": f[INSULT]}
+def toxic_features(word: str) -> tuple[int, ...]:
+    """Buckets of a word and of its beginnings (words of rich inflection)."""
+    w = normal(word)
+    return (bucket("w" + w), beginning("4" + w[:4]), beginning("5" + w[:5])) if len(w) > 2 else ()
 
 
 def junk_votes(s: dict[str, float]) -> tuple[int, ...]:
@@ -217,25 +213,26 @@ def fit_linear(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, target:
     return out
 
 
-class Features:
-    """Non-zeros of the two scorers.  Junk: shares of word shapes and the
-    ratios; toxicity: the buckets that
-    its words hold."""
+RATIOS = ("symbols", "capitals", "repeats", "bare", "marked", "top")
 
-    RATIOS = ("symbols", "capitals", "repeats", "bare", "marked", "top")
 
-    def __init__(self):
-        self.shapes = Cached(lambda raw: bucket("s" + shape(raw)))
-        self.words = Cached(toxic_features)
+@functools.lru_cache(maxsize=1)
+def junk_buckets() -> np.ndarray:
+    """Buckets of the runs of three character classes, then of the ratios."""
+    return np.array([bucket(f"c{i}") for i in range(CLASSES ** 3)] + [bucket("r" + r) for r in RATIOS])
 
-    def junk(self, words: list[str], stats: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-        b, c = np.unique(np.fromiter(map(self.shapes.__getitem__, words), np.int64, len(words)), return_counts=True)
-        return (np.append(b, [bucket("r" + r) for r in self.RATIOS]),
-                np.append(c / max(1, len(words)), [stats[r] for r in self.RATIOS]))
 
-    def toxic(self, distinct: set[str]) -> tuple[np.ndarray, np.ndarray]:
-        b, c = np.unique(np.array([x for w in distinct for x in self.words[w]], np.int64), return_counts=True)
-        return b, np.ones(len(b))
+def junk_values(cls: np.ndarray, ratios: dict[str, float]) -> np.ndarray:
+    """Shares of the runs of three character classes, then the ratios, in the
+    order of :func:`junk_buckets`."""
+    c = cls.astype(np.int16)
+    runs = np.bincount(c[:-2] * CLASSES ** 2 + c[1:-1] * CLASSES + c[2:], minlength=CLASSES ** 3)
+    return np.concatenate([runs / max(1, len(c) - 2), [ratios[r] for r in RATIOS]])
+
+
+def toxic_row(features: Recent, distinct: set[str]) -> np.ndarray:
+    """The buckets that a text's words hold."""
+    return np.unique(np.array([x for w in distinct for x in features[w]], np.int64))
 
 
 @dataclass
@@ -247,26 +244,21 @@ class Classifier:
     toxic_w: np.ndarray
 
     def scorer(self):
-        stats = Stats()
-        jw, tw = self.junk_w, self.toxic_w
-        shapes = Cached(lambda raw: float(jw[bucket("s" + shape(raw))]))
-        words = Cached(lambda raw: tuple(x for x in toxic_features(raw) if tw[x]))
-        ratios = [(r, float(jw[bucket("r" + r)])) for r in Features.RATIOS]
+        tw, jw = self.toxic_w, self.junk_w[junk_buckets()]
+        held = Recent(lambda raw: tuple(x for x in toxic_features(raw) if tw[x]))
+        share = lambda z: 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
         def score(text: str) -> tuple[float, float]:
-            w, distinct, s = stats.of(text)
-            junk = jw[-1] + sum(map(shapes.__getitem__, w)) / max(1, len(w)) + sum(s[r] * x for r, x in ratios)
-            toxic = tw[-1] + math.fsum(tw[x] for x in set().union(*map(words.__getitem__, distinct)))
-            return 1 / (1 + math.exp(-max(-30, min(30, junk)))), 1 / (1 + math.exp(-max(-30, min(30, toxic))))
+            cls, distinct, ratios = statistics(text)
+            toxic = tw[-1] + math.fsum(tw[x] for x in set().union(*map(held.__getitem__, distinct)))
+            return share(float(self.junk_w[-1] + junk_values(cls, ratios) @ jw)), share(float(toxic))
         return score
 
 
-def lexicon_vote(hits: int) -> int:
-    return 1 if hits >= 2 else 0 if hits == 0 else -1
-
-
-def toxic_votes(insults: int, lexicon_hits: int, given: int | None) -> tuple[int, ...]:
-    return (1 if insults else 0, lexicon_vote(lexicon_hits), -1 if given is None else int(given))
+def toxic_votes(insults: np.ndarray, hits: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """Votes of the labellers of TOXIC: any insult; at least two buckets of the
+    lexicon, no opinion at one; the given label."""
+    return np.stack([insults > 0, np.where(hits >= 2, 1, np.where(hits == 0, 0, -1)), given], axis=1).astype(int).reshape(-1, 3)
 
 
 def learn_lexicon(buckets: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -300,60 +292,70 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     drawn = (ids.join(given, ids["doc_id"] == given["_id"], "left")
              .select("doc_id", "junk", "toxic")
              .orderBy(F.col("toxic").isNull(), F.xxhash64("doc_id", F.lit(11))).limit(SAMPLE_DOCS))
-    sample = (d.join(F.broadcast(drawn), "doc_id").filter(f"length(text) <= {SAMPLE_CHARS}")
-              .toPandas().sort_values("doc_id", ignore_index=True))
-    stats, feats = Stats(), Features()
-    parsed = [stats.of(t) for t in sample["text"]]
-    toxic_rows = [feats.toxic(distinct) for _, distinct, _ in parsed]
-    labelled = sample["toxic"].notna().to_numpy(bool)
-    is_toxic = (sample["toxic"] == 1).to_numpy(bool)
-    lexicon = learn_lexicon([b for (b, _), k in zip(toxic_rows, labelled) if k], is_toxic[labelled])
+    sample = d.join(F.broadcast(drawn), "doc_id").filter(f"length(text) <= {SAMPLE_CHARS}")
+
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Recent(toxic_features)
+        for b in batches:
+            rows = []
+            for t, junk, toxic in zip(b["text"], b["junk"], b["toxic"]):
+                cls, distinct, s = statistics(t)
+                v = junk_values(cls, s)
+                on = np.flatnonzero(v)
+                rows.append((*junk_votes(s), -1 if pd.isna(junk) else int(junk), int(s["insults"]),
+                             -1 if pd.isna(toxic) else int(toxic), junk_buckets()[on].astype(np.int32).tobytes(),
+                             v[on].astype(np.float32).tobytes(), toxic_row(words, distinct).astype(np.int32).tobytes()))
+            yield pd.DataFrame(rows, columns=[*JUNK, "n_insults", "given", "jb", "jv", "tb"])
+
+    votes_schema = ", ".join(f"{c} int" for c in (*JUNK, "n_insults"))
+    drawn_rows = sample.orderBy("doc_id").mapInPandas(
+        features, votes_schema + ", given int, jb binary, jv binary, tb binary").toPandas()
+    arrays = lambda c, kind: [np.frombuffer(x, kind) for x in drawn_rows[c]]
+    toxic_rows = arrays("tb", np.int32)
+    labels_of = drawn_rows["given"].to_numpy(int)
+    lexicon = learn_lexicon([b for b, g in zip(toxic_rows, labels_of) if g >= 0], labels_of[labels_of >= 0] == 1)
 
     # votes of all documents, as counts of patterns
-    typical = set(lexicon.tolist())
+    typical = frozenset(lexicon.tolist())
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        st = Stats()
-        hits = Cached(lambda raw: int(not typical.isdisjoint(toxic_features(raw))))
+        held = Recent(lambda raw: tuple(typical.intersection(toxic_features(raw))))
         for b in batches:
             rows = []
             for i, t in zip(b["doc_id"], b["text"]):
-                _, distinct, s = st.of(t)
-                rows.append((i, *junk_votes(s), min(2, int(s["insults"])), min(2, sum(map(hits.__getitem__, distinct)))))
+                _, distinct, s = statistics(t)
+                rows.append((i, *junk_votes(s), min(1, int(s["insults"])),
+                             min(2, len(set().union(*map(held.__getitem__, distinct))))))
             yield pd.DataFrame(rows, columns=["doc_id", *JUNK[:-1], "n_insults", "n_lexicon"])
 
     kind = docs.schema[key].dataType.simpleString()
     votes = d.mapInPandas(vote, f"doc_id {kind}, " + ", ".join(f"{c} int" for c in (*JUNK[:-1], "n_insults", "n_lexicon")))
     votes = (votes.join(given, votes["doc_id"] == given["_id"], "left")
-             .withColumn("given_junk", F.coalesce(F.col("junk").cast("int"), F.lit(-1))))
-    patterns = votes.groupBy(*JUNK, "n_insults", "n_lexicon", "toxic").count().toPandas()
+             .withColumn(JUNK[-1], F.coalesce(F.col("junk").cast("int"), F.lit(-1)))
+             .withColumn("given", F.coalesce(F.col("toxic").cast("int"), F.lit(-1))))
+    patterns = votes.groupBy(*JUNK, "n_insults", "n_lexicon", "given").count().toPandas()
     counts = patterns["count"].to_numpy(float)
     junk_model = fit_label_model(patterns[list(JUNK)].to_numpy(int).reshape(-1, len(JUNK)), counts, JUNK, JUNK_MODES)
-    given_of = lambda x: None if pd.isna(x) else int(x)
-    toxic_model = fit_label_model(np.array(
-        [toxic_votes(a, b, given_of(t)) for a, b, t in zip(patterns["n_insults"], patterns["n_lexicon"], patterns["toxic"])],
-        int).reshape(-1, len(TOXIC)), counts, TOXIC, TOXIC_MODES)
+    toxic_model = fit_label_model(toxic_votes(*(patterns[c].to_numpy(int) for c in ("n_insults", "n_lexicon", "given"))),
+                                  counts, TOXIC, TOXIC_MODES)
 
     # posterior labels of the sample train the scorers
-    jv = np.array([(*junk_votes(s), -1 if pd.isna(g) else int(g)) for (_, _, s), g in zip(parsed, sample["junk"])],
-                  int).reshape(-1, len(JUNK))
     in_lexicon = np.zeros(BUCKETS, bool)
     in_lexicon[lexicon] = True
-    hit_of = Cached(lambda raw: int(not typical.isdisjoint(toxic_features(raw))))
-    tv = np.array([toxic_votes(int(s["insults"]), sum(map(hit_of.__getitem__, distinct)), given_of(t))
-                   for (_, distinct, s), t in zip(parsed, sample["toxic"])], int).reshape(-1, len(TOXIC))
-    junk_rows = [feats.junk(w, s) for w, _, s in parsed]
-    fitted = []
-    for rows, target, l1 in ((junk_rows, junk_model.posterior(jv), JUNK_L1),
-                             (toxic_rows, toxic_model.posterior(tv), TOXIC_L1)):
-        sizes = [len(b) for b, _ in rows]
-        doc = np.repeat(np.arange(len(rows)), sizes)
-        cat = lambda i, kind: np.concatenate([r[i] for r in rows]) if rows else np.empty(0, kind)  # noqa: E731, B023
-        w = fit_linear(doc, cat(0, np.int64).astype(np.int64), cat(1, float), target, BUCKETS, l1)
+    hits = np.array([in_lexicon[b].sum() for b in toxic_rows], int)
+    junk_p = junk_model.posterior(drawn_rows[list(JUNK)].to_numpy(int).reshape(-1, len(JUNK)))
+    toxic_p = toxic_model.posterior(toxic_votes(drawn_rows["n_insults"].to_numpy(int), hits, labels_of))
+
+    def scorer(rows: list[np.ndarray], values: list[np.ndarray] | None, target: np.ndarray, l1: float) -> np.ndarray:
         if not len(rows):
-            w[-1] = -1.0
-        fitted.append(w)
-    return Classifier(junk_model, toxic_model, lexicon, *fitted)
+            return np.append(np.zeros(BUCKETS), -1.0)
+        doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(b) for b in rows])
+        value = np.ones(len(doc), np.float32) if values is None else np.concatenate(values)
+        return fit_linear(doc, np.concatenate(rows), value, target, BUCKETS, l1)
+
+    return Classifier(junk_model, toxic_model, lexicon,
+                      scorer(arrays("jb", np.int32), arrays("jv", np.float32), junk_p, JUNK_L1),
+                      scorer(toxic_rows, None, toxic_p, TOXIC_L1))
 
 
 def classify(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text",
@@ -372,8 +374,10 @@ def classify(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = shared.value.scorer()
         for b in texts:
-            yield pd.DataFrame([score(t) if t and t.strip() else (0.0, 0.0) for t in b], columns=["p_junk", "p_toxic"])
+            yield pd.DataFrame([score(t) if t and not t.isspace() else (0.0, 0.0) for t in b], columns=["p_junk", "p_toxic"])
 
-    return (docs.drop(*names, keep).withColumn("_s", scores(F.col(text).cast("string")))
+    # said to be nondeterministic, so that a filter on the scores doesn't run it twice
+    once = scores.asNondeterministic()
+    return (docs.drop(*names, keep).withColumn("_s", once(F.col(text).cast("string")))
             .withColumns({names[0]: F.col("_s.p_junk"), names[1]: F.col("_s.p_toxic")}).drop("_s")
             .withColumn(keep, (F.col(names[0]) <= threshold) & (F.col(names[1]) <= threshold)))
