@@ -27,6 +27,9 @@ SEED_WORDS = 10       # k
 # Suffixes that one task sorts together; a k-gram in more places is compared
 # by aggregated passage hashes, which gives the same passages.
 GROUP_ROWS = 20_000
+# Frequent k-grams (8 bytes each) up to which their list is broadcast; beyond,
+# it is joined by shuffle.
+BROADCAST_GRAMS = 500_000
 
 
 def minimisers(h: np.ndarray, min_words: int, k: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -85,9 +88,9 @@ def seeds_of(docs: DataFrame, min_words: int, key: str, text: str) -> DataFrame:
 
 
 def contexts(found: DataFrame, min_words: int) -> DataFrame:
-    """(gram, hot, node, place, left, right): the words before and from each
-    retained place on, as big-endian hashes that sort like the words; missing
-    words are 0."""
+    """(gram, node, place, context): the words before and from each retained
+    place on, as big-endian hashes that sort like the words; missing words are
+    0."""
     before = min_words - SEED_WORDS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -100,12 +103,12 @@ def contexts(found: DataFrame, min_words: int) -> DataFrame:
                 at = np.array([m["place"] for m in marks], np.int64)
                 view = np.lib.stride_tricks.sliding_window_view(pad, before + min_words)[at]
                 out.append(pd.DataFrame({
-                    "gram": [m["gram"] for m in marks], "hot": [m["hot"] for m in marks], "node": node, "place": at,
+                    "gram": [m["gram"] for m in marks], "node": node, "place": at,
                     "context": [r.tobytes() for r in view.astype(">u4")]}))
             yield pd.concat(out) if out else pd.DataFrame(
-                {c: [] for c in ("gram", "hot", "node", "place", "context")})
+                {c: [] for c in ("gram", "node", "place", "context")})
 
-    return found.mapInPandas(run, "gram long, hot boolean, node long, place int, context binary")
+    return found.mapInPandas(run, "gram long, node long, place int, context binary")
 
 
 def common_prefix(rows: np.ndarray) -> np.ndarray:
@@ -165,8 +168,9 @@ def union_spans(node: np.ndarray, start: np.ndarray, length: int) -> pd.DataFram
     return pd.DataFrame({"node": node[first], "from": start[first], "to": start[last] + length})
 
 
-def passages(ctx: DataFrame, min_words: int) -> DataFrame:
-    """(node, from, to) from retained suffixes with their contexts."""
+def passages(ctx: DataFrame, min_words: int, hot: bool) -> DataFrame:
+    """(node, from, to) from retained suffixes with their contexts; ``hot``:
+    by aggregated hashes of all passages, no group in one task."""
     width = 2 * min_words - SEED_WORDS
     schema = "node long, `from` long, `to` long"
 
@@ -189,11 +193,16 @@ def passages(ctx: DataFrame, min_words: int) -> DataFrame:
                 yield pd.DataFrame({"h": signed(h), "node": b["node"].to_numpy()[full],
                                     "from": b["place"].to_numpy(np.int64)[full] - l})
 
-    cold = ctx.filter("NOT hot").repartition("gram").sortWithinPartitions("gram").select("gram", "node", "place", "context")
-    found = cold.mapInPandas(sort_and_compare, schema)
-    hot = ctx.filter("hot").select("node", "place", "context").mapInPandas(all_passages, "h long, node long, `from` long")
-    held = hot.groupBy("h").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z").select("h")
-    return found.unionByName(hot.join(held, "h", "left_semi").select("node", "from", (F.col("from") + min_words).alias("to")))
+    if not hot:
+        return (ctx.repartition("gram").sortWithinPartitions("gram")
+                .mapInPandas(sort_and_compare, schema))
+    every = cut_lineage(ctx.mapInPandas(all_passages, "h long, node long, `from` long"))
+    held = every.groupBy("h").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z").select("h")
+    # the places of one passage are dealt to several tasks
+    held = held.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    return (every.withColumn("_s", F.pmod(F.xxhash64("node"), F.lit(16)).cast("int"))
+            .join(held, ["h", "_s"], "left_semi")
+            .select("node", "from", (F.col("from") + min_words).alias("to")))
 
 
 def merge_spans(spans: DataFrame) -> DataFrame:
@@ -230,16 +239,26 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, key: str = "doc_id",
     reps = cut_lineage(reps)
     marks = reps.select("node", F.explode(F.arrays_zip("grams", "places")).alias("m")).select(
         "node", F.col("m.grams").alias("gram"), F.col("m.places").alias("place"))
-    shared = (marks.groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"))
-              .filter("a != z").select("gram", (F.col("n") > GROUP_ROWS).alias("hot")))
-    kept = (marks.join(shared, "gram").groupBy("node")
-            .agg(F.collect_list(F.struct("gram", "place", "hot")).alias("marks")))
-    kept = kept.join(reps.select("node", F.col("doc_id").alias("rep_id"), F.col("text_key").alias("rep_key")), "node")
+    shared = cut_lineage(marks.groupBy("gram").agg(
+        F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"))
+        .filter("a != z").select("gram", (F.col("n") > GROUP_ROWS).alias("hot")))
     texts = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_key"), F.col(text).alias("text"))
-    found = (kept.join(texts, F.col("rep_id").eqNullSafe(F.col("_id")) & (F.col("rep_key") == F.col("_key")))
-             .select("node", "text", "marks").dropDuplicates(["node"]))
-    ctx = contexts(found, min_words)
-    spans = merge_spans(passages(ctx, min_words))
+
+    def passages_of(hot: bool) -> DataFrame:
+        grams = shared.filter(F.col("hot") == hot).select("gram")
+        if hot:
+            grams = F.broadcast(grams) if grams.count() <= BROADCAST_GRAMS else grams
+        kept = marks.join(grams, "gram").groupBy("node").agg(F.collect_list(F.struct("gram", "place")).alias("marks"))
+        kept = kept.join(reps.select("node", F.col("doc_id").alias("rep_id"), F.col("text_key").alias("rep_key")), "node")
+        # ids repeat only where a row does, with the same text: any of them serves
+        found = (kept.join(texts, F.col("rep_id").eqNullSafe(F.col("_id")) & (F.col("rep_key") == F.col("_key")))
+                 .select("node", "text", "marks"))
+        return passages(contexts(found, min_words), min_words, hot)
+
+    found = passages_of(False)
+    if not shared.filter("hot").isEmpty():
+        found = found.unionByName(passages_of(True))
+    spans = merge_spans(found)
     per = same.filter("copies > 1").select("node", F.lit(True).alias("whole")).join(spans, "node", "full")
     return (rows.select("doc_id", "text_key", "n_words", F.col("words_key").alias("node")).join(per, "node")
             .withColumn("spans", F.when(F.col("whole"), F.array(F.struct(
