@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from keelson.session import cut_lineage
 
 
+# Tasks that the documents of one line are dealt to.
+SALTS = 32
+
+
 def line_table(docs: DataFrame, site: str = "source", text: str = "text") -> DataFrame:
     """(h1, h2, site) for every non-blank line; lines compare after trimming."""
     lines = (docs.filter(F.col(site).isNotNull())
@@ -39,7 +43,9 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = 10, lg_k: int = 12,
         F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("est"))
     seen = cut_lineage(spread.filter(F.col("est") >= min_sites - margin))
     near = seen.filter(F.col("est") <= min_sites + margin).select("h1", "h2")
-    exact = (lines.join(near, ["h1", "h2"], "left_semi").distinct()
+    # distinct first: a line of many documents shrinks to its sites on the map
+    # side, before its hash brings it to one task
+    exact = (lines.distinct().join(near, ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") >= min_sites).select("h1", "h2", F.lit(True).alias("exact")))
     sure = seen.filter(F.col("est") > min_sites + margin).select("h1", "h2", F.lit(False).alias("exact"))
@@ -60,8 +66,11 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, sig
     held = (docs.select(F.col(key).alias("_key"), F.explode(F.split(text, "\n")).alias("line"))
             .withColumn("line", F.trim("line")).filter("line != ''")
             .select("_key", F.expr("xxhash64(1, line)").alias("h1"), F.expr("xxhash64(2, line)").alias("h2")))
-    cut = (held.join(bad, ["h1", "h2"], "left_semi").distinct()
-           .groupBy("_key").agg(F.collect_list(F.struct("h1", "h2")).alias("_cut")))
+    # a frequent line is dealt to SALTS tasks by its documents
+    salted = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    cut = (held.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+           .join(salted, ["h1", "h2", "_salt"], "left_semi")
+           .groupBy("_key").agg(F.collect_set(F.struct("h1", "h2")).alias("_cut")))
     d = docs.drop("n_lines", "n_removed")
     j = d.join(cut, d[key].eqNullSafe(cut["_key"]), "left").drop("_key")
     kept = F.expr(f"filter(split(`{text}`, '\\n'), l -> NOT array_contains(_cut, "
