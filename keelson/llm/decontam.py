@@ -3,12 +3,13 @@
 A mask of ``span`` words hashes only the positions it keeps, so a substituted
 word under an ignored position doesn't hide a hit.  Test and training hashes
 are joined; each hit fixes an alignment (diagonal) of document and item, along
-which the best overlap is verified word by word.
+which the longest overlaps are verified word by word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -123,17 +124,30 @@ def candidate_rows(docs: DataFrame, bits: np.ndarray, power: int, used: list[int
                               "places array<int>, hashes array<long>"))
 
 
-def best_overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, share: float) -> tuple[int, int, int]:
-    """(from, to, equal words) in the item's positions of the best segment on
-    the diagonal: the greatest sum of 1 for an equal and -share / (1 - share)
-    for a different word."""
+def diagonal_overlaps(doc: np.ndarray, item: np.ndarray, diagonal: int, least: int,
+                      share: float) -> list[tuple[int, int, int]]:
+    """(from, to, equal words) in the item's positions of the overlaps on the
+    diagonal: the longest segment of which ``share`` is equal, and the same in
+    what is left before and behind it, down to ``least`` words.  Every segment
+    of that length and share meets one of them."""
     lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     same = doc[lo + diagonal:hi + diagonal] == item[lo:hi]
-    total = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -share / (1 - share)))])
-    gain = total - np.minimum.accumulate(total)
-    to = int(np.argmax(gain))
-    start = int(np.argmin(total[:to + 1]))
-    return lo + start, lo + to, int(same[start:to].sum())
+    part = Fraction(str(share))    # whole numbers: a share met exactly is met
+    total = np.concatenate([[0], np.cumsum(np.where(same, part.denominator - part.numerator, -part.numerator))])
+    out, rest = [], [(0, len(same))]
+    while rest:
+        a, z = rest.pop()
+        if z - a < max(1, least):
+            continue
+        t = total[a:z + 1]
+        # the first place with a sum as low as that of each end
+        start = np.searchsorted(-np.minimum.accumulate(t), -t)
+        to = int(np.argmax(np.arange(len(t)) - start))
+        start, to = a + int(start[to]), a + to
+        if to - start >= max(1, least):
+            out.append((lo + start, lo + to, int(same[start:to].sum())))
+            rest += [(a, start), (to, z)]
+    return sorted(out)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, share: float = 0.8,
@@ -141,7 +155,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, share:
              item_text: str = "text") -> DataFrame:
     """(doc_id, text_key, item_id, doc_from, doc_to, item_from, n_equal): the
     overlaps of at least ``min_words`` words (or the whole item, if shorter),
-    of which at least ``share`` are equal.  Positions count normal words.
+    of which at least ``share`` are equal; of overlaps on one diagonal that
+    meet, the longest.  Positions count normal words.
 
     Null texts overlap nothing; items with fewer than 5 words are no evidence
     and match nothing; repeated rows (same id and text) give their overlaps
@@ -169,9 +184,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, share:
             for doc_id, text_key, item_id, diagonal, words, item in zip(*(b[c] for c in (
                     "doc_id", "text_key", "item_id", "diagonal", "words", "item"))):
                 w, x = np.frombuffer(words, np.uint64), np.frombuffer(item, np.uint64)
-                a, z, n = best_overlap(w, x, diagonal, share)
-                if z - a >= min(min_words, len(x)) and n >= share * (z - a):
-                    out.append((doc_id, text_key, item_id, a + diagonal, z + diagonal, a, n))
+                out += [(doc_id, text_key, item_id, a + diagonal, z + diagonal, a, n)
+                        for a, z, n in diagonal_overlaps(w, x, diagonal, min(min_words, len(x)), share)]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in empty.split(", ")])
 
     return (pairs.join(rows.select("row", "doc_id", "text_key", "words"), "row").join(items, "item_id")

@@ -352,6 +352,37 @@ def test_overlaps_equal_brute_force(spark):
     assert decontam.overlaps(d, b.limit(0)).count() == 0 and decontam.decontaminate(empty(spark), b).count() == 0
 
 
+def substituted(words, places):
+    return [f"other{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_diagonal_overlaps_equal_a_search_of_all_segments():
+    rng = random.Random(81)
+    for trial in range(400):
+        n, share = rng.randint(10, 45), rng.choice([0.8, 0.8, 0.9, 0.7, 1.0])
+        same = [rng.random() < rng.choice([0.5, 0.8, 0.9]) for _ in range(n)]
+        item, shift = np.arange(1, n + 1, dtype=np.uint64), rng.randint(0, 5)
+        doc = np.concatenate([np.full(shift, 999, np.uint64), np.where(same, item, np.uint64(0))])
+        got = decontam.diagonal_overlaps(doc, item, shift, 10, share)
+        least = round(share * 10)
+        whole = [(a, z) for a in range(n) for z in range(a + 10, n + 1) if 10 * sum(same[a:z]) >= least * (z - a)]
+        assert all((a, z) in whole and k == sum(same[a:z]) for a, z, k in got)
+        assert all(any(a < y and x < z for x, y, _ in got) for a, z in whole)
+        assert max((z - a for a, z, _ in got), default=0) == max((z - a for a, z in whole), default=0)
+        assert all(p[1] <= q[0] for p, q in zip(got, got[1:]))
+
+
+def test_overlaps_with_substituted_words(spark):
+    ten, twenty, two = (prose(3000 + i, n).split() for i, n in enumerate((10, 20, 60)))
+    apart = substituted(two, set(range(15, 45)))
+    texts = [(1, substituted(ten, {3})), (2, substituted(twenty, {5, 10, 15})), (3, apart)]
+    d = docs_of(spark, [(i, " ".join(["left"] * 20 + t + ["right"] * 20)) for i, t in texts])
+    b = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate((ten, twenty, two), 1)], "item_id long, text string")
+    got = sorted(tuple(r)[2:] for r in decontam.overlaps(d, b).select(
+        "doc_id", "text_key", "item_id", "item_from", "n_equal", "doc_from").collect())
+    assert [r[:3] for r in got] == [(1, 0, 9), (2, 0, 17), (3, 0, 15), (3, 42, 15)]
+
+
 # ---- 9 similarity join ----------------------------------------------------------------------
 def brute_classes(texts, k=5, least=0.8):
     sets = []
