@@ -19,8 +19,13 @@ from pyspark.sql import functions as F
 from keelson.llm.common import WordHashes, drop_rows, mix, odd_constants, signed, small_batches
 from keelson.session import cut_lineage
 
-# Kept (1) and ignored (0) positions; fixed values of this operator.
-MASKS = ("1101100111", "1011011101", "1110110011")
+# Kept (1) and ignored (0) positions; fixed values of this operator.  The first
+# five fit around any two substitutions in 10 words, at some place; the last
+# one around three in 15 that stand so close that every 10 words hold all of
+# them.  An overlap of 20 words or more has a part of 10 to 19 words with at
+# least its share, so no overlap of 10 words that is 80% equal goes unseeded.
+MASKS = ("110101011", "11100111", "11011011", "111111", "1001111001", "111110000011111")
+# Least words of an item that the masks are for.
 SPAN = 10
 # Items of 5 to 9 words are shorter than a mask: they must occur word for word.
 SHORTEST = 5
@@ -156,7 +161,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 10, share:
     """(doc_id, text_key, item_id, doc_from, doc_to, item_from, n_equal): the
     overlaps of at least ``min_words`` words (or the whole item, if shorter),
     of which at least ``share`` are equal; of overlaps on one diagonal that
-    meet, the longest.  Positions count normal words.
+    meet, the longest.  Positions count normal words.  None is missed for
+    ``min_words`` of at least 10 and a ``share`` of at least 0.8 (see MASKS);
+    below these a hit needs the words that one mask keeps.
 
     Null texts overlap nothing; items with fewer than 5 words are no evidence
     and match nothing; repeated rows (same id and text) give their overlaps

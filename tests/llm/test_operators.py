@@ -4,6 +4,7 @@ ties, repeated rows, no rows, extra columns with clashing names."""
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -383,6 +384,25 @@ def test_overlaps_with_substituted_words(spark):
     assert [r[:3] for r in got] == [(1, 0, 9), (2, 0, 17), (3, 0, 15), (3, 42, 15)]
 
 
+def test_masks_fit_every_overlap():
+    # 20 words or more split into parts of 10 to 19, one of which has the share
+    kept = [[j for j, c in enumerate(m) if c == "1"] for m in decontam.MASKS]
+    for n in range(10, 20):
+        places = [{s + j for j in k} for m, k in zip(decontam.MASKS, kept) for s in range(n - len(m) + 1)]
+        for bad in itertools.combinations(range(n), n // 5):
+            assert any(p.isdisjoint(bad) for p in places), (n, bad)
+
+
+def test_overlaps_with_two_substitutions_in_ten_words(spark):
+    cases = [(10, {0, 9}), (10, {3, 5}), (15, {5, 7, 9}), (50, set(range(4, 50, 5))), (50, set(range(0, 50, 5)))]
+    items = [prose(4000 + i, n).split() for i, (n, _) in enumerate(cases)]
+    d = docs_of(spark, [(i, " ".join(["left"] * 9 + substituted(t, bad) + ["right"] * 9))
+                        for i, (t, (_, bad)) in enumerate(zip(items, cases))])
+    b = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["doc_from"], r["doc_to"], r["n_equal"]) for r in decontam.overlaps(d, b).collect())
+    assert got == [(i, i, 9, 9 + n, n - len(bad)) for i, (n, bad) in enumerate(cases)]
+
+
 # ---- 9 similarity join ----------------------------------------------------------------------
 def brute_classes(texts, k=5, least=0.8):
     sets = []
