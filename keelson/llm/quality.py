@@ -14,6 +14,7 @@ import functools
 import math
 import operator
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -90,15 +91,14 @@ def statistics(text: str) -> tuple[np.ndarray, set[str], dict[str, float]]:
     named = np.concatenate([[0], np.cumsum((cls == LOWER) | (cls == CAPITAL) | (cls == DIGIT))])
     starts = np.flatnonzero((cls != BLANK) & np.append(True, cls[:-1] == BLANK))[:len(ends)]
     n, letters, signs = max(1, len(words)), count[LOWER] + count[CAPITAL], count[SIGN] + count[CLOSING]
-    distinct = set(words)
-    return cls, distinct, {
+    held = Counter(words)
+    return cls, set(held), {
         "words": len(words), "symbols": signs / max(1, signs + letters), "capitals": count[CAPITAL] / max(1, letters),
         "repeats": sum(map(operator.eq, words, words[1:])) / n,
         "bare": int((named[ends[:len(starts)] + 1] == named[starts]).sum()) / max(1, len(starts)),
         "marked": len(MARKS.findall(text)) / n, "function": sum(map(FUNCTION_WORDS.__contains__, words)) / n,
-        "variety": len(distinct) / n,
-        "top": max((words.count(w) for w in words[len(words) // 4::max(1, len(words) // 4)]), default=0) / n,
-        "insults": len(INSULTS.intersection(distinct))}
+        "variety": len(held) / n, "top": max(held.values(), default=0) / n,
+        "insults": len(INSULTS.intersection(held))}
 
 
 def bucket(name: str) -> int:

@@ -161,6 +161,21 @@ def test_classifier_on_awkward_rows(spark):
     assert quality.classify(docs_of(spark, [(1, prose(1, 50))]), none).first()["keep"]
 
 
+def test_share_of_the_most_frequent_word():
+    rng = random.Random(33)
+    for trial in range(200):
+        words = [f"w{i}" for i in range(rng.randint(1, 70))] + ["often"] * rng.randint(0, 30)
+        rng.shuffle(words)
+        top = max(map(words.count, words)) / len(words)
+        assert quality.statistics(" ".join(words))[2]["top"] == top
+    words = [f"w{i}" for i in range(40)]
+    for i in (*range(1, 9), *range(11, 16)):      # not at the quarters
+        words[i] = "often"
+    s = quality.statistics(" ".join(words))[2]
+    assert s["top"] == 13 / 40 and quality.junk_votes(s)[quality.JUNK.index("top_word")] == 1
+    assert quality.statistics("")[2]["top"] == 0
+
+
 # ---- 3 personal data -----------------------------------------------------------
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
