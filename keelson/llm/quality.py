@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import Recent, normal, small_batches
+from keelson.llm.common import BROADCAST_IDS, Recent, normal, small_batches
 
 # The bounded sample that the scorers are fitted on.
 SAMPLE_DOCS = 10_000       # documents, labelled ones first, in order of a hash
@@ -261,13 +261,33 @@ def toxic_votes(insults: np.ndarray, hits: np.ndarray, given: np.ndarray) -> np.
     return np.stack([insults > 0, np.where(hits >= 2, 1, np.where(hits == 0, 0, -1)), given], axis=1).astype(int).reshape(-1, 3)
 
 
-def learn_lexicon(buckets: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Buckets far more frequent in documents labelled toxic than in others."""
-    n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    def df(which):
-        held = [b for b, t in zip(buckets, which) if t]
-        return np.bincount(np.concatenate(held) if held else np.empty(0, np.int64), minlength=BUCKETS)
-    d1, d0 = df(toxic), df(~toxic)
+def word_counts(d: DataFrame, given: DataFrame) -> DataFrame:
+    """(bucket, n_toxic, n_fine): the labelled documents that hold each bucket;
+    all documents of a label under bucket -1.  Up to BROADCAST_IDS labels meet
+    the texts by broadcast; beyond, both are shuffled by id."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, held = Recent(toxic_features), np.zeros((2, BUCKETS + 1), np.int64)
+        for b in batches:
+            for t, toxic in zip(b["text"], b["toxic"]):
+                n = held[int(toxic == 1)]
+                n[toxic_row(words, set(plain_words(t)))] += 1
+                n[-1] += 1
+        on = np.flatnonzero(held.any(axis=0))
+        yield pd.DataFrame({"bucket": np.where(on == BUCKETS, -1, on), "n_toxic": held[1, on], "n_fine": held[0, on]})
+
+    said = given.filter("toxic >= 0").select("_id", "toxic")
+    said = F.broadcast(said) if said.count() <= BROADCAST_IDS else said
+    return (d.join(said, d["doc_id"] == said["_id"]).filter("length(text) > 0")
+            .select("text", "toxic").mapInPandas(run, "bucket long, n_toxic long, n_fine long")
+            .groupBy("bucket").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_fine").alias("n_fine")))
+
+
+def learn_lexicon(counts: pd.DataFrame) -> np.ndarray:
+    """Buckets far more frequent in documents labelled toxic than in others,
+    from :func:`word_counts`."""
+    held = np.zeros((2, BUCKETS + 1), np.int64)
+    held[:, counts["bucket"].to_numpy(np.int64)] = counts[["n_toxic", "n_fine"]].to_numpy(np.int64).T
+    (d1, d0), (n1, n0) = held[:, :-1], np.maximum(1, held[:, -1])
     odds = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1))
     return np.flatnonzero((odds > LEXICON_ODDS) & (d1 >= LEXICON_DOCS))
 
@@ -281,8 +301,8 @@ def with_labels(docs: DataFrame, labels: DataFrame, key: str, text: str) -> Data
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
-    """Fit the label models on the vote patterns of all documents and the
-    scorers on a bounded sample (SAMPLE_DOCS documents of at most SAMPLE_CHARS
+    """Fit the lexicon on all labelled documents, the label models on the vote
+    patterns of all documents and the scorers on a bounded sample (SAMPLE_DOCS documents of at most SAMPLE_CHARS
     characters).  An empty table gives a classifier that keeps everything
     without a vote against it."""
     small_batches(docs.sparkSession)
@@ -313,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     arrays = lambda c, kind: [np.frombuffer(x, kind) for x in drawn_rows[c]]
     toxic_rows = arrays("tb", np.int32)
     labels_of = drawn_rows["given"].to_numpy(int)
-    lexicon = learn_lexicon([b for b, g in zip(toxic_rows, labels_of) if g >= 0], labels_of[labels_of >= 0] == 1)
+    lexicon = learn_lexicon(word_counts(d, given).toPandas())   # at most BUCKETS + 1 rows
 
     # votes of all documents, as counts of patterns
     typical = frozenset(lexicon.tolist())

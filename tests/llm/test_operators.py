@@ -176,6 +176,25 @@ def test_share_of_the_most_frequent_word():
     assert quality.statistics("")[2]["top"] == 0
 
 
+def test_lexicon_covers_all_labelled_documents(spark, monkeypatch):
+    docs, labels = corpus(spark, 300, 3)
+    toxic = {r["doc_id"]: r["toxic"] for r in labels.filter("doc_id % 3 > 0").collect()}
+    # some long ones, and a word that only they and a few others hold
+    rare = [i for i, t in toxic.items() if t][::4]
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(rare), F.concat("text", F.lit(" quibnor"), F.repeat(
+        F.lit(" x"), F.when(F.col("doc_id").isin(rare[::2]), 15_000).otherwise(1)))).otherwise(F.col("text")))
+    held, n = collections.Counter(), collections.Counter(toxic.values())
+    for r in docs.collect():
+        if r["doc_id"] in toxic:
+            buckets = {x for w in quality.plain_words(r["text"]) for x in quality.toxic_features(w)}
+            held.update((x, toxic[r["doc_id"]]) for x in buckets)
+    odds = lambda x: math.log((held[x, 1] + 0.5) / (n[1] + 1)) - math.log((held[x, 0] + 0.5) / (n[0] + 1))
+    want = sorted(x for x in {x for x, _ in held} if held[x, 1] >= 4 and odds(x) > 4)
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 40)
+    got = quality.fit(docs, labels.filter("doc_id % 3 > 0")).lexicon.tolist()
+    assert got == want and quality.toxic_features("zorkel")[0] in want
+
+
 # ---- 3 personal data -----------------------------------------------------------
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
