@@ -165,3 +165,37 @@ def op3_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_sha256, spans."""
     from keelson.llm.pii import pii_spans
     return pii_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_fingerprint_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of 2 to 5 words found at least
+    100 times: lang, rank, phrase, a, l, r, n, score."""
+    from keelson.llm.collocations import collocations
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return collocations(docs, min_count=100, top=2000, covered=100).drop("example")
+
+
+SQL["op12_fingerprint_collocations"] = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+t AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, m, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+  FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(ws) >= m),
+f AS MATERIALIZED (SELECT lang, phrase, m, count(*) AS a, string_split(phrase, ' ') AS ws FROM g GROUP BY lang, phrase, m HAVING count(*) >= 100),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, l.a AS l, r.a AS r, t.n,
+    CAST((1000::HUGEINT * k.a * t.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM k JOIN t ON t.lang = k.lang
+  JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.ws[1:k.k], ' ')
+  JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.ws[k.k + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (SELECT lang, array_to_string(ws[u.i:u.i + u.j - 1], ' ') AS phrase, max(a) AS longer
+  FROM f, (SELECT i, j FROM range(1, 5) x(i), range(2, 5) y(j)) u
+  WHERE m > 2 AND u.j < m AND u.i + u.j - 1 <= m GROUP BY ALL),
+c AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score FROM c
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
