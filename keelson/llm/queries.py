@@ -199,3 +199,55 @@ c AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
   phrase, a, l, r, n, score FROM c
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
+
+
+@query
+def op11_pivot_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector of ``embeddings`` as 8 codebook entries: vec_id,
+    code, error, label_error, codebooks_sha256."""
+    from keelson.llm.codebooks import compressed
+    return compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def _codebook_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The rounds written out: b holds codebooks, a the nearest entries."""
+    squares = "CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(x.xs, b.xs)]) AS BIGINT)"
+    ctes = [f"""v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    [CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0)""",
+            f"""x AS MATERIALIZED (SELECT rid, p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS xs
+  FROM v, (SELECT unnest(range({parts})) AS p))""",
+            f"b0 AS MATERIALIZED (SELECT p, rid - 1 AS e, xs FROM x WHERE rid <= {entries})"]
+    for i in range(rounds + 1):
+        ctes.append(f"a{i} AS MATERIALIZED (SELECT x.rid, x.p, min({squares} * {entries} + b.e) AS m "
+                    f"FROM x JOIN b{i} b ON b.p = x.p GROUP BY x.rid, x.p)")
+        if i < rounds:
+            ctes.append(f"""b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(n.xs, b.xs) AS xs FROM b{i} b LEFT JOIN (
+    SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS xs FROM (
+      SELECT a.p, a.m % {entries} AS e, u.i, CAST(sum(x.xs[u.i]) AS BIGINT) AS s, count(*) AS c
+      FROM a{i} a JOIN x ON x.rid = a.rid AND x.p = a.p, LATERAL (SELECT unnest(range(1, len(x.xs) + 1)) AS i) u
+      GROUP BY ALL) GROUP BY p, e) n ON n.p = b.p AND n.e = b.e)""")
+    return f"""WITH {", ".join(ctes)},
+r AS (SELECT rid, string_agg(printf('%02x', m % {entries}), '' ORDER BY p) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT v.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, h.codebooks_sha256
+FROM v JOIN r USING (rid), h"""
+
+
+SQL["op11_pivot_codebooks"] = _codebook_sql()
+
+
+@query
+def op13_charconv_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: doc_id, n_assign, n_access, n_hex,
+    base_sha256, spans, n_likely (findings the network holds likely)."""
+    from keelson.llm.secret_scan import KINDS, secret_findings
+    found = secret_findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("findings", lambda f: f["base"])
+    joined = lambda a: F.array_join(F.transform(a, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
+    count = lambda keep: F.size(F.filter("findings", keep)).cast("long")
+    return found.select(
+        "doc_id", *[count(lambda f, k=k: f["base"] & (f["kind"] == k)).alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"),
+        count(lambda f: f["likely"]).alias("n_likely"))
