@@ -246,8 +246,8 @@ def op13_charconv_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("findings", lambda f: f["base"])
     joined = lambda a: F.array_join(F.transform(a, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
-    count = lambda keep: F.size(F.filter("findings", keep)).cast("long")
+    kinds = F.transform(base, lambda f: f["kind"])
     return found.select(
-        "doc_id", *[count(lambda f, k=k: f["base"] & (f["kind"] == k)).alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"),
-        count(lambda f: f["likely"]).alias("n_likely"))
+        F.size(F.filter("findings", lambda f: f["likely"])).cast("long").alias("n_likely"))
