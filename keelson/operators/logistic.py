@@ -1,8 +1,8 @@
 """Logistic regression and one-vs-all.
 
 Fitting is damped Newton: each pass sums loss, gradient and Hessian of all
-classes that are still moving, as numpy products per partition added by key;
-the (n+1)^2 systems are solved on the driver.  Named columns and array
+models (classes, and folds left out) that are still moving, as numpy products
+per partition added by key; the (n+1)^2 systems are solved on the driver.  Named columns and array
 features of any width run the same way."""
 
 from __future__ import annotations
@@ -79,55 +79,65 @@ def numeric_gradient_frame(df: DataFrame, cols: Sequence[str], y: str, theta: Se
     return wide.select(F.inline(F.array(*rows)))
 
 
-def _design(df: DataFrame, cols: Sequence[str] | str, target: Column) -> DataFrame:
-    """(_x array with a leading 1, _y) of the complete rows, persisted (memory,
-    spilling to disk) for the iterations of a fit; a lost executor recomputes
-    its blocks from the scan.  ``cols`` are numeric columns or one array."""
+def _design(df: DataFrame, cols: Sequence[str] | str, target: Column, fold: Column | None = None,
+            keep: Sequence[str] = ()) -> DataFrame:
+    """(_x array with a leading 1, _y, _f, keep..) of the complete rows, persisted
+    (memory, spilling to disk) for the iterations of a fit; a lost executor
+    recomputes its blocks from the scan.  ``cols`` are numeric columns or one
+    array; _f is the fold, -1 without folds."""
     from pyspark import StorageLevel
     if isinstance(cols, str):
         rows, x = df.filter(complete_vector(cols)), col(cols).cast("array<double>")
     else:
         rows, x = complete(df, cols), F.array(*[col(c).cast("double") for c in cols]) if cols else F.array().cast("array<double>")
-    return (rows.select(F.concat(F.array(F.lit(1.0)), x).alias("_x"), target.alias("_y"))
-            .filter(F.col("_y").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
+    f = F.lit(-1) if fold is None else fold.cast("int")
+    return (rows.select(F.concat(F.array(F.lit(1.0)), x).alias("_x"), target.alias("_y"), f.alias("_f"), *keep)
+            .filter(F.col("_y").isNotNull() & F.col("_f").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def _newton_sums(data: DataFrame, thetas: dict[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-    """(loss, gradient, Hessian) sums of each class c against target _y = c:
-    numpy products per partition, added by (class, position), so a pass sends
-    K (1 + k + k (k + 1) / 2) numbers of each partition and any width runs the
-    same way."""
-    k = len(next(iter(thetas.values())))
+Key = tuple  # (class number, fold left out; -1: none)
+
+
+def _newton_sums(data: DataFrame, thetas: dict[Key, np.ndarray]) -> dict[Key, tuple[float, float, np.ndarray, np.ndarray]]:
+    """(rows, loss, gradient, Hessian) sums of each model (class, fold) against
+    target _y = class over the rows outside its fold: numpy products per
+    partition over flat Arrow buffers, added by (model, position), so a pass
+    sends M (2 + k + k (k + 1) / 2) numbers of each partition and any width and
+    any number of folds run the same way."""
+    keys = list(thetas)
+    k = len(thetas[keys[0]])
     upper = np.triu_indices(k)
+    size = 2 + k + len(upper[0])
 
     def run(batches):
-        import pandas as pd
-        acc, seen = {c: np.zeros(1 + k + len(upper[0])) for c in thetas}, False
+        import pyarrow as pa
+        acc, seen = np.zeros((len(keys), size)), False
         for b in batches:
-            if not len(b):
+            if not b.num_rows:
                 continue
             seen = True
-            X, label = np.stack(b["_x"].to_numpy()), b["_y"].to_numpy()
-            for c, theta in thetas.items():
-                y = (label == c).astype(float)
-                z = X @ theta
+            X = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            label, fold = b.column("_y").to_numpy(zero_copy_only=False), b.column("_f").to_numpy(zero_copy_only=False)
+            for i, (c, f) in enumerate(keys):
+                Xf, y = (X, label == c) if f < 0 else (X[fold != f], label[fold != f] == c)
+                z = Xf @ thetas[c, f]
                 p = np.exp(-np.logaddexp(0.0, -z))
                 loss = np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0.0) - y * z
-                h = (X * (p * (1 - p))[:, None]).T @ X
-                acc[c] += np.concatenate([[loss.sum()], X.T @ (p - y), h[upper]])
+                h = (Xf * (p * (1 - p))[:, None]).T @ Xf
+                acc[i] += np.concatenate([[len(z), loss.sum()], Xf.T @ (p - y), h[upper]])
         if seen:
-            for c, v in acc.items():
-                yield pd.DataFrame({"c": np.int32(c), "j": np.arange(len(v), dtype=np.int32), "value": v})
+            model, pos = np.divmod(np.arange(acc.size, dtype=np.int32), np.int32(size))
+            yield pa.record_batch([pa.array(model), pa.array(pos), pa.array(acc.ravel())], names=["c", "j", "value"])
 
-    rows = data.mapInPandas(run, "c int, j int, value double").groupBy("c", "j").agg(F.sum("value").alias("value")).toPandas()
+    rows = (data.select("_x", "_y", "_f").mapInArrow(run, "c int, j int, value double")
+            .groupBy("c", "j").agg(F.sum("value").alias("value")).toPandas())
+    total = np.zeros((len(keys), size))
+    total[rows["c"].to_numpy(), rows["j"].to_numpy()] = rows["value"].to_numpy()
     out = {}
-    for c in thetas:
-        r = rows[rows["c"] == c]
-        v = np.zeros(1 + k + len(upper[0]))
-        v[r["j"].to_numpy()] = r["value"].to_numpy()
+    for key, v in zip(keys, total):
         H = np.zeros((k, k))
-        H[upper] = v[1 + k:]
-        out[c] = (float(v[0]), v[1:1 + k], H + np.triu(H, 1).T)
+        H[upper] = v[2 + k:]
+        out[key] = (float(v[0]), float(v[1]), v[2:2 + k], H + np.triu(H, 1).T)
     return out
 
 
@@ -140,17 +150,17 @@ class LogisticModel:
     converged: bool = False
 
 
-def _newton(data: DataFrame, start: dict[int, np.ndarray], m: float, lam: float, max_iter: int, tol: float) -> dict[int, LogisticModel]:
-    """Damped Newton for all classes at once, one pass per iteration: a step
-    that raises the cost is halved; a class is done when its mean gradient is
+def _newton(data: DataFrame, start: dict[Key, np.ndarray], lam: float, max_iter: int, tol: float) -> dict[Key, LogisticModel]:
+    """Damped Newton for all models at once, one pass per iteration: a step
+    that raises the cost is halved; a model is done when its mean gradient is
     below ``tol`` or its cost no longer changes."""
     best = {c: None for c in start}      # (J, theta, full step) of the last accepted point
     trial, models = dict(start), {}
-    hist: dict[int, list] = {c: [] for c in start}
+    hist: dict[Key, list] = {c: [] for c in start}
     for it in range(max_iter + 1):
         sums = _newton_sums(data, trial)
-        for c, (loss, g, H) in sums.items():
-            theta = trial[c]
+        for c, (rows, loss, g, H) in sums.items():
+            theta, m = trial[c], max(rows, 1.0)
             reg = np.full(len(theta), lam)
             reg[0] = 0.0
             J = (loss + lam / 2.0 * float(np.sum(theta[1:] ** 2))) / m
@@ -179,24 +189,92 @@ def _newton(data: DataFrame, start: dict[int, np.ndarray], m: float, lam: float,
     return models
 
 
+def _width(data: DataFrame) -> int:
+    first = data.select(F.size("_x").alias("k")).first()
+    if first is None:
+        raise ValueError("no complete row to fit")
+    return first["k"]
+
+
 def fit(df: DataFrame, cols: Sequence[str] | str, y: str, lam: float = 0.0, max_iter: int = 25,
         tol: float = 1e-10, theta0: Sequence[float] | None = None) -> LogisticModel:
     """C4: minimise C2 by damped Newton steps over the complete rows; ``cols``
     are numeric columns or the name of one array column of any width.
     ``converged`` says whether the gradient vanished (it doesn't on separable
     data without a penalty)."""
-    data = _design(df, cols, col(y).cast("double").cast("int"))
+    target = col(y).cast("double")
+    data = _design(df, cols, F.when(~F.isnan(target), target).cast("int"))
     try:
-        first = data.select(F.size("_x").alias("k")).first()
-        if first is None:
-            raise ValueError("no complete row to fit")
-        m = float(data.count())
-        start = np.zeros(first["k"]) if theta0 is None else np.asarray(theta0, dtype=float)
-        return _newton(data, {1: start}, m, lam, max_iter, tol)[1]
+        start = np.zeros(_width(data)) if theta0 is None else np.asarray(theta0, dtype=float)
+        return _newton(data, {(1, -1): start}, lam, max_iter, tol)[1, -1]
     finally:
         data.unpersist()
 
 
+@dataclass
+class FoldModels:
+    """K-fold one-vs-all models (E6): ``thetas[fold][class]`` was trained on the
+    rows outside the fold; one model a fold for two classes (of the second)."""
+    classes: list
+    thetas: dict
+    converged: dict
+    loss: dict           # fold -> mean log loss of its held-out rows
+    rows: dict           # fold -> held-out rows
+
+    def log_loss(self) -> float:
+        """Mean over all rows: folds weighted by their rows."""
+        n = sum(self.rows.values())
+        return sum(self.loss[f] * self.rows[f] for f in self.rows) / n if n else float("nan")
+
+
+def _class_number(label: str, classes: Sequence) -> Column:
+    return F.coalesce(*[F.when(col(label) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
+
+
+def _fold_probabilities(thetas: dict, n_classes: int, x: Column) -> Column:
+    """array of class probabilities of a row by the models of its own fold _f:
+    sigmoids of the K models divided by their sum (two classes: p and 1 - p)."""
+    def dot(theta: np.ndarray) -> Column:
+        w = F.array(*[F.lit(float(v)) for v in theta])
+        return F.aggregate(F.zip_with(x, w, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+
+    out = None
+    for f, by in thetas.items():
+        if n_classes == 2:
+            p1 = sigmoid(dot(by[1]))
+            p = F.array(F.lit(1.0) - p1, p1)
+        else:
+            p = _normalised(F.array(*[sigmoid(dot(by[c])) for c in range(n_classes)]))
+        out = F.when(F.col("_f") == f, p) if out is None else out.when(F.col("_f") == f, p)
+    return out
+
+
+def _normalised(p: Column) -> Column:
+    total = F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    return F.zip_with(p, F.array_repeat(total, F.size(p)), lambda a, b: a / b)
+
+
+def fit_folds(df: DataFrame, cols: Sequence[str] | str, label: str, fold: Column, k: int, lam: float = 0.0,
+              classes: Sequence | None = None, max_iter: int = 25, tol: float = 1e-10, keep: Sequence[str] = ()) -> tuple[FoldModels, DataFrame]:
+    """E6 for an iterative model: the K one-vs-all logistic fits without each
+    fold advance together, one pass per Newton step for all of them.  Returns
+    the models and the out-of-fold rows (keep.., fold, label number _y,
+    probabilities array p): every complete labelled row, predicted by the models
+    that haven't seen its fold.  The rows stay cached until ``unpersist``."""
+    classes = list(classes) if classes is not None else distinct_classes(df, label)
+    data = _design(df.filter(col(label).isNotNull()), cols, _class_number(label, classes), fold, keep)
+    width = _width(data)
+    number = [1] if len(classes) == 2 else range(len(classes))
+    fitted = _newton(data, {(c, f): np.zeros(width) for f in range(k) for c in number}, lam, max_iter, tol)
+    thetas = {f: {c: fitted[c, f].theta for c in number} for f in range(k)}
+    p = _fold_probabilities(thetas, len(classes), F.col("_x"))
+    oof = data.filter((F.col("_f") >= 0) & (F.col("_f") < k)).select(*keep, F.col("_f").alias("fold"), "_y", p.alias("p"))
+    clip = F.least(F.greatest(F.element_at("p", F.col("_y") + 1), F.lit(1e-15)), F.lit(1 - 1e-15))
+    per = oof.filter("_y >= 0").groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.avg(-F.log(clip)).alias("loss")).collect()
+    return FoldModels(classes, thetas, {f: all(fitted[c, f].converged for c in number) for f in range(k)},
+                      {r["fold"]: r["loss"] for r in per}, {r["fold"]: r["n"] for r in per}), oof
+
+
 def gd_steps(df: DataFrame, cols: Sequence[str], y: str, alpha: float, steps: int,
              lam: float = 0.0) -> list[tuple[int, float, np.ndarray]]:
     """C4 (fixed-step variant): theta <- theta - alpha * gradient; each step
@@ -244,18 +322,14 @@ def fit_one_vs_all(df: DataFrame, cols: Sequence[str] | str, label: str, lam: fl
     """One binary model per class; every pass computes the sums of all
     classes that haven't converged.  ``cols`` as in :func:`fit`."""
     classes = list(classes) if classes is not None else distinct_classes(df, label)
-    number = F.coalesce(*[F.when(col(label) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
-    data = _design(df.filter(col(label).isNotNull()), cols, number)
+    data = _design(df.filter(col(label).isNotNull()), cols, _class_number(label, classes))
     try:
-        first = data.select(F.size("_x").alias("k")).first()
-        if first is None:
-            raise ValueError("no complete row to fit")
-        m = float(data.count())
-        fitted = _newton(data, {i: np.zeros(first["k"]) for i in range(len(classes))}, m, lam, max_iter, tol)
+        width = _width(data)
+        fitted = _newton(data, {(i, -1): np.zeros(width) for i in range(len(classes))}, lam, max_iter, tol)
     finally:
         data.unpersist()
-    return OneVsAll(classes, {c: fitted[i].theta for i, c in enumerate(classes)},
-                    {c: fitted[i].converged for i, c in enumerate(classes)})
+    return OneVsAll(classes, {c: fitted[i, -1].theta for i, c in enumerate(classes)},
+                    {c: fitted[i, -1].converged for i, c in enumerate(classes)})
 
 
 def predict_one_vs_all(model: OneVsAll, cols: Sequence[Column | str]):

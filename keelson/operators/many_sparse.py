@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators.indexing import global_row_index
 from keelson.operators.joins import join_skewed
-from keelson.session import cut_lineage
+from keelson.session import cut_lineage, cut_partitioned
 
 # Numbers that the weights of one block's entries may take: entries x models.
 BLOCK_CELLS = 4_000_000
@@ -136,7 +136,7 @@ def prepare(counts: DataFrame, labels: DataFrame, settings: Sequence[Setting], f
     docs = cut_lineage(docs)
     cells = (docs.agg(F.sum(F.size("idx") + 1)).first()[0] or 0) * max(1, len(models))
     blocks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-cells // BLOCK_CELLS))
-    docs = cut_lineage(docs.withColumn("block", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")).repartition(blocks, "block"))
+    docs = cut_partitioned(docs.withColumn("block", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")), blocks, "block")
     held = (docs.select("block", F.explode("idx").alias("idx")).distinct()
             .groupBy("idx").agg(F.collect_list("block").alias("blocks")))
     zeros = F.array_repeat(F.lit(0.0), len(models))
@@ -147,9 +147,8 @@ def prepare(counts: DataFrame, labels: DataFrame, settings: Sequence[Setting], f
     beside = docs.sparkSession.range(2).select(
         (-F.col("id")).alias("idx"), F.lit(None).cast("string").alias("term"), F.array_repeat(F.lit(0.0), len(views)).alias("idf"),
         F.sequence(F.lit(0), F.lit(blocks - 1)).alias("blocks"))
-    weights = cut_lineage(weights.unionByName(beside).select(
-        F.pmod("idx", F.lit(buckets)).cast("int").alias("bucket"), "idx", "term", "idf", "blocks", zeros.alias("w"))
-        .repartition(buckets, "bucket"))
+    weights = cut_partitioned(weights.unionByName(beside).select(
+        F.pmod("idx", F.lit(buckets)).cast("int").alias("bucket"), "idx", "term", "idf", "blocks", zeros.alias("w")), buckets, "bucket")
     return ManyModels(settings, classes, views, models, weights, docs, id_col)
 
 
@@ -273,8 +272,9 @@ def shipped(many: ManyModels) -> DataFrame:
 def fit(many: ManyModels, iters: int = 10, start: int = 0) -> ManyModels:
     """``iters`` more full-batch steps of all models at once, from zero weights
     or from where ``start`` earlier steps ended: minimises
-    alpha/2 |w|^2 + mean hinge, step 1 / (alpha (t + 1/alpha)).  One job and
-    two shuffles (weights to blocks, subgradients to terms) an iteration."""
+    alpha/2 |w|^2 + mean hinge, step 1 / (alpha (t + 1/alpha)).  One job an
+    iteration; it shuffles the weights to their blocks, the subgradients to their
+    terms and the new weights to their buckets, never the documents."""
     models, views = many.models, many.views
     if not models:
         return many
@@ -291,7 +291,7 @@ def fit(many: ManyModels, iters: int = 10, start: int = 0) -> ManyModels:
         rates = 1.0 / (alphas * (t + 1.0 / alphas))
         new = (many.weights.groupBy("bucket").cogroup(grads.groupBy("bucket"))
                .applyInArrow(stepped(alphas, rates, sizes), kept))
-        many = ManyModels(many.settings, many.classes, views, models, cut_lineage(new.repartition(buckets, "bucket")), many.docs, many.id_col)
+        many = ManyModels(many.settings, many.classes, views, models, cut_partitioned(new, buckets, "bucket"), many.docs, many.id_col)
     return many
 
 

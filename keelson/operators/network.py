@@ -1,12 +1,15 @@
 """Fully connected network with sigmoid units.
 
 Forward passes and back-propagation run as numpy matrix products over
-Arrow batches (``mapInPandas``), with the (small) weight matrices shipped
+flat Arrow buffers (``mapInArrow``), with the (small) weight matrices shipped
 in the task closure.  A cost + gradient evaluation emits, per partition,
 one partial row per parameter (plus one for the loss); the partials are
 summed by parameter index across the cluster, so the only thing that
 reaches the driver is a vector the size of the model.  Training is
-L-BFGS on the driver over those distributed evaluations."""
+L-BFGS on the driver over those distributed evaluations.  Any number of
+networks (prefixes of the rows, penalties, step lengths of a line search)
+are evaluated in one pass.  Rows whose vector is null or holds a null or NaN,
+or whose label is null, take no part in costs, gradients and training."""
 
 from __future__ import annotations
 
@@ -14,9 +17,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.functions.expr import col, complete_vector
+
 Weights = list[np.ndarray]  # layer l: (L_out, 1 + L_in), column 0 = bias
 
 
@@ -64,6 +69,12 @@ def _unflatten(v: np.ndarray, shapes) -> Weights:
     return out
 
 
+def loss_np(X: np.ndarray, Y: np.ndarray, W: Weights, hidden: str = "sigmoid") -> float:
+    """Sum over the batch of the K binary cross-entropies."""
+    z = forward_np(X, W, hidden)[1][-1]
+    return float(np.sum(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - Y * z))
+
+
 def loss_grad_np(X: np.ndarray, Y: np.ndarray, W: Weights, hidden: str = "sigmoid"):
     """Sum over the batch of the K binary cross-entropies and its gradient
     (back-propagation), unregularised and not yet divided by m."""
@@ -84,86 +95,136 @@ def loss_grad_np(X: np.ndarray, Y: np.ndarray, W: Weights, hidden: str = "sigmoi
 
 
 def _one_hot(labels: np.ndarray, classes: Sequence) -> np.ndarray:
-    idx = {c: i for i, c in enumerate(classes)}
-    Y = np.zeros((len(labels), len(classes)))
-    for r, lab in enumerate(labels):
-        j = idx.get(lab)
-        if j is not None:
-            Y[r, j] = 1.0
-    return Y
+    """Rows x classes; a label that is none of them has a row of zeros."""
+    return (np.asarray(labels)[:, None] == np.asarray(classes)[None, :]).astype(float)
 
 
-def cost_and_gradient(df: DataFrame, features: str, label: str, W: Weights, classes: Sequence,
-                      lam: float = 0.0, hidden: str = "sigmoid") -> tuple[float, Weights, int]:
-    """N5 + N6 as one distributed job.  Returns (J, gradients, m) with
-    J = sum CE / m + lam/2m * sum of non-bias weights^2 and
-    grad = Delta / m + lam/m * W (bias column excluded)."""
-    shapes = [w.shape for w in W]
-    P = sum(s[0] * s[1] for s in shapes)
-    Wc = [w.copy() for w in W]
-    cls = list(classes)
+def _class_index(label: str, classes: Sequence) -> Column:
+    """0-based class number; -1 for a label that is none of them."""
+    return F.coalesce(*[F.when(col(label) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
+
+
+def training_rows(df: DataFrame, features: str, label: str, classes: Sequence, rank: str | None = None) -> DataFrame:
+    """(_x, _y class number, _r) of the usable rows; ``rank`` is a column with
+    the rows' order (from 1), for networks trained on a prefix."""
+    return (df.filter(complete_vector(features) & col(label).isNotNull())
+            .select(col(features).cast("array<double>").alias("_x"), _class_index(label, classes).alias("_y"),
+                    (F.lit(0) if rank is None else col(rank)).cast("long").alias("_r")))
+
+
+@dataclass
+class Trial:
+    """One evaluation in a pass: weights, penalty, the prefix of rows that
+    counts (None: all), and whether the gradient is wanted."""
+    W: Weights
+    lam: float = 0.0
+    size: int | None = None
+    gradient: bool = True
+
+
+def evaluate_many(rows: DataFrame, trials: Sequence[Trial], n_classes: int,
+                  hidden: str = "sigmoid") -> list[tuple[float, np.ndarray | None, int]]:
+    """(J, flat gradient or None, m) of every trial from one distributed pass
+    over :func:`training_rows`."""
+    shapes = [[w.shape for w in t.W] for t in trials]
+    # a trial's numbers: m, loss, then its gradient
+    sizes = [2 + (sum(a * b for a, b in sh) if t.gradient else 0) for t, sh in zip(trials, shapes)]
+    start = np.concatenate([[0], np.cumsum(sizes)])
+    todo = [([w.copy() for w in t.W], t.size, t.gradient) for t in trials]
+    width = shapes[0][0][1] - 1
 
     def partials(batches):
-        import pandas as pd
-        loss, g, m = 0.0, np.zeros(P), 0
-        for pdf in batches:
-            if len(pdf) == 0:
+        import pyarrow as pa
+        acc, seen = np.zeros(start[-1]), False
+        for b in batches:
+            if not b.num_rows:
                 continue
-            X = np.stack(pdf[features].to_numpy()).astype(float)
-            Y = _one_hot(pdf[label].to_numpy(), cls)
-            l, gr = loss_grad_np(X, Y, Wc, hidden)
-            loss += l
-            g += _flatten(gr)
-            m += len(pdf)
-        if m:
-            yield pd.DataFrame({"idx": np.arange(-2, P, dtype="int32"),
-                                "value": np.concatenate([[float(m), loss], g])})
-
-    sums = (df.select(features, label).mapInPandas(partials, "idx int, value double")
+            seen = True
+            X = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            y, r = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_y", "_r"))
+            Y = _one_hot(y, range(n_classes))
+            for i, (W, size, gradient) in enumerate(todo):
+                Xi, Yi = (X, Y) if size is None else (X[r <= size], Y[r <= size])
+                if not len(Xi):
+                    continue
+                at = start[i]
+                acc[at] += len(Xi)
+                if gradient:
+                    loss, g = loss_grad_np(Xi, Yi, W, hidden)
+                    acc[at + 2:start[i + 1]] += _flatten(g)
+                else:
+                    loss = loss_np(Xi, Yi, W, hidden)
+                acc[at + 1] += loss
+        if seen:
+            yield pa.record_batch([pa.array(np.arange(len(acc))), pa.array(acc)], names=["idx", "value"])
+
+    sums = (rows.select("_x", "_y", "_r").mapInArrow(partials, "idx long, value double")
             .groupBy("idx").agg(F.sum("value").alias("value")).collect())
-    vec = np.zeros(P + 2)
+    vec = np.zeros(start[-1])
     for r in sums:
-        vec[r["idx"] + 2] = r["value"]
-    m, loss, g = vec[0], vec[1], vec[2:]
-    grads = _unflatten(g / m, shapes)
-    reg = 0.0
-    for li, w in enumerate(W):
-        reg += float(np.sum(w[:, 1:] ** 2))
-        grads[li][:, 1:] += lam / m * w[:, 1:]
-    return loss / m + lam / (2.0 * m) * reg, grads, int(m)
+        vec[r["idx"]] = r["value"]
+    out = []
+    for t, sh, a, z in zip(trials, shapes, start[:-1], start[1:]):
+        m = vec[a]
+        if not m:
+            raise ValueError("no usable row")
+        reg = sum(float(np.sum(w[:, 1:] ** 2)) for w in t.W)
+        g = None
+        if t.gradient:
+            g = vec[a + 2:z] / m
+            for w, gw in zip(t.W, _unflatten(g, sh)):
+                gw[:, 1:] += t.lam / m * w[:, 1:]
+        out.append((float(vec[a + 1] / m + t.lam / (2.0 * m) * reg), g, int(m)))
+    return out
+
+
+def cost_and_gradient(df: DataFrame, features: str, label: str, W: Weights, classes: Sequence,
+                      lam: float = 0.0, hidden: str = "sigmoid") -> tuple[float, Weights, int]:
+    """N5 + N6 as one distributed job.  Returns (J, gradients, m) with
+    J = sum CE / m + lam/2m * sum of non-bias weights^2 and
+    grad = Delta / m + lam/m * W (bias column excluded)."""
+    (J, g, m), = evaluate_many(training_rows(df, features, label, classes), [Trial(W, lam)], len(classes), hidden)
+    return J, _unflatten(g, [w.shape for w in W]), m
 
 
 def forward(df: DataFrame, features: str, W: Weights, keep: Sequence[str],
             hidden: str = "sigmoid", layer: int | None = None) -> DataFrame:
     """Activations of ``layer`` (default: output) as an array column
-    ``a``, one Arrow pass."""
+    ``a``, one Arrow pass; null for a vector that is null or holds a null or
+    NaN."""
     Wc = [w.copy() for w in W]
     upto = len(W) if layer is None else layer
     keep = list(keep)
+    width = Wc[0].shape[1] - 1
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
+        import pyarrow as pa
+        for b in batches:
+            if not b.num_rows:
                 continue
-            X = np.stack(pdf[features].to_numpy()).astype(float)
-            acts, _ = forward_np(X, Wc[:upto], hidden)
-            out = pdf[keep].copy()
-            out["a"] = list(acts[-1])
-            yield out
-
+            x = b.column("_x")
+            has = np.asarray(x.is_valid())
+            acts, _ = forward_np(x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width), Wc[:upto], hidden)
+            a = acts[-1]
+            ends = np.concatenate([[0], np.cumsum(has) * a.shape[1]]).astype(np.int32)
+            values = pa.ListArray.from_arrays(pa.array(ends), pa.array(a.ravel()), mask=pa.array(~has))
+            yield pa.record_batch([*[b.column(c) for c in keep], values], names=[*keep, "a"])
+
+    rows = df.select(*keep, F.when(complete_vector(features), col(features).cast("array<double>")).alias("_x"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                        for f in df.select(*keep).schema.fields) + ", a array<double>"
-    return df.select(*keep, features).mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def predict(df: DataFrame, features: str, W: Weights, classes: Sequence, keep: Sequence[str],
             hidden: str = "sigmoid") -> DataFrame:
-    """(class, probability) = argmax / max of the outputs (first wins)."""
+    """(class, probability) = argmax / max of the outputs (first wins); null
+    for a vector without activations."""
     out = forward(df, features, W, keep, hidden)
     best = F.array_max("a")
     idx = F.array_position("a", best)
     cls = F.element_at(F.array(*[F.lit(c) for c in classes]), idx.cast("int"))
-    return out.select(*keep, cls.alias("pred"), best.alias("prob"))
+    return out.select(*keep, F.when(F.col("a").isNotNull(), cls).alias("pred"), best.alias("prob"))
 
 
 def weights_table(spark, W: Weights, name: str = "value") -> DataFrame:
@@ -176,59 +237,144 @@ def weights_table(spark, W: Weights, name: str = "value") -> DataFrame:
 class TrainResult:
     weights: Weights
     history: list = field(default_factory=list)  # (iter, J)
+    jobs: int = 0
 
 
-def train(df: DataFrame, features: str, label: str, W0: Weights, classes: Sequence,
-          lam: float = 1.0, max_iter: int = 20, hidden: str = "sigmoid",
-          memory: int = 5) -> TrainResult:
-    """L-BFGS with backtracking (Armijo) line search; every function
-    evaluation is one distributed cost + gradient job.  The caller should
-    cache ``df`` (features and labels only)."""
-    shapes = [w.shape for w in W0]
-    x = _flatten(W0)
-
-    def fg(v):
-        J, g, _ = cost_and_gradient(df, features, label, _unflatten(v, shapes), classes, lam, hidden)
-        return J, _flatten(g)
-
-    J, g = fg(x)
-    hist = [(0, float(J))]
-    S, Yh = [], []
-    for it in range(1, max_iter + 1):
-        q = g.copy()
-        alphas = []
-        for s, y in reversed(list(zip(S, Yh))):
+@dataclass
+class Spec:
+    """One network to train: first weights, penalty, prefix of the rows."""
+    W0: Weights
+    lam: float = 1.0
+    size: int | None = None
+
+
+class _Descent:
+    """L-BFGS state of one network: asks for trials, is told their values."""
+
+    def __init__(self, spec: Spec, memory: int):
+        self.spec, self.memory = spec, memory
+        self.shapes = [w.shape for w in spec.W0]
+        self.x, self.J, self.g = _flatten(spec.W0), None, None
+        self.S: list = []
+        self.Y: list = []
+        self.hist: list = []
+        self.done = False
+
+    def trial(self, x: np.ndarray, gradient: bool = True) -> Trial:
+        return Trial(_unflatten(x, self.shapes), self.spec.lam, self.spec.size, gradient)
+
+    def direction(self) -> np.ndarray:
+        q, alphas = self.g.copy(), []
+        for s, y in reversed(list(zip(self.S, self.Y))):
             a = s @ q / (y @ s)
             alphas.append(a)
             q -= a * y
-        if S:
-            q *= (S[-1] @ Yh[-1]) / (Yh[-1] @ Yh[-1])
-        for (s, y), a in zip(zip(S, Yh), reversed(alphas)):
-            b = y @ q / (y @ s)
-            q += s * (a - b)
-        d = -q
-        if g @ d >= 0:
-            d = -g
-            S, Yh = [], []
-        step = 1.0
-        while True:
-            xn = x + step * d
-            Jn, gn = fg(xn)
-            if Jn <= J + 1e-4 * step * (g @ d) or step < 1e-8:
-                break
-            step *= 0.5
-        s, y = xn - x, gn - g
+        if self.S:
+            q *= (self.S[-1] @ self.Y[-1]) / (self.Y[-1] @ self.Y[-1])
+        for (s, y), a in zip(zip(self.S, self.Y), reversed(alphas)):
+            q += s * (a - y @ q / (y @ s))
+        if self.g @ -q >= 0:
+            self.S, self.Y = [], []
+            return -self.g
+        return -q
+
+    def move(self, xn: np.ndarray, Jn: float, gn: np.ndarray) -> None:
+        s, y = xn - self.x, gn - self.g
         if y @ s > 1e-12:
-            S.append(s)
-            Yh.append(y)
-            if len(S) > memory:
-                S.pop(0)
-                Yh.pop(0)
-        x, J, g = xn, Jn, gn
-        hist.append((it, float(J)))
-        if np.max(np.abs(g)) < 1e-9:
+            self.S.append(s)
+            self.Y.append(y)
+            if len(self.S) > self.memory:
+                self.S.pop(0)
+                self.Y.pop(0)
+        self.x, self.J, self.g = xn, Jn, gn
+        self.hist.append((len(self.hist), float(Jn)))
+        self.done = float(np.max(np.abs(gn))) < 1e-9
+
+
+# Step lengths 1, 1/2, 1/4, .. of a line search; the last is taken if none will do.
+STEPS = 28
+
+
+def train_many(rows: DataFrame, specs: Sequence[Spec], n_classes: int, max_iter: int = 20,
+               hidden: str = "sigmoid", memory: int = 5) -> list[TrainResult]:
+    """N8 for many networks in lockstep over :func:`training_rows`: L-BFGS with
+    a backtracking (Armijo) line search.  A pass computes every network's cost
+    and gradient at its full step; networks for which that won't do have all
+    shorter steps evaluated in one second pass.  So an iteration takes one or two
+    jobs, however many networks train and lengths are tried, with the history
+    that trying one length after another gives."""
+    nets = [_Descent(s, memory) for s in specs]
+    jobs = 1
+    for net, (J, g, _) in zip(nets, evaluate_many(rows, [n.trial(n.x) for n in nets], n_classes, hidden)):
+        net.J, net.g, net.hist = J, g, [(0, float(J))]
+    for _ in range(max_iter):
+        moving = [(n, n.direction()) for n in nets if not n.done]
+        if not moving:
             break
-    return TrainResult(_unflatten(x, shapes), hist)
+        late = []
+        jobs += 1
+        for (n, d), (J, g, _) in zip(moving, evaluate_many(rows, [n.trial(n.x + d) for n, d in moving], n_classes, hidden)):
+            if J <= n.J + 1e-4 * (n.g @ d):
+                n.move(n.x + d, J, g)
+            else:
+                late.append((n, d))
+        if late:
+            jobs += 1
+            shorter = [0.5 ** k for k in range(1, STEPS)]
+            seen = evaluate_many(rows, [n.trial(n.x + t * d) for n, d in late for t in shorter], n_classes, hidden)
+            for i, (n, d) in enumerate(late):
+                mine, slope = seen[i * len(shorter):(i + 1) * len(shorter)], n.g @ d
+                k = next((k for k, t in enumerate(shorter) if mine[k][0] <= n.J + 1e-4 * t * slope), len(shorter) - 1)
+                n.move(n.x + shorter[k] * d, *mine[k][:2])
+    return [TrainResult(_unflatten(n.x, n.shapes), n.hist, jobs) for n in nets]
+
+
+def train(df: DataFrame, features: str, label: str, W0: Weights, classes: Sequence,
+          lam: float = 1.0, max_iter: int = 20, hidden: str = "sigmoid",
+          memory: int = 5) -> TrainResult:
+    """N8 for one network; the caller should cache ``df`` (features and labels
+    only)."""
+    rows = training_rows(df, features, label, classes)
+    return train_many(rows, [Spec(W0, lam)], len(classes), max_iter, hidden, memory)[0]
+
+
+def _ranked(df: DataFrame, features: str, label: str, classes: Sequence, order: Sequence[Column | str]) -> tuple[DataFrame, int]:
+    """Training rows numbered in ``order`` (a total order), and their number."""
+    from keelson.operators.indexing import global_row_index
+    keyed = (df.filter(complete_vector(features) & col(label).isNotNull())
+             .select(*[col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                     col(features).cast("array<double>").alias("_x"), _class_index(label, classes).alias("_y")))
+    numbered = global_row_index(keyed, [f"_o{i}" for i in range(len(order))], name="_r").select("_x", "_y", "_r")
+    return numbered, numbered.count()
+
+
+def learning_curve(train_df: DataFrame, val: DataFrame, features: str, label: str, W0: Weights, classes: Sequence,
+                   order: Sequence[Column | str], sizes: Sequence[int], lam: float = 1.0, max_iter: int = 20,
+                   hidden: str = "sigmoid") -> list[tuple[int, float, float]]:
+    """E9 for networks: for each size i a network trained on the first i usable
+    rows (in ``order``); its cost on them and on ``val``, both with ``lam``.  All
+    networks train in the same passes; the last size is all rows."""
+    rows, m = _ranked(train_df, features, label, classes, order)
+    sizes = sorted({int(s) for s in sizes if 0 < s < m} | ({m} if m else set()))
+    if not sizes:
+        return []
+    nets = train_many(rows, [Spec(W0, lam, s) for s in sizes], len(classes), max_iter, hidden)
+    inside = evaluate_many(rows, [Trial(n.weights, lam, s, False) for n, s in zip(nets, sizes)], len(classes), hidden)
+    outside = evaluate_many(training_rows(val, features, label, classes),
+                            [Trial(n.weights, lam, None, False) for n in nets], len(classes), hidden)
+    return [(s, a[0], b[0]) for s, a, b in zip(sizes, inside, outside)]
+
+
+def lambda_curve(train_df: DataFrame, val: DataFrame, features: str, label: str, W0: Weights, classes: Sequence,
+                 lambdas: Sequence[float], max_iter: int = 20, hidden: str = "sigmoid") -> list[tuple[float, float, float]]:
+    """E10 for networks: for each penalty a network trained on all rows; its cost
+    without penalty on them and on ``val``.  All train in the same passes."""
+    rows = training_rows(train_df, features, label, classes)
+    nets = train_many(rows, [Spec(W0, float(lam)) for lam in lambdas], len(classes), max_iter, hidden)
+    plain = [Trial(n.weights, 0.0, None, False) for n in nets]
+    inside = evaluate_many(rows, plain, len(classes), hidden)
+    outside = evaluate_many(training_rows(val, features, label, classes), plain, len(classes), hidden)
+    return [(float(lam), a[0], b[0]) for lam, a, b in zip(lambdas, inside, outside)]
 
 
 class NeuralNetwork:

@@ -77,3 +77,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     files go when the result is no longer used."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_partitioned(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Like :func:`cut_lineage`, dealt to ``parts`` partitions by ``keys``, so
+    that later groupings and joins on them need no shuffle of this side.  An
+    adaptive plan doesn't say how its result is partitioned, so this one step
+    runs without; the setting is put back."""
+    checkpoint_dir(df.sparkSession)
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(parts, *keys).checkpoint(eager=True)
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
