@@ -135,6 +135,42 @@ def nn_train(spark, sf):
     return spark.createDataFrame(res.history, "iter int, J double")
 
 
+def _curve_parts(spark, sf):
+    from keelson.operators import evaluate as EV
+    x, W, classes = _setup(spark, sf)
+    train, val = EV.split(x, "vec_id")
+    return train.persist(), val, W, classes
+
+
+@query("nn_learning_curve")
+def nn_learning_curve(spark, sf):
+    """E9 for networks: training and validation cost of networks trained on the
+    first 10, 20, 50, 100, .. vectors (lam = 1, 10 iterations), all in the same
+    passes."""
+    from keelson.operators import evaluate as EV
+    train, val, W, classes = _curve_parts(spark, sf)
+    try:
+        curve = NN.learning_curve(train, val, "x", "label", W, classes, ["vec_id"], EV.doubling_sizes(), LAM, 10)
+    finally:
+        train.unpersist()
+    return spark.createDataFrame([(int(m), float(a), float(b)) for m, a, b in curve], "size long, J_train double, J_val double")
+
+
+PENALTIES = [0.0, 0.01, 0.1, 0.3, 1.0, 3.0, 10.0]
+
+
+@query("nn_lambda_curve")
+def nn_lambda_curve(spark, sf):
+    """E10 for networks: unpenalised training and validation cost of networks
+    trained with seven penalties (10 iterations), all in the same passes."""
+    train, val, W, classes = _curve_parts(spark, sf)
+    try:
+        curve = NN.lambda_curve(train, val, "x", "label", W, classes, PENALTIES, 10)
+    finally:
+        train.unpersist()
+    return spark.createDataFrame(curve, "lambda double, J_train double, J_val double")
+
+
 # ---------------------------------------------------------------- N7
 THETA = [-1.0, 0.3, -0.5]
 EPS = 1e-4

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.operators import evaluate as EV
+from keelson.operators import logistic as LG
 from keelson.operators.indexing import top_k_per_group
 from keelson.plans.base import query, r, rs, table
 from keelson.plans.data import EV_SQL, LI_SQL, ev_design, li_design
@@ -224,3 +225,54 @@ def limit_per_group(spark, sf):
     """S6 (cap per category): the first 50 documents of every language."""
     d = table(spark, sf, "documents").select("lang", "doc_id")
     return top_k_per_group(d, ["lang"], [F.col("doc_id")], 50).select("lang", "doc_id", "rank")
+
+
+# ---------------------------------------------------------------- E6, iterative models
+NEWTON = 4
+
+
+def _newton_fold_sql(steps: int = NEWTON, lam: float = 1.0) -> str:
+    """Newton steps of one-feature logistic models, one for each fold left out,
+    written out with 2 x 2 systems; s is (t0, t1) by fold."""
+    out = [f"""d AS MATERIALIZED (SELECT {_FOLD.format(key='l_orderkey', k=KF)} AS f, l_orderkey, l_linenumber, x1, yr FROM ({LI_SQL})),
+k AS (SELECT CAST(range AS INTEGER) AS fold FROM range({KF})),
+s0 AS (SELECT fold, 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1 FROM k)"""]
+    for t in range(steps):
+        p = f"(1.0 / (1.0 + exp(-(s{t}.t0 + s{t}.t1 * x1))))"
+        out.append(f"""g{t} AS MATERIALIZED (SELECT s{t}.fold, any_value(t0) AS t0, any_value(t1) AS t1, sum({p} - yr) AS g0,
+    sum(({p} - yr) * x1) + {lam} * any_value(t1) AS g1, sum({p} * (1 - {p})) AS h00, sum({p} * (1 - {p}) * x1) AS h01,
+    sum({p} * (1 - {p}) * x1 * x1) + {lam} AS h11 FROM d JOIN s{t} ON s{t}.fold <> d.f GROUP BY s{t}.fold),
+s{t + 1} AS MATERIALIZED (SELECT fold, t0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS t0,
+    t1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS t1 FROM g{t})""")
+    return "WITH " + ",\n".join(out)
+
+
+_OOF_P = f"(1.0 / (1.0 + exp(-(s{NEWTON}.t0 + s{NEWTON}.t1 * d.x1))))"
+
+
+def _fold_models(spark, sf, **kw):
+    d = li_design(spark, sf).withColumn("cls", F.col("yr").cast("int"))
+    return LG.fit_folds(d, ["x1"], "cls", EV.fold_of("l_orderkey", KF), KF, lam=1.0, classes=[0, 1], **kw)
+
+
+@query("kfold_logistic", sql=_newton_fold_sql() + f"""
+SELECT d.f AS fold, count(*) AS n, {rs(f'avg(-ln(CASE WHEN d.yr = 1 THEN {_OOF_P} ELSE 1.0 - {_OOF_P} END))', 8)} AS log_loss,
+       {rs(f'any_value(s{NEWTON}.t0)')} AS theta0, {rs(f'any_value(s{NEWTON}.t1)')} AS theta1
+FROM d JOIN s{NEWTON} ON s{NEWTON}.fold = d.f GROUP BY d.f""")
+def kfold_logistic(spark, sf):
+    """E6 for an iterative model: five logistic fits without one fold each, all
+    advanced together by Newton passes; the log loss of each fold by the model
+    that hasn't seen it."""
+    models, _ = _fold_models(spark, sf)
+    rows = [(f, models.rows[f], float(models.loss[f]), *map(float, models.thetas[f][1])) for f in sorted(models.rows)]
+    df = spark.createDataFrame(rows, "fold int, n long, log_loss double, theta0 double, theta1 double")
+    return df.select("fold", "n", r("log_loss", 8).alias("log_loss"), r("theta0").alias("theta0"), r("theta1").alias("theta1"))
+
+
+@query("kfold_logistic_oof", sql=_newton_fold_sql() + f"""
+SELECT d.l_orderkey, d.l_linenumber, d.f AS fold, CAST(d.yr AS INTEGER) AS truth, {rs(_OOF_P, 7)} AS p
+FROM d JOIN s{NEWTON} ON s{NEWTON}.fold = d.f""")
+def kfold_logistic_oof(spark, sf):
+    """E6, rows: every line's probability from the model of the other folds."""
+    _, oof = _fold_models(spark, sf, keep=["l_orderkey", "l_linenumber"])
+    return oof.select("l_orderkey", "l_linenumber", "fold", F.col("_y").alias("truth"), r(F.element_at("p", 2), 7).alias("p"))

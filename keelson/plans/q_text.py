@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from keelson.operators import evaluate as EV
+from keelson.operators import many_sparse as MS
 from keelson.operators import sparse_linear as SL
 from keelson.operators import text as TX
 from keelson.operators.indexing import top_k
@@ -281,3 +283,78 @@ def text_classify(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     model, priors, classes = TX.nb_fit(w, labels)
     return TX.nb_predict(docs, w, model, priors, classes).select("doc_id", "pred")
+
+
+# ---------------------------------------------------------------- T11, E8
+SVM_ALPHA = 1e-3
+
+
+def _languages(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.col("lang").alias("label"))
+
+
+def _svm_steps_sql(steps: int = 2) -> str:
+    """Full-batch hinge steps written out: m is the margin table, w the weights
+    and b the intercepts after each step."""
+    a = repr(SVM_ALPHA)
+    out = [f"""{_COUNTS},
+lab AS MATERIALIZED (SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL AND doc_id IS NOT NULL),
+nn AS (SELECT count(*) * 1.0 AS m FROM lab),
+c2 AS (SELECT cnt.* FROM cnt JOIN lab ON lab.doc_id = cnt.doc_id),
+d AS (SELECT term, count(*) AS df FROM c2 GROUP BY term),
+u AS (SELECT c2.doc_id, c2.term, c2.n * (ln((1.0 + (SELECT m FROM nn)) / (1.0 + d.df)) + 1.0) AS w FROM c2 JOIN d ON d.term = c2.term),
+x AS MATERIALIZED (SELECT u.doc_id, u.term, u.w / r.nrm AS x FROM u JOIN (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM u GROUP BY doc_id) r
+                   ON r.doc_id = u.doc_id),
+cl AS (SELECT DISTINCT lang AS class FROM lab),
+y AS MATERIALIZED (SELECT lab.doc_id, cl.class, CASE WHEN lab.lang = cl.class THEN 1.0 ELSE -1.0 END AS y FROM lab CROSS JOIN cl),
+m0 AS (SELECT doc_id, class, y, 0.0::DOUBLE AS margin FROM y),
+w0 AS (SELECT DISTINCT x.term, cl.class, 0.0::DOUBLE AS w FROM x CROSS JOIN cl),
+b0 AS (SELECT class, 0.0::DOUBLE AS b FROM cl)"""]
+    for t in range(1, steps + 1):
+        rate = f"(1.0 / ({a} * ({t} + 1.0 / {a})))"
+        out.append(f"""a{t} AS MATERIALIZED (SELECT doc_id, class, y FROM m{t - 1} WHERE y * margin < 1.0),
+g{t} AS (SELECT x.term, a.class, sum(-a.y * x.x) AS g FROM x JOIN a{t} a ON a.doc_id = x.doc_id GROUP BY x.term, a.class),
+w{t} AS MATERIALIZED (SELECT w.term, w.class, w.w - {rate} * ({a} * w.w + coalesce(g.g, 0.0) / (SELECT m FROM nn)) AS w
+  FROM w{t - 1} w LEFT JOIN g{t} g ON g.term = w.term AND g.class = w.class),
+b{t} AS MATERIALIZED (SELECT b.class, b.b - {rate} * coalesce(g.g, 0.0) / (SELECT m FROM nn) AS b
+  FROM b{t - 1} b LEFT JOIN (SELECT class, sum(-y) AS g FROM a{t} GROUP BY class) g ON g.class = b.class),
+m{t} AS MATERIALIZED (SELECT y.doc_id, y.class, y.y, coalesce(s.s, 0.0) + b.b AS margin FROM y JOIN b{t} b ON b.class = y.class
+  LEFT JOIN (SELECT x.doc_id, w.class, sum(x.x * w.w) AS s FROM x JOIN w{t} w ON w.term = x.term GROUP BY x.doc_id, w.class) s
+  ON s.doc_id = y.doc_id AND s.class = y.class)""")
+    return "WITH " + ",\n".join(out) + f"""
+SELECT m.doc_id, lab.lang AS truth, m.class AS pred, {rs('m.margin', 7)} AS score FROM m{steps} m JOIN lab ON lab.doc_id = m.doc_id
+QUALIFY row_number() OVER (PARTITION BY m.doc_id ORDER BY m.margin DESC, m.class) = 1"""
+
+
+def _multi(spark, sf, iters):
+    many = MS.prepare(_counts(spark, sf), _languages(spark, sf), [MS.Setting(1, 1, True, True, SVM_ALPHA)])
+    return MS.fit(many, iters)
+
+
+@query("text_svm_steps", sql=_svm_steps_sql(2))
+def text_svm_steps(spark, sf):
+    """T11, one-vs-rest hinge over the languages: two full-batch steps of all
+    classes at once on tf-idf, then every document's best class and margin."""
+    return MS.predictions(_multi(spark, sf, 2)).select("doc_id", "truth", "pred", r("score", 7).alias("score"))
+
+
+@query("text_svm_multi")
+def text_svm_multi(spark, sf):
+    """T11 / T12, one-vs-rest: counts -> tf-idf -> hinge models of all languages
+    trained together (8 steps); every document's class and margin."""
+    return MS.predictions(_multi(spark, sf, 8)).select("doc_id", "truth", "pred", "score")
+
+
+GRID = [MS.Setting(1, high, idf, True, alpha) for high in (1, 2) for idf in (True, False) for alpha in (1e-2, 1e-3, 1e-4, 1e-5)]
+
+
+@query("text_grid_search")
+def text_grid_search(spark, sf):
+    """E8 over the text chain: n-gram range x idf x alpha (16 settings) by 3-fold
+    accuracy of hinge models of the labelled documents' kinds (junk, toxic,
+    fine); all settings, folds and classes train in the same 6 passes."""
+    counts = cut_lineage(TX.ngram_counts(_docs(spark, sf), "doc_id", "text", 1, 2))
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").otherwise("fine")
+    labels = table(spark, sf, "labels").select("doc_id", kind.alias("label"), EV.fold_of("doc_id", 3).alias("fold"))
+    many = MS.fit(MS.prepare(counts, labels, GRID, folds=3, fold="fold", min_df=2), 6)
+    return MS.grid(many).select("setting", "low", "high", "use_idf", "alpha", "n", "accuracy", "best")
