@@ -15,12 +15,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col, normal_log_pdf
+from keelson.functions.expr import col, complete, normal_log_pdf
 
 
 def estimate_params(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], list[float]]:
-    """A1: per-feature mean and population variance (one aggregate)."""
-    aggs = []
+    """A1: per-feature mean and population variance of the complete rows (one
+    aggregate)."""
+    df, aggs = complete(df, cols), []
     for i, c in enumerate(cols):
         aggs += [F.avg(col(c)).alias(f"mu{i}"), F.var_pop(col(c)).alias(f"var{i}")]
     r = df.agg(*aggs).first()
@@ -29,8 +30,9 @@ def estimate_params(df: DataFrame, cols: Sequence[str]) -> tuple[list[float], li
 
 
 def estimate_covariance(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Mean vector and population covariance matrix (one aggregate)."""
-    n = len(cols)
+    """Mean vector and population covariance matrix of the complete rows (one
+    aggregate)."""
+    df, n = complete(df, cols), len(cols)
     aggs = [F.avg(col(c)).alias(f"mu{i}") for i, c in enumerate(cols)]
     for i in range(n):
         for j in range(i, n):
@@ -72,7 +74,8 @@ def mv_log_density(cols: Sequence[str], mu: np.ndarray, S: np.ndarray) -> Column
 
 def f1_at(df: DataFrame, p: str, truth: str, eps: float) -> DataFrame:
     """A4: tp, fp, fn, precision, recall, F1 for predicted = p < eps
-    (undefined ratios are 0)."""
+    (undefined ratios are 0) over the rows with a density and a truth."""
+    df = complete(df, [p, truth])
     pred = col(p) < F.lit(eps)
     pos = col(truth) == 1
     c = df.agg(F.sum((pred & pos).cast("long")).alias("tp"),
@@ -95,8 +98,12 @@ def _with_f1(c: DataFrame) -> DataFrame:
 def best_threshold(df: DataFrame, p: str, truth: str, steps: int = 1000) -> tuple[float, float]:
     """A5: epsilon_i = min + i * (max - min) / steps, i = 0..steps-1; the
     first epsilon with the highest F1 wins.  One min/max aggregate and one
-    grouped count over at most steps + 1 slots."""
+    grouped count over at most steps + 1 slots.  Rows with a null or NaN density
+    or truth take no part; without rows the result is (nan, 0)."""
+    df = complete(df, [p, truth])
     r = df.agg(F.min(col(p)).alias("lo"), F.max(col(p)).alias("hi")).first()
+    if r["lo"] is None:
+        return float("nan"), 0.0
     lo, hi = float(r["lo"]), float(r["hi"])
     step = (hi - lo) / steps
     if step == 0.0:

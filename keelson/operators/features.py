@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col, monomial, monomial_exponents
+from keelson.functions.expr import col, complete, monomial, monomial_exponents
 
 @dataclass
 class Normalizer:
@@ -33,7 +33,9 @@ class Normalizer:
 
 
 def fit_normalizer(df: DataFrame, cols: Sequence[str], ddof: int = 0) -> Normalizer:
-    """One aggregate of avg and stddev for every column."""
+    """One aggregate of avg and stddev for every column, over the complete
+    rows."""
+    df = complete(df, cols)
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
     aggs = []
     for i, c in enumerate(cols):
@@ -219,8 +221,12 @@ def implode_features(long_df: DataFrame, id_col: str, pos: str = "pos", value: s
 def permutation_key(key: Column | str, seed: int = 17, modulus: int = 2_147_483_647) -> Column:
     """A deterministic pseudo-random order key: (key * a + seed) mod p, with
     p prime and a a primitive root, so distinct keys below p map to distinct
-    values and the order looks random."""
-    return F.pmod(col(key).cast("long") * F.lit(48271) + F.lit(seed), F.lit(modulus))
+    values and the order looks random.  The key is reduced first, so no whole
+    number overflows; keys that are no whole numbers count by their hash; null
+    stays null."""
+    k = col(key)
+    number = F.coalesce(k.try_cast("long"), F.xxhash64(k))
+    return F.when(k.isNotNull(), F.pmod(F.pmod(number, F.lit(modulus)) * F.lit(48271) + F.lit(seed), F.lit(modulus)))
 
 
 def sample_rows(df: DataFrame, k: int, key: str, seed: int = 17) -> DataFrame:

@@ -72,31 +72,34 @@ def grouped_grams(df: DataFrame, cols: Sequence[Column | str], y: Column | str |
 
 
 def gram_long(df: DataFrame, array_col: str, dims: int, centre: Sequence[float] | None = None,
-              scale: Sequence[float] | None = None) -> DataFrame:
+              scale: Sequence[float] | None = None, with_count: bool = False) -> DataFrame:
     """Wide Gram sum x x' for an array<double|float> column as long rows
-    (i, j, value), i <= j.  Each Arrow batch contributes X'X computed by
-    numpy; partial rows are summed by (i, j), spread over dims^2 keys."""
+    (i, j, value), i <= j, over the complete vectors; ``with_count`` adds their
+    number n to each row.  Each Arrow batch contributes X'X computed by numpy
+    from its flat buffer; partial rows are summed by (i, j), spread over dims^2
+    keys."""
     mu = np.zeros(dims) if centre is None else np.asarray(centre, dtype=float)
     sd = np.ones(dims) if scale is None else np.asarray(scale, dtype=float)
     sd = np.where(sd == 0, 1.0, sd)
     iu = np.triu_indices(dims)
 
     def partials(batches):
-        import pandas as pd
-        acc = np.zeros((dims, dims))
-        seen = False
-        for pdf in batches:
-            if len(pdf) == 0:
+        import pyarrow as pa
+        acc, n = np.zeros((dims, dims)), 0
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x = (np.stack(pdf[array_col].to_numpy()).astype(float) - mu) / sd
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            x = (x - mu) / sd
             acc += x.T @ x
-            seen = True
-        if seen:
-            yield pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"),
-                                "value": acc[iu]})
-
-    part = df.select(array_col).filter(complete_vector(array_col)).mapInPandas(partials, "i int, j int, value double")
-    return part.groupBy("i", "j").agg(F.sum("value").alias("value"))
+            n += len(x)
+        if n:
+            yield pa.record_batch([pa.array(iu[0].astype("int32")), pa.array(iu[1].astype("int32")), pa.array(acc[iu]),
+                                   pa.array(np.full(len(iu[0]), n))], names=["i", "j", "value", "n"])
+
+    part = (df.filter(complete_vector(array_col)).select(col(array_col).cast("array<double>").alias("x"))
+            .mapInArrow(partials, "i int, j int, value double, n long"))
+    return part.groupBy("i", "j").agg(F.sum("value").alias("value"), *([F.sum("n").alias("n")] if with_count else []))
 
 
 def long_to_matrix(rows, dims: int, i="i", j="j", v="value") -> np.ndarray:

@@ -37,13 +37,15 @@ def init_random(df: DataFrame, features: str, k: int, seed: int = 7) -> np.ndarr
 
 
 def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index, squared distance) of the nearest centre; the first on ties."""
-    D = np.empty((X.shape[0], C.shape[0]))
+    """(index, squared distance) of the nearest centre; the first on ties.  A
+    running minimum: memory is rows x dimensions for any number of centres."""
+    best, k = np.full(X.shape[0], np.inf), np.zeros(X.shape[0], dtype=np.int64)
     for j in range(C.shape[0]):
         diff = X - C[j]
-        D[:, j] = np.einsum("ij,ij->i", diff, diff)
-    k = np.argmin(D, axis=1)
-    return k, D[np.arange(len(k)), k]
+        d = np.einsum("ij,ij->i", diff, diff)
+        nearer = d < best
+        best[nearer], k[nearer] = d[nearer], j
+    return k, best
 
 
 def assign(df: DataFrame, features: str, centroids: np.ndarray, k_col: str = "k",
@@ -134,11 +136,12 @@ def _step(df: DataFrame, features: str, C: np.ndarray) -> np.ndarray:
 
     def run(batches):
         import pandas as pd
+        import pyarrow as pa
         sums, cnt, dsum, seen = np.zeros((K, n)), np.zeros(K), np.zeros(K), False
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if not b.num_rows:
                 continue
-            X = np.stack(pdf[features].to_numpy()).astype(float)
+            X = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
             k, d = nearest(X, C)
             np.add.at(sums, k, X)
             cnt += np.bincount(k, minlength=K)
@@ -147,10 +150,10 @@ def _step(df: DataFrame, features: str, C: np.ndarray) -> np.ndarray:
         if seen:
             vals = np.hstack([cnt[:, None], dsum[:, None], sums])
             kk, jj = np.meshgrid(np.arange(K), np.arange(-2, n), indexing="ij")
-            yield pd.DataFrame({"k": kk.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                                "value": vals.ravel()})
+            yield pa.RecordBatch.from_pandas(pd.DataFrame({"k": kk.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
+                                                           "value": vals.ravel()}), preserve_index=False)
 
-    rows = (df.select(features).mapInPandas(run, "k int, j int, value double")
+    rows = (df.select(col(features).cast("array<double>").alias("x")).mapInArrow(run, "k int, j int, value double")
             .groupBy("k", "j").agg(F.sum("value").alias("value")).collect())
     tot = np.zeros((K, n + 2))
     for r in rows:

@@ -31,7 +31,8 @@ def hypothesis(cols: Sequence[Column | str], theta: Sequence[float]) -> Column:
 def cost_expr(cols, y, theta, lam: float) -> Column:
     """C2 aggregate: mean cross-entropy + lam/2m sum_{j>=1} theta_j^2."""
     reg = float(sum(t * t for t in theta[1:]))
-    loss = log_loss_margin(score(cols, theta), y)   # null in a row with a missing value
+    loss = log_loss_margin(score(cols, theta), y)
+    loss = F.when(~F.isnan(loss), loss)     # null in a row with a missing value
     return (F.sum(loss) + F.lit(lam * reg / 2.0)) / F.count(loss)
 
 

@@ -25,11 +25,9 @@ def covariance(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
 
 
 def covariance_long(df: DataFrame, features: str, dims: int, mu=None, sd=None) -> DataFrame:
-    """D1 for an array column: (i, j, value) i <= j of X'X/m, with optional
-    normalisation applied inside the partial products."""
-    m = df.count()
-    return G.gram_long(df, features, dims, mu, sd) \
-        .withColumn("value", F.col("value") / F.lit(float(m)))
+    """D1 for an array column: (i, j, value) i <= j of X'X/m over the complete
+    vectors, with optional normalisation applied inside the partial products."""
+    return G.gram_long(df, features, dims, mu, sd, with_count=True).select("i", "j", (F.col("value") / F.col("n")).alias("value"))
 
 
 def fix_signs(U: np.ndarray, tol: float = 1e-12) -> np.ndarray:

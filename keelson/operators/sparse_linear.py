@@ -20,13 +20,17 @@ def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term:
               x: str = "w", label: str = "label", alpha: float = 1e-3, iters: int = 10,
               t0: float | None = None):
     """Minimise alpha/2 ||w||^2 + mean_i max(0, 1 - y_i (w.x_i + b)),
-    y in {-1, +1} (labels 0/1 are mapped).  Step 1 / (alpha (t + t0)) with
+    y in {-1, +1} (labels 0/1 are mapped).  Documents are those with features
+    and a label; a null label is none, of several labels of an id the greatest
+    counts.  Step 1 / (alpha (t + t0)) with
     t0 = 1 / alpha by default (first steps close to 1, then decaying).
     Returns (weights (term, weight), bias, history [(iter, objective)])."""
-    y = labels.select(id_col, F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
+    y = (labels.filter(F.col(label).isNotNull()).groupBy(id_col)
+         .agg(F.max(F.when(F.col(label) > 0, 1.0).otherwise(-1.0)).alias("_y")))
     # every iteration reads the labelled features twice: materialise once
     data = cut_lineage(feats.join(y.select(id_col), id_col)
                        .select(id_col, term, F.col(x).alias("_x")))
+    y = cut_lineage(y.join(data.select(id_col).distinct(), id_col, "left_semi"))
     m = y.count()
     weights = data.select(term).distinct().withColumn("weight", F.lit(0.0))
     weights = cut_lineage(weights)

@@ -125,7 +125,8 @@ def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
                 landmarks: np.ndarray, Cs: Sequence[float], sigmas: Sequence[float],
                 parallelism: int = 4):
     """V5: validation error for every (C, sigma); returns rows sorted by
-    error then C then sigma (the first is the choice).
+    error then C then sigma (the first is the choice).  Without a usable
+    validation row every error is infinite.
 
     Each sigma's similarity features are computed once and persisted; the
     independent trial fits (looser tolerance 1e-4) are submitted from a
@@ -143,7 +144,7 @@ def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
         w, b = fit_linear(tr, "sims", label, C, max_iter=100, tol=1e-4)
         score = array_dot("sims", w, intercept=b)
         err = va.agg(F.avg((classify(score) != F.col(label)).cast("double"))).first()[0]
-        return (float(C), float(s), float(err))
+        return (float(C), float(s), float("inf") if err is None else float(err))
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

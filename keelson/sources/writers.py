@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +19,10 @@ def submission_frame(probs: DataFrame, id_col: str, class_col: str, p_col: str,
 
 def write_submission(frame: DataFrame, out_dir: str, info: str = "") -> str:
     """Write the prediction table as CSV with header in a time-stamped
-    folder; returns the path."""
+    folder of its own (writes of the same minute don't meet); returns the path."""
     stamp = time.strftime("%Y-%m-%d-%H-%M")
-    path = f"{out_dir.rstrip('/')}/submission_{info}_{stamp}"
-    frame.write.mode("overwrite").option("header", "true").csv(path)
+    path = f"{out_dir.rstrip('/')}/submission_{info}_{stamp}-{uuid.uuid4().hex[:8]}"
+    frame.write.mode("error").option("header", "true").csv(path)
     return path
 
 
