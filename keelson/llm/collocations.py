@@ -10,8 +10,9 @@ numpy subtraction each.  Two passes run over the texts:
    counts, so no frequent phrase is lost.
 2. n-grams of the buckets left are aggregated by fingerprint within a block,
    each occurrence is compared with the one pointed at word for word (what
-   differs is counted apart), and only then the phrase's text is made.  Counts
-   meet by phrase, so the result is exact whatever collides.
+   differs is counted apart), and only then the phrase's text is made.  Texts
+   with counts and pointers are shuffled by fingerprint and added there by text,
+   so the result is exact whatever collides.
 
 Cuts, scores and containment are joins and grouped minima over the table of
 frequent phrases.
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +35,9 @@ from keelson.llm.common import join_skewed, mix, small_batches
 from keelson.session import cut_lineage
 
 MAX_WORDS = 5
-BLOCK_BYTES = 8 << 20        # text of one block; a longer text is a block alone
-STEP = 1 << 20               # n-grams whose fingerprints are held at once
-BUFFER = 4 << 20             # buckets that a task counts before it sends them on
+BLOCK_BYTES = 4 << 20        # text of one block; a longer text is a block alone
+STEP = 1 << 18               # n-grams whose fingerprints are held at once
+BUFFER = 2 << 20             # buckets that a task counts before it sends them on
 RANGE_BITS = 22              # buckets of one range (counted by one array)
 MOST_BITS = 28               # bits of the broadcast array: 32 MB
 BASE = 0x9E3779B97F4A7C15    # odd, so it has an inverse modulo 2^64
@@ -57,6 +59,19 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(p, dtype=np.uint64)
 
 
+def text_hashes(texts: pa.Array) -> np.ndarray:
+    """Polynomials over the bytes of some texts, mixed."""
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(texts) or data is None:
+        return np.zeros(len(texts), np.uint64)
+    raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].astype(np.uint64) + np.uint64(1)
+    prefix = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(raw * powers(BASE, len(raw)), out=prefix[1:])
+    ends = ends - ends[0]
+    return mix((prefix[ends[1:]] - prefix[ends[:-1]]) * powers(INVERSE, len(raw) + 1)[ends[:-1]])
+
+
 class Block:
     """The words of some texts: ``codes`` (numbers of equal words), ``piece``
     (numbers of the pieces), ``doc`` (row) and ``at`` (word number in the row)."""
@@ -74,10 +89,11 @@ class Block:
         first[1:], last[:-1] = ~word[:-1], ~word[1:]
         first[begins], last[begins[begins > 0] - 1] = True, True
         start, end = np.flatnonzero(word & first), np.flatnonzero(word & last) + 1
-        ends = np.union1d(np.flatnonzero(kind == END), begins)
-        self.piece = np.searchsorted(ends, start, "right")
+        ends = kind == END
+        ends[begins] = True
+        self.piece = np.searchsorted(np.flatnonzero(ends), start, "right")
         self.doc = np.searchsorted(bounds[1:], start, "right")
-        self.at = np.arange(len(start)) - np.searchsorted(self.doc, self.doc, "left")
+        self.at = np.arange(len(start)) - np.searchsorted(self.doc, np.arange(len(text)))[self.doc]
         # words and the gaps between them are one Arrow array over the same bytes
         each = np.empty(2 * len(start), np.int64)
         each[0::2], each[1::2] = start, end
@@ -85,11 +101,13 @@ class Block:
             coded = pa.Array.from_buffers(pa.large_binary(), len(each) - 1,
                                           [None, pa.py_buffer(each), pa.py_buffer(low)]).dictionary_encode()
             codes = coded.indices.to_numpy()[0::2]
-            used, self.codes = np.unique(codes, return_inverse=True)
-            self.words = coded.dictionary.take(pa.array(used)).to_pylist()
+            used = np.zeros(len(coded.dictionary), bool)
+            used[codes] = True
+            self.codes = (np.cumsum(used) - 1)[codes]
+            self.words = coded.dictionary.filter(pa.array(used))
         else:
-            self.codes, self.words = np.empty(0, np.int64), []
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+            self.codes, self.words = np.empty(0, np.int64), pa.array([], pa.large_binary())
+        self.hashes = text_hashes(self.words)
         self.langs = sorted(set(langs))
         number = {name: i for i, name in enumerate(self.langs)}
         self.lang = np.fromiter((number[x] for x in langs), np.int64, len(langs))[self.doc]
@@ -114,8 +132,12 @@ class Block:
                 f = mix(f + self.lang_hash[self.lang[lo + at]] + np.uint64(n * SALT % (1 << 64)))
                 yield n, lo + at, f >> np.uint64(64 - keep_bits) << np.uint64(64 - keep_bits) if keep_bits < 64 else f
 
-    def phrase(self, at: int, n: int) -> bytes:
-        return b" ".join([self.words[c] for c in self.codes[at:at + n].tolist()])
+    def phrases(self, at: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The texts of phrases of ``n`` words from words ``at``, joined by blanks."""
+        ends = np.concatenate([[0], np.cumsum(n)])
+        each = np.repeat(at - ends[:-1], n) + np.arange(ends[-1])
+        words = self.words.take(pa.array(self.codes[each])).cast(pa.binary())
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words), b" ")
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Block]]:
@@ -141,27 +163,25 @@ def one_block(held: list[pa.RecordBatch]) -> tuple[pa.Array, Block]:
 
 # ---- first pass: buckets --------------------------------------------------------
 def encode(buckets: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted buckets of a range with their counts: gaps and counts, two bytes
-    each, larger gaps as escapes; compressed by zlib's fastest level."""
-    import zlib
+    """Sorted buckets of a range with their counts: gaps as planes of low and
+    high bytes (the high ones are mostly 0, which the shuffle's compression
+    takes away), larger gaps as escapes, and the counts over 1."""
     gaps = np.diff(buckets, prepend=0)
-    wide = gaps >= 65535
-    body = (np.where(wide, 65535, gaps).astype("<u2").tobytes(), gaps[wide].astype("<u4").tobytes(),
-            np.packbits(counts > 1).tobytes(), counts[counts > 1].astype("<u2").tobytes())
-    return np.array([len(buckets), wide.sum(), (counts > 1).sum()], "<u4").tobytes() + zlib.compress(b"".join(body), 1)
+    wide, more = gaps >= 65535, counts > 1
+    two = np.where(wide, 65535, gaps).astype("<u2").view(np.uint8).reshape(-1, 2)
+    return b"".join((np.array([len(buckets), wide.sum(), more.sum()], "<u4").tobytes(), two[:, 0].tobytes(), two[:, 1].tobytes(),
+                     gaps[wide].astype("<u4").tobytes(), np.packbits(more).tobytes(), counts[more].astype("<u2").tobytes()))
 
 
 def decode(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    import zlib
     n, wide, more = np.frombuffer(data, "<u4", 3).tolist()
-    body = zlib.decompress(data[12:])
-    gaps = np.frombuffer(body, "<u2", n).astype(np.int64)
-    at = 2 * n
-    gaps[gaps == 65535] = np.frombuffer(body, "<u4", wide, at)
+    planes, at = np.frombuffer(data, np.uint8, 2 * n, 12).astype(np.int64), 12 + 2 * n
+    gaps = planes[:n] + (planes[n:] << 8)
+    gaps[gaps == 65535] = np.frombuffer(data, "<u4", wide, at)
     at += 4 * wide
-    bits = np.unpackbits(np.frombuffer(body, np.uint8, -(-n // 8), at), count=n).astype(bool)
+    bits = np.unpackbits(np.frombuffer(data, np.uint8, -(-n // 8), at), count=n).astype(bool)
     counts = np.ones(n, np.int64)
-    counts[bits] = np.frombuffer(body, "<u2", more, at + -(-n // 8))
+    counts[bits] = np.frombuffer(data, "<u2", more, at + -(-n // 8))
     return np.cumsum(gaps), counts
 
 
@@ -172,11 +192,12 @@ def bucket_counts(bits: int, min_count: int):
     schema = pa.schema([("range", pa.int64()), ("data", pa.binary())])
 
     def sent(held: list[np.ndarray]) -> pa.RecordBatch:
-        all_ = np.concatenate(held)
-        all_.sort()
-        new = np.flatnonzero(np.concatenate([[True], all_[1:] != all_[:-1]]))
-        one = all_[new].astype(np.int64)
-        n = np.minimum(np.diff(np.append(new, len(all_))), top)
+        every = np.concatenate(held)
+        held.clear()
+        every.sort()
+        new = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        one = every[new].astype(np.int64)
+        n = np.minimum(np.diff(np.append(new, len(every))), top)
         ranges, first = np.unique(one >> RANGE_BITS, return_index=True)
         cuts = np.append(first, len(one))
         data = [encode(one[a:z] - (r << RANGE_BITS), n[a:z]) for r, a, z in zip(ranges.tolist(), cuts[:-1], cuts[1:])]
@@ -192,6 +213,7 @@ def bucket_counts(bits: int, min_count: int):
                 if size >= BUFFER:
                     yield sent(held)
                     held, size = [], 0
+            del block
         if size:
             yield sent(held)
     return run
@@ -262,22 +284,22 @@ def frequent_buckets(texts: DataFrame, bits: int, min_count: int) -> np.ndarray:
 
 
 # ---- second pass: phrases ---------------------------------------------------------
-def block_phrases(block: Block, bits: int, maps: np.ndarray, keep_bits: int = 64) -> list[tuple[int, int, int, int]]:
-    """(lang number, n, pointer, count) of the block's phrases in frequent
-    buckets: aggregated by fingerprint, every occurrence compared with the one
-    at the pointer; occurrences that differ are counted by their words."""
+def block_phrases(block: Block, bits: int, maps: np.ndarray, keep_bits: int = 64) -> tuple[np.ndarray, ...]:
+    """(first word's number, words, count, fingerprint) of the block's phrases
+    in frequent buckets: aggregated by fingerprint, every occurrence compared
+    with the one pointed at; occurrences that differ are counted by their words."""
     mask = np.uint64(len(maps) * 8 - 1)
-    ns, where, prints = [], [], []
+    ns, where, prints = [np.empty(0, np.int8)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     for n, at, f in block.fingerprints():
         b = (f >> np.uint64(64 - bits)) & mask
         on = np.flatnonzero(maps[b >> np.uint64(3)] & (np.uint8(128) >> (b & np.uint64(7)).astype(np.uint8)))
-        ns.append(np.full(len(on), n))
+        ns.append(np.full(len(on), n, np.int8))
         where.append(at[on])
         prints.append(f[on] if keep_bits == 64 else f[on] >> np.uint64(64 - keep_bits))
-    if not ns:
-        return []
     n, at, f = map(np.concatenate, (ns, where, prints))
-    _, first, which, total = np.unique(f, return_index=True, return_inverse=True, return_counts=True)
+    if not len(f):
+        return at, n, at, f
+    once, first, which, total = np.unique(f, return_index=True, return_inverse=True, return_counts=True)
     rep = first[which]
     same = (n == n[rep]) & (block.lang[at] == block.lang[at[rep]])
     for j in range(MAX_WORDS):
@@ -285,38 +307,117 @@ def block_phrases(block: Block, bits: int, maps: np.ndarray, keep_bits: int = 64
         same[i] = block.codes[at[i] + j] == block.codes[at[rep[i]] + j]
     odd = np.flatnonzero(~same)
     np.subtract.at(total, which[odd], 1)
-    out = list(zip(block.lang[at[first]].tolist(), n[first].tolist(), at[first].tolist(), total.tolist()))
     apart: Counter = Counter()
     seen: dict = {}
     for i in odd.tolist():
         key = (int(block.lang[at[i]]), tuple(block.codes[at[i]:at[i] + n[i]].tolist()))
         apart[key] += 1
-        seen.setdefault(key, int(at[i]))
-    return out + [(lang, len(codes), seen[lang, codes], c) for (lang, codes), c in apart.items()]
+        seen.setdefault(key, i)
+    extra = np.array(list(seen.values()), np.int64)
+    return (np.concatenate([at[first], at[extra]]), np.concatenate([n[first], n[extra]]),
+            np.concatenate([total, np.array(list(apart.values()), np.int64)]), np.concatenate([once, f[extra]]))
+
+
+HELD = 400_000               # phrases that a task counts before it sends them on
+RANGE_BYTES = 64 << 20       # text for which the second pass has one range of fingerprints
+KEYS, COLUMNS = ["lang", "phrase"], ["range", "lang", "phrase", "words", "f", "doc", "word"]
+
+
+def phrase_table(keys: pa.ChunkedArray, block: Block, bits: int, maps: np.ndarray, ranges: int, keep_bits: int) -> pa.Table:
+    """range (of the fingerprint), lang, phrase, words, f, doc, word of a block;
+    words 0 is the number of all words of a language."""
+    at, n, f, prints = block_phrases(block, bits, maps, keep_bits)
+    every = np.bincount(block.lang, minlength=len(block.langs))
+    some = np.flatnonzero(every)
+    m = len(at)
+    langs = pa.array(block.langs, pa.string()).take(pa.array(np.concatenate([block.lang[at], some])))
+    return pa.table({
+        "range": np.concatenate([(prints % np.uint64(ranges)).astype(np.int64), some % ranges]),
+        "lang": langs, "phrase": pa.concat_arrays([block.phrases(at, n.astype(np.int64)), pa.array([b""] * len(some), pa.binary())]),
+        "words": np.concatenate([n, np.zeros(len(some), np.int8)]).astype(np.int32),
+        "f": np.concatenate([f, every[some]]).astype(np.int64),
+        "doc": pa.concat_arrays([keys.combine_chunks().take(pa.array(block.doc[at])) if m else pa.array([], keys.type),
+                                 pa.nulls(len(some), keys.type)]),
+        "word": pa.concat_arrays([pa.array(block.at[at], pa.int32()), pa.nulls(len(some), pa.int32())])})
+
+
+def combined(tables: list[pa.Table]) -> pa.Table:
+    """One row a language and text: counts added, the first place kept."""
+    t = pa.concat_tables(tables).group_by(KEYS, use_threads=False).aggregate(
+        [("range", "first"), ("words", "first"), ("f", "sum"), ("doc", "first"), ("word", "first")])
+    return t.rename_columns([c.removesuffix("_first").removesuffix("_sum") for c in t.column_names]).select(COLUMNS)
+
+
+def packet(t: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, t.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as w:
+        w.write_table(t)
+    return out.getvalue().to_pybytes()
+
+
+def phrase_packets(bits: int, maps, ranges: int, keep_bits: int):
+    """mapInArrow body: (range, data) of a task's phrases in frequent buckets,
+    dealt by fingerprint."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, whole = [], 0, 0
 
+        def sent() -> pa.RecordBatch:
+            t = combined(held).sort_by([("range", "ascending"), ("phrase", "ascending")])
+            r = t["range"].to_numpy()
+            first = np.flatnonzero(np.diff(r, prepend=-1))
+            data = [packet(t.slice(a, z - a)) for a, z in zip(first.tolist(), [*first[1:].tolist(), len(r)])]
+            held.clear()
+            return pa.record_batch([pa.array(r[first]), pa.array(data, pa.binary())], names=["range", "data"])
 
-def phrase_counts(texts: DataFrame, bits: int, maps: np.ndarray, keep_bits: int = 64) -> DataFrame:
-    """(lang, words, phrase, f, example): counts of phrases in frequent buckets
-    by block; words 0 is the number of all words of a language."""
-    shared = texts.sparkSession.sparkContext.broadcast(maps)    # at most 2^MOST_BITS bits
-    kind = texts.schema["key"].dataType.simpleString()
+        for keys, block in blocks(batches):
+            held.append(phrase_table(keys, block, bits, maps.value, ranges, keep_bits))
+            del block
+            rows += held[-1].num_rows
+            if rows - whole >= HELD:
+                held[:] = [combined(held)]
+                rows = whole = held[0].num_rows
+                if whole >= HELD:
+                    yield sent()
+                    rows = whole = 0
+        if held:
+            yield sent()
+    return run
 
+
+def phrase_sums(min_count: int):
+    """mapInArrow body over packets sorted by range: (lang, words, phrase, f,
+    doc, word) of the phrases counted ``min_count`` times; equal texts meet here
+    whatever their fingerprints, the smallest place stays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, block in blocks(batches):
-            rows = block_phrases(block, bits, shared.value, keep_bits)
-            lang, n, at, f = (list(x) for x in zip(*rows)) if rows else ([], [], [], [])
-            phrase = [block.phrase(a, m) for a, m in zip(at, n)]
-            doc = keys.take(pa.array(block.doc[at], pa.int64())) if at else keys.slice(0, 0)
-            word = block.at[at].tolist() if at else []
-            for i, all_ in enumerate(np.bincount(block.lang, minlength=len(block.langs)).tolist()):
-                if all_:
-                    lang, n, phrase, f, word = [*lang, i], [*n, 0], [*phrase, b""], [*f, all_], [*word, None]
-            doc = pa.concat_arrays([*(doc.chunks if isinstance(doc, pa.ChunkedArray) else [doc]), pa.nulls(len(n) - len(doc), keys.type)])
-            yield pa.record_batch([pa.array([block.langs[i] for i in lang], pa.string()), pa.array(n, pa.int32()),
-                                   pa.array(phrase, pa.binary()), pa.array(f, pa.int64()), doc, pa.array(word, pa.int32())],
-                                  names=["lang", "words", "phrase", "f", "doc", "word"])
-
-    return (texts.mapInArrow(run, f"lang string, words int, phrase binary, f long, doc {kind}, word int")
+        held: list[pa.Table] = []
+        at = None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            t = combined([pa.concat_tables(held).sort_by([("doc", "ascending"), ("word", "ascending")])])
+            held.clear()
+            t = t.filter(pc.or_(pc.equal(t["words"], 0), pc.greater_equal(t["f"], min_count)))
+            yield from t.select(["lang", "words", "phrase", "f", "doc", "word"]).combine_chunks().to_batches()
+
+        for b in batches:
+            for r, data in zip(b.column("range").to_pylist(), b.column("data")):
+                if at is not None and r != at:
+                    yield from out()
+                at = r
+                held.append(pa.ipc.open_stream(data.as_buffer()).read_all())
+        if held:
+            yield from out()
+    return run
+
+
+def phrase_counts(texts: DataFrame, bits: int, maps: np.ndarray, min_count: int, n_bytes: int, keep_bits: int = 64) -> DataFrame:
+    """(lang, words, phrase, f, example): phrases counted ``min_count`` times in
+    a language, and words 0: all words of the language (a row for each range
+    that it was counted in)."""
+    shared = texts.sparkSession.sparkContext.broadcast(maps)    # at most 2^MOST_BITS bits
+    kind = texts.schema["key"].dataType.simpleString()
+    packets = texts.mapInArrow(phrase_packets(bits, shared, max(64, n_bytes // RANGE_BYTES), keep_bits), "range long, data binary")
+    return (packets.repartition("range").sortWithinPartitions("range")
+            .mapInArrow(phrase_sums(min_count), f"lang string, words int, phrase binary, f long, doc {kind}, word int")
             .select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f",
                     F.when(F.col("words") > 0, F.struct("doc", "word")).alias("example")))
 
@@ -325,16 +426,14 @@ def frequent_phrases(docs: DataFrame, min_count: int, key: str = "doc_id", text:
                      lang: str = "lang", keep_bits: int = 64) -> DataFrame:
     """(lang, words, phrase, f, example) of all phrases of 1 to MAX_WORDS words
     found at least ``min_count`` times in a language, and each language's number
-    of words as words 0; example is one place (key, word number)."""
+    of words as words 0 (in parts to be added); example is one place (key, word number)."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
     n_bytes = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = bucket_bits(n_bytes, min_count)
     maps = frequent_buckets(texts, bits, min_count)
-    counts = phrase_counts(texts, bits, maps, keep_bits).groupBy("lang", "words", "phrase").agg(
-        F.sum("f").alias("f"), F.min("example").alias("example"))
-    return counts.filter((F.col("words") == 0) | (F.col("f") >= min_count))
+    return phrase_counts(texts, bits, maps, min_count, n_bytes, keep_bits)
 
 
 def collocations(docs: DataFrame, min_count: int = 100, top: int | None = 2000, covered: int = 100,
@@ -352,6 +451,7 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int | None = 2000,
     """
     freq = cut_lineage(frequent_phrases(docs, min_count, key, text, lang, keep_bits))
     part = freq.filter("words > 0")
+    totals = freq.filter("words = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     cand = part.filter("words > 1")
     w = F.split("phrase", " ")
     cuts = (cand.select("lang", "phrase", F.col("f").alias("a"), F.posexplode(F.transform(
@@ -362,7 +462,7 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int | None = 2000,
     base = cuts = cut_lineage(cuts)
     cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"], base)
     cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r")), ["lang", "tail"], base)
-    cuts = join_skewed(cuts, freq.filter("words = 0").select("lang", F.col("f").alias("n")), ["lang"], base)
+    cuts = join_skewed(cuts, totals, ["lang"], base)
     whole = "CAST({} AS DECIMAL(19, 0))".format
     score = F.expr(f"({whole('1000')} * {whole('a')} * {whole('n')}) DIV ({whole('l')} * {whole('r')})")
     best = (cuts.withColumn("score", score).groupBy("lang", "phrase")
