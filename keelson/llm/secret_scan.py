@@ -60,7 +60,7 @@ NAMED = re.compile("(?:" + "|".join(map(re.escape, NAMES)) + r""")s?["']?[ \t]{0
 PREFIXED = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(map(re.escape, PREFIXES)) + r")[A-Za-z0-9_.-]{12,}")
 URL = re.compile(r"://[^\s:/@]{1,64}:([^\s:/@]{4,})@")
 UPPER_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-F]{16,}(?![0-9A-Za-z])")
-MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+MIXED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 KEY_BEGIN, KEY_END = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"), re.compile(r"-----END [A-Z ]{0,30}PRIVATE KEY-----")
 
@@ -261,14 +261,14 @@ class CharNet:
         """Pooled maps: maximum and mean inside the candidate, maximum around
         it (0 where there is nothing), and the kind."""
         m = len(encodings)
-        inside, around, total, count = (np.zeros((m, FILTERS), np.float32) for _ in range(4))
+        inside, around, total, count = (np.zeros((m, FILTERS), self.p["conv"].dtype) for _ in range(4))
         for owner, codes, marked in rows_of(encodings):
             _, h, role = self.convolve(codes, marked)
             mine, near = (role == 1)[..., None], ((role == 0) | (role == 2))[..., None]
             np.maximum.at(inside, owner, (h * mine).max(axis=1))
             np.maximum.at(around, owner, (h * near).max(axis=1))
             np.add.at(total, owner, (h * mine).sum(axis=1))
-            np.add.at(count, owner, mine.sum(axis=1).astype(np.float32))
+            np.add.at(count, owner, mine.sum(axis=1))
         return np.concatenate([inside, total / np.maximum(count, 1), around, np.eye(len(KINDS), dtype=np.float32)[kinds]], axis=1)
 
     def logits(self, encodings: list, kinds: np.ndarray) -> np.ndarray:
@@ -289,7 +289,8 @@ class CharNet:
         count = np.maximum(mine.sum(axis=1), 1)
         hi, ha = h * mine, h * near
         top, by = hi.argmax(axis=1), ha.argmax(axis=1)
-        f = np.concatenate([hi.max(axis=1), hi.sum(axis=1) / count, ha.max(axis=1), np.eye(len(KINDS), dtype=np.float32)[kinds]], axis=1)
+        high, beside = hi.max(axis=1), ha.max(axis=1)
+        f = np.concatenate([high, hi.sum(axis=1) / count, beside, np.eye(len(KINDS), dtype=np.float32)[kinds]], axis=1)
         a = f @ self.p["dense"] + self.p["dense_b"]
         hidden = np.maximum(a, 0.0)
         z = hidden @ self.p["out"] + self.p["out_b"]
@@ -298,8 +299,9 @@ class CharNet:
         df = da @ self.p["dense"].T
         dh = mine * (df[:, None, FILTERS:2 * FILTERS] / count[:, None])
         r, c = np.arange(len(y))[:, None], np.arange(FILTERS)[None, :]
-        np.add.at(dh, (r, top, c), df[:, :FILTERS])
-        np.add.at(dh, (r, by, c), df[:, 2 * FILTERS:3 * FILTERS] * near.any(axis=1))
+        # a maximum of 0 has no place that it came from
+        np.add.at(dh, (r, top, c), df[:, :FILTERS] * (high > 0))
+        np.add.at(dh, (r, by, c), df[:, 2 * FILTERS:3 * FILTERS] * (beside > 0))
         dh = (dh * (h > 0)).astype(np.float32)
         g = {"out": hidden.T @ dz, "out_b": dz.sum(keepdims=True), "dense": f.T @ da, "dense_b": da.sum(axis=0),
              "conv": x.reshape(-1, x.shape[2]).T @ dh.reshape(-1, FILTERS), "conv_b": dh.sum(axis=(0, 1))}
