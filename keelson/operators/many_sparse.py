@@ -122,7 +122,7 @@ def prepare(counts: DataFrame, labels: DataFrame, settings: Sequence[Setting], f
     terms = global_row_index(per, ["term"], name="idx", start=1)
     sizes = {r["fold"]: r["n"] for r in lab.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
-    long = F.size(F.split("term", " "))
+    long = F.size(F.split(F.col("term").cast("string"), " "))
     idf = []
     for v in views:
         df = F.col("df") - F.coalesce(F.col("by")[F.lit(v.fold)], F.lit(0)) if v.fold >= 0 else F.col("df")

@@ -3,7 +3,10 @@
 The (uncentred) second-moment matrix X'X/m of the normalised features is a
 Gram scan (narrow: one aggregate; wide arrays: Arrow partial products
 summed by (i, j) key).  The n x n eigen-decomposition runs on the driver;
-projection and reconstruction are literal dot products (narrow stage)."""
+projection and reconstruction are literal dot products (narrow stage), or numpy
+products for array features.  For wide or sparse features block subspace
+iteration finds the leading directions from products X'(XQ), without any n x n
+matrix; for sparse ones Q is a table by term."""
 
 from __future__ import annotations
 
@@ -14,8 +17,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.expr import col, linear
+from keelson.functions.expr import col, complete_vector, linear
 from keelson.operators import gram as G
+from keelson.operators import many_sparse as MS
+from keelson.operators.joins import join_skewed
+from keelson.session import cut_lineage, cut_partitioned
 
 
 def covariance(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
@@ -87,3 +93,216 @@ def cost(df: DataFrame, cols: Sequence[str], model: PCAModel, k: int) -> DataFra
         d = col(c) - rcol
         sq = d * d if sq is None else sq + d * d
     return df.agg(F.avg(sq).alias("cost"))
+
+
+# ---- array features --------------------------------------------------------------
+def _times(df: DataFrame, features: str, matrix: np.ndarray, out: str) -> DataFrame:
+    """``df`` with the array column features . matrix; null for a vector that
+    isn't complete."""
+    M = np.asarray(matrix, dtype=float)
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            x = b.column("_x")
+            has = np.asarray(x.is_valid())
+            z = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, M.shape[0]) @ M
+            ends = np.concatenate([[0], np.cumsum(has) * M.shape[1]]).astype(np.int32)
+            array = pa.ListArray.from_arrays(pa.array(ends), pa.array(z.ravel()), mask=pa.array(~has))
+            yield pa.record_batch([*b.columns[:-1], array], names=[*b.schema.names[:-1], out])
+
+    kept = df.drop(out) if out != features else df.drop(features)
+    rows = df.select(*[F.col(f"`{c}`") for c in kept.columns],
+                     F.when(complete_vector(features), col(features).cast("array<double>")).alias("_x"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return rows.mapInArrow(run, f"{schema}, `{out}` array<double>")
+
+
+def project_array(df: DataFrame, features: str, model: PCAModel, k: int, out: str = "z") -> DataFrame:
+    """D5 for an array column: z = x U[:, :k], one Arrow pass."""
+    return _times(df, features, model.U[:, :k], out)
+
+
+def reconstruct_array(df: DataFrame, z: str, model: PCAModel, k: int, out: str = "x_rec") -> DataFrame:
+    """D6 for an array column: x_rec = z U[:, :k]'."""
+    return _times(df, z, model.U[:, :k].T, out)
+
+
+def start_block(n: int, k: int, seed: int = 5) -> np.ndarray:
+    return np.linalg.qr(np.random.default_rng(seed).standard_normal((n, k)))[0]
+
+
+def subspace(df: DataFrame, features: str, k: int, iters: int = 30, extra: int = 8, tol: float = 1e-10, seed: int = 5) -> PCAModel:
+    """D2 for wide array features: the ``k`` leading directions and eigenvalues
+    of X'X / m over the complete vectors, by block subspace iteration with
+    ``extra`` more columns.  A pass sums X'(XQ) by position: n (k + extra)
+    numbers reach the driver, never n x n.  Ends when the eigenvalues change by
+    less than ``tol`` of the largest."""
+    from pyspark import StorageLevel
+    rows = df.filter(complete_vector(features)).select(col(features).cast("array<double>").alias("x")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = rows.select(F.size("x").alias("n")).first()
+        if first is None:
+            raise ValueError("no complete vector")
+        n, m = first["n"], rows.count()
+        width = min(n, k + extra)
+        Q, last = start_block(n, width, seed), None
+
+        def product(Q: np.ndarray) -> np.ndarray:
+            def run(batches):
+                import pyarrow as pa
+                acc, seen = np.zeros_like(Q), False
+                for b in batches:
+                    if b.num_rows:
+                        x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+                        acc += x.T @ (x @ Q)
+                        seen = True
+                if seen:
+                    yield pa.record_batch([pa.array(np.arange(acc.size)), pa.array(acc.ravel())], names=["i", "v"])
+            sums = rows.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()
+            out = np.zeros(Q.size)
+            out[sums["i"].to_numpy()] = sums["v"].to_numpy()
+            return out.reshape(Q.shape)
+
+        for _ in range(iters):
+            Y = product(Q)
+            S, V = np.linalg.eigh((Q.T @ Y + Y.T @ Q) / 2)      # Rayleigh quotient of this block
+            S, V = S[::-1], V[:, ::-1]
+            done = last is not None and np.max(np.abs(S[:k] - last[:k])) <= tol * max(S[0], 1e-300)
+            Q, last = np.linalg.qr(Y @ V)[0], S
+            if done:
+                break
+        S, V = np.linalg.eigh(_symmetric(Q, product(Q)))
+        U = (Q @ V[:, ::-1])[:, :k]
+        return PCAModel(fix_signs(U), S[::-1][:k] / m)
+    finally:
+        rows.unpersist()
+
+
+def _symmetric(Q: np.ndarray, Y: np.ndarray) -> np.ndarray:
+    B = Q.T @ Y
+    return (B + B.T) / 2
+
+
+@dataclass
+class SparseComponents:
+    """Leading directions of a sparse table: ``directions`` (term, u array) and
+    eigenvalues of X'X / m."""
+    directions: DataFrame
+    S: np.ndarray
+
+    def table(self) -> DataFrame:
+        """(component, term, weight), components from 0."""
+        return self.directions.select(F.posexplode("u").alias("component", "weight"), "term").select("component", "term", "weight")
+
+    def project(self, rows: DataFrame, id_col: str = "doc_id", term: str = "term", x: str = "w") -> DataFrame:
+        """(id, component, z): D5 on (id, term, x) rows; terms without a direction
+        add nothing.  Sums by id are combined before their shuffle."""
+        k = len(self.S)
+        met = join_skewed(rows.select(F.col(id_col), F.col(term).alias("term"), F.col(x).alias("x")), self.directions, ["term"], "inner")
+        z = met.groupBy(id_col).agg(*[F.sum(F.col("x") * F.col("u")[i]).alias(f"z{i}") for i in range(k)])
+        return z.select(id_col, F.posexplode(F.array(*[F.col(f"z{i}") for i in range(k)])).alias("component", "z"))
+
+
+def sparse_subspace(rows: DataFrame, k: int, iters: int = 20, extra: int = 4, tol: float = 1e-10, id_col: str = "doc_id",
+                    term: str = "term", x: str = "w", seed: int = 5) -> SparseComponents:
+    """D2 on (id, term, x) rows, uncentred, for any vocabulary: block subspace
+    iteration in which the block is a table by term.  Documents are dealt to
+    blocks once; a pass ships each of them the rows q of its own terms, forms
+    X'(XQ) there and sums by term; the Gram matrix of [Q, X'XQ], of
+    (2 (k + extra))^2 numbers, reaches the driver and gives eigenvalues and the
+    next orthonormal block as a small matrix.  Eigenvalues are of X'X / m, m the
+    number of ids; ids and terms must not be null."""
+    rows = rows.select(F.col(id_col).alias("id"), F.col(term).alias("term"), F.col(x).cast("double").alias("n"))
+    many = MS.prepare(rows, rows.select("id", F.lit(1).alias("label")), [MS.Setting(1, 1 << 30, False, False)], classes=[1], id_col="id")
+    m, n = many.docs.count(), many.weights.filter("idx > 0").count()
+    if not m or not n:
+        raise ValueError("no rows")
+    k, width = min(k, n), min(k + extra, n)
+    buckets = many.weights.rdd.getNumPartitions()
+    noise = F.array(*[F.hash("term", F.lit(seed + i)) / F.lit(2.0 ** 31) for i in range(width)])
+    state = cut_partitioned(many.weights.filter("idx > 0").select(
+        "bucket", "idx", "term", "idf", "blocks", noise.alias("q"), noise.alias("w")), buckets, "bucket")
+    kept = state.schema.simpleString()[len("struct<"):-1]
+    iu = np.triu_indices(2 * width)
+
+    def list_of(a: np.ndarray):
+        import pyarrow as pa
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(np.ascontiguousarray(a).ravel()))
+
+    def pushed(T: np.ndarray):
+        """Cogroup body: X'(XQ) of a block's documents, Q = w T."""
+        def run(docs, sent):
+            import pyarrow as pa
+            if not docs.num_rows or not sent.num_rows:
+                return pa.table({"idx": pa.array([], pa.int64()), "g": pa.array([], pa.list_(pa.float64()))})
+            p = MS.Part(docs, sent, 1, width)
+            z = MS.by_row(p.n[:, None] * (p.w @ T)[p.at], p.size)
+            order = np.argsort(p.at, kind="stable")
+            first = np.flatnonzero(np.diff(p.at[order], prepend=-1))
+            g = np.add.reduceat((p.n[:, None] * z[p.doc])[order], first, axis=0)
+            return pa.table({"idx": pa.array(p.idx[p.at[order][first]]), "g": list_of(g)})
+        return run
+
+    def summed(T: np.ndarray):
+        """Cogroup body: q = w T, and w the sums of a bucket's terms."""
+        def run(held, grads):
+            if not held.num_rows:
+                return MS.nullable(held)
+            idx, w = held["idx"].to_numpy(), np.zeros((held.num_rows, width))
+            gi, gv = grads["idx"].to_numpy(), MS.square(grads["g"], width)
+            order, back = np.argsort(gi, kind="stable"), np.argsort(idx)
+            first = np.flatnonzero(np.diff(gi[order], prepend=0))
+            w[back[np.searchsorted(idx[back], gi[order][first])]] = np.add.reduceat(gv[order], first, axis=0)
+            at = held.schema.get_field_index
+            out = held.set_column(at("q"), "q", list_of(MS.square(held["w"], width) @ T))
+            return MS.nullable(out.set_column(at("w"), "w", list_of(w)))
+        return run
+
+    def grams(t: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """(Q'Y, Y'Y) of the columns q and w."""
+        def run(batches):
+            import pyarrow as pa
+            acc, seen = np.zeros((2 * width, 2 * width)), False
+            for b in batches:
+                if b.num_rows:
+                    both = np.hstack([b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for c in ("q", "w")])
+                    acc += both.T @ both
+                    seen = True
+            if seen:
+                yield pa.record_batch([pa.array(np.arange(len(iu[0]))), pa.array(acc[iu])], names=["i", "v"])
+        G = np.zeros((2 * width, 2 * width))
+        for r in t.select("q", "w").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            G[iu[0][r["i"]], iu[1][r["i"]]] = G[iu[1][r["i"]], iu[0][r["i"]]] = r["v"]
+        return G[:width, width:], G[width:, width:]
+
+    def orthonormal(V: np.ndarray, C: np.ndarray) -> np.ndarray:
+        """T with Y T orthonormal, Y'Y = C: columns turned by V, scaled, then
+        made orthonormal without a change of order."""
+        Z = V.T @ C @ V
+        d = 1.0 / np.sqrt(np.maximum(np.diag(Z), 1e-300))
+        e, U = np.linalg.eigh(Z * d[:, None] * d[None, :])
+        return (V * d) @ (U / np.sqrt(np.maximum(e, 1e-14))) @ U.T
+
+    T, last, V, S = orthonormal(np.eye(width), grams(state)[1]), None, np.eye(width), np.zeros(width)
+    for _ in range(iters):
+        sent = state.select(F.explode("blocks").alias("block"), "idx", "idf", "w")
+        grads = (many.docs.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(pushed(T), "idx long, g array<double>")
+                 .withColumn("bucket", F.pmod("idx", F.lit(buckets)).cast("int")))
+        state = cut_partitioned(state.groupBy("bucket").cogroup(grads.groupBy("bucket")).applyInArrow(summed(T), kept), buckets, "bucket")
+        B, C = grams(state)
+        S, V = np.linalg.eigh((B + B.T) / 2)
+        S, V = S[::-1], V[:, ::-1]
+        if last is not None and np.max(np.abs(S[:k] - last[:k])) <= tol * max(S[0], 1e-300):
+            break
+        T, last = orthonormal(V, C), S
+    turn = np.ascontiguousarray(V[:, :k])
+
+    def turned(batches):
+        import pyarrow as pa
+        for b in batches:
+            if b.num_rows:
+                u = b.column("q").flatten().to_numpy(zero_copy_only=False).reshape(-1, width) @ turn
+                yield pa.record_batch([b.column("term"), list_of(u)], names=["term", "u"])
+
+    return SparseComponents(cut_lineage(state.select("term", "q").mapInArrow(turned, "term string, u array<double>")), S[:k] / m)

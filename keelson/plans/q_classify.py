@@ -194,7 +194,8 @@ def decision_grid(spark, sf):
 SELECT {rs(f'avg(CAST(CAST({_PP} > 0.5 AS INTEGER) = yr AS DOUBLE)) * 100.0', 8)} AS accuracy_pct
 FROM ({LI_SQL})""")
 def accuracy(spark, sf):
-    """Training accuracy of the degree-2 logistic classifier."""
+    """Accuracy of a degree-2 logistic classifier with given coefficients
+    (``fit_accuracy`` scores fitted ones)."""
     d = li_design(spark, sf)
     m = FT.polymap(d, ["x1", "x2"], 2, keep=["yr"], bias=False, prefix="m")
     _, c = LG.predict([f"m{i}" for i in range(5)], POLY_THETA)
@@ -252,3 +253,80 @@ def split_q(spark, sf):
     lab = EV.split_label("event_id")
     return ev.groupBy(lab.alias("split")).agg(F.count(F.lit(1)).alias("n"),
                                               r(F.avg("value"), 8).alias("mean_value"))
+
+
+# ---------------------------------------------------------------- fitted, then scored
+NEWTON = 5
+
+
+def _newton_ova_sql(steps: int = NEWTON, lam: float = 1.0) -> str:
+    """Newton steps of one-feature models, one for each flag, written out with
+    2 x 2 systems; p is every line's probability by class."""
+    out = [f"d AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM ({LI_SQL}))", "s0 AS (SELECT DISTINCT flag AS class, 0.0::DOUBLE AS t0, 0.0::DOUBLE AS t1 FROM d WHERE flag IS NOT NULL)"]
+    for t in range(steps):
+        p = f"(1.0 / (1.0 + exp(-(s{t}.t0 + s{t}.t1 * x1))))"
+        e = f"({p} - CAST(d.flag = s{t}.class AS DOUBLE))"
+        out.append(f"""g{t} AS MATERIALIZED (SELECT s{t}.class, any_value(t0) AS t0, any_value(t1) AS t1, sum({e}) AS g0,
+    sum({e} * x1) + {lam} * any_value(t1) AS g1, sum({p} * (1 - {p})) AS h00, sum({p} * (1 - {p}) * x1) AS h01,
+    sum({p} * (1 - {p}) * x1 * x1) + {lam} AS h11 FROM d CROSS JOIN s{t} GROUP BY s{t}.class),
+s{t + 1} AS MATERIALIZED (SELECT class, t0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS t0,
+    t1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS t1 FROM g{t})""")
+    out.append(f"""scored AS (SELECT d.flag AS truth, s.class AS pred FROM d CROSS JOIN s{steps} s
+  QUALIFY row_number() OVER (PARTITION BY d.rid ORDER BY s.t0 + s.t1 * d.x1 DESC, s.class) = 1)""")
+    return "WITH " + ",\n".join(out)
+
+
+def _fitted_flags(spark, sf):
+    """Every line with the class of one-vs-all models fitted on all lines."""
+    d = li_design(spark, sf)
+    cls, _ = LG.predict_one_vs_all(LG.fit_one_vs_all(d, ["x1"], "flag", lam=1.0), ["x1"])
+    return d.withColumn("pred", cls)
+
+
+@query("fit_theta", sql=_newton_ova_sql() + f"""
+SELECT class, 0 AS idx, {rs('t0')} AS theta FROM s{NEWTON} UNION ALL SELECT class, 1, {rs('t1')} FROM s{NEWTON}""")
+def fit_theta(spark, sf):
+    """One-vs-all fit of the flags on one feature (against Newton steps in
+    SQL)."""
+    model = LG.fit_one_vs_all(li_design(spark, sf), ["x1"], "flag", lam=1.0)
+    rows = [(c, j, float(t)) for c in model.classes for j, t in enumerate(model.thetas[c])]
+    return spark.createDataFrame(rows, "class string, idx int, theta double").select("class", "idx", r("theta").alias("theta"))
+
+
+@query("fit_confusion", sql=_newton_ova_sql() + """
+SELECT truth, pred, count(*) AS n FROM scored GROUP BY truth, pred""")
+def fit_confusion(spark, sf):
+    """Fit one-vs-all on all lines, score all lines, count by truth
+    and prediction."""
+    return EV.confusion(_fitted_flags(spark, sf), "flag", "pred")
+
+
+@query("fit_accuracy", sql=_newton_ova_sql() + f"""
+SELECT {rs('avg(CAST(truth = pred AS DOUBLE)) * 100.0', 8)} AS accuracy_pct FROM scored""")
+def fit_accuracy(spark, sf):
+    """Training accuracy of the fitted one-vs-all model."""
+    return EV.accuracy(_fitted_flags(spark, sf), "flag", "pred").select(r("accuracy_pct", 8).alias("accuracy_pct"))
+
+
+@query("fit_report")
+def fit_report(spark, sf):
+    """Per-class report of a degree-2 one-vs-all model fitted on all lines
+    and scored on them."""
+    d = li_design(spark, sf)
+    m = FT.polymap(d, ["x1", "x2"], 2, keep=["flag"], bias=False, prefix="m")
+    names = [f"m{i}" for i in range(5)]
+    cls, _ = LG.predict_one_vs_all(LG.fit_one_vs_all(m, names, "flag", lam=1.0), names)
+    return EV.class_report(m.withColumn("pred", cls), "flag", "pred")
+
+
+@query("fit_decision_grid")
+def fit_decision_grid(spark, sf):
+    """The surface of a degree-2 logistic model fitted on all lines."""
+    d = li_design(spark, sf)
+    names = [f"m{i}" for i in range(5)]
+    theta = LG.fit(FT.polymap(d, ["x1", "x2"], 2, keep=["yr"], bias=False, prefix="m"), names, "yr", 1.0).theta
+    (lo1, hi1), (lo2, hi2) = FT.data_range(d, ["x1", "x2"])
+    g = FT.grid_2d(spark, (lo1, hi1), (lo2, hi2), _GN)
+    m = FT.polymap(g, ["x1", "x2"], 2, keep=["i", "j", "x1", "x2"], bias=False, prefix="m")
+    p, c = LG.predict(names, theta)
+    return m.select("i", "j", "x1", "x2", p.alias("p"), c.alias("pred"))

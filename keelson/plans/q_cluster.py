@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from keelson.operators import features as FT
 from keelson.operators import kmeans as KM
 from keelson.operators import pca as PC
-from keelson.plans.base import query, r, rs
+from keelson.plans.base import query, r, rs, table
 from keelson.plans.data import EMB_DIMS, LI_SQL, emb, li_design
 
 K = 8
@@ -224,3 +224,24 @@ def pca_cost(spark, sf):
     """Mean squared reconstruction error with one component."""
     z, m = _pca2(spark, sf)
     return PC.cost(z, ["a", "b"], m, 1).select(r("cost", 8).alias("cost"))
+
+
+# ---------------------------------------------------------------- wide and sparse
+@query("pca_wide")
+def pca_wide(spark, sf):
+    """D2/D5 on the 64-d vectors: the 4 leading directions by block subspace
+    iteration, and every vector's projection on them."""
+    x = emb(spark, sf)
+    model = PC.subspace(x, "x", 4)
+    return PC.project_array(x.select("vec_id", "x"), "x", model, 4).select("vec_id", F.posexplode("z").alias("component", "z"))
+
+
+@query("pca_terms")
+def pca_terms(spark, sf):
+    """D2 on the tf-idf of all documents: the 3 leading directions over terms
+    (no term x term matrix), as (component, term, weight)."""
+    from keelson.operators import text as TX
+    from keelson.session import cut_lineage
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counts = cut_lineage(TX.term_counts(docs, "doc_id", "text"))
+    return PC.sparse_subspace(TX.tfidf(counts, docs.count()), 3, iters=6).table()

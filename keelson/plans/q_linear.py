@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from keelson.operators import features as FT
 from keelson.operators import gram as G
 from keelson.operators import linear as LR
+from keelson.operators import qr as QR
 from keelson.plans.base import query, r, rs
 from keelson.plans.data import LI_SQL, li_design
 
@@ -245,3 +246,31 @@ def r2(spark, sf):
     d = li_design(spark, sf)
     th = LR.fit_normal(d, ["x1", "x2"], "y")
     return LR.r2_frame(d, LR.hypothesis(["x1", "x2"], th), "y").select(r("r2", 8).alias("r2"))
+
+
+# ---------------------------------------------------------------- QR
+@query("qr_ridge", sql=f"WITH {cramer_cte(f'({LI_SQL})', lam=RIDGE_LAM)}\n{_THETA_SQL}")
+def qr_ridge(spark, sf):
+    """L5/L6 without moments: ridge coefficients from a tree of triangular
+    factors."""
+    return _theta_rows(spark, QR.factor(li_design(spark, sf), ["x1", "x2"], "y").coefficients(RIDGE_LAM))
+
+
+FAR = 1e9
+
+
+@query("qr_far_feature", sql=f"""
+WITH d AS (SELECT l_quantity + {FAR} AS x, y FROM (SELECT l_quantity, l_extendedprice / 1000.0 AS y FROM lineitem))
+SELECT {rs('regr_slope(y, x)', 5)} AS slope, {rs('avg(y)')} AS at_mean, {rs('sqrt(regr_r2(y, x))', 5)} AS r FROM d""")
+def qr_far_feature(spark, sf):
+    """L5 on a feature whose mean is 1e8 times its spread, where raw moments
+    have no digit left: slope, fitted value at the mean, correlation."""
+    from keelson.plans.base import table
+    d = table(spark, sf, "lineitem").select((F.col("l_quantity") + FAR).alias("x"), (F.col("l_extendedprice") / 1000.0).alias("y"))
+    f = QR.factor(d, ["x"], "y")
+    theta = f.coefficients()
+    flat = f.cost([f.y_shift, 0.0])
+    r2 = 1.0 - f.cost(theta) / flat if flat else 0.0
+    return spark.createDataFrame([(float(theta[1]), float(theta[0] + theta[1] * f.shift[0]), float(max(r2, 0.0) ** 0.5))],
+                                 "slope double, at_mean double, r double").select(
+        r("slope", 5).alias("slope"), r("at_mean").alias("at_mean"), r("r", 5).alias("r"))

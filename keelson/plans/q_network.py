@@ -135,6 +135,18 @@ def nn_train(spark, sf):
     return spark.createDataFrame(res.history, "iter int, J double")
 
 
+@query("nn_fit_predict")
+def nn_fit_predict(spark, sf):
+    """Train on all vectors, then every vector's class and probability."""
+    x, W, classes = _setup(spark, sf)
+    data = x.select("x", "label").persist()
+    try:
+        res = NN.train(data, "x", "label", W, classes, lam=LAM, max_iter=10)
+    finally:
+        data.unpersist()
+    return NN.predict(x, "x", res.weights, classes, ["vec_id", "label"])
+
+
 def _curve_parts(spark, sf):
     from keelson.operators import evaluate as EV
     x, W, classes = _setup(spark, sf)
