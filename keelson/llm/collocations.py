@@ -31,7 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import join_skewed, mix, small_batches
+from keelson.llm.common import mix, small_batches
+from keelson.operators.joins import join_skewed
 from keelson.session import cut_lineage
 
 MAX_WORDS = 5
@@ -460,9 +461,9 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int | None = 2000,
                     F.array_join(F.slice(w, k + 1, F.size(w) - k), " ").alias("tail")))).alias("k", "cut"))
             .select("lang", "phrase", "a", "k", "cut.head", "cut.tail"))
     base = cuts = cut_lineage(cuts)
-    cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"], base)
-    cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r")), ["lang", "tail"], base)
-    cuts = join_skewed(cuts, totals, ["lang"], base)
+    cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"], counted=base)
+    cuts = join_skewed(cuts, part.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r")), ["lang", "tail"], counted=base)
+    cuts = join_skewed(cuts, totals, ["lang"], counted=base)
     whole = "CAST({} AS DECIMAL(19, 0))".format
     score = F.expr(f"({whole('1000')} * {whole('a')} * {whole('n')}) DIV ({whole('l')} * {whole('r')})")
     best = (cuts.withColumn("score", score).groupBy("lang", "phrase")

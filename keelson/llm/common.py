@@ -3,11 +3,9 @@ session settings and connected components."""
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.session import cut_lineage
@@ -23,6 +21,14 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, led by as many underscores as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def words_of(text: str | None) -> list[str]:
     """Normal words of a text: split at white space, lower case, letters and
     digits only; words left empty are dropped."""
@@ -180,35 +186,3 @@ def drop_rows(docs: DataFrame, bad: DataFrame, key: str = "doc_id", text: str =
     on = F.col(key).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text) == F.col("_bad_text"))
     return docs.join(F.broadcast(bad) if few else bad, on, "left_anti")
 
-
-# Keys with more than this part of all rows are heavy; there are fewer than so many.
-HEAVY_PART = 1000
-
-
-def join_skewed(rows: DataFrame, values: DataFrame, on: list[str], counted: DataFrame | None = None) -> DataFrame:
-    """Left join of ``rows`` with ``values``, whose keys ``on`` are unique;
-    null keys are equal.  Keys of more than one in HEAVY_PART rows (fewer than
-    HEAVY_PART, counted with map-side partials) meet by broadcast; the rest is
-    joined by shuffle, where no key has more than that part of the rows.  Keys
-    are counted in ``counted`` (else ``rows``), which should be cheap to read."""
-    counted = rows if counted is None else counted
-    total = counted.count()
-    heavy = cut_lineage(counted.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-                        .filter(F.col("_rows") * HEAVY_PART > total).select(*on))
-    more = [c for c in values.columns if c not in on]
-
-    def named(df: DataFrame, p: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(p + c) for c in df.columns])
-
-    def equal(a: str, b: str) -> Column:
-        return functools.reduce(lambda x, y: x & y, [F.col(a + c).eqNullSafe(F.col(b + c)) for c in on])
-
-    hot = named(values, "_h_").join(F.broadcast(named(heavy, "_k_")), equal("_h_", "_k_"), "left_semi")
-    met = named(rows, "_r_").join(F.broadcast(hot.withColumn("_hot", F.lit(True))), equal("_r_", "_h_"), "left")
-    # a heavy key's rows look for nothing more: a number of their own spreads them
-    met = met.withColumn("_spread", F.when(F.col("_hot"), F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1)))
-                         .otherwise(F.lit(0)))
-    light = named(values, "_l_").withColumn("_none", F.lit(0).cast("long"))
-    both = met.join(light, (F.col("_spread") == F.col("_none")) & equal("_r_", "_l_"), "left")
-    return both.select(*[F.col("_r_" + c).alias(c) for c in rows.columns],
-                       *[F.when(F.col("_hot"), F.col("_h_" + c)).otherwise(F.col("_l_" + c)).alias(c) for c in more])

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm.common import free_name
 from keelson.session import cut_lineage
 
 
@@ -63,6 +64,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, sig
     itself.  Columns named n_lines or n_removed are replaced.
     """
     bad = boilerplate_lines(docs, min_sites, lg_k, sigmas, site, text).select("h1", "h2")
+    own, cuts, left = (free_name(docs, n) for n in ("_key", "_cut", "_kept"))
     held = (docs.select(F.col(key).alias("_key"), F.explode(F.split(text, "\n")).alias("line"))
             .withColumn("line", F.trim("line")).filter("line != ''")
             .select("_key", F.expr("xxhash64(1, line)").alias("h1"), F.expr("xxhash64(2, line)").alias("h2")))
@@ -70,17 +72,17 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, lg_k: int = 12, sig
     salted = bad.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     cut = (held.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
            .join(salted, ["h1", "h2", "_salt"], "left_semi")
-           .groupBy("_key").agg(F.collect_set(F.struct("h1", "h2")).alias("_cut")))
+           .groupBy("_key").agg(F.collect_set(F.struct("h1", "h2")).alias(cuts)).withColumnRenamed("_key", own))
     d = docs.drop("n_lines", "n_removed")
-    j = d.join(cut, d[key].eqNullSafe(cut["_key"]), "left").drop("_key")
-    kept = F.expr(f"filter(split(`{text}`, '\\n'), l -> NOT array_contains(_cut, "
+    j = d.join(cut, d[key].eqNullSafe(cut[own]), "left").drop(own)
+    kept = F.expr(f"filter(split(`{text}`, '\\n'), l -> NOT array_contains({cuts}, "
                   "struct(xxhash64(1, trim(l)) AS h1, xxhash64(2, trim(l)) AS h2)))")
     lines = F.split(text, "\n")
     return (j.withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(
                 F.size(F.filter(lines, lambda x: F.trim(x) != ""))))
-            .withColumn("_kept", F.when(F.col("_cut").isNotNull(), kept))
-            .withColumn("n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(
-                F.size(lines) - F.size("_kept")))
-            .withColumn(text, F.when(F.col("_kept").isNull(), F.col(text)).otherwise(
-                F.array_join("_kept", "\n")))
-            .drop("_cut", "_kept"))
+            .withColumn(left, F.when(F.col(cuts).isNotNull(), kept))
+            .withColumn("n_removed", F.when(F.col(left).isNull(), 0).otherwise(
+                F.size(lines) - F.size(left)))
+            .withColumn(text, F.when(F.col(left).isNull(), F.col(text)).otherwise(
+                F.array_join(left, "\n")))
+            .drop(cuts, left))

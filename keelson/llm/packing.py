@@ -80,22 +80,24 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def tokenise(docs: DataFrame, vocabulary: str, pattern: str, seq_len: int, shards: int,
              dtype: str, key: str, text: str) -> DataFrame:
-    """(shard, doc_id, start, ids): the pieces of every document."""
+    """(shard, doc_id, has_id, start, ids): the pieces of every document, dealt to
+    shards by their place, so that copies of a document lie in all of them."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from keelson.llm.bytebpe import IdEncoder
         enc = IdEncoder(vocabulary, pattern, dtype)
         step = seq_len * enc.dtype.itemsize
         for b in batches:
             rows = []
-            for doc, t in zip(b["doc_id"], b["text"]):
+            for doc, has, t in zip(b["doc_id"], b["has_id"], b["text"]):
                 ids = enc.encode(t)
-                rows += [(doc, p // enc.dtype.itemsize, ids[p:p + step]) for p in range(0, len(ids), step)]
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "ids"])
+                rows += [(doc, has, p // enc.dtype.itemsize, ids[p:p + step]) for p in range(0, len(ids), step)]
+            yield pd.DataFrame(rows, columns=["doc_id", "has_id", "start", "ids"])
 
-    pieces = (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-              .filter("doc_id IS NOT NULL AND text != ''")
-              .mapInPandas(run, "doc_id long, start int, ids binary"))
-    return pieces.select(F.pmod(F.xxhash64("doc_id", "start", "ids"), F.lit(shards)).alias("shard"), "*")
+    doc = F.col(key).cast("long")
+    pieces = (docs.select(F.coalesce(doc, F.lit(0)).alias("doc_id"), doc.isNotNull().alias("has_id"), F.col(text).cast("string").alias("text"))
+              .filter("text != ''")
+              .mapInPandas(run, "doc_id long, has_id boolean, start int, ids binary"))
+    return pieces.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).alias("shard"), "*")
 
 
 def pack(docs: DataFrame, vocabulary: str, pattern: str, vocab_size: int, seq_len: int = 2048,
@@ -111,9 +113,9 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, vocab_size: int, seq_le
     are at most one sequence long and the number of shards follows the
     corpus' characters.
 
-    Null and empty texts have no ids and are in no sequence; rows with a null
-    id are left out (their segments could not be told); repeated rows are
-    packed as often as they occur; an empty table gives no rows.
+    Null and empty texts have no ids and are in no sequence; a null id is null
+    in ``doc_ids``; repeated rows are packed as often as they occur; an empty
+    table gives no rows.
     """
     small_batches(docs.sparkSession)
     dtype = "<u2" if max(vocab_size - 1, pad_id, seq_len - 1) < 2 ** 16 else "<u4"
@@ -123,10 +125,11 @@ def pack(docs: DataFrame, vocabulary: str, pattern: str, vocab_size: int, seq_le
 
     def run(keys: tuple, group: pd.DataFrame) -> pd.DataFrame:
         kind = np.dtype(dtype)
-        group = group.sort_values(["doc_id", "start", "ids"], ignore_index=True)
+        group = group.sort_values(["has_id", "doc_id", "start", "ids"], ignore_index=True)
         ids = [np.frombuffer(x, kind) for x in group["ids"]]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        doc, start = group["doc_id"].tolist(), group["start"].tolist()
+        doc = [i if has else None for i, has in zip(group["doc_id"].tolist(), group["has_id"].tolist())]
+        start = group["start"].tolist()
         place = np.arange(seq_len, dtype=kind)
         rows = []
         for n, items in enumerate(best_fit_decreasing(lengths, seq_len)):

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import BROADCAST_IDS, Recent, normal, small_batches
+from keelson.llm.common import free_name, normal, small_batches, BROADCAST_IDS, Recent
 
 # The bounded sample that the scorers are fitted on.
 SAMPLE_DOCS = 10_000       # documents, labelled ones first, in order of a hash
@@ -398,6 +398,7 @@ def classify(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str
 
     # said to be nondeterministic, so that a filter on the scores doesn't run it twice
     once = scores.asNondeterministic()
-    return (docs.drop(*names, keep).withColumn("_s", once(F.col(text).cast("string")))
-            .withColumns({names[0]: F.col("_s.p_junk"), names[1]: F.col("_s.p_toxic")}).drop("_s")
+    both = free_name(docs, "_scores")
+    return (docs.drop(*names, keep).withColumn(both, once(F.col(text).cast("string")))
+            .withColumns({names[0]: F.col(f"{both}.p_junk"), names[1]: F.col(f"{both}.p_toxic")}).drop(both)
             .withColumn(keep, (F.col(names[0]) <= threshold) & (F.col(names[1]) <= threshold)))

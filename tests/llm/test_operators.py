@@ -39,9 +39,9 @@ AWKWARD = [(1, prose(1, 80)), (1, prose(1, 80)), (2, prose(1, 80)), (3, None), (
 def awkward(spark):
     """Rows with nulls in any column, repeats, odd texts and clashing names."""
     d = docs_of(spark, AWKWARD, {2: None})
-    for name in ("copy", "shuffle_key", "keep", "p_junk", "text_key", "node", "words", "n_lines", "n", "component", "_s"):
-        if name != "_s":
-            d = d.withColumn(name, F.lit("own"))
+    for name in ("copy", "shuffle_key", "keep", "p_junk", "text_key", "node", "words", "n_lines", "n", "component", "_s", "_key",
+                 "_cut", "_kept", "_scores"):
+        d = d.withColumn(name, F.lit("own"))
     return d
 
 
@@ -82,7 +82,7 @@ def test_packing_gives_every_id_back(spark):
     got = collections.defaultdict(list)
     for r in packing.segments(packed, 64).collect():
         got[r["doc_id"]].append((r["start"], tuple(r["ids"])))
-    want = collections.Counter((i, tuple(enc.encode_ordinary(t))) for i, t in AWKWARD if i is not None and t)
+    want = collections.Counter((i, tuple(enc.encode_ordinary(t))) for i, t in AWKWARD if t)
     assert set(got) == {i for i, _ in want}
     for (i, ids), times in want.items():
         pieces = collections.Counter((p, ids[p:p + 64]) for p in range(0, len(ids), 64))
@@ -96,6 +96,24 @@ def test_packing_gives_every_id_back(spark):
     assert pack(empty(spark)).count() == 0
 
 
+def test_copies_of_a_row_spread_over_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_CHARS", 20_000)
+    packed = pack(docs_of(spark, [(5, prose(5, 40))] * 1500).repartition(4))
+    held = collections.Counter()
+    for r in packed.collect():
+        held[r["shard"]] += len(r["doc_ids"])
+    assert sum(held.values()) == 1500 * -(-sum(held.values()) // 1500) and len(held) >= 12
+    assert max(held.values()) < 1.6 * sum(held.values()) / len(held)
+
+
+def test_users_columns_stay(spark):
+    d = awkward(spark)
+    own = {"_s", "_key", "_cut", "_kept", "_scores"}
+    out = lines.remove_boilerplate(d, min_sites=2)
+    assert own <= set(out.columns) and out.filter(" OR ".join(f"{c} <> 'own'" for c in own)).count() == 0
+    assert out.count() == len(AWKWARD)
+
+
 def test_matrices_are_written(spark, scratch):
     packed = pack(docs_of(spark, [(i, prose(i, 40)) for i in range(12)]))
     packing.write_matrices(packed, f"{scratch}/m", rows=4)
