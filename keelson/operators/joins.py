@@ -47,7 +47,9 @@ def join_skewed(rows: DataFrame, values: DataFrame, on: Sequence[str], how: str
     # a heavy key's rows look for nothing more: a number of their own spreads them
     met = met.withColumn("_spread", F.when(F.col("_hot"), F.xxhash64(F.monotonically_increasing_id()).bitwiseOR(F.lit(1)))
                          .otherwise(F.lit(0)))
-    light = named(values, "_l_").withColumn("_none", F.lit(0).cast("long"))
+    # always 0, but no constant that the optimiser would take out of the join keys
+    none = F.pmod(F.xxhash64(*[F.col(f"`_l_{c}`") for c in on]), F.lit(1)).cast("long")
+    light = named(values, "_l_").withColumn("_none", none)
     both = met.join(light, (F.col("_spread") == F.col("_none")) & equal("_r_", "_l_"), "left")
     if how == "inner":
         both = both.filter(F.col("_hot") | F.col("_none").isNotNull())

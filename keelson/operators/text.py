@@ -4,8 +4,8 @@ Normalisation and tokenisation are chained built-in string functions (one
 narrow stage).  Stemming runs once per DISTINCT token (an Arrow-batched
 pandas UDF over the vocabulary) and is joined back.  Counts, document
 frequencies, TF-IDF norms and naive Bayes sums are grouped aggregates with
-map-side combining; joins against vocabularies and models carry no hint, the
-planner and AQE choose by measured size."""
+map-side combining.  Joins by term keep the few terms that hold much of the
+corpus apart (:mod:`keelson.operators.joins`): no task gets all rows of one."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from pyspark.sql.types import StringType
 
 from keelson.functions.expr import col
 from keelson.operators.indexing import global_row_index
+from keelson.operators.joins import heavy_keys, join_skewed
 from keelson.session import cut_lineage
 
 # The normalisation chain of the spam exercise, in order.
@@ -123,12 +124,23 @@ def build_vocab(terms: DataFrame, term_col: str = "term", id_col: str | None = N
     return global_row_index(d, [term_col], name=out, start=start).select(term_col, out)
 
 
+def build_vocab_and_heavy(tokens: DataFrame, term_col: str, id_col: str, min_df: int = 1, start: int = 0,
+                          out: str = "idx") -> tuple[DataFrame, DataFrame]:
+    """(vocabulary as :func:`build_vocab`, the terms of more than one in a
+    thousand tokens) from one pass over the tokens."""
+    per = cut_lineage(tokens.groupBy(id_col, term_col).agg(F.count(F.lit(1)).alias("_n"))
+                      .groupBy(term_col).agg(F.count(F.lit(1)).alias("_df"), F.sum("_n").alias("_n")))
+    vocab = global_row_index(per.filter(F.col("_df") >= min_df).select(term_col), [term_col], name=out, start=start)
+    return vocab.select(term_col, out), heavy_keys(per, [term_col], "_n")
+
+
 def word_indices(tokens: DataFrame, vocab: DataFrame, term_col: str = "stem",
-                 vocab_term: str = "word", idx: str = "idx") -> DataFrame:
-    """T4: look each token up in the vocabulary; unknown tokens drop out,
-    order and repeats are kept (pos)."""
+                 vocab_term: str = "word", idx: str = "idx", heavy: DataFrame | None = None) -> DataFrame:
+    """T4: look each token up in the vocabulary (unique words); unknown tokens
+    drop out, order and repeats are kept (pos).  ``heavy`` names the frequent
+    terms (else they are counted in ``tokens``)."""
     v = vocab.select(F.col(vocab_term).alias(term_col), idx)
-    return tokens.join(v, term_col)
+    return join_skewed(tokens, v, [term_col], "inner", heavy=heavy)
 
 
 def term_presence(indices: DataFrame, id_col: str = "doc_id", idx: str = "idx") -> DataFrame:
@@ -185,10 +197,11 @@ def ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int
 def tfidf(counts: DataFrame, n_docs: int, id_col: str = "doc_id", term: str = "term",
           n: str = "n", use_idf: bool = True) -> DataFrame:
     """Tf * (ln((1 + N) / (1 + df)) + 1), rows scaled to unit L2 norm.
-    df is a grouped count; the row norm is a grouped sum joined back."""
+    df is a grouped count, written, which also tells the frequent terms; the row
+    norm is a grouped sum joined back."""
     if use_idf:
-        dfreq = counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df"))
-        w = counts.join(dfreq, term).withColumn(
+        dfreq = cut_lineage(counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df")))
+        w = join_skewed(counts, dfreq, [term], "inner", heavy=heavy_keys(dfreq, [term], "_df")).withColumn(
             "_w", F.col(n) * (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("_df"))) + 1.0))
     else:
         w = counts.withColumn("_w", F.col(n).cast("double"))
@@ -235,7 +248,7 @@ def nb_predict(docs: DataFrame, counts: DataFrame, model: DataFrame, priors: Seq
                n: str = "n") -> DataFrame:
     """T10 predict: argmax_c log prior_c + sum_t n_t log theta_ct over the
     model's vocabulary (other terms ignored); ties -> first class."""
-    sums = counts.join(model, term).groupBy(id_col).agg(
+    sums = join_skewed(counts, model, [term], "inner").groupBy(id_col).agg(
         *[F.sum(F.col(n) * F.col(f"c{i}")).alias(f"_s{i}") for i in range(len(classes))])
     post = F.array(*[F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)])
     best = F.array_max(post)

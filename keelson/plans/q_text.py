@@ -95,10 +95,30 @@ def _word_indices(spark, sf):
 
 def _look_up(st):
     """Stemmed tokens against the vocabulary of stems in >= 2 documents, which
-    comes from the distinct (document, stem) pairs; tokens aren't written."""
-    vocab = TX.build_vocab(st, "stem", "doc_id", min_df=_VOCAB_MIN_DF, start=1) \
-        .withColumnRenamed("stem", "word")
-    return TX.word_indices(st, vocab)
+    comes from the counts by (document, stem); tokens aren't written."""
+    vocab, heavy = TX.build_vocab_and_heavy(st, "stem", "doc_id", min_df=_VOCAB_MIN_DF, start=1)
+    return TX.word_indices(st, vocab, vocab_term="stem", heavy=heavy)
+
+
+@query("file_vocab_indices", sql=f"""
+WITH {_TOKENS},
+st AS (SELECT doc_id, pos, {_STEP1A.format(t='token')} AS stem FROM tok),
+voc AS (SELECT stem AS word, row_number() OVER (ORDER BY n DESC, stem) AS idx FROM
+        (SELECT stem, count(*) AS n FROM st GROUP BY stem ORDER BY n DESC, stem LIMIT 1899))
+SELECT st.doc_id, st.pos, CAST(voc.idx AS INTEGER) AS idx FROM st JOIN voc ON voc.word = st.stem""")
+def file_vocab_indices(spark, sf):
+    """S3 + T4: a vocabulary file (idx, word) of the 1899 most frequent stems,
+    written and read again, and every stemmed token looked up in it."""
+    import uuid
+
+    from keelson.session import checkpoint_dir
+    from keelson.sources.readers import read_vocab
+    st = TX.stem_tokens(_tokens(spark, sf), full=False)
+    freq = st.groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
+    best = top_k(freq, [F.desc("n"), F.col("stem")], 1899).select(F.col("rank").alias("idx"), F.col("stem").alias("word"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vocab-{uuid.uuid4().hex}"
+    best.coalesce(1).write.option("sep", "\t").csv(path)
+    return TX.word_indices(st, read_vocab(spark, path)).select("doc_id", "pos", "idx")
 
 
 @query("porter_word_indices")
