@@ -21,15 +21,14 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import WordHashes, mix, odd_constants, signed, small_batches, window_hashes
 from keelson.llm.setjoin import bounds, groups
+from keelson.operators.joins import heavy_keys, join_skewed
 from keelson.session import cut_lineage
 
 SEED_WORDS = 10       # k
 # Suffixes that one task sorts together; a k-gram in more places is compared
 # by aggregated passage hashes, which gives the same passages.
 GROUP_ROWS = 20_000
-# Frequent k-grams (8 bytes each) up to which their list is broadcast; beyond,
-# it is joined by shuffle.
-BROADCAST_GRAMS = 500_000
+AT_ONCE = 50_000      # passages hashed at once
 
 
 def minimisers(h: np.ndarray, min_words: int, k: int = SEED_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -88,27 +87,38 @@ def seeds_of(docs: DataFrame, min_words: int, key: str, text: str) -> DataFrame:
 
 
 def contexts(found: DataFrame, min_words: int) -> DataFrame:
-    """(gram, node, place, context): the words before and from each retained
-    place on, as big-endian hashes that sort like the words; missing words are
-    0."""
+    """(gram, node, place, context, h) from one read of the texts: a retained
+    place with the words before and from it on, as big-endian hashes that sort
+    like the words (missing words are 0), and h 0; for a place of a hot k-gram
+    instead the hashes h of all passages around it, place their first word and
+    context null."""
     before = min_words - SEED_WORDS
+    c = odd_constants(min_words, 31)
+    names = ["gram", "node", "place", "context", "h"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
         for b in batches:
-            out = []
             for node, text, marks in zip(b["node"], b["text"], b["marks"]):
                 h = (words.of(text) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                 pad = np.concatenate([np.zeros(before, np.uint32), h, np.zeros(min_words, np.uint32)])
                 at = np.array([m["place"] for m in marks], np.int64)
-                view = np.lib.stride_tricks.sliding_window_view(pad, before + min_words)[at]
-                out.append(pd.DataFrame({
-                    "gram": [m["gram"] for m in marks], "node": node, "place": at,
-                    "context": [r.tobytes() for r in view.astype(">u4")]}))
-            yield pd.concat(out) if out else pd.DataFrame(
-                {c: [] for c in ("gram", "node", "place", "context")})
-
-    return found.mapInPandas(run, "gram long, node long, place int, context binary")
+                hot = np.array([m["hot"] for m in marks], bool)
+                gram = np.array([m["gram"] for m in marks], np.int64)
+                view = np.lib.stride_tricks.sliding_window_view(pad, before + min_words)
+                cold = view[at[~hot]].astype(">u4")
+                out = [pd.DataFrame({"gram": gram[~hot], "node": node, "place": at[~hot], "context": [r.tobytes() for r in cold], "h": 0})]
+                # a passage that starts l words before a place, once for each word it starts at
+                first = np.unique(np.subtract.outer(at[hot], np.arange(before + 1)).ravel())
+                first = first[(first >= 0) & (first + min_words <= len(h))]
+                for lo in range(0, len(first), AT_ONCE):
+                    some = first[lo:lo + AT_ONCE]
+                    part = np.lib.stride_tricks.sliding_window_view(h, min_words)[some]
+                    hashes = mix(mix(part.astype(np.uint64) + c[None, :]).sum(axis=1))
+                    out.append(pd.DataFrame({"gram": 0, "node": node, "place": some, "context": None, "h": signed(hashes)}))
+                yield pd.concat(out)[names] if len(out) > 1 else out[0][names]
+
+    return found.mapInPandas(run, "gram long, node long, place int, context binary, h long")
 
 
 def common_prefix(rows: np.ndarray) -> np.ndarray:
@@ -168,41 +178,27 @@ def union_spans(node: np.ndarray, start: np.ndarray, length: int) -> pd.DataFram
     return pd.DataFrame({"node": node[first], "from": start[first], "to": start[last] + length})
 
 
-def passages(ctx: DataFrame, min_words: int, hot: bool) -> DataFrame:
-    """(node, from, to) from retained suffixes with their contexts; ``hot``:
-    by aggregated hashes of all passages, no group in one task."""
+def passages(ctx: DataFrame, min_words: int) -> DataFrame:
+    """(node, from, to) from the rows of :func:`contexts`."""
     width = 2 * min_words - SEED_WORDS
     schema = "node long, `from` long, `to` long"
 
-    def matrix(b: pd.DataFrame) -> np.ndarray:
-        return np.frombuffer(b"".join(b["context"]), ">u4").astype(np.uint32).reshape(-1, width)
-
     def sort_and_compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in groups(batches, ["gram"]):
-            row, l = repeated_starts(g["node"].to_numpy(np.int64), g["gram"].to_numpy(np.int64), matrix(g), min_words)  # noqa: E741
+            m = np.frombuffer(b"".join(g["context"]), ">u4").astype(np.uint32).reshape(-1, width)
+            row, l = repeated_starts(g["node"].to_numpy(np.int64), g["gram"].to_numpy(np.int64), m, min_words)  # noqa: E741
             yield union_spans(g["node"].to_numpy(np.int64)[row], g["place"].to_numpy(np.int64)[row] - l, min_words)
 
-    def all_passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = odd_constants(min_words, 31)
-        for b in batches:
-            m = matrix(b)
-            for l in range(min_words - SEED_WORDS + 1):  # noqa: E741
-                part = m[:, min_words - SEED_WORDS - l:2 * min_words - SEED_WORDS - l]
-                full = (part != 0).all(axis=1)
-                h = mix(mix(part[full].astype(np.uint64) + c[None, :]).sum(axis=1))
-                yield pd.DataFrame({"h": signed(h), "node": b["node"].to_numpy()[full],
-                                    "from": b["place"].to_numpy(np.int64)[full] - l})
-
-    if not hot:
-        return (ctx.repartition("gram").sortWithinPartitions("gram")
-                .mapInPandas(sort_and_compare, schema))
-    every = cut_lineage(ctx.mapInPandas(all_passages, "h long, node long, `from` long"))
+    sorted_ = (ctx.filter("context IS NOT NULL").select("gram", "node", "place", "context")
+               .repartition("gram").sortWithinPartitions("gram").mapInPandas(sort_and_compare, schema))
+    every = ctx.filter("context IS NULL").select("h", "node", F.col("place").cast("long").alias("from"))
     held = every.groupBy("h").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z").select("h")
     # the places of one passage are dealt to several tasks
     held = held.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    return (every.withColumn("_s", F.pmod(F.xxhash64("node"), F.lit(16)).cast("int"))
-            .join(held, ["h", "_s"], "left_semi")
-            .select("node", "from", (F.col("from") + min_words).alias("to")))
+    hashed = (every.withColumn("_s", F.pmod(F.xxhash64("node"), F.lit(16)).cast("int"))
+              .join(held, ["h", "_s"], "left_semi")
+              .select("node", "from", (F.col("from") + min_words).alias("to")))
+    return sorted_.unionByName(hashed)
 
 
 def merge_spans(spans: DataFrame) -> DataFrame:
@@ -241,23 +237,15 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, key: str = "doc_id",
         "node", F.col("m.grams").alias("gram"), F.col("m.places").alias("place"))
     shared = cut_lineage(marks.groupBy("gram").agg(
         F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"))
-        .filter("a != z").select("gram", (F.col("n") > GROUP_ROWS).alias("hot")))
+        .filter("a != z").select("gram", "n", (F.col("n") > GROUP_ROWS).alias("hot")))
     texts = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_key"), F.col(text).alias("text"))
-
-    def passages_of(hot: bool) -> DataFrame:
-        grams = shared.filter(F.col("hot") == hot).select("gram")
-        if hot:
-            grams = F.broadcast(grams) if grams.count() <= BROADCAST_GRAMS else grams
-        kept = marks.join(grams, "gram").groupBy("node").agg(F.collect_list(F.struct("gram", "place")).alias("marks"))
-        kept = kept.join(reps.select("node", F.col("doc_id").alias("rep_id"), F.col("text_key").alias("rep_key")), "node")
-        # ids repeat only where a row does, with the same text: any of them serves
-        found = (kept.join(texts, F.col("rep_id").eqNullSafe(F.col("_id")) & (F.col("rep_key") == F.col("_key")))
-                 .select("node", "text", "marks"))
-        return passages(contexts(found, min_words), min_words, hot)
-
-    found = passages_of(False)
-    if not shared.filter("hot").isEmpty():
-        found = found.unionByName(passages_of(True))
+    kept = join_skewed(marks, shared.select("gram", "hot"), ["gram"], "inner", heavy=heavy_keys(shared, ["gram"], "n"))
+    kept = kept.groupBy("node").agg(F.collect_list(F.struct("gram", "place", "hot")).alias("marks"))
+    kept = kept.join(reps.select("node", F.col("doc_id").alias("rep_id"), F.col("text_key").alias("rep_key")), "node")
+    # ids repeat only where a row does, with the same text: any of them serves
+    found = (kept.join(texts, F.col("rep_id").eqNullSafe(F.col("_id")) & (F.col("rep_key") == F.col("_key")))
+             .select("node", "text", "marks"))
+    found = passages(cut_lineage(contexts(found, min_words)), min_words)
     spans = merge_spans(found)
     per = same.filter("copies > 1").select("node", F.lit(True).alias("whole")).join(spans, "node", "full")
     return (rows.select("doc_id", "text_key", "n_words", F.col("words_key").alias("node")).join(per, "node")
