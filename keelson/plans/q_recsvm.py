@@ -10,6 +10,7 @@ import math
 from pyspark.sql import functions as F
 
 from keelson.functions.expr import array_dot
+from keelson.operators import blocked_als as BA
 from keelson.operators import evaluate as EV
 from keelson.operators import recommend as RC
 from keelson.operators import svm as SV
@@ -132,6 +133,28 @@ def cofi_train(spark, sf):
     return spark.createDataFrame(hist, "iter int, J double")
 
 
+@query("cofi_blocked")
+def cofi_blocked(spark, sf):
+    """R5 over blocks with routing tables: the sweeps of ``cofi_train`` without
+    moving a rating; returns the cost after every sweep."""
+    rt = RC.normalise(ratings(spark, sf), item="item_id", user="user_id") \
+        .select("user_id", "item_id", F.col("norm").alias("rating"))
+    _, _, hist = BA.train(rt, init_factors(rt)[1], K, LAM, iters=3, user="user_id", item="item_id")
+    return spark.createDataFrame(hist, "iter int, J double")
+
+
+@query("cofi_half_step", sql=f"""
+WITH {_R}
+SELECT item_id, {rs(f'sum(cos(user_id) * rating) / (sum(cos(user_id) * cos(user_id)) + {LAM})', 8)} AS x FROM r GROUP BY item_id""")
+def cofi_half_step(spark, sf):
+    """R5, one half-step with one factor: every item's factor for fixed user
+    factors, against the closed form."""
+    rt = ratings(spark, sf)
+    side = BA.deal(rt, "item_id", "user_id", "rating", rt.count())
+    T = rt.select("user_id").distinct().select(F.col("user_id").alias("id"), F.array(F.cos("user_id")).alias("f"))
+    return BA.half_step(side, T, 1, LAM).select(F.col("id").alias("item_id"), r(F.col("f")[0], 8).alias("x"))
+
+
 @query("recommend_topk", sql=f"""
 WITH {_R},
 u AS (SELECT user_id AS u FROM r GROUP BY user_id ORDER BY count(*) DESC, user_id LIMIT 1),
