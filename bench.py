@@ -19,7 +19,7 @@ HEADLINE = [
     "log_fit", "ova_fit", "confusion", "best_threshold", "kmeans_fit", "pca_cov", "tfidf",
     "word_indices", "nb_predict", "cofi_gradient", "recommend_topk", "nn_gradient",
     "kfold_oof", "learning_curve", "fold_mean", "text_svm", "svm_grid", "cofi_train",
-    "nn_train", "text_classify", "porter_stems",
+    "nn_train", "text_classify", "porter_stems", "kfold_logistic", "text_svm_multi", "cofi_blocked",
 ]
 
 
