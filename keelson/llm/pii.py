@@ -133,6 +133,7 @@ TRIGGER = re.compile(r"[0-9@]|[\[({<](?:at|dot|\.)[\])}>]", re.IGNORECASE)
 CUES = frozenset("call phone tel number fax reach mail email write contact host address ip card visa mastercard "
                  "version order id isbn pages chapter price token password on in at dot com org net".split())
 CONTEXT = 2           # words beside a stretch that features see
+CELLS = 1 << 15       # pieces decoded at once, with padding
 LABELS = ["O"] + [f"{p}-{k}" for k in KINDS for p in "BI"]
 
 
@@ -221,8 +222,13 @@ class Field:
         order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
         move = np.where(self.legal(), self.move, -1e9)
         start = np.array([-1e9 if x[0] == "I" else 0.0 for x in LABELS])
-        for s in range(0, len(order), 256):
-            ids = order[s:s + 256]
+        s = 0
+        while s < len(order):
+            # sequences decoded together: few cells, so a very long one is alone
+            z = s + 1
+            while z < len(order) and z - s < 256 and (z - s + 1) * len(scores[order[z]]) <= CELLS:
+                z += 1
+            ids, s = order[s:z], z
             n = np.array([len(scores[i]) for i in ids])
             e = np.zeros((len(ids), int(n.max()), len(LABELS)))
             for r, i in enumerate(ids):

@@ -272,6 +272,23 @@ def test_pii_on_awkward_rows(spark):
     assert pii.pii_spans(empty(spark)).count() == 0
 
 
+def test_a_long_stretch_is_decoded_alone():
+    """A line of many numbers among short texts costs its own cells only."""
+    import tracemalloc
+    field = pii.trained()
+    rng = np.random.default_rng(4)
+    short = [rng.normal(size=(int(n), len(pii.LABELS))) for n in rng.integers(1, 12, 400)]
+    long = rng.normal(size=(100_000, len(pii.LABELS)))
+    alone = field.decode([long])[0]
+    tracemalloc.start()
+    together = field.decode([*short[:200], long, *short[200:]])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (together[200] == alone).all()
+    assert all((a == b).all() for x, b in zip(short, [*together[:200], *together[201:]]) for a in field.decode([x]))
+    assert peak < 60e6
+
+
 # ---- 4 repeated passages ---------------------------------------------------------
 def brute_repeats(texts, n):
     words = [words_of(t) for _, t in texts]
