@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType
 from keelson.functions.expr import col
 from keelson.operators.indexing import global_row_index
 from keelson.operators.joins import heavy_keys, join_skewed
+from keelson.operators.lookup import counted_list, split_repeated
 from keelson.session import cut_lineage
 
 # The normalisation chain of the spam exercise, in order.
@@ -157,41 +158,73 @@ def words(text: Column | str, lowercase: bool = True) -> Column:
     return F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0)
 
 
+def _grams(w: Column, low: int, high: int) -> Column:
+    """All runs of ``low`` to ``high`` consecutive words, joined by one blank."""
+    def runs(n: int) -> Column:
+        if n == 1:
+            return w
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
+        if n == 2:
+            pair = lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1))
+        else:
+            pair = lambda i: F.array_join(F.slice(w, i, n), " ")
+        return F.when(F.size(w) >= n, F.transform(starts, pair)).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[runs(n) for n in range(low, high + 1)]) if high > low else runs(low)
+
+
+def _row_counts(df: DataFrame, id_col: str, text: str, low: int, high: int) -> DataFrame:
+    """(id, terms, n) of every row: the counts of its own text."""
+    rows = spread(df).select(id_col, words(text).alias("_w"))
+    return counted_list(rows, _grams(F.col("_w"), low, high)).select(id_col, "terms", "n")
+
+
+def _long(lists: DataFrame, id_col: str, out: str = "term") -> DataFrame:
+    return lists.select(id_col, F.inline(F.arrays_zip("terms", "n")).alias(out, "n")).withColumn("n", F.col("n").cast("long"))
+
+
+def ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 2, out: str = "term") -> DataFrame:
+    """T7 with an n-gram range: (doc, term, n) of all runs of ``low`` to
+    ``high`` consecutive words, joined by one blank.  Each text is counted in its
+    own row; only rows that share an id are shuffled and added."""
+    once, more = split_repeated(df.select(id_col, text), id_col)
+    counts = _long(_row_counts(once, id_col, text, low, high), id_col, out)
+    if more is None:
+        return counts
+    return counts.unionByName(_long(_row_counts(more, id_col, text, low, high), id_col, out)
+                              .groupBy(id_col, out).agg(F.sum("n").alias("n")))
+
+
 def term_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, term, n) counts (partial aggregation before the shuffle)."""
-    return (spread(df).select(id_col, F.explode(words(text)).alias("term"))
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
+    """(doc, term, n) counts."""
+    return ngram_counts(df, id_col, text, 1, 1)
 
 
 def bigram_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """T7 with ngram (2, 2): consecutive word pairs 'a b' per document."""
-    # The word array is projected once, then paired (an expression used
-    # inside the lambda would be re-evaluated for every index).
-    w = F.col("_w")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(w) - 1),
-                        lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1)))
-    pairs = F.when(F.size(w) >= 2, pairs).otherwise(F.array().cast("array<string>"))
-    return (spread(df).select(id_col, words(text).alias("_w"))
-            .select(id_col, F.explode(pairs).alias("bigram"))
-            .groupBy(id_col, "bigram").agg(F.count(F.lit(1)).alias("n")))
-
-
-def ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 2) -> DataFrame:
-    """T7 with an n-gram range: (doc, term, n) of all runs of ``low`` to
-    ``high`` consecutive words, joined by one blank."""
-    w = F.col("_w")
+    return ngram_counts(df, id_col, text, 2, 2, "bigram")
+
+
+def count_lists(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 1) -> DataFrame:
+    """:func:`ngram_counts` with one row an id: (doc, terms, n), both lists."""
+    once, more = split_repeated(df.select(id_col, text), id_col)
+    lists = _row_counts(once, id_col, text, low, high)
+    if more is None:
+        return lists
+    return lists.unionByName(listed(_long(_row_counts(more, id_col, text, low, high), id_col)
+                                    .groupBy(id_col, "term").agg(F.sum("n").alias("n")), id_col)
+                             .withColumn("n", F.col("n").cast("array<int>")))
+
+
+def listed(counts: DataFrame, id_col: str = "doc_id", term: str = "term", n: str = "n") -> DataFrame:
+    """(id, term, n) rows as one row an id: (id, terms, n)."""
+    pairs = F.collect_list(F.struct(F.col(term).alias("t"), F.col(n).alias("n")))
+    return counts.groupBy(id_col).agg(pairs.alias("_e")).select(id_col, F.col("_e.t").alias("terms"), F.col("_e.n").alias("n"))
 
-    def runs(n: int) -> Column:
-        if n == 1:
-            return w
-        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
-        return F.when(F.size(w) >= n, F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))) \
-            .otherwise(F.array().cast("array<string>"))
 
-    grams = [runs(n) for n in range(low, high + 1)]
-    return (spread(df).select(id_col, words(text).alias("_w")).filter(w.isNotNull())
-            .select(id_col, F.explode(F.concat(*grams)).alias("term"))
-            .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("n")))
+def n_entries(df: DataFrame, text: str) -> int:
+    """About how many words the texts have, from their lengths."""
+    return (df.agg(F.sum(F.length(text))).first()[0] or 0) // 6
 
 
 def tfidf(counts: DataFrame, n_docs: int, id_col: str = "doc_id", term: str = "term",
