@@ -37,3 +37,11 @@ def test_ngram_counts_shuffle_only_rows_that_share_an_id(spark):
     slots = scan.sparkSession.sparkContext.defaultParallelism
     wide = scan.repartition(slots)
     assert exchanges(TX.ngram_counts(wide, "doc_id", "text")) == exchanges(wide)
+
+
+def test_bigram_counts_shuffle_nothing_of_rows_with_their_own_ids(spark):
+    d = docs(spark)
+    got = {(r["doc_id"], r["bigram"]): r["n"] for r in TX.bigram_counts(d, "doc_id", "text").collect()}
+    assert got == brute([tuple(r) for r in d.collect()], 2, 2)
+    wide = d.filter("doc_id in (1, 5, 6)").repartition(d.sparkSession.sparkContext.defaultParallelism)
+    assert exchanges(TX.bigram_counts(wide, "doc_id", "text")) == exchanges(wide)
