@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from keelson.session import cut_lineage, cut_partitioned
 
+# Between the terms of a written row: a list of short strings takes three times
+# the room of their text.
+SEP = "\n"
 # Entries of a block.
 BLOCK_ENTRIES = 2_000_000
 # Repeated ids that are broadcast; more are joined by shuffle.
@@ -36,10 +39,19 @@ def counted_list(df: DataFrame, entries: Column, terms: str = "terms", n: str =
                     F.when(F.size(at) > 0, F.zip_with(at, ends, lambda a, b: b - a)).otherwise(F.array().cast("array<int>")).alias(n)))
 
 
-def split_repeated(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+def joined(terms: str = "terms") -> Column:
+    return F.array_join(terms, SEP)
+
+
+def parted(terms: str = "terms") -> Column:
+    """The list that :func:`joined` wrote as one text."""
+    return F.when(F.col(terms) == "", F.array().cast("array<string>")).otherwise(F.split(terms, SEP))
+
+
+def split_repeated(df: DataFrame, id_col: str, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(rows whose id no other row has, the rest or None).  Only ids are counted
-    and shuffled; a null id is one like any other."""
-    ids = cut_lineage(df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows"))
+    (in ``counted``, else ``df``) and shuffled; a null id is one like any other."""
+    ids = cut_lineage((df if counted is None else counted).groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows"))
                       .filter(F.col("_rows") > 1).select(F.col(id_col).alias("_id")))
     found = ids.count()
     if not found:
@@ -51,8 +63,9 @@ def split_repeated(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | N
 
 @dataclass
 class Dealt:
-    """``rows`` (block, the columns given, terms, n), dealt by block, and
-    ``held`` (term, df, n, blocks): ids and occurrences of each term."""
+    """``rows`` (block, the columns given, terms, n), dealt by block, the terms of
+    a row as one text, and ``held`` (term, df, n, blocks): ids and occurrences of
+    each term."""
     rows: DataFrame
     held: DataFrame
 
@@ -60,11 +73,13 @@ class Dealt:
 def deal(lists: DataFrame, entries: int, id_col: str = "doc_id", distinct: bool = True) -> Dealt:
     """Rows (id, terms, n, ..) in blocks; ``entries``: about how many there are.
     With ``distinct`` each id has one row and a row's terms differ; else lists
-    ``terms`` hold repeats (no ``n``) and ids may come more than once."""
+    ``terms`` hold repeats (no ``n``) and ids may come more than once.  Terms are
+    not empty and hold no newline; a list may be empty."""
     blocks = max(lists.sparkSession.sparkContext.defaultParallelism, -(-entries // BLOCK_ENTRIES))
-    rows = cut_partitioned(lists.withColumn("block", F.pmod(F.xxhash64(id_col, "terms"), F.lit(blocks)).cast("int")), blocks, "block")
-    pairs = rows if distinct else counted_list(rows.select("block", "terms", id_col), F.col("terms"))
-    once, more = (pairs, None) if distinct else split_repeated(pairs, id_col)
+    texts = lists.withColumn("terms", joined())
+    rows = cut_partitioned(texts.withColumn("block", F.pmod(F.xxhash64(id_col, "terms"), F.lit(blocks)).cast("int")), blocks, "block")
+    pairs = rows.withColumn("terms", parted()) if distinct else counted_list(rows.select("block", "terms", id_col), parted())
+    once, more = (pairs, None) if distinct else split_repeated(pairs, id_col, rows)
     each = F.inline(F.arrays_zip("terms", "n")).alias("term", "n")
     per = lambda df, ids: df.select("block", each).groupBy("block", "term").agg(ids.alias("df"), F.sum("n").alias("n"))
     held = per(once, F.count(F.lit(1)))
@@ -95,8 +110,11 @@ def look_up(dealt: Dealt, values: DataFrame, keep: list[str]) -> DataFrame:
         return pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        terms = whole(docs["terms"])
-        size = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+        text = whole(docs["terms"])
+        some = pc.greater(pc.binary_length(text), 0)
+        terms = pc.split_pattern(text.filter(some), SEP)
+        size = np.zeros(len(text), np.int64)
+        size[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(terms).to_numpy()
         ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
         at = pc.index_in(terms.flatten(), value_set=whole(found["term"]))
         more = [pa.ListArray.from_arrays(ends, whole(found[v]).take(at)) for v in names]

@@ -12,14 +12,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from keelson.functions.expr import col
 from keelson.operators.indexing import global_row_index
 from keelson.operators.joins import heavy_keys, join_skewed
-from keelson.operators.lookup import counted_list, split_repeated
+from keelson.operators.lookup import Dealt, counted_list, look_up, split_repeated
 from keelson.session import cut_lineage
 
 # The normalisation chain of the spam exercise, in order.
@@ -91,19 +92,50 @@ def step1a(t: Column | str) -> Column:
             .otherwise(t))
 
 
-@F.pandas_udf(StringType())
-def porter_udf(words):
+# Stems that a Python worker remembers.
+STEMS_KEPT = 1_000_000
+_stems: dict[str, str] = {}
+
+
+def _stemmed(words):
+    """Stems of a pandas series; a worker stems each distinct word about once."""
     from keelson.functions.porter import stem
-    return words.map(stem)
+    if len(_stems) > STEMS_KEPT:
+        _stems.clear()
+    codes, distinct = words.factorize()
+    for w in distinct:
+        if w not in _stems:
+            _stems[w] = stem(w)
+    return words.map(_stems)
+
+
+@F.pandas_udf(StringType())
+def porter_udf(words: pd.Series) -> pd.Series:
+    return _stemmed(words)
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def porter_lists_udf(lists: pd.Series) -> pd.Series:
+    """The stems of lists of words."""
+    size = lists.map(len).to_numpy(dtype=int)
+    flat = pd.Series([w for words in lists for w in words], dtype=object)
+    stems = _stemmed(flat).to_numpy()
+    ends = size.cumsum()
+    return pd.Series([stems[e - n:e] for e, n in zip(ends, size)], dtype=object)
 
 
 def stem_tokens(tokens: DataFrame, token_col: str = "token", out: str = "stem",
                 full: bool = True) -> DataFrame:
-    """T3 as a job: stem each distinct token once, join the stems back.
-    ``full=False`` applies only step 1a (a pure expression)."""
-    if not full:
-        return tokens.withColumn(out, step1a(token_col))
-    return tokens.join(distinct_stems(tokens, token_col, out), token_col)
+    """T3 on token rows, without a shuffle: stems are looked up in a worker's
+    memory.  ``full=False`` applies only step 1a (a pure expression)."""
+    return tokens.withColumn(out, porter_udf(F.col(token_col)) if full else step1a(token_col))
+
+
+def stem_lists(df: DataFrame, id_col: str, text: str, full: bool = True, out: str = "terms") -> DataFrame:
+    """(id, terms): the stemmed tokens of every text in order, as a list."""
+    tokens = F.coalesce(tokenise(normalise(text)), F.array().cast("array<string>"))
+    stems = porter_lists_udf(tokens) if full else F.transform(tokens, step1a)
+    return spread(df).select(id_col, stems.alias(out))
 
 
 def distinct_stems(tokens: DataFrame, token_col: str = "token", out: str = "stem") -> DataFrame:
@@ -125,31 +157,41 @@ def build_vocab(terms: DataFrame, term_col: str = "term", id_col: str | None = N
     return global_row_index(d, [term_col], name=out, start=start).select(term_col, out)
 
 
-def build_vocab_and_heavy(tokens: DataFrame, term_col: str, id_col: str, min_df: int = 1, start: int = 0,
-                          out: str = "idx") -> tuple[DataFrame, DataFrame]:
-    """(vocabulary as :func:`build_vocab`, the terms of more than one in a
-    thousand tokens) from one pass over the tokens."""
-    per = cut_lineage(tokens.groupBy(id_col, term_col).agg(F.count(F.lit(1)).alias("_n"))
-                      .groupBy(term_col).agg(F.count(F.lit(1)).alias("_df"), F.sum("_n").alias("_n")))
-    vocab = global_row_index(per.filter(F.col("_df") >= min_df).select(term_col), [term_col], name=out, start=start)
-    return vocab.select(term_col, out), heavy_keys(per, [term_col], "_n")
+def vocabulary(dealt: Dealt, min_df: int = 1, start: int = 0, out: str = "idx") -> DataFrame:
+    """T8 as :func:`build_vocab`, of the terms that a :class:`Dealt` holds:
+    (term, blocks, idx)."""
+    terms = dealt.held.filter(F.col("df") >= min_df).select("term", "blocks")
+    return global_row_index(terms, ["term"], name=out, start=start)
 
 
-def word_indices(tokens: DataFrame, vocab: DataFrame, term_col: str = "stem",
-                 vocab_term: str = "word", idx: str = "idx", heavy: DataFrame | None = None) -> DataFrame:
-    """T4: look each token up in the vocabulary (unique words); unknown tokens
-    drop out, order and repeats are kept (pos).  ``heavy`` names the frequent
-    terms (else they are counted in ``tokens``)."""
-    v = vocab.select(F.col(vocab_term).alias(term_col), idx)
-    return join_skewed(tokens, v, [term_col], "inner", heavy=heavy)
+def word_lists(dealt: Dealt, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """T4 by document: (id, idx), the list of the vocabulary's numbers of its
+    tokens, null where a token is unknown."""
+    return look_up(dealt, vocab, [id_col])
 
 
-def term_presence(indices: DataFrame, id_col: str = "doc_id", idx: str = "idx") -> DataFrame:
+def word_indices(dealt: Dealt, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """T4: look each token up in the vocabulary (term, idx; unique terms); unknown
+    tokens drop out, order and repeats are kept (id, pos, idx)."""
+    return (word_lists(dealt, vocab, id_col).select(id_col, F.posexplode("idx").alias("pos", "idx"))
+            .filter(F.col("idx").isNotNull()))
+
+
+def term_presence(lists: DataFrame, id_col: str = "doc_id", idx: str = "idx", counted: DataFrame | None = None) -> DataFrame:
     """Binary term vector as distinct (doc, idx) rows, plus the
-    number of non-zero entries per document."""
-    pres = indices.select(id_col, idx).distinct()
+    number of non-zero entries per document, from (id, list of numbers) rows.
+    Only rows that share an id (counted in ``counted``, cheaper to read) are
+    shuffled; a null id has no vector."""
+    lists = lists.filter(F.col(id_col).isNotNull())
+    once, more = split_repeated(lists, id_col, counted)
+    has = F.array_distinct(F.filter(idx, lambda i: i.isNotNull()))
+    out = (once.select(id_col, has.alias("_has")).select(id_col, "_has", F.size("_has").cast("long").alias("n_nonzero"))
+           .select(id_col, F.explode("_has").alias(idx), "n_nonzero"))
+    if more is None:
+        return out
+    pres = more.select(id_col, F.explode(has).alias(idx)).distinct()
     nnz = pres.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_nonzero"))
-    return pres.join(nnz, id_col)
+    return out.unionByName(pres.join(nnz, id_col))
 
 
 def words(text: Column | str, lowercase: bool = True) -> Column:

@@ -12,6 +12,7 @@ from keelson.operators import many_sparse as MS
 from keelson.operators import sparse_linear as SL
 from keelson.operators import text as TX
 from keelson.operators.indexing import top_k
+from keelson.operators.lookup import deal
 from keelson.plans.base import query, r, rs, table
 from keelson.session import cut_lineage
 
@@ -89,15 +90,15 @@ voc AS (SELECT stem AS word, row_number() OVER (ORDER BY stem) AS idx FROM
 wi AS (SELECT st.doc_id, st.pos, voc.idx FROM st JOIN voc ON voc.word = st.stem)"""
 
 
-def _word_indices(spark, sf):
-    return _look_up(TX.stem_tokens(_tokens(spark, sf), full=False))
+def _dealt(spark, sf, full=False):
+    """The stemmed tokens of every document, in blocks."""
+    d = _docs(spark, sf)
+    return deal(TX.stem_lists(d, "doc_id", "text", full), TX.n_entries(d, "text"), distinct=False)
 
 
-def _look_up(st):
-    """Stemmed tokens against the vocabulary of stems in >= 2 documents, which
-    comes from the counts by (document, stem); tokens aren't written."""
-    vocab, heavy = TX.build_vocab_and_heavy(st, "stem", "doc_id", min_df=_VOCAB_MIN_DF, start=1)
-    return TX.word_indices(st, vocab, vocab_term="stem", heavy=heavy)
+def _vocab(dealt):
+    """Stems in >= 2 documents, sorted, from 1."""
+    return TX.vocabulary(dealt, _VOCAB_MIN_DF, 1)
 
 
 @query("file_vocab_indices", sql=f"""
@@ -113,27 +114,27 @@ def file_vocab_indices(spark, sf):
 
     from keelson.session import checkpoint_dir
     from keelson.sources.readers import read_vocab
-    st = TX.stem_tokens(_tokens(spark, sf), full=False)
-    freq = st.groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
-    best = top_k(freq, [F.desc("n"), F.col("stem")], 1899).select(F.col("rank").alias("idx"), F.col("stem").alias("word"))
+    dealt = _dealt(spark, sf)
+    best = top_k(dealt.held.select("term", "n"), [F.desc("n"), F.col("term")], 1899).select(F.col("rank").alias("idx"), F.col("term").alias("word"))
     path = f"{checkpoint_dir(spark).rstrip('/')}/vocab-{uuid.uuid4().hex}"
     best.coalesce(1).write.option("sep", "\t").csv(path)
-    return TX.word_indices(st, read_vocab(spark, path)).select("doc_id", "pos", "idx")
+    return TX.word_indices(dealt, read_vocab(spark, path).select(F.col("word").alias("term"), "idx")).select("doc_id", "pos", "idx")
 
 
 @query("porter_word_indices")
 def porter_word_indices(spark, sf):
     """T3 + T4: full Porter stems looked up in the vocabulary of stems in >= 2
     documents (sorted, 1-based); unknown tokens dropped."""
-    st = TX.stem_tokens(_tokens(spark, sf), full=True)
-    return _look_up(st).select("doc_id", "pos", "idx")
+    dealt = _dealt(spark, sf, full=True)
+    return TX.word_indices(dealt, _vocab(dealt)).select("doc_id", "pos", "idx")
 
 
 @query("word_indices", sql=f"WITH {_WI} SELECT doc_id, pos, idx FROM wi")
 def word_indices(spark, sf):
     """T4: stemmed tokens looked up in the vocabulary built from the corpus
     (stems in >= 2 documents, sorted, 1-based); unknown tokens dropped."""
-    return _word_indices(spark, sf).select("doc_id", "pos", "idx")
+    dealt = _dealt(spark, sf)
+    return TX.word_indices(dealt, _vocab(dealt)).select("doc_id", "pos", "idx")
 
 
 @query("term_presence", sql=f"""
@@ -142,7 +143,9 @@ SELECT p.doc_id, p.idx, n.n_nonzero FROM p JOIN
   (SELECT doc_id, count(*) AS n_nonzero FROM p GROUP BY doc_id) n ON n.doc_id = p.doc_id""")
 def term_presence(spark, sf):
     """Binary term vectors (distinct doc, idx) and non-zeros per doc."""
-    return TX.term_presence(_word_indices(spark, sf)).select("doc_id", "idx", "n_nonzero")
+    dealt = _dealt(spark, sf)
+    lists = TX.word_lists(dealt, _vocab(dealt))
+    return TX.term_presence(lists, counted=dealt.rows).select("doc_id", "idx", "n_nonzero")
 
 
 @query("term_counts", sql=f"WITH {_COUNTS} SELECT doc_id, term, n FROM cnt")

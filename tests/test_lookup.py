@@ -45,3 +45,38 @@ def test_bigram_counts_shuffle_nothing_of_rows_with_their_own_ids(spark):
     assert got == brute([tuple(r) for r in d.collect()], 2, 2)
     wide = d.filter("doc_id in (1, 5, 6)").repartition(d.sparkSession.sparkContext.defaultParallelism)
     assert exchanges(TX.bigram_counts(wide, "doc_id", "text")) == exchanges(wide)
+
+
+def stems(spark, rows, full):
+    from keelson.functions.porter import stem
+    cut = lambda t: next((t[:-len(a)] + b for a, b in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")) if t.endswith(a)), t)
+    return [(i, p, (stem if full else cut)(w)) for i, t in rows for p, w in enumerate((t or "").split())]
+
+
+@pytest.mark.parametrize("full", [False, True])
+def test_word_indices_ship_a_frequent_term_once_a_block(spark, full):
+    from keelson.operators import lookup as LU
+    rows = [(i, "ponies cats the the running " + f"only{i}x") for i in range(40)] + [(7, "again twice"), (7, "twice"), (None, "nulls"), (None, "nulls the"), (41, ""), (42, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    dealt = LU.deal(TX.stem_lists(d, "doc_id", "text", full), 10, distinct=False)
+    clean = [(i, t and t.replace("0", "number") and "".join("#" if c.isdigit() else c for c in t)) for i, t in rows]
+    import re
+    clean = [(i, t and re.sub("#+", "number", t)) for i, t in clean]
+    want = stems(spark, clean, full)
+    df = Counter(s for _, s in {(i, s) for i, _, s in want})
+    n = Counter(s for _, _, s in want)
+    held = {r["term"]: r for r in dealt.held.collect()}
+    assert {t: r["df"] for t, r in held.items()} == df and {t: r["n"] for t, r in held.items()} == n
+    assert all(len(r["blocks"]) <= dealt.rows.rdd.getNumPartitions() for r in held.values())
+    at = {s: k for k, s in enumerate(sorted(s for s in df if df[s] >= 2), 1)}
+    vocab = TX.vocabulary(dealt, 2, 1)
+    got = Counter(tuple(r) for r in TX.word_indices(dealt, vocab).select("doc_id", "pos", "idx").collect())
+    assert got == Counter((i, p, at[s]) for i, p, s in want if s in at)
+    plan = TX.word_indices(dealt, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1     # the values go to the blocks, the tokens stay
+
+
+def test_presence_by_row_and_by_shared_id(spark):
+    d = spark.createDataFrame([(1, [3, None, 3, 1]), (2, [4, 4]), (2, [4, 5]), (None, [1]), (3, []), (4, [None])], "doc_id long, idx array<long>")
+    got = {tuple(r) for r in TX.term_presence(d).collect()}
+    assert got == {(1, 3, 2), (1, 1, 2), (2, 4, 2), (2, 5, 2)}
