@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, StringType
 
 from keelson.functions.expr import col
 from keelson.operators.indexing import global_row_index
-from keelson.operators.joins import heavy_keys, join_skewed
-from keelson.operators.lookup import Dealt, counted_list, look_up, split_repeated
+from keelson.operators.joins import join_skewed
+from keelson.operators.lookup import Dealt, counted_list, deal, look_up, parted, split_repeated
 from keelson.session import cut_lineage
 
 # The normalisation chain of the spam exercise, in order.
@@ -269,27 +269,53 @@ def n_entries(df: DataFrame, text: str) -> int:
     return (df.agg(F.sum(F.length(text))).first()[0] or 0) // 6
 
 
+def idf_values(dealt: Dealt, n_docs: int) -> DataFrame:
+    """(term, blocks, idf): ln((1 + N) / (1 + df)) + 1 of every term held."""
+    return dealt.held.select("term", "blocks", (F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+
+
+def _unit(lists: DataFrame, w: Column, *keep: str) -> DataFrame:
+    """Rows with a list ``w`` scaled to unit L2 norm."""
+    # The norm is named twice below: an expression named once would be merged into
+    # the lambda and evaluated for every entry.
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, v: acc + v * v))
+    return (lists.select(*keep, w.alias("_w")).withColumn("_norm", norm)
+            .withColumn("w", F.transform("_w", lambda v: F.when(F.col("_norm") > 0, v / F.col("_norm")))).select(*keep, "w"))
+
+
+def tfidf_lists(dealt: Dealt, values: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """T9 by document: (id, terms, w) and a list for each further column of
+    ``values`` (see :func:`idf_values`); an id that is null is left out."""
+    more = [c for c in values.columns if c not in ("term", "blocks", "idf")]
+    found = look_up(dealt, values, [id_col, "terms", "n"]).filter(F.col(id_col).isNotNull())
+    return _unit(found.withColumn("terms", parted()), F.zip_with("n", "idf", lambda n, v: n * v), id_col, "terms", *more)
+
+
 def tfidf(counts: DataFrame, n_docs: int, id_col: str = "doc_id", term: str = "term",
           n: str = "n", use_idf: bool = True) -> DataFrame:
-    """Tf * (ln((1 + N) / (1 + df)) + 1), rows scaled to unit L2 norm.
-    df is a grouped count, written, which also tells the frequent terms; the row
-    norm is a grouped sum joined back."""
+    """Tf * (ln((1 + N) / (1 + df)) + 1), rows scaled to unit L2 norm, from
+    (doc, term, n) rows of distinct terms (not empty, without newlines).  They are
+    gathered by document once; idf goes to the documents' blocks."""
+    lists = listed(counts.filter(F.col(term).isNotNull()), id_col, term, n)
     if use_idf:
-        dfreq = cut_lineage(counts.groupBy(term).agg(F.count(F.lit(1)).alias("_df")))
-        w = join_skewed(counts, dfreq, [term], "inner", heavy=heavy_keys(dfreq, [term], "_df")).withColumn(
-            "_w", F.col(n) * (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("_df"))) + 1.0))
+        lists = cut_lineage(lists)
+        dealt = deal(lists, lists.agg(F.sum(F.size("terms"))).first()[0] or 0, id_col)
+        out = tfidf_lists(dealt, idf_values(dealt, n_docs), id_col)
     else:
-        w = counts.withColumn("_w", F.col(n).cast("double"))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return (w.join(norms, id_col)
-            .select(id_col, term, (F.col("_w") / F.col("_norm")).alias("w")))
+        out = _unit(lists.filter(F.col(id_col).isNotNull()), F.col("n").cast("array<double>"), id_col, "terms")
+    return tfidf_rows(out, id_col, term)
+
+
+def tfidf_rows(lists: DataFrame, id_col: str = "doc_id", term: str = "term") -> DataFrame:
+    """(id, term, w) rows of lists."""
+    return lists.select(id_col, F.inline(F.arrays_zip("terms", "w")).alias(term, "w"))
 
 
 def nb_fit(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "label",
            term: str = "term", n: str = "n", alpha: float = 1.0):
     """T10 fit: multinomial naive Bayes on (doc, term, n) for labelled docs.
 
-    Returns (model, priors, classes): the model has one row per vocabulary term
+    ``counts`` may also be lists (doc, terms, n).  Returns (model, priors, classes): the model has one row per vocabulary term
     with the log probabilities c0, c1, .. = ln((N_ct + alpha) / (N_c + alpha V))
     in the order of ``classes``; priors are the log priors in that order.  The
     per-class sums of each term are written once and give vocabulary size,
@@ -303,7 +329,10 @@ def nb_fit(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id", label:
             for i, c in enumerate(classes)]
     if not classes:
         return counts.select(term).limit(0), priors, classes
-    wide = cut_lineage(counts.join(lab, id_col).groupBy(term).agg(*sums))
+    rows = counts.join(lab, id_col)
+    if isinstance(counts.schema[n].dataType, ArrayType):
+        rows = rows.select("class", F.inline(F.arrays_zip("terms", n)).alias(term, n))
+    wide = cut_lineage(rows.groupBy(term).agg(*sums))
     tot = wide.agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(classes))]).first()
     model = wide.select(term, *[F.log((F.col(f"c{i}") + F.lit(alpha))
                                       / F.lit(float((tot[f"c{i}"] or 0) + alpha * tot["v"]))).alias(f"c{i}")
@@ -325,6 +354,19 @@ def nb_predict(docs: DataFrame, counts: DataFrame, model: DataFrame, priors: Seq
     model's vocabulary (other terms ignored); ties -> first class."""
     sums = join_skewed(counts, model, [term], "inner").groupBy(id_col).agg(
         *[F.sum(F.col(n) * F.col(f"c{i}")).alias(f"_s{i}") for i in range(len(classes))])
+    return _nb_best(docs, sums, priors, classes, id_col)
+
+
+def nb_predict_lists(docs: DataFrame, lists: DataFrame, priors: Sequence[float], classes: Sequence,
+                     id_col: str = "doc_id", n: str = "n") -> DataFrame:
+    """:func:`nb_predict` from one row an id: (doc, n, c0, c1, ..), the lists of
+    its terms' weights and log probabilities (null: not in the model)."""
+    dot = [F.aggregate(F.zip_with(n, f"c{i}", lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
+           .alias(f"_s{i}") for i in range(len(classes))]
+    return _nb_best(docs, lists.select(id_col, *dot), priors, classes, id_col)
+
+
+def _nb_best(docs: DataFrame, sums: DataFrame, priors: Sequence[float], classes: Sequence, id_col: str) -> DataFrame:
     post = F.array(*[F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(p) for i, p in enumerate(priors)])
     best = F.array_max(post)
     cls = F.element_at(F.array(*[F.lit(c) for c in classes]), F.array_position(post, best).cast("int"))

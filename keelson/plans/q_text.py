@@ -54,6 +54,13 @@ def _counts(spark, sf):
     return cut_lineage(TX.term_counts(_docs(spark, sf), "doc_id", "text"))
 
 
+def _dealt_counts(spark, sf):
+    """Term counts, one row a document, in blocks: the regex pass over the whole
+    texts runs once."""
+    d = _docs(spark, sf)
+    return deal(TX.count_lists(d, "doc_id", "text"), TX.n_entries(d, "text"))
+
+
 @query("text_normalise", sql=f"SELECT page_id, {NORM('html')} AS text FROM pages")
 def text_normalise(spark, sf):
     """Normalise whole web pages (tags, numbers, URLs, addresses, $)."""
@@ -190,9 +197,9 @@ nr AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY doc_id)
 SELECT w.doc_id, w.term, {rs('w.w / nr.nrm', 8)} AS w FROM w JOIN nr ON nr.doc_id = w.doc_id""")
 def tfidf(spark, sf):
     """Smoothed tf-idf with unit L2 rows."""
-    c = _counts(spark, sf)
-    n_docs = table(spark, sf, "documents").count()
-    return TX.tfidf(c, n_docs).select("doc_id", "term", r("w", 8).alias("w"))
+    dealt = _dealt_counts(spark, sf)
+    lists = TX.tfidf_lists(dealt, TX.idf_values(dealt, table(spark, sf, "documents").count()))
+    return TX.tfidf_rows(lists).select("doc_id", "term", r("w", 8).alias("w"))
 
 
 _NB = f"""{_COUNTS},
@@ -301,11 +308,12 @@ def text_classify(spark, sf):
     """Counts -> tf-idf -> naive Bayes fit on labelled documents ->
     prediction for every document (a chained estimator)."""
     docs = _docs(spark, sf)
-    c = _counts(spark, sf)
-    w = TX.tfidf(c, table(spark, sf, "documents").count()).withColumnRenamed("w", "n")
+    dealt = _dealt_counts(spark, sf)
+    idf = TX.idf_values(dealt, docs.count())
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    model, priors, classes = TX.nb_fit(w, labels)
-    return TX.nb_predict(docs, w, model, priors, classes).select("doc_id", "pred")
+    model, priors, classes = TX.nb_fit(TX.tfidf_lists(dealt, idf).withColumnRenamed("w", "n"), labels)
+    found = TX.tfidf_lists(dealt, idf.join(model, "term", "left")).withColumnRenamed("w", "n")
+    return TX.nb_predict_lists(docs, found, priors, classes).select("doc_id", "pred")
 
 
 # ---------------------------------------------------------------- T11, E8

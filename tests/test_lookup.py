@@ -80,3 +80,25 @@ def test_presence_by_row_and_by_shared_id(spark):
     d = spark.createDataFrame([(1, [3, None, 3, 1]), (2, [4, 4]), (2, [4, 5]), (None, [1]), (3, []), (4, [None])], "doc_id long, idx array<long>")
     got = {tuple(r) for r in TX.term_presence(d).collect()}
     assert got == {(1, 3, 2), (1, 1, 2), (2, 4, 2), (2, 5, 2)}
+
+
+def test_tfidf_evaluates_a_norm_once_a_document_and_moves_no_entry_by_term(spark):
+    import math
+    from keelson.operators import lookup as LU
+    rows = [(1, "aa bb aa cc"), (2, "aa dd"), (3, ""), (4, "bb"), (4, "bb ee"), (None, "aa ff")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    dealt = LU.deal(TX.count_lists(d, "doc_id", "text"), 10)
+    lists = TX.tfidf_lists(dealt, TX.idf_values(dealt, 6))
+    got = {(r["doc_id"], r["term"]): r["w"] for r in TX.tfidf_rows(lists).collect()}
+    counts = brute(rows, 1, 1)
+    df = Counter(t for _, t in counts)
+    w = {k: n * (math.log(7 / (1 + df[k[1]])) + 1) for k, n in counts.items()}
+    norm = {i: math.sqrt(sum(v * v for (j, _), v in w.items() if j == i)) for i, _ in w}
+    want = {(i, t): v / norm[i] for (i, t), v in w.items() if i is not None}
+    assert got == pytest.approx(want)
+    long = {(r["doc_id"], r["term"]): r["w"] for r in TX.tfidf(TX.term_counts(d, "doc_id", "text"), 6).collect()}
+    assert long == pytest.approx(want)
+    plan = TX.tfidf_rows(lists)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
+    lines = [p for p in plan.splitlines() if "aggregate(" in p and "transform(" in p]
+    assert not lines        # the norm isn't merged into the lambda
