@@ -1,37 +1,44 @@
 """Many sparse linear classifiers trained together (T11, T12, E8 for text).
 
 A *model* is one class of one setting on one fold's training rows; all models
-of a fit share every pass.  Documents are dealt to blocks once and stay there:
-a block row holds a document's term numbers and counts.  Weights are a table
-(term, w[model]) that also knows which blocks hold the term.  One iteration
-ships each block the weights of its own terms, computes all margins and
-subgradients there (numpy), and sums the subgradients by term; nothing of the
-vocabulary's or the corpus's size reaches the driver, and a frequent term has
-at most one row a block, however many documents hold it.
+of a fit share every pass.  Documents are numbered in parts once; their entries
+are dealt to blocks by term once, as rows (term, part, positions, numbers), and
+stay there.  So a block knows all it needs of its terms: document frequencies,
+idf and weights, which are sums over its own entries and are never moved.  An
+iteration ships each block the documents' steps (a byte a document and model:
+how often it was within the margin), and each part the margins that the blocks
+add up to; what moves grows with the documents, not with terms or entries.
+Nothing of the vocabulary's or the corpus's size reaches the driver.
+
+With steps 1 / (alpha (t + 1 / alpha)) from zero, t steps give the weights
+sum y k x / (m (alpha t + 1)), k a document's steps within the margin: the
+whole state of a fit is k, and an intercept a model.
 
 Settings that differ in n-gram range or idf use the same counts: a *view* is a
-way to weigh them (range, idf, fold), whose idf travels with the weights, so
-term counts are written once for all settings and folds."""
+way to weigh them (range, idf, fold)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import dataclasses
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegralType
 
-from keelson.operators.indexing import global_row_index
-from keelson.operators.joins import join_skewed
+from keelson.operators.lookup import BLOCK_ENTRIES, FEW_IDS, SEP, joined
 from keelson.session import cut_lineage, cut_partitioned
 
-# Numbers that the weights of one block's entries may take: entries x models.
-BLOCK_CELLS = 4_000_000
-# Models whose margins are computed at once.
+# Entries of a block of terms, and those that are worked on at once (a term's
+# entries stay together).
+TERM_ENTRIES = 40_000_000
+SLICE = 1_000_000
+# Models whose sums are held at once.
 CHUNK = 16
-BIAS, STATS = 0, -1          # numbers of the rows beside terms (which start at 1)
 
 
 @dataclass(frozen=True)
@@ -62,26 +69,65 @@ class Model:
     alpha: float
 
 
+@dataclass
+class Posted:
+    """``docs`` (part, id, y, fold), ``posts`` (block, term, part, at, n): a term's
+    positions in a part and its numbers there; a document's position is its
+    id's rank in the part.  ``sizes``: documents of each part."""
+    docs: DataFrame
+    posts: DataFrame
+    sizes: dict
+    blocks: int
+    id_col: str
+
+
 @dataclass
 class ManyModels:
     settings: list
     classes: list
     views: list
     models: list
-    weights: DataFrame     # bucket, idx, term, words, idf, blocks, w
-    docs: DataFrame        # block, id, y, fold, idx, n
-    id_col: str
+    posted: Posted
+    state: DataFrame       # part, y, fold, norm, k (arrays as bytes)
+    held: dict             # documents of each fold
+    min_df: int
+    bias: np.ndarray
+    loss: np.ndarray
+    norm2: np.ndarray      # |w|^2 at the weights before the last step
+    steps: int = 0
+    t0: float | None = None    # None: 1 / alpha
+
+    @property
+    def id_col(self) -> str:
+        return self.posted.id_col
+
+    def train_sizes(self) -> np.ndarray:
+        """Training documents of every model."""
+        folds = [self.views[m.view].fold for m in self.models]
+        return np.array([sum(n for f, n in self.held.items() if v < 0 or f != v) for v in folds], float)
 
     def losses(self) -> np.ndarray:
         """Mean hinge loss of every model at the weights before the last step."""
-        row = self.weights.filter(F.col("idx") == STATS).select("w").first()
-        return np.array(row["w"]) if row else np.full(len(self.models), np.nan)
+        return self.loss
+
+    def weights(self) -> DataFrame:
+        """(term, idf, w): a list of all views, and one of all models."""
+        def run(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+            for s in b.slices():
+                w = np.zeros((len(s.terms), len(many.models)))
+                for _, mine, x, at in s.features(b, many):
+                    for j in mine:
+                        w[:, j] = np.bincount(s.term[at], x * b.coefficients(many, j)[s.doc[at]], len(s.terms))
+                on = np.flatnonzero(s.df.sum(axis=1) >= many.min_df)
+                yield pa.table({"term": s.terms.take(pa.array(on)), "idf": list_of(s.idf(many)[on]), "w": list_of(w[on])})
+        return passed(self, run, "term string, idf array<double>, w array<double>")
 
     def table(self) -> DataFrame:
         """(setting, fold, class, term, weight); the intercept has a null term."""
         meta = F.array(*[F.struct(F.lit(m.setting).alias("setting"), F.lit(self.views[m.view].fold).alias("fold"),
                                   F.lit(self.classes[m.positive]).alias("class")) for m in self.models])
-        return (self.weights.filter(F.col("idx") >= BIAS)
+        bias = self.state.sparkSession.createDataFrame([(None, [float(b) for b in self.bias])], "term string, w array<double>")
+        return (self.weights().select("term", "w").unionByName(bias)
                 .select("term", F.posexplode("w").alias("m", "weight"))
                 .select(F.element_at(meta, F.col("m") + 1).alias("_m"), "term", "weight")
                 .select("_m.setting", "_m.fold", "_m.class", "term", "weight"))
@@ -96,77 +142,26 @@ def labelled(labels: DataFrame, id_col: str, label: str, fold: str | None) -> Da
             .select(id_col, "_l.label", "_l.fold"))
 
 
-def prepare(counts: DataFrame, labels: DataFrame, settings: Sequence[Setting], folds: int = 0, classes: Sequence | None = None,
-            id_col: str = "doc_id", term: str = "term", n: str = "n", label: str = "label", fold: str | None = None,
-            min_df: int = 1) -> ManyModels:
-    """Documents in blocks and weights of zero.  Documents with a label but
-    without terms count (their margin is the intercept); a term in fewer than
-    ``min_df`` of a model's training documents has no weight there."""
-    lab = cut_lineage(labelled(labels, id_col, label, fold if folds else None))
-    if classes is None:
-        classes = sorted(r[0] for r in lab.select("label").distinct().collect())
-    classes, settings = list(classes), list(settings)
-    number = F.coalesce(*[F.when(F.col("label") == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
-    lab = lab.select(id_col, number.alias("y"), "fold")
-    used = range(folds) if folds else [-1]
-    views = list(dict.fromkeys(View(s.low, s.high, s.use_idf, s.normalise, f) for s in settings for f in used))
-    positives = range(1 if len(classes) == 2 else 0, len(classes))
-    models = [Model(i, views.index(View(s.low, s.high, s.use_idf, s.normalise, f)), c, s.alpha)
-              for i, s in enumerate(settings) for f in used for c in positives]
-
-    data = cut_lineage(counts.select(id_col, F.col(term).alias("term"), F.col(n).cast("double").alias("n"))
-                       .join(lab.select(id_col, "fold"), id_col))
-    per = data.groupBy("term", "fold").agg(F.count(F.lit(1)).alias("df"))
-    per = per.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("fold", "df"))).alias("by"), F.sum("df").alias("df"),
-                                  ).filter(F.col("df") >= min_df)
-    terms = global_row_index(per, ["term"], name="idx", start=1)
-    sizes = {r["fold"]: r["n"] for r in lab.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
-    long = F.size(F.split(F.col("term").cast("string"), " "))
-    idf = []
-    for v in views:
-        df = F.col("df") - F.coalesce(F.col("by")[F.lit(v.fold)], F.lit(0)) if v.fold >= 0 else F.col("df")
-        w = F.log(F.lit(1.0 + total - (sizes.get(v.fold, 0) if v.fold >= 0 else 0)) / (F.lit(1.0) + df)) + 1.0 if v.use_idf else F.lit(1.0)
-        idf.append(F.when((long >= v.low) & (long <= v.high) & (df >= min_df), w).otherwise(0.0))
-    entries = join_skewed(data.select(id_col, "term", "n"), terms.select("term", "idx"), ["term"], "inner")
-    rows = entries.groupBy(id_col).agg(F.collect_list(F.struct("idx", "n")).alias("e"))
-    docs = lab.join(rows, id_col, "left").select(
-        F.col(id_col), "y", "fold", F.coalesce(F.col("e.idx"), F.array().cast("array<bigint>")).alias("idx"),
-        F.coalesce(F.col("e.n"), F.array().cast("array<double>")).alias("n"))
-    docs = cut_lineage(docs)
-    cells = (docs.agg(F.sum(F.size("idx") + 1)).first()[0] or 0) * max(1, len(models))
-    blocks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-cells // BLOCK_CELLS))
-    docs = cut_partitioned(docs.withColumn("block", F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int")), blocks, "block")
-    held = (docs.select("block", F.explode("idx").alias("idx")).distinct()
-            .groupBy("idx").agg(F.collect_list("block").alias("blocks")))
-    zeros = F.array_repeat(F.lit(0.0), len(models))
-    # a bucket's rows: its weights, and at most one subgradient row a term and block
-    routes = held.agg(F.sum(F.size("blocks"))).first()[0] or 0
-    buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-routes * max(1, len(models)) // BLOCK_CELLS))
-    weights = terms.select("idx", "term", F.array(*idf).alias("idf")).join(held, "idx")
-    beside = docs.sparkSession.range(2).select(
-        (-F.col("id")).alias("idx"), F.lit(None).cast("string").alias("term"), F.array_repeat(F.lit(0.0), len(views)).alias("idf"),
-        F.sequence(F.lit(0), F.lit(blocks - 1)).alias("blocks"))
-    weights = cut_partitioned(weights.unionByName(beside).select(
-        F.pmod("idx", F.lit(buckets)).cast("int").alias("bucket"), "idx", "term", "idf", "blocks", zeros.alias("w")), buckets, "bucket")
-    return ManyModels(settings, classes, views, models, weights, docs, id_col)
+def whole(column):
+    c = column.combine_chunks()
+    return pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
 
 
 def lists(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
     """(flat values, lengths) of a list column."""
-    c = column.combine_chunks()
-    c = pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
+    c = whole(column)
     size = np.diff(np.asarray(c.offsets))
     return c.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False), size
 
 
-def square(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return lists(column, np.float64)[0].reshape(len(column), width)
+def list_of(a: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    ends = pa.array(np.arange(a.shape[0] + 1, dtype=np.int32) * np.int32(a.shape[1]))
+    return pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(a).ravel()))
 
 
-def nullable(t: pa.Table) -> pa.Table:
-    """The table as Spark's schema strings declare it: lists of nullable entries."""
-    return t.cast(pa.schema([(f.name, pa.list_(f.type.value_type) if pa.types.is_list(f.type) else f.type) for f in t.schema]))
+def square(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return lists(column, np.float64)[0].reshape(len(column), width)
 
 
 def by_row(values: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -179,119 +174,327 @@ def by_row(values: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-class Part:
-    """One block: its documents and the weights of their terms."""
-
-    def __init__(self, docs: pa.Table, sent: pa.Table, n_views: int, n_models: int):
-        self.y, self.fold = docs["y"].to_numpy(), docs["fold"].to_numpy()
-        flat, self.size = lists(docs["idx"], np.int64)
-        self.n = lists(docs["n"], np.float64)[0]
-        idx = sent["idx"].to_numpy()
-        order = np.argsort(idx, kind="stable")
-        self.idx = idx[order]
-        self.idf, self.w = square(sent["idf"], n_views)[order], square(sent["w"], n_models)[order]
-        self.at = np.searchsorted(self.idx, flat)
-        self.doc = np.repeat(np.arange(len(self.size)), self.size)
-
-    def row(self, number: int) -> int:
-        return int(np.searchsorted(self.idx, number))
-
-    def features(self, view: int, normalise: bool) -> np.ndarray:
-        a = self.n * self.idf[self.at, view]
-        if not normalise:
-            return a
-        norm = np.sqrt(by_row(a * a, self.size))
-        return a / np.where(norm > 0, norm, 1.0)[self.doc]
-
-    def margins(self, x: np.ndarray, models: np.ndarray) -> np.ndarray:
-        return by_row(x[:, None] * self.w[self.at][:, models], self.size) + self.w[self.row(BIAS)][models]
-
-
-def by_view(models: Sequence[Model]) -> list[tuple[int, np.ndarray]]:
-    """(view, its models' numbers), some at a time."""
-    out = []
-    for v in sorted({m.view for m in models}):
-        mine = [i for i, m in enumerate(models) if m.view == v]
-        out += [(v, np.array(mine[i:i + CHUNK])) for i in range(0, len(mine), CHUNK)]
+def post(rows: DataFrame, labels: DataFrame | None, id_col: str, entries: int | None = None, held: bool = False) -> Posted:
+    """Entries by term.  ``rows``: (id, terms, n), lists, one row an id at most, or
+    (id, term, n); ``labels`` (id, y, fold), one row an id: the documents, with or
+    without entries (none given: all ids).  Terms are not empty and hold no
+    newline; ``entries``: about how many there are, counted if not given.  With
+    ``held`` only ids with entries are documents."""
+    spark = rows.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if not isinstance(rows.schema["n"].dataType, ArrayType):
+        pairs = F.collect_list(F.struct("term", "n"))
+        rows = (rows.filter(F.col(id_col).isNotNull() & F.col("term").isNotNull()).groupBy(id_col).agg(pairs.alias("_e"))
+                .select(id_col, F.col("_e.term").alias("terms"), F.col("_e.n").alias("n")))
+    if entries is None:
+        rows = cut_lineage(rows)
+        entries = rows.agg(F.sum(F.size("terms"))).first()[0] or 0
+    whole_n = isinstance(rows.schema["n"].dataType.elementType, IntegralType)
+    n_kind = "int" if whole_n else "double"
+    rows = rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), joined().alias("terms"), F.col("n").cast(f"array<{n_kind}>").alias("n"))
+    kind = rows.schema["id"].dataType.simpleString()
+    if labels is None:
+        rows = rows.select("*", F.lit(0).alias("y"), F.lit(-1).alias("fold"))
+    else:
+        lab = labels.select(F.col(id_col).alias("id"), "y", "fold")
+        few = lab.count() <= FEW_IDS
+        rows = rows.join(F.broadcast(lab.select("id")), "id", "left_semi") if few else rows
+        rows = rows.unionByName(lab, allowMissingColumns=True)
+    parts, blocks = max(slots, -(-entries // BLOCK_ENTRIES)), max(slots, -(-entries // TERM_ENTRIES))
+    rows = cut_partitioned(rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), parts, "part")
+    docs = rows.groupBy("part", "id").agg(F.max("y").alias("y"), F.max("fold").alias("fold"), F.max("terms").alias("terms")).filter("y IS NOT NULL")
+    docs = cut_partitioned((docs.filter("terms != ''") if held else docs).drop("terms"), parts, "part")
+    sizes = {r["part"]: r["n"] for r in docs.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def turned(key, t):
+        """A part's entries by term."""
+        ids = in_order(t.filter(pc.is_valid(t["y"])))["id"]
+        t = t.filter(pc.is_valid(t["terms"]))
+        if held:
+            ids = ids.filter(pc.is_in(ids, value_set=whole(t.filter(pc.not_equal(t["terms"], ""))["id"])))
+        place = pc.index_in(whole(t["id"]), value_set=whole(ids))
+        t = t.filter(pc.is_valid(place))
+        text, place = whole(t["terms"]), place.drop_null().to_numpy(zero_copy_only=False).astype(np.int32)
+        some = pc.greater(pc.binary_length(text), 0)
+        terms = pc.split_pattern(text.filter(some), SEP)
+        size = np.zeros(len(text), np.int64)
+        size[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+        n = lists(t["n"], np.int32 if whole_n else np.float64)[0]
+        codes = whole(pa.chunked_array([terms.flatten().dictionary_encode()]))
+        code, at = codes.indices.to_numpy(zero_copy_only=False), np.repeat(place, size)
+        order = np.lexsort((at, code))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(codes.dictionary)))]).astype(np.int32)
+        listed = lambda a: pa.ListArray.from_arrays(pa.array(ends), pa.array(a[order]))
+        return pa.table({"term": codes.dictionary, "part": pa.array(np.full(len(codes.dictionary), key[0].as_py(), np.int32)),
+                         "at": listed(at), "n": listed(n)})
+
+    posts = (rows.select("part", "id", "terms", "n", "y").groupBy("part")
+             .applyInArrow(turned, f"term string, part int, at array<int>, n array<{n_kind}>")
+             .withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")))
+    return Posted(docs.select("part", F.col("id").cast(kind).alias(id_col), "y", "fold"), cut_partitioned(posts, blocks, "block"), sizes, blocks, id_col)
+
+
+def in_order(docs: pa.Table, id_col: str = "id") -> pa.Table:
+    return docs.take(pc.sort_indices(docs, sort_keys=[(id_col, "ascending")]))
+
+
+class Slice:
+    """Some terms of a block with all their entries, in order of terms."""
+
+    def __init__(self, terms: pa.Array, term: np.ndarray, doc: np.ndarray, n: np.ndarray):
+        self.terms, self.term, self.doc, self.n = terms, term, doc, n
+        self.df = None
+
+    def count(self, fold: np.ndarray, folds: int) -> None:
+        at = self.term * (folds + 1) + fold[self.doc] + 1
+        self.df = np.bincount(at, minlength=len(self.terms) * (folds + 1)).reshape(-1, folds + 1)
+
+    def idf(self, many: ManyModels) -> np.ndarray:
+        """(terms, views): 0 for a term that a view doesn't use."""
+        every, total = self.df.sum(axis=1), sum(many.held.values())
+        long = pc.add(pc.count_substring(self.terms, " "), 1).to_numpy(zero_copy_only=False)
+        out = np.zeros((len(self.terms), len(many.views)))
+        for i, v in enumerate(many.views):
+            df = every - self.df[:, v.fold + 1] if v.fold >= 0 else every
+            m = total - (many.held.get(v.fold, 0) if v.fold >= 0 else 0)
+            w = np.log((1.0 + m) / (1.0 + df)) + 1.0 if v.use_idf else 1.0
+            out[:, i] = np.where((long >= v.low) & (long <= v.high) & (df >= many.min_df) & (every >= many.min_df), w, 0.0)
+        return out
+
+    def features(self, b: Block, many: ManyModels, norms: bool = True):
+        """(view, numbers of its models, values, their places) of each view."""
+        idf = self.idf(many)
+        for i, v in enumerate(many.views):
+            w = idf[:, i]
+            at = np.flatnonzero(w[self.term] != 0) if (w == 0).any() else slice(None)
+            x = self.n[at] * w[self.term[at]]
+            if v.normalise and norms:
+                x = x / b.norm[i][self.doc[at]]
+            yield i, [j for j, m in enumerate(many.models) if m.view == i], x, at
+
+
+def steps_of(many: ManyModels, j: int, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    m = many.models[j]
+    scale = 1.0 / (max(1.0, many.train_sizes()[j]) * m.alpha * (many.steps + (1.0 / m.alpha if many.t0 is None else many.t0)))
+    return np.where(y == m.positive, scale, -scale) * k
+
+
+class Block:
+    """One block of terms, and all documents' y, fold, norms and steps."""
+
+    def __init__(self, posts: pa.Table, sent: pa.Table, sizes: dict, views: int = 0, models: int = 0, folds: int = 0):
+        self.sizes, self.folds = sizes, folds
+        self.parts = sorted(sizes)
+        self.start = dict(zip(self.parts, np.cumsum([0] + [sizes[p] for p in self.parts])[:-1].tolist()))
+        self.m = sum(sizes.values())
+        self.posts = posts
+        if views:
+            self.y, self.fold = np.zeros(self.m, np.int32), np.full(self.m, -1, np.int32)
+            self.norm, self.k = np.zeros((views, self.m)), np.zeros((models, self.m), np.uint16)
+            for r in sent.to_pylist():
+                a = self.start[r["part"]]
+                z = a + sizes[r["part"]]
+                self.y[a:z], self.fold[a:z] = np.frombuffer(r["y"], np.int32), np.frombuffer(r["fold"], np.int32)
+                if r["norm"]:
+                    self.norm[:, a:z] = np.frombuffer(r["norm"], np.float64).reshape(views, -1)
+                if r["k"]:
+                    self.k[:, a:z] = np.frombuffer(r["k"], np.uint16).reshape(models, -1)
+            self.norm[self.norm == 0] = 1.0
+
+    def slices(self) -> Iterator[Slice]:
+        if not self.posts.num_rows:
+            return
+        words = whole(pa.chunked_array([c.dictionary_encode() for c in self.posts["term"].chunks]).unify_dictionaries())
+        code = words.indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(code, kind="stable")
+        at, n = whole(self.posts["at"]), whole(self.posts["n"])
+        size, first = np.diff(np.asarray(at.offsets)), np.asarray(at.offsets)[:-1] - np.asarray(at.offsets)[0]
+        at, n = at.flatten().to_numpy(zero_copy_only=False), n.flatten().to_numpy(zero_copy_only=False)
+        part = self.posts["part"].to_numpy()
+        base = np.zeros(max(self.parts) + 1, np.int64)
+        base[self.parts] = [self.start[p] for p in self.parts]
+        per = np.bincount(code, weights=size, minlength=len(words.dictionary))
+        cut = np.flatnonzero(np.diff((np.cumsum(per) // SLICE).astype(np.int64))) + 1     # ends of runs of terms
+        rows = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(words.dictionary)))])
+        for a, z in zip([0, *cut.tolist()], [*cut.tolist(), len(per)]):
+            mine = order[rows[a]:rows[z]]
+            long = size[mine]
+            where = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum())
+            s = Slice(words.dictionary.slice(a, z - a), np.repeat(code[mine].astype(np.int64) - a, long),
+                      at[where] + np.repeat(base[part[mine]], long), n[where].astype(np.float64))
+            if hasattr(self, "fold"):
+                s.count(self.fold, self.folds)
+            yield s
+
+    def coefficients(self, many: ManyModels, j: int) -> np.ndarray:
+        """The weights of model ``j`` are these times the documents' features."""
+        return steps_of(many, j, self.y, self.k[j])
+
+    def by_part(self, sums: np.ndarray) -> pa.Table:
+        """(part, v): the columns of a part's documents as bytes."""
+        v = [np.ascontiguousarray(sums[:, self.start[p]:self.start[p] + self.sizes[p]]).tobytes() for p in self.parts]
+        return pa.table({"part": pa.array(self.parts, pa.int32()), "v": pa.array(v, pa.binary())})
+
+
+def routed(docs: DataFrame, blocks: int) -> DataFrame:
+    """The rows of the parts, for every block of terms."""
+    return docs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+
+def passed(many: ManyModels, body: Callable[[ManyModels, Block], Iterator[pa.Table]], schema: str) -> DataFrame:
+    """``body`` over every block of terms, which gets the documents' state."""
+    sizes, views, models = many.posted.sizes, len(many.views), len(many.models)
+    folds = max([v.fold for v in many.views] + list(many.held) + [-1]) + 1
+    slim = dataclasses.replace(many, posted=None, state=None)
+    none = empty(schema)
+
+    def run(posts: pa.Table, sent: pa.Table) -> pa.Table:
+        made = list(body(slim, Block(posts, sent, sizes, views, models, folds))) if posts.num_rows and sent.num_rows else []
+        return pa.concat_tables(made) if made else none
+
+    sent = routed(many.state, many.posted.blocks)
+    return many.posted.posts.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, schema)
+
+
+def empty(schema: str) -> pa.Table:
+    kinds = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
+    return pa.table({name: pa.array([], kinds[kind]) for name, kind in (c.split(" ", 1) for c in schema.split(", "))})
+
+
+def squares(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+    """Sums of squared features by view, of each document."""
+    out = np.zeros((len(many.views), b.m))
+    for s in b.slices():
+        for v, _, x, at in s.features(b, many, norms=False):
+            out[v] += np.bincount(s.doc[at], x * x, b.m)
+    yield b.by_part(out)
+
+
+def margins(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+    """The block's share of every document's margins, without the intercept."""
+    held = np.zeros((len(many.models), b.m))
+    for s in b.slices():
+        for _, mine, x, at in s.features(b, many):
+            term, doc = s.term[at], s.doc[at]
+            for j in mine:
+                w = np.bincount(term, x * b.coefficients(many, j)[doc], len(s.terms))
+                held[j] += np.bincount(doc, x * w[term], b.m)
+    yield b.by_part(held)
+
+
+def added(shares: pa.Table, rows: int, m: int) -> np.ndarray:
+    """The sum of the blocks' shares of a part."""
+    out = np.zeros((rows, m))
+    for v in whole(shares["v"]) if shares.num_rows else ():
+        out += np.frombuffer(v.as_buffer(), np.float64).reshape(rows, m)
     return out
 
 
-def subgradients(views: Sequence[View], models: Sequence[Model]):
-    """Cogroup body: (idx, g) sums over a block's training documents; STATS
-    holds the hinge losses."""
-    def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        if not docs.num_rows or not sent.num_rows:
-            return pa.table({"idx": pa.array([], pa.int64()), "g": pa.array([], pa.list_(pa.float64()))})
-        p = Part(docs, sent, len(views), len(models))
-        g = np.zeros((len(p.idx), len(models)))
-        order = np.argsort(p.at, kind="stable")
-        first = np.flatnonzero(np.diff(p.at[order], prepend=-1)) if len(order) else order
-        for v, mine in by_view(models):
-            x = p.features(v, views[v].normalise)
-            y = np.where(p.y[:, None] == np.array([models[i].positive for i in mine]), 1.0, -1.0)
-            slack = 1.0 - y * p.margins(x, mine)
-            train = (p.fold != views[v].fold)[:, None] if views[v].fold >= 0 else np.ones((len(p.y), 1), bool)
-            on = train & (slack > 0)
-            c = np.where(on, -y, 0.0)
-            g[p.row(STATS), mine] = np.where(on, slack, 0.0).sum(axis=0)
-            if len(order):
-                g[np.ix_(p.at[order][first], mine)] += np.add.reduceat((x[:, None] * c[p.doc])[order], first, axis=0)
-            g[p.row(BIAS), mine] = c.sum(axis=0)
-        ends = np.arange(0, g.size + 1, g.shape[1] or 1, dtype=np.int32)[:len(p.idx) + 1]
-        return pa.table({"idx": pa.array(p.idx), "g": pa.ListArray.from_arrays(pa.array(ends), pa.array(g.ravel()))})
-    return run
-
-
-def stepped(alphas: np.ndarray, rates: np.ndarray, sizes: np.ndarray):
-    """Cogroup body over a bucket: w - rate (alpha w + g / m), without a
-    penalty on the intercept; STATS becomes the mean loss."""
-    def run(weights: pa.Table, grads: pa.Table) -> pa.Table:
-        m = len(alphas)
-        if not weights.num_rows:
-            return nullable(weights)
-        idx, w = weights["idx"].to_numpy(), square(weights["w"], m)
-        g = np.zeros_like(w)
-        if grads.num_rows:
-            gi, gv = grads["idx"].to_numpy(), square(grads["g"], m)
-            o, back = np.argsort(gi, kind="stable"), np.argsort(idx)
-            first = np.flatnonzero(np.diff(gi[o], prepend=gi[o[0]] - 1))
-            g[back[np.searchsorted(idx[back], gi[o][first])]] = np.add.reduceat(gv[o], first, axis=0)
-        mean = g / np.maximum(sizes, 1)
-        decay = np.where((idx > BIAS)[:, None], alphas * w, 0.0)
-        w = np.where((idx == STATS)[:, None], mean, w - rates * (decay + mean))
-        ends = pa.array(np.arange(0, w.size + 1, m, dtype=np.int32))
-        return nullable(weights.set_column(weights.schema.get_field_index("w"), "w",
-                                           pa.ListArray.from_arrays(ends, pa.array(w.ravel()))))
+def prepare(counts: DataFrame, labels: DataFrame | None, settings: Sequence[Setting], folds: int = 0, classes: Sequence | None = None,
+            id_col: str = "doc_id", term: str = "term", n: str = "n", label: str = "label", fold: str | None = None,
+            min_df: int = 1, entries: int | None = None, with_entries: bool = False) -> ManyModels:
+    """Documents in parts, entries in blocks of terms, and weights of zero.
+    ``counts``: (id, term, n) rows, or (id, terms, n) lists (see :func:`post`).
+    Documents with a label but without terms count (their margin is the
+    intercept); a term in fewer than ``min_df`` of a model's training documents
+    has no weight there.  With ``with_entries`` documents without terms don't count."""
+    lab = cut_lineage(labelled(labels, id_col, label, fold if folds else None))
+    if classes is None:
+        classes = sorted(r[0] for r in lab.select("label").distinct().collect())
+    classes, settings = list(classes), list(settings)
+    number = F.coalesce(*[F.when(F.col("label") == F.lit(c), F.lit(i)) for i, c in enumerate(classes)], F.lit(-1))
+    lab = lab.select(id_col, number.alias("y"), F.coalesce("fold", F.lit(-1)).alias("fold"))
+    used = range(folds) if folds else [-1]
+    views = list(dict.fromkeys(View(s.low, s.high, s.use_idf, s.normalise, f) for s in settings for f in used))
+    positives = range(1 if len(classes) == 2 else 0, len(classes))
+    models = [Model(i, views.index(View(s.low, s.high, s.use_idf, s.normalise, f)), c, s.alpha)
+              for i, s in enumerate(settings) for f in used for c in positives]
+    rows = counts.select(id_col, "terms", "n") if "terms" in counts.columns else counts.select(id_col, F.col(term).alias("term"), F.col(n).alias("n"))
+    posted = post(rows, lab, id_col, entries, with_entries)
+    held = {r["fold"]: r["n"] for r in posted.docs.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = max(1, posted.docs.rdd.getNumPartitions())
+
+    def begun(key, t):
+        t = in_order(t, id_col)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "y": [t["y"].to_numpy().astype(np.int32).tobytes()],
+                         "fold": [t["fold"].to_numpy().astype(np.int32).tobytes()], "norm": pa.array([None], pa.binary()),
+                         "k": pa.array([None], pa.binary())})
+
+    state = cut_partitioned(posted.docs.groupBy("part").applyInArrow(begun, STATE), parts, "part")
+    zero = np.zeros(len(models))
+    many = ManyModels(settings, classes, views, models, posted, state, held, min_df, zero, np.full(len(models), np.nan), zero)
+    if not models or not any(v.normalise for v in views):
+        return many
+    n_views = len(views)
+
+    def normed(docs: pa.Table, shares: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return docs.select(STATE_NAMES)
+        norm = np.sqrt(added(shares, n_views, len(docs["y"][0].as_py()) // 4))
+        return docs.select(STATE_NAMES).set_column(3, "norm", pa.array([norm.tobytes()], pa.binary()))
+
+    shares = passed(many, squares, "part int, v binary")
+    new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(normed, STATE)
+    return dataclasses.replace(many, state=cut_partitioned(new, parts, "part"))
+
+
+STATE = "part int, y binary, fold binary, norm binary, k binary"
+STATE_NAMES = ["part", "y", "fold", "norm", "k"]
+
+
+def stepped(many: ManyModels):
+    """Cogroup body over a part: its margins, and one step more for each document
+    and model where the hinge has a slope."""
+    n_models = len(many.models)
+
+    def run(docs: pa.Table, shares: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return docs.select(STATE_NAMES).append_column("sums", pa.array([], pa.list_(pa.float64())))
+        y, fold = (np.frombuffer(docs[c][0].as_py(), np.int32) for c in ("y", "fold"))
+        m, k = added(shares, n_models, len(y)), docs["k"][0].as_py()
+        k = np.frombuffer(k, np.uint16).reshape(n_models, -1).copy() if k else np.zeros((n_models, len(y)), np.uint16)
+        sums = np.zeros((3, n_models))       # subgradients of the intercepts, losses, |w|^2
+        for j, model in enumerate(many.models):
+            sign = np.where(y == model.positive, 1.0, -1.0)
+            slack = 1.0 - sign * (m[j] + many.bias[j])
+            on = slack > 0
+            if many.views[model.view].fold >= 0:
+                on &= fold != many.views[model.view].fold
+            sums[:, j] = -sign[on].sum(), slack[on].sum(), (steps_of(many, j, y, k[j]) * m[j]).sum()
+            k[j] += on
+        return (docs.select(STATE_NAMES).set_column(4, "k", pa.array([k.tobytes()], pa.binary()))
+                .append_column("sums", pa.array([sums.ravel().tolist()], pa.list_(pa.float64()))))
     return run
 
 
-def shipped(many: ManyModels) -> DataFrame:
-    return many.weights.select(F.explode("blocks").alias("block"), "idx", "idf", "w")
-
-
 def fit(many: ManyModels, iters: int = 10, start: int = 0) -> ManyModels:
     """``iters`` more full-batch steps of all models at once, from zero weights
     or from where ``start`` earlier steps ended: minimises
-    alpha/2 |w|^2 + mean hinge, step 1 / (alpha (t + 1/alpha)).  One job an
-    iteration; it shuffles the weights to their blocks, the subgradients to their
-    terms and the new weights to their buckets, never the documents."""
-    models, views = many.models, many.views
+    alpha/2 |w|^2 + mean hinge, step 1 / (alpha (t + 1/alpha)).  A step moves the
+    documents' steps to the blocks of terms and their margins back, never an
+    entry or a weight."""
+    if start != many.steps:
+        raise ValueError(f"{many.steps} steps were taken, not {start}")
+    if start + iters > np.iinfo(np.uint16).max:
+        raise ValueError("too many steps")
+    models = many.models
     if not models:
         return many
-    held = {r["fold"]: r["n"] for r in many.docs.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = np.array([sum(n for f, n in held.items() if views[m.view].fold < 0 or f != views[m.view].fold) for m in models], float)
-    alphas = np.array([m.alpha for m in models])
-    schema = "idx long, g array<double>"
-    kept = many.weights.schema.simpleString()[len("struct<"):-1]
-    buckets = many.weights.rdd.getNumPartitions()
-    for t in range(start + 1, start + iters + 1):
-        grads = (many.docs.groupBy("block").cogroup(shipped(many).groupBy("block"))
-                 .applyInArrow(subgradients(views, models), schema)
-                 .withColumn("bucket", F.pmod("idx", F.lit(buckets)).cast("int")))
-        rates = 1.0 / (alphas * (t + 1.0 / alphas))
-        new = (many.weights.groupBy("bucket").cogroup(grads.groupBy("bucket"))
-               .applyInArrow(stepped(alphas, rates, sizes), kept))
-        many = ManyModels(many.settings, many.classes, views, models, cut_partitioned(new, buckets, "bucket"), many.docs, many.id_col)
+    sizes, alphas = many.train_sizes(), np.array([m.alpha for m in models])
+    n_models, parts = len(models), max(1, many.state.rdd.getNumPartitions())
+    for _ in range(iters):
+        shares = passed(many, margins, "part int, v binary")
+        if not many.steps:
+            shares = shares.limit(0)         # all margins are zero
+        new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(stepped(dataclasses.replace(many, posted=None, state=None)), STATE + ", sums array<double>")
+        new = cut_partitioned(new, parts, "part")
+        sums = np.zeros((3, n_models))
+        for r in new.select("sums").toLocalIterator():
+            sums += np.array(r["sums"]).reshape(3, n_models)
+        t = many.steps + 1
+        rates = 1.0 / (alphas * (t + (1.0 / alphas if many.t0 is None else many.t0)))
+        mean = sums / np.maximum(sizes, 1)
+        many = dataclasses.replace(many, state=new.select(*STATE_NAMES), bias=many.bias - rates * mean[0], loss=mean[1], norm2=sums[2], steps=t)
     return many
 
 
@@ -300,30 +503,32 @@ def scores(many: ManyModels, held_out: bool = False) -> DataFrame:
     order of ``positives``; with ``held_out`` only by the models of the
     document's own fold, which didn't train on it.  Two classes have one margin
     (of the second class)."""
-    views, models, id_col = many.views, many.models, many.id_col
-    kind = many.docs.schema[id_col].dataType.simpleString()
+    views, n_models, id_col, bias = many.views, len(many.models), many.id_col, many.bias
+    docs = many.posted.docs
+    kind = docs.schema[id_col].dataType.simpleString()
     groups: dict = {}
-    for i, m in enumerate(models):
+    for i, m in enumerate(many.models):
         groups.setdefault((m.setting, m.view), []).append(i)
 
-    def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        parts = []
-        if docs.num_rows and sent.num_rows:
-            p = Part(docs, sent, len(views), len(models))
+    def run(docs: pa.Table, shares: pa.Table) -> pa.Table:
+        made = []
+        if docs.num_rows:
+            docs = in_order(docs, id_col)
+            y, fold = docs["y"].to_numpy().astype(np.int32), docs["fold"].to_numpy()
+            m = added(shares, n_models, len(y)) + bias[:, None]
             for (setting, v), mine in groups.items():
-                rows = np.flatnonzero(p.fold == views[v].fold) if held_out else np.arange(len(p.y))
-                s = p.margins(p.features(v, views[v].normalise), np.array(mine))[rows]
-                ends = pa.array(np.arange(0, s.size + 1, len(mine), dtype=np.int32))
-                parts.append(pa.table({
+                rows = np.flatnonzero(fold == views[v].fold) if held_out else np.arange(len(y))
+                made.append(pa.table({
                     id_col: docs[id_col].take(pa.array(rows)), "setting": pa.array(np.full(len(rows), setting, np.int32)),
-                    "fold": pa.array(np.full(len(rows), views[v].fold, np.int32)), "y": pa.array(p.y[rows].astype(np.int32)),
-                    "scores": pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(s).ravel()))}))
-        if parts:
-            return pa.concat_tables(parts)
+                    "fold": pa.array(np.full(len(rows), views[v].fold, np.int32)), "y": pa.array(y[rows]),
+                    "scores": list_of(m[mine][:, rows].T)}))
+        if made:
+            return pa.concat_tables(made)
         return pa.table({id_col: docs[id_col].slice(0, 0), "setting": pa.array([], pa.int32()), "fold": pa.array([], pa.int32()),
                          "y": pa.array([], pa.int32()), "scores": pa.array([], pa.list_(pa.float64()))})
 
-    return (many.docs.groupBy("block").cogroup(shipped(many).groupBy("block"))
+    shares = passed(many, margins, "part int, v binary")
+    return (docs.groupBy("part").cogroup(shares.groupBy("part"))
             .applyInArrow(run, f"`{id_col}` {kind}, setting int, fold int, y int, scores array<double>"))
 
 
@@ -349,7 +554,7 @@ def grid(many: ManyModels) -> DataFrame:
     acc = p.groupBy("setting").agg(F.count(F.lit(1)).alias("n"),
                                    F.avg(F.coalesce((F.col("pred") == F.col("truth")).cast("double"), F.lit(0.0))).alias("accuracy"))
     rows = [(i, s.low, s.high, s.use_idf, float(s.alpha)) for i, s in enumerate(many.settings)]
-    names = many.docs.sparkSession.createDataFrame(rows, "setting int, low int, high int, use_idf boolean, alpha double")
+    names = many.state.sparkSession.createDataFrame(rows, "setting int, low int, high int, use_idf boolean, alpha double")
     acc = cut_lineage(names.join(acc, "setting", "left"))
     best = acc.orderBy(F.desc_nulls_last("accuracy"), "setting").first()
     return acc.withColumn("best", F.col("setting") == F.lit(best["setting"] if best else -1))

@@ -205,58 +205,76 @@ class SparseComponents:
 
 
 def sparse_subspace(rows: DataFrame, k: int, iters: int = 20, extra: int = 4, tol: float = 1e-10, id_col: str = "doc_id",
-                    term: str = "term", x: str = "w", seed: int = 5) -> SparseComponents:
-    """D2 on (id, term, x) rows, uncentred, for any vocabulary: block subspace
-    iteration in which the block is a table by term.  Documents are dealt to
-    blocks once; a pass ships each of them the rows q of its own terms, forms
-    X'(XQ) there and sums by term; the Gram matrix of [Q, X'XQ], of
+                    term: str = "term", x: str = "w", seed: int = 5, entries: int | None = None) -> SparseComponents:
+    """D2 on (id, term, x) rows, or (id, terms, x) lists with about ``entries``
+    entries, uncentred, for any vocabulary: block subspace iteration in which the
+    block is a table by term.  Entries are dealt to blocks of terms once
+    (:func:`many_sparse.post`); a pass adds up XQ by document, ships it to the
+    blocks and forms X'(XQ) there; the Gram matrix of [Q, X'XQ], of
     (2 (k + extra))^2 numbers, reaches the driver and gives eigenvalues and the
     next orthonormal block as a small matrix.  Eigenvalues are of X'X / m, m the
     number of ids; ids and terms must not be null."""
-    rows = rows.select(F.col(id_col).alias("id"), F.col(term).alias("term"), F.col(x).cast("double").alias("n"))
-    many = MS.prepare(rows, rows.select("id", F.lit(1).alias("label")), [MS.Setting(1, 1 << 30, False, False)], classes=[1], id_col="id")
-    m, n = many.docs.count(), many.weights.filter("idx > 0").count()
+    listed = "terms" in rows.columns
+    rows = rows.select(F.col(id_col).alias("id"), "terms" if listed else F.col(term).alias("term"),
+                       F.col(x).cast("array<double>" if listed else "double").alias("n"))
+    posted = MS.post(rows, None, "id", entries)
+    sizes, blocks = posted.sizes, posted.blocks
+    # names of their own: the two sides of a cogroup must not share columns
+    held = cut_partitioned(posted.posts.select(F.col("block").alias("block"), F.col("term").alias("term")).distinct(), blocks, "block")
+    m, n = sum(sizes.values()), held.count()
     if not m or not n:
         raise ValueError("no rows")
     k, width = min(k, n), min(k + extra, n)
-    buckets = many.weights.rdd.getNumPartitions()
     noise = F.array(*[F.hash("term", F.lit(seed + i)) / F.lit(2.0 ** 31) for i in range(width)])
-    state = cut_partitioned(many.weights.filter("idx > 0").select(
-        "bucket", "idx", "term", "idf", "blocks", noise.alias("q"), noise.alias("w")), buckets, "bucket")
-    kept = state.schema.simpleString()[len("struct<"):-1]
+    state = cut_partitioned(held.select(F.col("block").alias("block"), F.col("term").alias("term"), noise.alias("q"), noise.alias("w")), blocks, "block")
+    kept = "block int, term string, q array<double>, w array<double>"
     iu = np.triu_indices(2 * width)
+    list_of = MS.list_of
 
-    def list_of(a: np.ndarray):
-        import pyarrow as pa
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(np.ascontiguousarray(a).ravel()))
+    def placed(s, t):
+        """The rows of a slice's terms in a table by term."""
+        import pyarrow.compute as pc
+        return pc.index_in(s.terms, value_set=MS.whole(t["term"])).to_numpy(zero_copy_only=False)
 
     def pushed(T: np.ndarray):
-        """Cogroup body: X'(XQ) of a block's documents, Q = w T."""
-        def run(docs, sent):
+        """Cogroup body: a block's share of XQ, Q = w T."""
+        def run(posts, held):
             import pyarrow as pa
-            if not docs.num_rows or not sent.num_rows:
-                return pa.table({"idx": pa.array([], pa.int64()), "g": pa.array([], pa.list_(pa.float64()))})
-            p = MS.Part(docs, sent, 1, width)
-            z = MS.by_row(p.n[:, None] * (p.w @ T)[p.at], p.size)
-            order = np.argsort(p.at, kind="stable")
-            first = np.flatnonzero(np.diff(p.at[order], prepend=-1))
-            g = np.add.reduceat((p.n[:, None] * z[p.doc])[order], first, axis=0)
-            return pa.table({"idx": pa.array(p.idx[p.at[order][first]]), "g": list_of(g)})
+            if not posts.num_rows:
+                return pa.table({"part": pa.array([], pa.int32()), "v": pa.array([], pa.binary())})
+            b, Q = MS.Block(posts, held, sizes), MS.square(held["w"], width) @ T
+            z = np.zeros((width, b.m))
+            for s in b.slices():
+                q = Q[placed(s, held)]
+                for i in range(width):
+                    z[i] += np.bincount(s.doc, s.n * q[s.term, i], b.m)
+            return b.by_part(z)
         return run
 
+    def total(key, shares):
+        """The sum of the shares of a part."""
+        import pyarrow as pa
+        z = MS.added(shares, width, sizes[key[0].as_py()])
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "v": pa.array([z.tobytes()], pa.binary())})
+
     def summed(T: np.ndarray):
-        """Cogroup body: q = w T, and w the sums of a bucket's terms."""
-        def run(held, grads):
-            if not held.num_rows:
-                return MS.nullable(held)
-            idx, w = held["idx"].to_numpy(), np.zeros((held.num_rows, width))
-            gi, gv = grads["idx"].to_numpy(), MS.square(grads["g"], width)
-            order, back = np.argsort(gi, kind="stable"), np.argsort(idx)
-            first = np.flatnonzero(np.diff(gi[order], prepend=0))
-            w[back[np.searchsorted(idx[back], gi[order][first])]] = np.add.reduceat(gv[order], first, axis=0)
-            at = held.schema.get_field_index
-            out = held.set_column(at("q"), "q", list_of(MS.square(held["w"], width) @ T))
-            return MS.nullable(out.set_column(at("w"), "w", list_of(w)))
+        """Cogroup body: q = w T, and w = X'(XQ) of a block's terms."""
+        def run(posts, sent):
+            import pyarrow as pa
+            import pyarrow.compute as pc
+            if not posts.num_rows:
+                return pa.table({"block": pa.array([], pa.int32()), "term": pa.array([], pa.string()),
+                                 **{c: pa.array([], pa.list_(pa.float64())) for c in ("q", "w")}})
+            held, parts = sent.filter(pc.is_valid(sent["term"])), sent.filter(pc.is_valid(sent["v"]))
+            b, Q = MS.Block(posts, sent, sizes), MS.square(held["w"], width) @ T
+            z, w = np.zeros((width, b.m)), np.zeros_like(Q)
+            for p, v in zip(parts["part"].to_pylist(), MS.whole(parts["v"])):
+                z[:, b.start[p]:b.start[p] + sizes[p]] = np.frombuffer(v.as_buffer(), np.float64).reshape(width, -1)
+            for s in b.slices():
+                at = placed(s, held)
+                for i in range(width):
+                    w[at, i] = np.bincount(s.term, s.n * z[i][s.doc], len(s.terms))
+            return pa.table({"block": held["block"], "term": held["term"], "q": list_of(Q), "w": list_of(w)})
         return run
 
     def grams(t: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -286,10 +304,12 @@ def sparse_subspace(rows: DataFrame, k: int, iters: int = 20, extra: int = 4, to
 
     T, last, V, S = orthonormal(np.eye(width), grams(state)[1]), None, np.eye(width), np.zeros(width)
     for _ in range(iters):
-        sent = state.select(F.explode("blocks").alias("block"), "idx", "idf", "w")
-        grads = (many.docs.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(pushed(T), "idx long, g array<double>")
-                 .withColumn("bucket", F.pmod("idx", F.lit(buckets)).cast("int")))
-        state = cut_partitioned(state.groupBy("bucket").cogroup(grads.groupBy("bucket")).applyInArrow(summed(T), kept), buckets, "bucket")
+        shares = (posted.posts.groupBy("block").cogroup(state.select("block", "term", "w").groupBy("block"))
+                  .applyInArrow(pushed(T), "part int, v binary"))
+        z = MS.routed(shares.groupBy("part").applyInArrow(total, "part int, v binary"), blocks)
+        sent = z.unionByName(state.select("block", "term", "w"), allowMissingColumns=True)
+        new = posted.posts.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(summed(T), kept)
+        state = cut_partitioned(new, blocks, "block")
         B, C = grams(state)
         S, V = np.linalg.eigh((B + B.T) / 2)
         S, V = S[::-1], V[:, ::-1]

@@ -1,64 +1,43 @@
-"""Linear classifier on sparse long-format features, trained by full-batch
-subgradient descent on the L2-regularised hinge loss (T11, V1 for text).
+"""Linear classifier on sparse features, trained by full-batch subgradient
+descent on the L2-regularised hinge loss (T11, V1 for text).
 
-Features stay long: (doc, term, x).  Weights are a table (term, w); one
-iteration is margins = features JOIN weights -> grouped sum per doc, then
-the subgradient per term = features JOIN active docs -> grouped sum per
-term.  Nothing is collected: the weight table is cut from its lineage with
-a reliable checkpoint every iteration, so the vocabulary size is not
-bounded by driver memory."""
+The trainer is that of :mod:`keelson.operators.many_sparse` with one model:
+entries are dealt to blocks of terms once, and an iteration moves the documents'
+steps and margins.  Nothing is collected: the vocabulary size is not bounded by
+driver memory."""
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators import many_sparse as MS
 from keelson.session import cut_lineage
 
 
 def fit_hinge(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id", term: str = "term",
               x: str = "w", label: str = "label", alpha: float = 1e-3, iters: int = 10,
-              t0: float | None = None):
+              t0: float | None = None, entries: int | None = None):
     """Minimise alpha/2 ||w||^2 + mean_i max(0, 1 - y_i (w.x_i + b)),
     y in {-1, +1} (labels 0/1 are mapped).  Documents are those with features
     and a label; a null label is none, of several labels of an id the greatest
     counts.  Step 1 / (alpha (t + t0)) with
     t0 = 1 / alpha by default (first steps close to 1, then decaying).
-    Returns (weights (term, weight), bias, history [(iter, objective)])."""
+    ``feats``: (id, term, x) rows, or (id, terms, x) lists with about ``entries``
+    entries.  Returns (weights (term, weight), bias, history [(iter, objective)])."""
     y = (labels.filter(F.col(label).isNotNull()).groupBy(id_col)
-         .agg(F.max(F.when(F.col(label) > 0, 1.0).otherwise(-1.0)).alias("_y")))
-    # every iteration reads the labelled features twice: materialise once
-    data = cut_lineage(feats.join(y.select(id_col), id_col)
-                       .select(id_col, term, F.col(x).alias("_x")))
-    y = cut_lineage(y.join(data.select(id_col).distinct(), id_col, "left_semi"))
-    m = y.count()
-    weights = data.select(term).distinct().withColumn("weight", F.lit(0.0))
-    weights = cut_lineage(weights)
-    b, hist = 0.0, []
-    t0 = 1.0 / alpha if t0 is None else t0
-    for t in range(1, iters + 1):
-        margins = (data.join(weights, term)
-                   .groupBy(id_col).agg(F.sum(F.col("_x") * F.col("weight")).alias("_m")))
-        # one row per document, read by the statistics and the subgradient:
-        # cut so the features x weights join runs once per iteration
-        margins = cut_lineage(y.join(margins, id_col, "left").na.fill(0.0, ["_m"])
-                              .withColumn("_m", F.col("_m") + F.lit(b)))
-        active = margins.filter(F.col("_y") * F.col("_m") < 1.0)
-        stats = margins.agg(F.avg(F.greatest(F.lit(0.0), 1.0 - F.col("_y") * F.col("_m"))).alias("loss"),
-                            F.sum(F.when(F.col("_y") * F.col("_m") < 1.0, -F.col("_y"))
-                                  .otherwise(0.0)).alias("gb")).first()
-        sq = weights.agg(F.sum(F.col("weight") * F.col("weight"))).first()[0] or 0.0
-        hist.append((t - 1, float(stats["loss"]) + alpha / 2.0 * float(sq)))
-        grad = (data.join(active.select(id_col, "_y"), id_col)
-                .groupBy(term).agg(F.sum(-F.col("_y") * F.col("_x")).alias("_g")))
-        eta = 1.0 / (alpha * (t + t0))
-        weights = (weights.join(grad, term, "left").na.fill(0.0, ["_g"])
-                   .select(term, (F.col("weight") - F.lit(eta) * (F.lit(alpha) * F.col("weight")
-                                                                  + F.col("_g") / F.lit(float(m))))
-                           .alias("weight")))
-        weights = cut_lineage(weights)
-        b = b - eta * float(stats["gb"]) / m
-    return weights, b, hist
+         .agg(F.max(F.when(F.col(label) > 0, 1).otherwise(0)).alias("label")))
+    feats = feats.select(id_col, *(["terms"] if "terms" in feats.columns else [F.col(term).alias("term")]), F.col(x).alias("n"))
+    many = MS.prepare(feats, y, [MS.Setting(1, 1 << 30, False, False, alpha)], classes=[0, 1], id_col=id_col, entries=entries, with_entries=True)
+    many = dataclasses.replace(many, t0=t0)
+    hist = []
+    for t in range(iters):
+        many = MS.fit(many, 1, start=t)
+        hist.append((t, float(many.losses()[0]) + alpha / 2.0 * float(many.norm2[0])))
+    weights = cut_lineage(many.weights().select(F.col("term").alias(term), F.col("w")[0].alias("weight")))
+    return weights, float(many.bias[0]), hist
 
 
 def decision(feats: DataFrame, weights: DataFrame, bias: float, docs: DataFrame,

@@ -146,9 +146,8 @@ class HingeText(_Stage, TextParams):
         counts = cut_lineage(TX.ngram_counts(rows, "_row", "_t", get("low"), get("high")))
         setting = MS.Setting(get("low"), get("high"), get("useIdf"), True, get("alpha"))
         many = MS.fit(MS.prepare(counts, rows, [setting], id_col="_row", label="_l", min_df=get("minDf")), get("maxIter"))
-        bias = many.weights.filter(F.col("idx") == MS.BIAS).select("w").first()
-        weights = many.weights.filter(F.col("idx") > MS.BIAS).select("term", F.col("idf")[0].alias("idf"), "w")
-        return self._fitted(HingeTextModel(), {"classes": _jsonable(many.classes), "bias": list(bias["w"]) if bias else []}, {"weights": weights})
+        weights = cut_lineage(many.weights().select("term", F.col("idf")[0].alias("idf"), "w"))
+        return self._fitted(HingeTextModel(), {"classes": _jsonable(many.classes), "bias": [float(b) for b in many.bias]}, {"weights": weights})
 
 
 class HingeTextModel(StateModel, TextParams):

@@ -241,7 +241,8 @@ def pca_terms(spark, sf):
     """D2 on the tf-idf of all documents: the 3 leading directions over terms
     (no term x term matrix), as (component, term, weight)."""
     from keelson.operators import text as TX
-    from keelson.session import cut_lineage
+    from keelson.operators.lookup import deal
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    counts = cut_lineage(TX.term_counts(docs, "doc_id", "text"))
-    return PC.sparse_subspace(TX.tfidf(counts, docs.count()), 3, iters=6).table()
+    entries = TX.n_entries(docs, "text")
+    dealt = deal(TX.count_lists(docs, "doc_id", "text"), entries)
+    return PC.sparse_subspace(TX.tfidf_lists(dealt, TX.idf_values(dealt, docs.count())), 3, iters=6, entries=entries).table()

@@ -275,10 +275,10 @@ def text_svm(spark, sf):
     """Linear SVM (hinge, L2, alpha 1e-3) on tf-idf of the labelled
     documents, trained by distributed subgradient descent; returns the
     weight per term."""
-    c = _counts(spark, sf)
-    w = TX.tfidf(c, table(spark, sf, "documents").count())
+    dealt = _dealt_counts(spark, sf)
+    w = TX.tfidf_lists(dealt, TX.idf_values(dealt, table(spark, sf, "documents").count()))
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
-    weights, b, _ = SL.fit_hinge(w, labels, iters=8)
+    weights, b, _ = SL.fit_hinge(w, labels, iters=8, entries=TX.n_entries(_docs(spark, sf), "text"))
     return weights.select("term", "weight")
 
 
@@ -358,7 +358,8 @@ QUALIFY row_number() OVER (PARTITION BY m.doc_id ORDER BY m.margin DESC, m.class
 
 
 def _multi(spark, sf, iters):
-    many = MS.prepare(_counts(spark, sf), _languages(spark, sf), [MS.Setting(1, 1, True, True, SVM_ALPHA)])
+    d = _docs(spark, sf)
+    many = MS.prepare(TX.count_lists(d, "doc_id", "text"), _languages(spark, sf), [MS.Setting(1, 1, True, True, SVM_ALPHA)], entries=TX.n_entries(d, "text"))
     return MS.fit(many, iters)
 
 
@@ -384,8 +385,9 @@ def text_grid_search(spark, sf):
     """E8 over the text chain: n-gram range x idf x alpha (16 settings) by 3-fold
     accuracy of hinge models of the labelled documents' kinds (junk, toxic,
     fine); all settings, folds and classes train in the same 6 passes."""
-    counts = cut_lineage(TX.ngram_counts(_docs(spark, sf), "doc_id", "text", 1, 2))
+    d = _docs(spark, sf)
+    counts = TX.count_lists(d, "doc_id", "text", 1, 2)
     kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "junk").otherwise("fine")
     labels = table(spark, sf, "labels").select("doc_id", kind.alias("label"), EV.fold_of("doc_id", 3).alias("fold"))
-    many = MS.fit(MS.prepare(counts, labels, GRID, folds=3, fold="fold", min_df=2), 6)
+    many = MS.fit(MS.prepare(counts, labels, GRID, folds=3, fold="fold", min_df=2, entries=2 * TX.n_entries(d, "text")), 6)
     return MS.grid(many).select("setting", "low", "high", "use_idf", "alpha", "n", "accuracy", "best")

@@ -80,8 +80,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def cut_partitioned(df: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """Like :func:`cut_lineage`, dealt to ``parts`` partitions by ``keys``, so
-    that later groupings and joins on them need no shuffle of this side.  An
+    """Like :func:`cut_lineage`, dealt to ``parts`` partitions by ``keys`` and
+    sorted there, so that later groupings and joins on them need neither a
+    shuffle nor a sort of this side.  An
     adaptive plan doesn't say how its result is partitioned, so this one step
     runs without; the setting is put back."""
     checkpoint_dir(df.sparkSession)
@@ -89,6 +90,6 @@ def cut_partitioned(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     before = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return df.repartition(parts, *keys).checkpoint(eager=True)
+        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     finally:
         conf.set("spark.sql.adaptive.enabled", before)
