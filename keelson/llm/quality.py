@@ -13,9 +13,8 @@ from __future__ import annotations
 import functools
 import math
 import operator
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,7 +54,8 @@ TOXIC_MODES = (("insults", "lexicon", "given_toxic"), ("lexicon", "given_toxic")
 # ---- statistics of a text ----------------------------------------------------
 SIGN, LOWER, CAPITAL, DIGIT, BLANK, CLOSING, CLASSES = range(7)
 CLOSING_SIGNS = ".,;:!?"
-MARKS = re.compile(r"[!#$%&*=~^|]{2,}")
+NAMED = np.isin(np.arange(CLASSES), (LOWER, CAPITAL, DIGIT))
+MARKED = np.isin(np.arange(0x100), np.frombuffer(b"!#$%&*=~^|", np.uint8))
 
 
 @functools.lru_cache(maxsize=1)
@@ -82,21 +82,27 @@ def plain_words(text: str) -> list[str]:
     return low.split()
 
 
-def statistics(text: str) -> tuple[np.ndarray, set[str], dict[str, float]]:
+def mark_runs(text: str) -> int:
+    """Runs of at least two marks (all marks are ASCII)."""
+    m = MARKED[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
+    return int(np.count_nonzero(m[1:] & m[:-1] & ~np.append(False, m[:-2])))
+
+
+def statistics(text: str) -> tuple[np.ndarray, Set[str], dict[str, float]]:
     """(character classes, distinct words, ratios that labellers and scorers
     use) of a text."""
     cls, words = classes_of(text), plain_words(text)
     count = np.bincount(cls, minlength=CLASSES).tolist()
-    ends = np.append(np.flatnonzero((cls[1:] == BLANK) & (cls[:-1] != BLANK)), len(cls) - 1)
-    named = np.concatenate([[0], np.cumsum((cls == LOWER) | (cls == CAPITAL) | (cls == DIGIT))])
-    starts = np.flatnonzero((cls != BLANK) & np.append(True, cls[:-1] == BLANK))[:len(ends)]
+    blank = cls == BLANK
+    starts = np.flatnonzero(np.diff(blank, prepend=True) & ~blank) if len(cls) else cls
+    bare = len(starts) - int(np.count_nonzero(np.logical_or.reduceat(NAMED[cls], starts))) if len(starts) else 0
     n, letters, signs = max(1, len(words)), count[LOWER] + count[CAPITAL], count[SIGN] + count[CLOSING]
     held = Counter(words)
-    return cls, set(held), {
+    return cls, held.keys(), {
         "words": len(words), "symbols": signs / max(1, signs + letters), "capitals": count[CAPITAL] / max(1, letters),
         "repeats": sum(map(operator.eq, words, words[1:])) / n,
-        "bare": int((named[ends[:len(starts)] + 1] == named[starts]).sum()) / max(1, len(starts)),
-        "marked": len(MARKS.findall(text)) / n, "function": sum(map(FUNCTION_WORDS.__contains__, words)) / n,
+        "bare": bare / max(1, len(starts)),
+        "marked": mark_runs(text) / n, "function": sum(map(held.__getitem__, FUNCTION_WORDS.intersection(held))) / n,
         "variety": len(held) / n, "top": max(held.values(), default=0) / n,
         "insults": len(INSULTS.intersection(held))}
 
@@ -230,7 +236,7 @@ def junk_values(cls: np.ndarray, ratios: dict[str, float]) -> np.ndarray:
     return np.concatenate([runs / max(1, len(c) - 2), [ratios[r] for r in RATIOS]])
 
 
-def toxic_row(features: Recent, distinct: set[str]) -> np.ndarray:
+def toxic_row(features: Recent, distinct: Set[str]) -> np.ndarray:
     """The buckets that a text's words hold."""
     return np.unique(np.array([x for w in distinct for x in features[w]], np.int64))
 
