@@ -3,121 +3,229 @@
 Ratings are dealt to user blocks and to item blocks once, as rows (entity,
 partners, ratings), and stay there; an entity with very many ratings is cut
 into several rows.  A routing table says which blocks need a partner's factors.
-A half-step ships each factor once to each block that needs it, sums the normal
-equations there (numpy) and adds and solves them by entity; ratings are never
-shuffled again.  The cost comes from the same sums, without another pass."""
+A half-step ships each factor once to each block that needs it, packed by block,
+and solves every entity's normal equations there (numpy); only the sums of
+entities that were cut are moved.  Ratings are never shuffled again.  The cost
+comes from the same sums, without another pass."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.operators.joins import join_skewed
-from keelson.operators.many_sparse import by_row, lists, square
-from keelson.operators.recommend import fcols
+from keelson.operators.many_sparse import by_row, list_of, lists, square, whole
 from keelson.session import cut_lineage, cut_partitioned
 
-# Ratings of one row of a block, and of a block.
+# Ratings of one row of a block, and of a block; what is summed at a time there.
 CHUNK = 20_000
-BLOCK_RATINGS = 500_000
+BLOCK_RATINGS = 4_000_000
+SLICE = 200_000
+# One rating in so many (by a hash) is counted to tell which entities to cut: a
+# choice of layout only, every rating is used.
+COUNTED = 32
 
 
 @dataclass
 class Side:
-    """One direction: ``rows`` (block, id, partner list, rating list), dealt by
-    block, and ``routes`` (partner, blocks)."""
+    """One direction: ``rows`` (block, id, cut, partner list, rating list, blocks of
+    the partners), dealt by block, and ``routes`` (partner, blocks), dealt by
+    partner.  ``cut``: the entity has other rows; ``cuts``: any has."""
     rows: DataFrame
     routes: DataFrame
     blocks: int
     kind: str
+    cuts: bool
+
+
+def blocks_of(ratings: DataFrame, total: int) -> int:
+    return max(ratings.sparkSession.sparkContext.defaultParallelism, -(-total // BLOCK_RATINGS))
+
+
+def parts_of(ratings: DataFrame, key: str, by: str) -> DataFrame:
+    """(key, parts): the few keys with more ratings than ``CHUNK``, about, and the
+    rows to cut them into."""
+    return cut_lineage(ratings.filter(F.pmod(F.xxhash64(key, by), F.lit(COUNTED)) == 0).groupBy(key)
+                       .agg(F.ceil(F.count(F.lit(1)) * COUNTED / CHUNK).alias("parts")).filter("parts > 1"))
+
+
+def placed(ratings: DataFrame, key: str, by: str, blocks: int, name: str) -> tuple[DataFrame, bool]:
+    """``ratings`` with the part, ``name``_part (null: its key isn't cut), and the
+    block, ``name``_block, that ``key`` puts them in; and whether any key is cut."""
+    parts = parts_of(ratings, key, by).select(F.col(key).alias("_key"), "parts")
+    part = F.pmod(F.xxhash64(by), F.col("parts")).cast("int")
+    block = F.pmod(F.xxhash64(key, F.coalesce(F.col(f"{name}_part"), F.lit(0))), F.lit(blocks)).cast("int")
+    met = ratings.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return met.withColumn(f"{name}_part", part).withColumn(f"{name}_block", block).drop("_key", "parts"), not parts.isEmpty()
+
+
+def dealt(ratings: DataFrame, id: Column, other: Column, y: Column, part: Column, block: Column, theirs: Column,
+          blocks: int) -> DataFrame:
+    """The rows of a side, one shuffle of the ratings."""
+    r = ratings.select(block.alias("block"), id.alias("id"), part.alias("part"), other.alias("other"), y.alias("y"), theirs.alias("theirs"))
+    rows = (r.repartition(blocks, "block").groupBy("block", "id", "part").agg(F.collect_list(F.struct("other", "y", "theirs")).alias("e"))
+            .select("block", "id", F.col("part").isNotNull().alias("cut"), F.col("e.other").alias("other"), F.col("e.y").alias("y"),
+                    F.array_distinct("e.theirs").alias("blocks")))
+    return cut_partitioned(rows, blocks, "block")
 
 
 def deal(ratings: DataFrame, entity: str, partner: str, rating: str, total: int) -> Side:
-    blocks = max(ratings.sparkSession.sparkContext.defaultParallelism, -(-total // BLOCK_RATINGS))
+    """One side alone.  ``ratings`` is read three times: written, or cheap to read."""
+    blocks = blocks_of(ratings, total)
     r = ratings.select(F.col(entity).alias("id"), F.col(partner).alias("other"), F.col(rating).cast("double").alias("y"))
-    sizes = r.groupBy("id").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
-    r = join_skewed(r, sizes, ["id"], "inner").withColumn("part", F.pmod(F.xxhash64("other"), F.col("parts")))
-    rows = (r.groupBy("id", "part").agg(F.collect_list(F.struct("other", "y")).alias("e"))
-            .select(F.pmod(F.xxhash64("id", "part"), F.lit(blocks)).cast("int").alias("block"), "id",
-                    F.col("e.other").alias("other"), F.col("e.y").alias("y")))
-    rows = cut_partitioned(rows, blocks, "block")
-    routes = cut_lineage(rows.select("block", F.explode("other").alias("other")).distinct()
-                         .groupBy("other").agg(F.collect_list("block").alias("blocks")))
-    return Side(rows, routes, blocks, ratings.schema[entity].dataType.simpleString())
+    r, cuts = placed(r, "id", "other", blocks, "id")
+    rows = dealt(r, *map(F.col, ("id", "other", "y", "id_part", "id_block")), F.lit(0), blocks)
+    routes = (r.select("other", F.col("id_block").alias("block")).distinct()
+              .groupBy("other").agg(F.collect_list("block").alias("blocks")))
+    return Side(rows, cut_partitioned(routes, blocks, "other"), blocks, ratings.schema[entity].dataType.simpleString(), cuts)
+
+
+def deal_both(ratings: DataFrame, user: str, item: str, rating: str, total: int) -> tuple[Side, Side]:
+    """The users' and the items' side.  A side's routes are the blocks that the
+    other side's rows name, so no rating moves for them.  ``ratings`` is read five
+    times: written, or cheap to read."""
+    blocks = blocks_of(ratings, total)
+    r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(rating).cast("double").alias("y"))
+    r, cut_users = placed(r, "u", "i", blocks, "u")
+    r, cut_items = placed(r, "i", "u", blocks, "i")
+    users = dealt(r, *map(F.col, ("u", "i", "y", "u_part", "u_block", "i_block")), blocks)
+    items = dealt(r, *map(F.col, ("i", "u", "y", "i_part", "i_block", "u_block")), blocks)
+
+    def routes(rows: DataFrame) -> DataFrame:
+        named = rows.select(F.col("id").alias("other"), "blocks").repartition(blocks, "other")
+        return cut_partitioned(named.groupBy("other").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks")), blocks, "other")
+
+    kinds = [ratings.schema[c].dataType.simpleString() for c in (user, item)]
+    return Side(users, routes(items), blocks, kinds[0], cut_users), Side(items, routes(users), blocks, kinds[1], cut_items)
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (other, f, blocks) as one row a block and batch: (block, others, f)."""
+    for b in batches:
+        blocks, n = lists(pa.chunked_array([b.column("blocks")]), np.int32)
+        order = np.argsort(blocks, kind="stable")
+        if not len(order):
+            continue
+        at, blocks = np.repeat(np.arange(b.num_rows), n)[order], blocks[order]
+        starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+        f, width = lists(pa.chunked_array([b.column("f")]), np.float64)
+        k = int(width[0])
+        ends = np.r_[starts, len(at)].astype(np.int32)
+        yield pa.record_batch([pa.array(blocks[starts]), pa.ListArray.from_arrays(pa.array(ends), b.column("other").take(pa.array(at))),
+                               pa.ListArray.from_arrays(pa.array(ends * np.int32(k)), pa.array(f.reshape(-1, k)[at].ravel()))],
+                              names=["block", "others", "f"])
 
 
 def half_step(side: Side, fixed: DataFrame, k: int, lam: float) -> DataFrame:
     """(id, f array, err): the factors that minimise the cost for fixed partner
     factors (id, f), and each entity's sum of squared errors with them.  Ratings
-    whose partner has no factors don't count; entities without any are left
-    out."""
+    whose partner has no factors don't count, those that are null count as 0 in
+    the factors and not in the error; entities without any are left out."""
     upper = np.triu_indices(k)
-    size = len(upper[0]) + k + 2
-
-    def list_of(a: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, a.size + 1, a.shape[1], dtype=np.int32)), pa.array(np.ascontiguousarray(a).ravel()))
+    u = len(upper[0])
+    size = 2 * u + k + 2
+
+    def solve(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Factors and squared errors from sums: v v', y v, y^2, their number, and
+        v v' of the null ratings."""
+        A, N = np.zeros((2, len(sums), k, k))
+        A[:, upper[0], upper[1]] = A[:, upper[1], upper[0]] = sums[:, :u]
+        N[:, upper[0], upper[1]] = N[:, upper[1], upper[0]] = sums[:, -u:]
+        b = sums[:, u:u + k]
+        f = np.linalg.solve(A + lam * np.eye(k), b[:, :, None])[:, :, 0] if len(sums) else np.zeros((0, k))
+        return f, np.maximum(sums[:, u + k] - 2 * (f * b).sum(axis=1) + np.einsum("ni,nij,nj->n", f, A - N, f), 0.0)
+
+    def result(ids, f=None, err=None, s=None) -> pa.Table:
+        none = lambda t: pa.nulls(len(ids), t)
+        return pa.table({"id": ids, "f": none(pa.list_(pa.float64())) if f is None else list_of(f),
+                         "err": none(pa.float64()) if err is None else pa.array(err),
+                         "s": none(pa.list_(pa.float64())) if s is None else list_of(s)})
 
     def normals(rows: pa.Table, sent: pa.Table) -> pa.Table:
-        """Sums of a row's ratings: v v', y v, y^2 and their number."""
+        """A block's entities, solved; of those that are cut the sums."""
         if not rows.num_rows or not sent.num_rows:
-            return pa.table({"id": rows["id"].slice(0, 0), "s": pa.array([], pa.list_(pa.float64()))})
-        other = rows["other"].combine_chunks()
-        other = pa.concat_arrays(other.chunks) if isinstance(other, pa.ChunkedArray) else other
-        at = pc.index_in(other.flatten(), value_set=sent["other"].combine_chunks())
+            return result(rows["id"].slice(0, 0))
+        at = pc.index_in(whole(rows["other"]).flatten(), value_set=whole(sent["others"]).flatten())
         known = np.asarray(at.is_valid())
-        V = square(sent["f"], k)[np.where(known, at.fill_null(0).to_numpy(), 0)]
+        at = at.fill_null(0).to_numpy()
+        factors = lists(sent["f"], np.float64)[0].reshape(-1, k)
         y, n = lists(rows["y"], np.float64)
-        V, y = V * known[:, None], y * known
-        s = np.hstack([V[:, upper[0]] * V[:, upper[1]], V * y[:, None], (y * y)[:, None], known[:, None].astype(float)])
-        return pa.table({"id": rows["id"], "s": list_of(by_row(s, n))})
+        null = np.asarray(whole(rows["y"]).flatten().is_null())
+        ends = np.concatenate([[0], np.cumsum(n)])
+        sums = np.zeros((len(n), size))
+        first = 0
+        while first < len(n):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, "right")) - 1)
+            r = slice(ends[first], ends[last])
+            V = np.where(known[r, None], factors[at[r]], 0.0)
+            on = known[r] & ~null[r]
+            w, m = np.where(on, y[r], 0.0), n[first:last]
+            out = sums[first:last]
+            vv = V[:, upper[0]] * V[:, upper[1]]
+            out[:, :u] = by_row(vv, m)
+            out[:, u:u + k] = by_row(V * w[:, None], m)
+            out[:, u + k] = by_row(w * w, m)
+            out[:, u + k + 1] = by_row(known[r].astype(float), m)
+            if null[r].any():
+                out[:, -u:] = by_row(vv * null[r, None], m)
+            first = last
+        cut = np.asarray(whole(rows["cut"]))
+        ids = whole(rows["id"])
+        whole_on, cut_on = np.flatnonzero(~cut & (sums[:, u + k + 1] > 0)), np.flatnonzero(cut)
+        return pa.concat_tables([result(ids.take(pa.array(whole_on)), *solve(sums[whole_on])),
+                                 result(ids.take(pa.array(cut_on)), s=sums[cut_on])])
 
     def solved(key, part):
         """Sums by entity, solved."""
-        codes = part["id"].combine_chunks().dictionary_encode()
-        codes = pa.concat_arrays([c for c in codes.chunks]) if isinstance(codes, pa.ChunkedArray) else codes
+        codes = whole(part["id"]).dictionary_encode(null_encoding="encode")
         which = codes.indices.to_numpy()
         sums = np.zeros((len(codes.dictionary), size))
         np.add.at(sums, which, square(part["s"], size))
-        on = np.flatnonzero(sums[:, -1] > 0)
-        sums, ids = sums[on], codes.dictionary.take(pa.array(on))
-        A = np.zeros((len(on), k, k))
-        A[:, upper[0], upper[1]] = A[:, upper[1], upper[0]] = sums[:, :len(upper[0])]
-        b = sums[:, len(upper[0]):-2]
-        f = np.linalg.solve(A + lam * np.eye(k), b[:, :, None])[:, :, 0] if len(on) else np.zeros((0, k))
-        err = sums[:, -2] - 2 * (f * b).sum(axis=1) + np.einsum("ni,nij,nj->n", f, A, f)
-        return pa.table({"id": ids, "f": list_of(f), "err": pa.array(np.maximum(err, 0.0))})
-
-    sent = (fixed.select(F.col("id").alias("other"), "f").join(side.routes, "other")
-            .select(F.explode("blocks").alias("block"), "other", "f"))
-    sums = (side.rows.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(normals, f"id {side.kind}, s array<double>")
-            .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(side.blocks)).cast("int")))
-    return cut_lineage(sums.groupBy("bucket").applyInArrow(solved, f"id {side.kind}, f array<double>, err double"))
-
-
-def train(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int = 5, user: str = "user", item: str = "item",
-          rating: str = "rating") -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
-    """(X, T, [(sweep, cost)]) of the sweeps of ``recommend.train_als`` from user
-    factors ``T0`` (user, t0, t1, ..): X (item, x0, ..) and T (user, t0, ..).
-    Rows with a null user, item or rating don't count."""
-    ts, xs = fcols("t", k), fcols("x", k)
-    whole = cut_lineage(ratings.select(user, item, rating).filter(
-        F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull() & ~F.isnan(F.col(rating).cast("double"))))
-    total = whole.count()
-    users, items = deal(whole, user, item, rating, total), deal(whole, item, user, rating, total)
-    T = T0.select(F.col(user).alias("id"), F.array(*[F.col(t).cast("double") for t in ts]).alias("f"))
+        on = np.flatnonzero(sums[:, u + k + 1] > 0)
+        return result(codes.dictionary.take(pa.array(on)), *solve(sums[on])).select(["id", "f", "err"])
+
+    out = f"id {side.kind}, f array<double>, err double"
+    sent = (fixed.select(F.col("id").alias("other"), "f").join(side.routes, "other").select("other", "f", "blocks")
+            .mapInArrow(packed, f"block int, others array<{dict(fixed.dtypes)['id']}>, f array<double>"))
+    done = cut_lineage(side.rows.select("block", "id", "cut", "other", "y").groupBy("block").cogroup(sent.groupBy("block"))
+                       .applyInArrow(normals, f"{out}, s array<double>"))
+    if not side.cuts:
+        return done.select("id", "f", "err")
+    rest = done.filter(F.col("s").isNotNull()).withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(side.blocks)).cast("int"))
+    return cut_lineage(done.filter(F.col("f").isNotNull()).select("id", "f", "err")
+                       .unionByName(rest.select("bucket", "id", "s").groupBy("bucket").applyInArrow(solved, out)))
+
+
+def sweeps(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int, user: str, item: str,
+           rating: str) -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
+    """(X, T, [(sweep, cost)]) from user factors ``T0`` (user, t0, t1, ..): X (item,
+    x0, ..) and T (user, t0, ..).  A null user or item has factors that no one
+    else's depend on, whose errors don't count.  ``ratings`` is read several
+    times: written, or cheap to read."""
+    if iters < 1:
+        raise ValueError("at least one sweep")
+    users, items = deal_both(ratings, user, item, rating, ratings.count())
+    T = T0.select(F.col(user).alias("id"), F.array(*[F.col(f"t{f}").cast("double") for f in range(k)]).alias("f"))
     X, hist = None, []
     norm = F.coalesce(F.sum(F.aggregate("f", F.lit(0.0), lambda a, v: a + v * v)), F.lit(0.0))
+    err = F.coalesce(F.sum(F.when(F.col("id").isNotNull(), F.col("err"))), F.lit(0.0))
     for sweep in range(1, iters + 1):
         X = half_step(items, T, k, lam)
         T = half_step(users, X, k, lam)
-        t = T.agg(norm.alias("n"), F.coalesce(F.sum("err"), F.lit(0.0)).alias("e")).first()
+        t = T.agg(norm.alias("n"), err.alias("e")).first()
         hist.append((sweep, float(0.5 * t["e"] + 0.5 * lam * (t["n"] + X.agg(norm.alias("n")).first()["n"]))))
-    wide = lambda df, name, cols: df.select(F.col("id").alias(name), *[F.col("f")[i].alias(c) for i, c in enumerate(cols)])
-    if X is None:
-        raise ValueError("at least one sweep")
-    return wide(X, item, xs), wide(T, user, ts), hist
+    wide = lambda df, name, c: df.select(F.col("id").alias(name), *[F.col("f")[i].alias(f"{c}{i}") for i in range(k)])
+    return wide(X, item, "x"), wide(T, user, "t"), hist
+
+
+def train(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int = 5, user: str = "user", item: str = "item",
+          rating: str = "rating") -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
+    """:func:`sweeps`; rows with a null user, item or rating don't count."""
+    return sweeps(ratings.select(user, item, rating).filter(
+        F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull() & ~F.isnan(F.col(rating).cast("double"))),
+        T0, k, lam, iters, user, item, rating)

@@ -35,11 +35,11 @@ def _ts(c):
 
 def ratings(spark, sf):
     """The ratings table, written once for all that a query does with it."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.ceil(F.col("l_quantity") / 10.0).alias("tens"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
             .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
-            .agg(F.avg(F.ceil(F.col("l_quantity") / 10.0)).alias("rating"))
+            .agg(F.avg("tens").alias("rating"))
             .transform(cut_lineage))
 
 
@@ -126,8 +126,8 @@ def cofi_gradient(spark, sf):
 def cofi_train(spark, sf):
     """Alternating least squares on the mean-normalised ratings (3
     factors, lam 1.5, 3 sweeps); returns the cost after every sweep."""
-    rt = RC.normalise(ratings(spark, sf), item="item_id", user="user_id") \
-        .select("user_id", "item_id", F.col("norm").alias("rating"))
+    rt = cut_lineage(RC.normalise(ratings(spark, sf), item="item_id", user="user_id")
+                     .select("user_id", "item_id", F.col("norm").alias("rating")))
     X, T = init_factors(rt)
     _, _, hist = RC.train_als(rt, X, T, K, LAM, iters=3, user="user_id", item="item_id")
     return spark.createDataFrame(hist, "iter int, J double")
@@ -137,8 +137,8 @@ def cofi_train(spark, sf):
 def cofi_blocked(spark, sf):
     """R5 over blocks with routing tables: the sweeps of ``cofi_train`` without
     moving a rating; returns the cost after every sweep."""
-    rt = RC.normalise(ratings(spark, sf), item="item_id", user="user_id") \
-        .select("user_id", "item_id", F.col("norm").alias("rating"))
+    rt = cut_lineage(RC.normalise(ratings(spark, sf), item="item_id", user="user_id")
+                     .select("user_id", "item_id", F.col("norm").alias("rating")))
     _, _, hist = BA.train(rt, init_factors(rt)[1], K, LAM, iters=3, user="user_id", item="item_id")
     return spark.createDataFrame(hist, "iter int, J double")
 
