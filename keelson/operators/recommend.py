@@ -6,18 +6,15 @@ The rating mask is row presence, so nothing is ever materialised for the
 rows repeated for each of SALTS salts, so a user or item with a third of all
 ratings is dealt to SALTS tasks; the following sums by id are combined per
 task before their shuffle.  Training is alternating least squares with the
-exact, UNWEIGHTED penalty of the cost: each half-step aggregates the
-per-entity normal equations (F(F+1)/2 + F sums) and solves all F x F systems
-in Arrow batches."""
+exact, UNWEIGHTED penalty of the cost, over blocks (see blocked_als)."""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.operators.blocked_als import parts_of, sweeps
 from keelson.operators.indexing import top_k as _top_k
-from keelson.session import cut_lineage
 
 
 # Tasks that a hot user's or item's ratings are dealt to.
@@ -44,11 +41,18 @@ def item_mean(ratings: DataFrame, item: str = "item", rating: str = "rating") ->
 
 def normalise(ratings: DataFrame, item: str = "item", rating: str = "rating",
               user: str = "user") -> DataFrame:
-    """R2: rating - item mean (grouped mean joined back; unrated cells do
-    not exist in the long table, so they stay untouched)."""
-    means = ratings.groupBy(item).agg(F.avg(rating).alias("_mean"))
-    return salted_join(ratings, means, item, user).withColumn("norm", F.col(rating) - F.col("_mean")) \
-                  .drop("_mean")
+    """R2: rating - item mean (unrated cells do not exist in the long table, so
+    they stay untouched).  An item's ratings meet in one shuffle; the few items
+    with very many get their mean by broadcast and are dealt by a hash of
+    ``user``.  ``ratings`` is read three times: written, or cheap to read."""
+    rows = ratings.filter(F.col(item).isNotNull())
+    cut = rows.join(F.broadcast(parts_of(rows, item, user)), item).groupBy(item).agg(
+        F.avg(rating).alias("_mean"), F.first("parts").alias("_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(user), F.col("_parts")), F.lit(-1)).cast("int")
+    mean = F.avg(rating).over(Window.partitionBy(item, "_part"))
+    return (rows.join(F.broadcast(cut), item, "left").withColumn("_part", part)
+            .withColumn("norm", F.col(rating) - F.when(F.col("_part") < 0, mean).otherwise(F.col("_mean")))
+            .drop("_mean", "_parts", "_part"))
 
 
 def append_ratings(ratings: DataFrame, new: DataFrame) -> DataFrame:
@@ -96,56 +100,17 @@ def gradient(ratings: DataFrame, X: DataFrame, T: DataFrame, k: int, lam: float,
     return gx.unionByName(gt).select("kind", "id", F.posexplode("_g").alias("f", "grad"))
 
 
-def _solve_side(ratings: DataFrame, fixed: DataFrame, key: str, other: str, fixed_cols: list[str],
-                out_cols: list[str], lam: float, rating: str) -> DataFrame:
-    """For every entity of ``key``: solve (sum v v' + lam I) w = sum y v,
-    with v the fixed factors of the rated partners."""
-    k = len(fixed_cols)
-    j = salted_join(ratings, fixed, other, key)
-    aggs = []
-    for a in range(k):
-        for b in range(a, k):
-            aggs.append(F.sum(F.col(fixed_cols[a]) * F.col(fixed_cols[b])).alias(f"a{a}_{b}"))
-    aggs += [F.sum(F.col(rating) * F.col(fixed_cols[a])).alias(f"b{a}") for a in range(k)]
-    normal = j.groupBy(key).agg(*aggs)
-
-    def solve(batches):
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            A = np.zeros((n, k, k))
-            for a in range(k):
-                for b in range(a, k):
-                    A[:, a, b] = A[:, b, a] = pdf[f"a{a}_{b}"].to_numpy()
-            A += lam * np.eye(k)[None, :, :]
-            bvec = np.stack([pdf[f"b{a}"].to_numpy() for a in range(k)], axis=1)
-            w = np.linalg.solve(A, bvec[:, :, None])[:, :, 0]
-            out = pdf[[key]].copy()
-            for a in range(k):
-                out[out_cols[a]] = w[:, a]
-            yield out
-
-    key_type = ratings.schema[key].dataType.simpleString()
-    schema = f"{key} {key_type}, " + ", ".join(f"{c} double" for c in out_cols)
-    return normal.mapInPandas(solve, schema)
-
-
 def train_als(ratings: DataFrame, X0: DataFrame, T0: DataFrame, k: int, lam: float,
               iters: int = 5, user: str = "user", item: str = "item", rating: str = "rating"):
-    """Alternating least squares on the exact cost R3; both factor
-    tables are checkpointed (lineage cut) after every half-step.
-    Entities without ratings keep the minimiser of their penalty (0)."""
-    xs, ts = fcols("x", k), fcols("t", k)
-    ratings = cut_lineage(ratings)
-    X, T = cut_lineage(X0), cut_lineage(T0)
-    hist = []
-    for it in range(1, iters + 1):
-        X = cut_lineage(_solve_side(ratings, T, item, user, ts, xs, lam, rating))
-        T = cut_lineage(_solve_side(ratings, X, user, item, xs, ts, lam, rating))
-        J = cost(ratings, X, T, k, lam, user, item, rating).first()["J"]
-        hist.append((it, float(J)))
-    return X, T, hist
+    """Alternating least squares on the exact cost R3, over blocks that the
+    ratings are dealt to once (:mod:`keelson.operators.blocked_als`); returns
+    (X, T, [(sweep, cost)]).  Entities without ratings keep the minimiser of
+    their penalty (0) and are left out.  A rating that is null counts as 0 in
+    the factors and not in the cost.  ``ratings`` is read several times:
+    written, or cheap to read."""
+    if iters < 1:
+        return X0, T0, []
+    return sweeps(ratings, T0, k, lam, iters, user, item, rating)
 
 
 def recommend_for_user(X: DataFrame, theta: list[float], means: DataFrame, k_top: int,

@@ -55,3 +55,87 @@ def test_no_ratings(spark):
     T0 = spark.createDataFrame([(1, 0.5)], "user long, t0 double")
     X, T, hist = BA.train(rt, T0, 1, 1.0, iters=1)
     assert X.count() == T.count() == 0 and hist == [(1, 0.0)]
+
+
+def plain_sweeps(rows, T, k, lam, iters):
+    """Joined sweeps: a null id matches nothing, a null rating is 0 in the factors and not in the cost."""
+    def side(at, other, fixed):
+        out = {}
+        for e in {r[at] for r in rows}:
+            mine = [(fixed[r[other]], r[2]) for r in rows if r[at] == e and r[other] is not None and r[other] in fixed]
+            if mine:
+                V, y = np.array([v for v, _ in mine]), np.array([y or 0.0 for _, y in mine])
+                out[e] = np.linalg.solve(V.T @ V + lam * np.eye(k), V.T @ y)
+        return out
+    hist = []
+    for _ in range(iters):
+        X = side(1, 0, T)
+        T = side(0, 1, X)
+        err = [X[i] @ T[u] - y for u, i, y in rows if None not in (u, i, y) and u in T and i in X]
+        hist.append(0.5 * np.sum(np.square(err)) + 0.5 * lam * sum(v @ v for d in (X, T) for v in d.values()))
+    return X, T, hist
+
+
+@pytest.mark.parametrize("chunk", [20_000, 4])
+def test_joined_sweeps_repeat_no_factors_and_keep_null_rows(spark, monkeypatch, chunk):
+    monkeypatch.setattr(BA, "CHUNK", chunk)
+    monkeypatch.setattr(BA, "COUNTED", 2)
+    monkeypatch.setattr(BA, "SLICE", 7)
+
+    def no_join(*_):
+        raise AssertionError("factor rows repeated for every salt")
+    monkeypatch.setattr(RC, "salted_join", no_join)
+    k, lam = 2, 0.7
+    odd = [(None, "i1", 3.0), (3, None, 1.0), (4, "i2", None), (0, "i3", None), (6, "i1", 2.0), (6, "i1", 2.0)]
+    rt = table(spark).unionByName(spark.createDataFrame(odd, "user long, item string, rating double"))
+    rows = [tuple(r) for r in rt.collect()]
+    T0 = {u: np.cos(u * k + np.arange(k)) for u in {r[0] for r in rows} if u is not None}
+    X, T, hist = RC.train_als(rt, None, start(rt.filter("user is not null"), k)[1], k, lam, iters=2)
+    X1, T1, hist1 = plain_sweeps(rows, T0, k, lam, 2)
+    assert [J for _, J in hist] == pytest.approx(hist1, rel=1e-9)
+    for got, want in ((X, X1), (T, T1)):
+        got = {r[0]: list(r[1:]) for r in got.collect()}
+        assert got.keys() == want.keys() and None in got
+        for i in want:
+            assert got[i] == pytest.approx(list(want[i]), rel=1e-7, abs=1e-9)
+
+
+def test_factors_are_packed_by_block():
+    import pyarrow as pa
+    rows = pa.RecordBatch.from_pydict({"other": ["a", "b", "c"], "f": [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]], "blocks": [[2, 0], [2], [0, 2]]},
+                                      pa.schema({"other": pa.string(), "f": pa.list_(pa.float64()), "blocks": pa.list_(pa.int32())}))
+    got = [r for b in BA.packed([rows.slice(0, 0), rows, rows.slice(1, 1)]) for r in b.to_pylist()]
+    assert got == [{"block": 0, "others": ["a", "c"], "f": [1.0, 2.0, 5.0, 6.0]},
+                   {"block": 2, "others": ["a", "b", "c"], "f": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]},
+                   {"block": 2, "others": ["b"], "f": [3.0, 4.0]}]
+
+
+def test_both_sides_come_from_one_table_and_only_cut_sums_move(spark, monkeypatch):
+    rt = table(spark)
+    users, items = BA.deal_both(rt, "user", "item", "rating", rt.count())
+    one = BA.deal(rt, "user", "item", "rating", rt.count())
+    routes = lambda s: {r["other"]: sorted(r["blocks"]) for r in s.routes.collect()}
+    assert routes(users) == routes(one) and not users.cuts
+    T = start(rt, 2)[1].select(F.col("user").alias("id"), F.array("t0", "t1").alias("f"))
+    plan = BA.half_step(items, T, 2, 1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    monkeypatch.setattr(BA, "CHUNK", 2)
+    monkeypatch.setattr(BA, "COUNTED", 1)
+    assert BA.deal_both(rt, "user", "item", "rating", rt.count())[0].cuts
+
+
+@pytest.mark.parametrize("chunk", [20_000, 4])
+def test_normalise_deals_hot_items_without_repeating_means(spark, monkeypatch, chunk):
+    monkeypatch.setattr(BA, "CHUNK", chunk)
+    monkeypatch.setattr(BA, "COUNTED", 1)
+    monkeypatch.setattr(RC, "salted_join", None)
+    odd = [(3, None, 1.0), (None, "i1", 4.0), (4, "i2", None), (5, "none", None)]
+    rt = table(spark).unionByName(spark.createDataFrame(odd, "user long, item string, rating double"))
+    rows = [tuple(r) for r in rt.collect() if r[1] is not None]
+    mean = {i: np.mean([y for _, j, y in rows if j == i and y is not None] or [np.nan]) for i in {r[1] for r in rows}}
+    got = RC.normalise(rt)
+    assert got.columns == ["item", "user", "rating", "norm"]
+    want = {(u, i): None if y is None else y - mean[i] for u, i, y in rows}
+    have = {(r["user"], r["item"]): r["norm"] for r in got.collect()}
+    assert have.keys() == want.keys() and got.count() == len(rows)
+    assert all(have[p] is None if want[p] is None else have[p] == pytest.approx(want[p], abs=1e-12) for p in want)
