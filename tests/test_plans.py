@@ -67,3 +67,14 @@ def test_gram_is_one_partial_aggregate(spark):
     plan = _plan(G.gram_frame(li_design(spark, SF0001), ["x1", "x2", "x3"], "y"))
     assert plan.count("HashAggregate") == 2  # partial + final, one tiny exchange
     assert "l_returnflag" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_trained_factors_and_means_are_not_repeated_for_salts(spark, monkeypatch):
+    from keelson.operators import recommend as RC
+    from keelson.plans import q_recsvm as Q
+    monkeypatch.setattr(RC, "salted_join", None)
+    top = Q.recommend_trained(spark, SF0001).collect()
+    assert sorted(r["rank"] for r in top) == list(range(1, 11))
+    joined, blocked = ([r["J"] for r in f(spark, SF0001).orderBy("iter").collect()] for f in (Q.cofi_train, Q.cofi_blocked))
+    assert len(joined) == 3 and joined == sorted(joined, reverse=True)
+    assert joined == pytest.approx(blocked, rel=1e-9)
