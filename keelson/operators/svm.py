@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,30 +42,56 @@ def nystrom_map(landmarks: np.ndarray, sigma: float, tol: float = 1e-10) -> np.n
     return U[:, on] / np.sqrt(S[on])
 
 
+# Rows that a task computes on at a time.
+SLICE = 2000
+
+
+def kernel_values(vectors: pa.Array, landmarks: np.ndarray, sigmas: Sequence[float],
+                  maps: Sequence[np.ndarray | None]) -> pa.Array:
+    """For every vector the similarities of each sigma in turn (times its matrix),
+    as one list; null for a null vector."""
+    ok = np.asarray(vectors.is_valid())
+    some = vectors.drop_null()
+    widths = [len(landmarks) if M is None else M.shape[1] for M in maps]
+    out = np.empty((len(some), sum(widths)))
+    if len(some):
+        X = some.flatten().to_numpy(zero_copy_only=False)
+        dims = landmarks.shape[1] if len(landmarks) else len(X) // len(some)
+        if (np.diff(np.asarray(some.offsets)) != dims).any():
+            raise ValueError(f"a vector hasn't {dims} components")
+        X = X.reshape(-1, dims)
+        for a in range(0, len(X), SLICE):
+            x = X[a:a + SLICE]
+            d2 = np.empty((len(x), len(landmarks)))
+            for j, c in enumerate(landmarks):
+                d = x - c
+                d2[:, j] = np.einsum("ij,ij->i", d, d)
+            at = 0
+            for s, M, w in zip(sigmas, maps, widths):
+                S = np.exp(-d2 / (2.0 * s * s))
+                out[a:a + len(x), at:at + w] = S if M is None else S @ M
+                at += w
+    ends = np.concatenate([[0], np.cumsum(ok * out.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()), mask=pa.array(~ok))
+
+
+def _features(df: DataFrame, features: str, landmarks: np.ndarray, sigmas: Sequence[float],
+              maps: Sequence[np.ndarray | None], out: str) -> DataFrame:
+    L = np.asarray(landmarks, dtype=float)
+
+    @F.arrow_udf("array<double>")
+    def run(vectors: pa.Array) -> pa.Array:
+        return kernel_values(vectors, L, sigmas, maps)
+
+    return df.withColumn(out, run(F.when(complete_vector(features), F.col(features).cast("array<double>"))))
+
+
 def similarity_features(df: DataFrame, features: str, landmarks: np.ndarray, sigma: float,
                         out: str = "sims", mixed: np.ndarray | None = None) -> DataFrame:
     """V4 as an array column ``out`` (one entry per landmark, any number of
     landmarks, numpy over Arrow batches), or times the matrix ``mixed`` (see
     :func:`nystrom_map`); null for a row without a complete vector."""
-    L = np.asarray(landmarks, dtype=float)
-    two_s2 = 2.0 * sigma * sigma
-
-    @F.pandas_udf("array<double>")
-    def run(vectors: pd.Series) -> pd.Series:
-        sims = np.full(len(vectors), None, dtype=object)
-        ok = vectors.notna().to_numpy()
-        if ok.any():
-            X = np.stack(vectors[ok].to_numpy()).astype(float)
-            S = np.empty((X.shape[0], L.shape[0]))
-            for j in range(L.shape[0]):
-                d = X - L[j]
-                S[:, j] = np.exp(-np.einsum("ij,ij->i", d, d) / two_s2)
-            S = S if mixed is None else S @ mixed
-            for i, row in zip(np.flatnonzero(ok), S.tolist()):
-                sims[i] = row
-        return pd.Series(sims)
-
-    return df.withColumn(out, run(F.when(complete_vector(features), F.col(features).cast("array<double>"))))
+    return _features(df, features, landmarks, [sigma], [mixed], out)
 
 
 def row_landmarks(df: DataFrame, features: str, key: str, n: int = 64, seed: int = 17) -> np.ndarray:
@@ -143,11 +169,8 @@ def _hinge_sums(rows: DataFrame, trials: Sequence[tuple[Machine, np.ndarray]], c
     ends = np.cumsum([0] + [1 + m.width + 1 + len(u[0]) for (m, _), u in zip(trials, uppers)])
 
     def run(batches):
-        import pyarrow as pa
         acc, seen = np.zeros(ends[-1]), False
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             seen = True
             every = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
             y = b.column("_y").to_numpy(zero_copy_only=False)
@@ -216,11 +239,18 @@ def hinge_newton(rows: DataFrame, machines: Sequence[Machine], corners: Sequence
 def _kernel_rows(df: DataFrame, features: str, label: str, landmarks: np.ndarray, sigmas: Sequence[float],
                  maps: Sequence[np.ndarray]) -> DataFrame:
     """(_x, _y) of the usable rows: the kernel features of every sigma in turn."""
-    out = df.filter(F.col(label).isNotNull()).select(features, label)
-    for i, (s, M) in enumerate(zip(sigmas, maps)):
-        out = similarity_features(out, features, landmarks, s, out=f"_k{i}", mixed=M)
-    return out.filter(F.col("_k0").isNotNull()).select(
-        F.concat(*[F.col(f"_k{i}") for i in range(len(maps))]).alias("_x"), F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
+    # a filter of the features themselves would compute them twice
+    usable = df.filter(F.col(label).isNotNull() & complete_vector(features)).select(features, label)
+    return _features(usable, features, landmarks, sigmas, maps, "_x").select(
+        "_x", F.when(F.col(label) > 0, 1.0).otherwise(-1.0).alias("_y"))
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """``rows``, cached before their first pass, so that a task needs one Python
+    worker at a time."""
+    rows = rows.persist()
+    rows.count()
+    return rows
 
 
 def fit_rbf(df: DataFrame, features: str, label: str, landmarks: np.ndarray, sigma: float,
@@ -230,7 +260,7 @@ def fit_rbf(df: DataFrame, features: str, label: str, landmarks: np.ndarray, sig
     Returns (a, b) of f(x) = sum_l a_l K(x, s_l) + b (see :func:`rbf_score`).
     Features are computed once and cached for the Newton passes."""
     M = nystrom_map(landmarks, sigma)
-    rows = _kernel_rows(df, features, label, landmarks, [sigma], [M]).persist()
+    rows = _held(_kernel_rows(df, features, label, landmarks, [sigma], [M]))
     try:
         (w, b), = hinge_newton(rows, [Machine(float(C), 0, M.shape[1])], max_iter=max_iter)
     finally:
@@ -263,7 +293,7 @@ def grid_search(train: DataFrame, val: DataFrame, features: str, label: str,
     starts = np.cumsum([0] + [M.shape[1] for M in maps])
     machines = [Machine(float(C), int(a), M.shape[1]) for a, M in zip(starts, maps) for C in Cs]
     tr, va = (_kernel_rows(d, features, label, landmarks, sigmas, maps) for d in (train, val))
-    tr = tr.persist()
+    tr = _held(tr)
     try:
         fits = hinge_newton(tr, machines, CORNERS[:3], 10, 1e-4)
     finally:

@@ -286,3 +286,25 @@ def test_svm_learns_separable_and_circle_data(spark):
     w2, b2 = SV.fit_rbf(df, "x", "yc", L, sigma=0.5, C=10.0)
     S = np.exp(-((X[:, None, :] - L[None]) ** 2).sum(-1) / (2 * 0.25))
     assert ((S @ w2 + b2 >= 0).astype(int) == y_circ).mean() > 0.9
+
+
+def test_kernel_rows_are_computed_once_for_all_sigmas(spark, monkeypatch):
+    import pyarrow as pa
+    from keelson.operators import svm as SV
+    monkeypatch.setattr(SV, "SLICE", 3)
+    rng = np.random.default_rng(4)
+    X, L, sigmas = rng.normal(size=(8, 2)), rng.normal(size=(3, 2)), [0.5, 2.0]
+    maps = [None, rng.normal(size=(3, 2))]
+    got = SV.kernel_values(pa.array([None, *X.tolist(), None], pa.list_(pa.float64())), L, sigmas, maps).to_pylist()
+    K = [np.exp(-((X[:, None] - L[None]) ** 2).sum(axis=2) / (2 * s * s)) for s in sigmas]
+    assert got[0] is None and got[-1] is None
+    assert np.allclose(got[1:-1], np.hstack([K[0], K[1] @ maps[1]]), atol=1e-12)
+    with pytest.raises(ValueError):
+        SV.kernel_values(pa.array([[1.0, 2.0], [1.0, 2.0, 3.0], [1.0]]), L, sigmas, maps)
+    rows = [(v.tolist(), int(v[0] > 0)) for v in X] + [(None, 1), ([1.0, float("nan")], 0), ([1.0, None], 1), ([1.0, 2.0], None)]
+    df = spark.createDataFrame(rows, "x array<double>, y int")
+    kernel = SV._kernel_rows(df, "x", "y", L, sigmas, [np.eye(3), maps[1]])
+    assert kernel._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    have = {tuple(np.round(r["_x"], 9)): r["_y"] for r in kernel.collect()}
+    want = {tuple(np.round(np.r_[K[0][i], K[1][i] @ maps[1]], 9)): 1.0 if X[i, 0] > 0 else -1.0 for i in range(8)}
+    assert have == want
