@@ -16,19 +16,23 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.operators.many_sparse import by_row, list_of, lists, square, whole
 from keelson.session import cut_lineage, cut_partitioned
 
-# Ratings of one row of a block, and of a block; what is summed at a time there.
+# Ratings of one row of a block, and of a block; what is summed and the partners
+# that are looked up at a time there.
 CHUNK = 20_000
-BLOCK_RATINGS = 4_000_000
+BLOCK_RATINGS = 6_000_000
 SLICE = 200_000
+IDS = 1_000_000
 # One rating in so many (by a hash) is counted to tell which entities to cut: a
 # choice of layout only, every rating is used.
 COUNTED = 32
+# The columns of ratings that are dealt by item before training: part and block.
+ITEM_PLACE = ("item_part", "item_block")
 
 
 @dataclass
@@ -54,12 +58,25 @@ def parts_of(ratings: DataFrame, key: str, by: str) -> DataFrame:
                        .agg(F.ceil(F.count(F.lit(1)) * COUNTED / CHUNK).alias("parts")).filter("parts > 1"))
 
 
-def placed(ratings: DataFrame, key: str, by: str, blocks: int, name: str) -> tuple[DataFrame, bool]:
+def numbers(spark: SparkSession, blocks: int) -> list[int]:
+    """So many block numbers, each dealt to a partition of its own."""
+    at, tried = {}, 0
+    while len(at) < blocks:
+        ids = spark.range(tried, tried := 2 * tried + 16 * blocks, numPartitions=1).select(F.col("id").cast("int").alias("n"))
+        for r in ids.groupBy(F.pmod(F.hash("n"), F.lit(blocks)).alias("at")).agg(F.min("n").alias("n")).collect():
+            at.setdefault(r["at"], r["n"])
+    return [at[i] for i in range(blocks)]
+
+
+def placed(ratings: DataFrame, key: str, by: str, blocks: int, name: str,
+           parts: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """``ratings`` with the part, ``name``_part (null: its key isn't cut), and the
-    block, ``name``_block, that ``key`` puts them in; and whether any key is cut."""
-    parts = parts_of(ratings, key, by).select(F.col(key).alias("_key"), "parts")
+    block, ``name``_block, that ``key`` puts them in; and whether any key is cut.
+    ``parts``: (key, parts) if known."""
+    parts = (parts_of(ratings, key, by) if parts is None else parts).select(F.col(key).alias("_key"), "parts")
     part = F.pmod(F.xxhash64(by), F.col("parts")).cast("int")
     block = F.pmod(F.xxhash64(key, F.coalesce(F.col(f"{name}_part"), F.lit(0))), F.lit(blocks)).cast("int")
+    block = F.element_at(F.array(*map(F.lit, numbers(ratings.sparkSession, blocks))), block + 1)
     met = ratings.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("_key")), "left")
     return met.withColumn(f"{name}_part", part).withColumn(f"{name}_block", block).drop("_key", "parts"), not parts.isEmpty()
 
@@ -85,14 +102,20 @@ def deal(ratings: DataFrame, entity: str, partner: str, rating: str, total: int)
     return Side(rows, cut_partitioned(routes, blocks, "other"), blocks, ratings.schema[entity].dataType.simpleString(), cuts)
 
 
-def deal_both(ratings: DataFrame, user: str, item: str, rating: str, total: int) -> tuple[Side, Side]:
+def deal_both(ratings: DataFrame, user: str, item: str, rating: str, total: int,
+              blocks: int | None = None) -> tuple[Side, Side]:
     """The users' and the items' side.  A side's routes are the blocks that the
-    other side's rows name, so no rating moves for them.  ``ratings`` is read five
-    times: written, or cheap to read."""
-    blocks = blocks_of(ratings, total)
-    r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(rating).cast("double").alias("y"))
+    other side's rows name, so no rating moves for them.  ``blocks``: the ratings
+    are dealt to so many by item (``ITEM_PLACE``) and stay there for the items'
+    side.  ``ratings`` is read five times: written, or cheap to read."""
+    dealt_by_item, blocks = blocks is not None, blocks or blocks_of(ratings, total)
+    place = [F.col(c).alias(n) for c, n in zip(ITEM_PLACE, ("i_part", "i_block"))] if dealt_by_item else []
+    r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(rating).cast("double").alias("y"), *place)
     r, cut_users = placed(r, "u", "i", blocks, "u")
-    r, cut_items = placed(r, "i", "u", blocks, "i")
+    if dealt_by_item:
+        cut_items = not r.filter(F.col("i_part").isNotNull()).isEmpty()
+    else:
+        r, cut_items = placed(r, "i", "u", blocks, "i")
     users = dealt(r, *map(F.col, ("u", "i", "y", "u_part", "u_block", "i_block")), blocks)
     items = dealt(r, *map(F.col, ("i", "u", "y", "i_part", "i_block", "u_block")), blocks)
 
@@ -150,30 +173,38 @@ def half_step(side: Side, fixed: DataFrame, k: int, lam: float) -> DataFrame:
         """A block's entities, solved; of those that are cut the sums."""
         if not rows.num_rows or not sent.num_rows:
             return result(rows["id"].slice(0, 0))
-        at = pc.index_in(whole(rows["other"]).flatten(), value_set=whole(sent["others"]).flatten())
-        known = np.asarray(at.is_valid())
-        at = at.fill_null(0).to_numpy()
+        # a block is read batch by batch: neither its ratings nor the ids are held twice
+        ids, others = pc.list_flatten(sent["others"]), pc.list_flatten(rows["other"])
+        at = np.full(len(others), -1, dtype=np.int32)
+        for start in range(0, len(ids), IDS):
+            found = pc.index_in(others, value_set=ids.slice(start, IDS)).fill_null(-1).to_numpy()
+            np.copyto(at, found + np.int32(start), where=found >= 0)
         factors = lists(sent["f"], np.float64)[0].reshape(-1, k)
-        y, n = lists(rows["y"], np.float64)
-        null = np.asarray(whole(rows["y"]).flatten().is_null())
-        ends = np.concatenate([[0], np.cumsum(n)])
-        sums = np.zeros((len(n), size))
-        first = 0
-        while first < len(n):
-            last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, "right")) - 1)
-            r = slice(ends[first], ends[last])
-            V = np.where(known[r, None], factors[at[r]], 0.0)
-            on = known[r] & ~null[r]
-            w, m = np.where(on, y[r], 0.0), n[first:last]
-            out = sums[first:last]
-            vv = V[:, upper[0]] * V[:, upper[1]]
-            out[:, :u] = by_row(vv, m)
-            out[:, u:u + k] = by_row(V * w[:, None], m)
-            out[:, u + k] = by_row(w * w, m)
-            out[:, u + k + 1] = by_row(known[r].astype(float), m)
-            if null[r].any():
-                out[:, -u:] = by_row(vv * null[r, None], m)
-            first = last
+        sums = np.zeros((rows.num_rows, size))
+        row = seen = 0
+        for b in rows.select(["y"]).to_batches():
+            y, n = lists(pa.chunked_array([b.column("y")]), np.float64)
+            null = np.asarray(b.column("y").flatten().is_null())
+            ends = np.concatenate([[0], np.cumsum(n)])
+            first = 0
+            while first < len(n):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] + SLICE, "right")) - 1)
+                r = slice(ends[first], ends[last])
+                mine = at[seen + ends[first]:seen + ends[last]]
+                known = mine >= 0
+                V = np.where(known[:, None], factors[mine], 0.0)
+                on = known & ~null[r]
+                w, m = np.where(on, y[r], 0.0), n[first:last]
+                out = sums[row + first:row + last]
+                vv = V[:, upper[0]] * V[:, upper[1]]
+                out[:, :u] = by_row(vv, m)
+                out[:, u:u + k] = by_row(V * w[:, None], m)
+                out[:, u + k] = by_row(w * w, m)
+                out[:, u + k + 1] = by_row(known.astype(float), m)
+                if null[r].any():
+                    out[:, -u:] = by_row(vv * null[r, None], m)
+                first = last
+            row, seen = row + len(n), seen + int(ends[-1])
         cut = np.asarray(whole(rows["cut"]))
         ids = whole(rows["id"])
         whole_on, cut_on = np.flatnonzero(~cut & (sums[:, u + k + 1] > 0)), np.flatnonzero(cut)
@@ -202,14 +233,14 @@ def half_step(side: Side, fixed: DataFrame, k: int, lam: float) -> DataFrame:
 
 
 def sweeps(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int, user: str, item: str,
-           rating: str) -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
+           rating: str, blocks: int | None = None) -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
     """(X, T, [(sweep, cost)]) from user factors ``T0`` (user, t0, t1, ..): X (item,
     x0, ..) and T (user, t0, ..).  A null user or item has factors that no one
-    else's depend on, whose errors don't count.  ``ratings`` is read several
-    times: written, or cheap to read."""
+    else's depend on, whose errors don't count.  ``blocks``: see :func:`deal_both`.
+    ``ratings`` is read several times: written, or cheap to read."""
     if iters < 1:
         raise ValueError("at least one sweep")
-    users, items = deal_both(ratings, user, item, rating, ratings.count())
+    users, items = deal_both(ratings, user, item, rating, ratings.count() if blocks is None else 0, blocks)
     T = T0.select(F.col(user).alias("id"), F.array(*[F.col(f"t{f}").cast("double") for f in range(k)]).alias("f"))
     X, hist = None, []
     norm = F.coalesce(F.sum(F.aggregate("f", F.lit(0.0), lambda a, v: a + v * v)), F.lit(0.0))
@@ -224,8 +255,8 @@ def sweeps(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int, us
 
 
 def train(ratings: DataFrame, T0: DataFrame, k: int, lam: float, iters: int = 5, user: str = "user", item: str = "item",
-          rating: str = "rating") -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
+          rating: str = "rating", blocks: int | None = None) -> tuple[DataFrame, DataFrame, list[tuple[int, float]]]:
     """:func:`sweeps`; rows with a null user, item or rating don't count."""
-    return sweeps(ratings.select(user, item, rating).filter(
+    return sweeps(ratings.select(user, item, rating, *(() if blocks is None else ITEM_PLACE)).filter(
         F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull() & ~F.isnan(F.col(rating).cast("double"))),
-        T0, k, lam, iters, user, item, rating)
+        T0, k, lam, iters, user, item, rating, blocks)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.operators.blocked_als import parts_of, sweeps
+from keelson.operators.blocked_als import ITEM_PLACE, parts_of, sweeps
 from keelson.operators.indexing import top_k as _top_k
 
 
@@ -44,8 +44,15 @@ def normalise(ratings: DataFrame, item: str = "item", rating: str = "rating",
     """R2: rating - item mean (unrated cells do not exist in the long table, so
     they stay untouched).  An item's ratings meet in one shuffle; the few items
     with very many get their mean by broadcast and are dealt by a hash of
-    ``user``.  ``ratings`` is read three times: written, or cheap to read."""
+    ``user``.  Ratings that are dealt by item (columns ``ITEM_PLACE``) stay where
+    they are.  ``ratings`` is read three times: written, or cheap to read."""
     rows = ratings.filter(F.col(item).isNotNull())
+    if set(ITEM_PLACE) <= set(ratings.columns):
+        part, block = map(F.col, ITEM_PLACE)
+        cut = rows.filter(part.isNotNull()).groupBy(item).agg(F.avg(rating).alias("_mean"))
+        mean = F.avg(rating).over(Window.partitionBy(block, item, part))
+        return (rows.join(F.broadcast(cut), item, "left")
+                .withColumn("norm", F.col(rating) - F.when(part.isNull(), mean).otherwise(F.col("_mean"))).drop("_mean"))
     cut = rows.join(F.broadcast(parts_of(rows, item, user)), item).groupBy(item).agg(
         F.avg(rating).alias("_mean"), F.first("parts").alias("_parts"))
     part = F.coalesce(F.pmod(F.xxhash64(user), F.col("_parts")), F.lit(-1)).cast("int")
@@ -101,16 +108,17 @@ def gradient(ratings: DataFrame, X: DataFrame, T: DataFrame, k: int, lam: float,
 
 
 def train_als(ratings: DataFrame, X0: DataFrame, T0: DataFrame, k: int, lam: float,
-              iters: int = 5, user: str = "user", item: str = "item", rating: str = "rating"):
+              iters: int = 5, user: str = "user", item: str = "item", rating: str = "rating",
+              blocks: int | None = None):
     """Alternating least squares on the exact cost R3, over blocks that the
     ratings are dealt to once (:mod:`keelson.operators.blocked_als`); returns
     (X, T, [(sweep, cost)]).  Entities without ratings keep the minimiser of
     their penalty (0) and are left out.  A rating that is null counts as 0 in
-    the factors and not in the cost.  ``ratings`` is read several times:
-    written, or cheap to read."""
+    the factors and not in the cost.  ``blocks``: the ratings are dealt to so many
+    by item.  ``ratings`` is read several times: written, or cheap to read."""
     if iters < 1:
         return X0, T0, []
-    return sweeps(ratings, T0, k, lam, iters, user, item, rating)
+    return sweeps(ratings, T0, k, lam, iters, user, item, rating, blocks)
 
 
 def recommend_for_user(X: DataFrame, theta: list[float], means: DataFrame, k_top: int,

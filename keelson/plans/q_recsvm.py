@@ -16,7 +16,7 @@ from keelson.operators import recommend as RC
 from keelson.operators import svm as SV
 from keelson.plans.base import query, r, rs, table
 from keelson.plans.data import EMB_DIMS, emb
-from keelson.session import cut_lineage
+from keelson.session import cut_lineage, cut_partitioned
 
 K = 3
 LAM = 1.5
@@ -43,11 +43,28 @@ def ratings(spark, sf):
             .transform(cut_lineage))
 
 
-def init_factors(rt):
-    """Deterministic starting factors, a function of the ids."""
+def ratings_by_item(spark, sf):
+    """The same ratings dealt to blocks by item (columns ``ITEM_PLACE``) in the one
+    shuffle that brings a pair's rows together, written once, and the number of
+    blocks.  Which items to cut is told from lineitem alone."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.ceil(F.col("l_quantity") / 10.0).alias("tens"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    blocks = BA.blocks_of(li, li.count())
+    parts = BA.parts_of(li, "l_partkey", "l_orderkey").withColumnRenamed("l_partkey", "item_id")
+    rows = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"), "tens")
+    rows, _ = BA.placed(rows, "item_id", "user_id", blocks, "item", parts)
+    rt = (rows.repartition(blocks, "item_block").groupBy("item_block", "item_id", "item_part", "user_id")
+          .agg(F.avg("tens").alias("rating")))
+    return cut_partitioned(rt, blocks, "item_block", order=("item_id", "item_part")), blocks
+
+
+def init_factors(rt, users=None):
+    """Deterministic starting factors, a function of the ids.  ``users``: a smaller
+    table with the same user ids."""
     X = rt.select("item_id").distinct().select(
         "item_id", *[(F.sin(F.col("item_id") * K + (f + 1)) / 10.0).alias(f"x{f}") for f in range(K)])
-    T = rt.select("user_id").distinct().select(
+    T = (rt if users is None else users).select("user_id").distinct().select(
         "user_id", *[(F.cos(F.col("user_id") * K + (f + 1)) / 10.0).alias(f"t{f}") for f in range(K)])
     return X, T
 
@@ -126,10 +143,10 @@ def cofi_gradient(spark, sf):
 def cofi_train(spark, sf):
     """Alternating least squares on the mean-normalised ratings (3
     factors, lam 1.5, 3 sweeps); returns the cost after every sweep."""
-    rt = cut_lineage(RC.normalise(ratings(spark, sf), item="item_id", user="user_id")
-                     .select("user_id", "item_id", F.col("norm").alias("rating")))
-    X, T = init_factors(rt)
-    _, _, hist = RC.train_als(rt, X, T, K, LAM, iters=3, user="user_id", item="item_id")
+    rt, blocks = ratings_by_item(spark, sf)
+    norm = RC.normalise(rt, item="item_id", user="user_id").drop("rating").withColumnRenamed("norm", "rating")
+    X, T = init_factors(norm)
+    _, _, hist = RC.train_als(norm, X, T, K, LAM, iters=3, user="user_id", item="item_id", blocks=blocks)
     return spark.createDataFrame(hist, "iter int, J double")
 
 
@@ -137,9 +154,9 @@ def cofi_train(spark, sf):
 def cofi_blocked(spark, sf):
     """R5 over blocks with routing tables: the sweeps of ``cofi_train`` without
     moving a rating; returns the cost after every sweep."""
-    rt = cut_lineage(RC.normalise(ratings(spark, sf), item="item_id", user="user_id")
-                     .select("user_id", "item_id", F.col("norm").alias("rating")))
-    _, _, hist = BA.train(rt, init_factors(rt)[1], K, LAM, iters=3, user="user_id", item="item_id")
+    rt, blocks = ratings_by_item(spark, sf)
+    norm = RC.normalise(rt, item="item_id", user="user_id").drop("rating").withColumnRenamed("norm", "rating")
+    _, _, hist = BA.train(norm, init_factors(norm)[1], K, LAM, iters=3, user="user_id", item="item_id", blocks=blocks)
     return spark.createDataFrame(hist, "iter int, J double")
 
 
@@ -185,13 +202,12 @@ def recommend_topk(spark, sf):
 def recommend_trained(spark, sf):
     """R5 then R6: factors trained on the mean-normalised ratings (3 sweeps)
     give the most active user's top-10 items."""
-    rt = ratings(spark, sf)
-    norm = cut_lineage(RC.normalise(rt, item="item_id", user="user_id")
-                       .select("user_id", "item_id", F.col("norm").alias("rating")))
-    X0, T0 = init_factors(rt)
-    X, T, _ = RC.train_als(norm, X0, T0, K, LAM, iters=3, user="user_id", item="item_id")
-    top_user = (rt.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-                .orderBy(F.col("n").desc(), "user_id").first())
+    rt, blocks = ratings_by_item(spark, sf)
+    norm = RC.normalise(rt, item="item_id", user="user_id").drop("rating").withColumnRenamed("norm", "rating")
+    counts = cut_lineage(rt.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
+    X0, T0 = init_factors(rt, counts)
+    X, T, _ = RC.train_als(norm, X0, T0, K, LAM, iters=3, user="user_id", item="item_id", blocks=blocks)
+    top_user = counts.orderBy(F.col("n").desc(), "user_id").first()
     if top_user is None:
         return spark.createDataFrame([], "rank int, item_id long, prediction double")
     t = T.filter(F.col("user_id") == top_user["user_id"]).first()

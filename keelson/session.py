@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,9 +80,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_partitioned(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+def cut_partitioned(df: DataFrame, parts: int, *keys: str, order: Sequence[str] = ()) -> DataFrame:
     """Like :func:`cut_lineage`, dealt to ``parts`` partitions by ``keys`` and
-    sorted there, so that later groupings and joins on them need neither a
+    sorted there (by ``order`` after them), so that later groupings and joins on them need neither a
     shuffle nor a sort of this side.  An
     adaptive plan doesn't say how its result is partitioned, so this one step
     runs without; the setting is put back."""
@@ -90,6 +91,6 @@ def cut_partitioned(df: DataFrame, parts: int, *keys: str) -> DataFrame:
     before = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+        return df.repartition(parts, *keys).sortWithinPartitions(*keys, *order).checkpoint(eager=True)
     finally:
         conf.set("spark.sql.adaptive.enabled", before)

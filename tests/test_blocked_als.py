@@ -139,3 +139,81 @@ def test_normalise_deals_hot_items_without_repeating_means(spark, monkeypatch, c
     have = {(r["user"], r["item"]): r["norm"] for r in got.collect()}
     assert have.keys() == want.keys() and got.count() == len(rows)
     assert all(have[p] is None if want[p] is None else have[p] == pytest.approx(want[p], abs=1e-12) for p in want)
+
+
+def test_block_numbers_are_dealt_to_partitions_of_their_own(spark):
+    for blocks in (1, 7, 54):
+        numbers = spark.createDataFrame([(n,) for n in BA.numbers(spark, blocks)], "n int").repartition(blocks, "n")
+        assert numbers.select(F.spark_partition_id().alias("p")).distinct().count() == blocks
+
+
+@pytest.mark.parametrize("chunk", [20_000, 4])
+def test_ratings_dealt_by_item_stay_there_for_means_and_the_items_side(spark, monkeypatch, chunk):
+    from keelson.session import cut_partitioned
+    monkeypatch.setattr(BA, "CHUNK", chunk)
+    monkeypatch.setattr(BA, "COUNTED", 1)
+    monkeypatch.setattr(BA, "IDS", 3)
+    k, lam, blocks = 2, 0.7, 5
+    odd = [(None, "i1", 3.0), (3, None, 1.0), (4, "i2", None), (6, "i1", 2.0)]
+    rt = table(spark).unionByName(spark.createDataFrame(odd, "user long, item string, rating double"))
+    own = BA.placed(rt, "item", "user", blocks, "item")[0]
+    own = cut_partitioned(own, blocks, "item_block", order=("item", "item_part"))
+    norm = RC.normalise(own)
+    shuffles = lambda df: [s for s in df._jdf.queryExecution().executedPlan().toString().splitlines()
+                           if "Exchange hashpartitioning" in s]
+    assert len(shuffles(norm)) == 1  # the means of cut items alone
+    plain = RC.normalise(rt)
+    key = lambda r: (r["user"] is None, r["user"], r["item"], r["rating"] or 0.0)
+    got, want = (sorted(d.select("user", "item", "rating", "norm").collect(), key=key) for d in (norm, plain))
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert all(a is b if b is None else a == pytest.approx(b, abs=1e-12) for a, b in zip((r[3] for r in got), (r[3] for r in want)))
+
+    written, plans = BA.cut_partitioned, []
+
+    def seen(df, parts, *keys):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plans.append(shuffles(df.repartition(parts, *keys)))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        return written(df, parts, *keys)
+    monkeypatch.setattr(BA, "cut_partitioned", seen)
+    normed = lambda d: d.drop("rating").withColumnRenamed("norm", "rating")
+    T0 = start(rt.filter("user is not null"), k)[1]
+    X, T, hist = RC.train_als(normed(norm), None, T0, k, lam, iters=2, blocks=blocks)
+    of_means = 1
+    assert len(plans[0]) == 1 + of_means and len(plans[1]) == of_means  # users move, items don't
+    X1, T1, hist1 = RC.train_als(normed(plain), None, T0, k, lam, iters=2)
+    assert [J for _, J in hist] == pytest.approx([J for _, J in hist1], rel=1e-9)
+    for a, b in ((X, X1), (T, T1)):
+        got, want = ({r[0]: list(r[1:]) for r in d.collect()} for d in (a, b))
+        assert got.keys() == want.keys()
+        assert all(got[i] == pytest.approx(want[i], rel=1e-7, abs=1e-9) for i in want)
+
+
+@pytest.mark.parametrize("chunk", [20_000, 4])
+def test_recommendations_come_from_ratings_dealt_once(spark, monkeypatch, tmp_path, chunk):
+    from keelson.plans import q_recsvm as Q
+    monkeypatch.setattr(BA, "CHUNK", chunk)
+    monkeypatch.setattr(BA, "COUNTED", 1)
+    rng = np.random.default_rng(8)
+    li = [(int(o), int(p), float(q)) for o, p, q in zip(rng.integers(0, 60, 400), rng.integers(0, 25, 400) ** 2 // 25, rng.integers(1, 51, 400))]
+    li += li[:40] + [(None, 3, 9.0), (5, None, 9.0), (6, None, 12.0), (7, 4, None), (999, 4, 1.0)]
+    orders = [(o, o % 17 if o % 20 else None) for o in range(60)] + [(None, 4)]
+    sf = str(tmp_path)
+    spark.createDataFrame(li, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{sf}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{sf}/orders.parquet")
+    plain = Q.ratings(spark, sf)
+    own, blocks = Q.ratings_by_item(spark, sf)
+    rows = lambda d: sorted(map(repr, d.select("user_id", "item_id", "rating").collect()))
+    assert rows(own) == rows(plain) and own.rdd.getNumPartitions() == blocks
+    assert (own.filter("item_part is not null").count() > 0) == (chunk == 4)
+    norm = RC.normalise(plain, item="item_id", user="user_id").drop("rating").withColumnRenamed("norm", "rating")
+    X0, T0 = Q.init_factors(plain)
+    X, T, _ = RC.train_als(norm, X0, T0, Q.K, Q.LAM, iters=3, user="user_id", item="item_id")
+    top = plain.groupBy("user_id").count().orderBy(F.col("count").desc(), "user_id").first()["user_id"]
+    t = T.filter(F.col("user_id") == top).first()
+    want = RC.recommend_for_user(X, [t[f"t{f}"] for f in range(Q.K)], RC.item_mean(plain, item="item_id").select("item_id", "mean_rating"),
+                                 10, Q.K, item="item_id").collect()
+    monkeypatch.setattr(Q, "ratings", None)
+    got = Q.recommend_trained(spark, sf).collect()
+    assert [(r["rank"], r["item_id"]) for r in got] == [(r["rank"], r["item_id"]) for r in want]
+    assert [r["prediction"] for r in got] == pytest.approx([r["prediction"] for r in want], abs=1e-7)
