@@ -172,7 +172,9 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10, id_col: str
                    *[F.col(n).alias(f"c_{n}") for n in names])
     qb = qb.select(F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), "dim",
                    *[F.col(n).alias(f"q_{n}") for n in names])
-    found = cb.join(qb, ["slot", "dim"]).mapInPandas(
+    # Spark takes the repeated query blocks for as small as the blocks before the
+    # explode: without a hint it would broadcast all of them through the driver.
+    found = cb.hint("merge").join(qb.hint("merge"), ["slot", "dim"]).mapInPandas(
         search_tiles(k), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
