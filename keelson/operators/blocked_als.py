@@ -16,11 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators.many_sparse import by_row, list_of, lists, square, whole
-from keelson.session import cut_lineage, cut_partitioned
+from keelson.session import cut_lineage, cut_partitioned, numbers
 
 # Ratings of one row of a block, and of a block; what is summed and the partners
 # that are looked up at a time there.
@@ -58,16 +58,6 @@ def parts_of(ratings: DataFrame, key: str, by: str) -> DataFrame:
                        .agg(F.ceil(F.count(F.lit(1)) * COUNTED / CHUNK).alias("parts")).filter("parts > 1"))
 
 
-def numbers(spark: SparkSession, blocks: int) -> list[int]:
-    """So many block numbers, each dealt to a partition of its own."""
-    at, tried = {}, 0
-    while len(at) < blocks:
-        ids = spark.range(tried, tried := 2 * tried + 16 * blocks, numPartitions=1).select(F.col("id").cast("int").alias("n"))
-        for r in ids.groupBy(F.pmod(F.hash("n"), F.lit(blocks)).alias("at")).agg(F.min("n").alias("n")).collect():
-            at.setdefault(r["at"], r["n"])
-    return [at[i] for i in range(blocks)]
-
-
 def placed(ratings: DataFrame, key: str, by: str, blocks: int, name: str,
            parts: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """``ratings`` with the part, ``name``_part (null: its key isn't cut), and the

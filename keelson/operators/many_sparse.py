@@ -2,12 +2,15 @@
 
 A *model* is one class of one setting on one fold's training rows; all models
 of a fit share every pass.  Documents are numbered in parts once; their entries
-are dealt to blocks by term once, as rows (term, part, positions, numbers), and
-stay there.  So a block knows all it needs of its terms: document frequencies,
+are dealt to blocks by term once, packed by part and run of terms, and stay
+there.  So a block knows all it needs of its terms: document frequencies,
 idf and weights, which are sums over its own entries and are never moved.  An
 iteration ships each block the documents' steps (a byte a document and model:
 how often it was within the margin), and each part the margins that the blocks
 add up to; what moves grows with the documents, not with terms or entries.
+A block is read as a stream, run by run, so blocks need not be small, and a task may read several and add up their margins: a pass over many
+models is cut by models (:func:`groups`) rather than by terms alone, since every
+task that has terms of its own sends margins of all documents.
 Nothing of the vocabulary's or the corpus's size reaches the driver.
 
 With steps 1 / (alpha (t + 1 / alpha)) from zero, t steps give the weights
@@ -20,10 +23,12 @@ way to weigh them (range, idf, fold)."""
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -31,11 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegralType
 
 from keelson.operators.lookup import BLOCK_ENTRIES, FEW_IDS, SEP, joined
-from keelson.session import cut_lineage, cut_partitioned
+from keelson.session import cut_lineage, cut_partitioned, numbers, release
 
-# Entries of a block of terms, and those that are worked on at once (a term's
-# entries stay together).
-TERM_ENTRIES = 40_000_000
+# Entries of a block of terms (sorted when it is written), and of a run of terms,
+# which is worked on at once, about.
+TERM_ENTRIES = 100_000_000
 SLICE = 1_000_000
 # Models whose sums are held at once.
 CHUNK = 16
@@ -71,13 +76,16 @@ class Model:
 
 @dataclass
 class Posted:
-    """``docs`` (part, id, y, fold), ``posts`` (block, term, part, at, n): a term's
-    positions in a part and its numbers there; a document's position is its
-    id's rank in the part.  ``sizes``: documents of each part."""
-    docs: DataFrame
+    """``docs`` (part, id, y, fold), ``posts`` (block, run, part, terms, size, at, n):
+    the terms of a run that a part has, as one text, how often each is there, their
+    positions in the part and their numbers (see :func:`pack`); a document's
+    position is its id's rank in the part.  ``sizes``: documents of each part;
+    ``blocks``: the blocks' numbers, each in a partition of its own.  Without
+    labels there are no ``docs``."""
+    docs: DataFrame | None
     posts: DataFrame
     sizes: dict
-    blocks: int
+    blocks: list
     id_col: str
 
 
@@ -112,7 +120,7 @@ class ManyModels:
 
     def weights(self) -> DataFrame:
         """(term, idf, w): a list of all views, and one of all models."""
-        def run(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+        def run(many: ManyModels, b: Documents) -> Iterator[pa.Table]:
             for s in b.slices():
                 w = np.zeros((len(s.terms), len(many.models)))
                 for _, mine, x, at in s.features(b, many):
@@ -177,30 +185,35 @@ def by_row(values: np.ndarray, size: np.ndarray) -> np.ndarray:
 def post(rows: DataFrame, labels: DataFrame | None, id_col: str, entries: int | None = None, held: bool = False) -> Posted:
     """Entries by term.  ``rows``: (id, terms, n), lists, one row an id at most, or
     (id, term, n); ``labels`` (id, y, fold), one row an id: the documents, with or
-    without entries (none given: all ids).  Terms are not empty and hold no
-    newline; ``entries``: about how many there are, counted if not given.  With
-    ``held`` only ids with entries are documents."""
+    without entries (none given: all ids, see :func:`post_all`).  Terms are not
+    empty and hold no newline; ``entries``: about how many there are, counted if
+    not given.  With ``held`` only ids with entries are documents."""
     spark = rows.sparkSession
     slots = spark.sparkContext.defaultParallelism
     if not isinstance(rows.schema["n"].dataType, ArrayType):
         pairs = F.collect_list(F.struct("term", "n"))
         rows = (rows.filter(F.col(id_col).isNotNull() & F.col("term").isNotNull()).groupBy(id_col).agg(pairs.alias("_e"))
                 .select(id_col, F.col("_e.term").alias("terms"), F.col("_e.n").alias("n")))
+    first = None
     if entries is None:
-        rows = cut_lineage(rows)
+        first = rows = cut_lineage(rows)
         entries = rows.agg(F.sum(F.size("terms"))).first()[0] or 0
     whole_n = isinstance(rows.schema["n"].dataType.elementType, IntegralType)
     n_kind = "int" if whole_n else "double"
     rows = rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), joined().alias("terms"), F.col("n").cast(f"array<{n_kind}>").alias("n"))
     kind = rows.schema["id"].dataType.simpleString()
+    blocks = numbers(spark, max(slots, -(-entries // TERM_ENTRIES)))
+    runs = max(1, -(-entries // (len(blocks) * SLICE)))
     if labels is None:
-        rows = rows.select("*", F.lit(0).alias("y"), F.lit(-1).alias("fold"))
-    else:
-        lab = labels.select(F.col(id_col).alias("id"), "y", "fold")
-        few = lab.count() <= FEW_IDS
-        rows = rows.join(F.broadcast(lab.select("id")), "id", "left_semi") if few else rows
-        rows = rows.unionByName(lab, allowMissingColumns=True)
-    parts, blocks = max(slots, -(-entries // BLOCK_ENTRIES)), max(slots, -(-entries // TERM_ENTRIES))
+        posted = post_all(rows, blocks, runs, id_col, whole_n)
+        if first is not None:
+            release(first)
+        return posted
+    lab = labels.select(F.col(id_col).alias("id"), "y", "fold")
+    few = lab.count() <= FEW_IDS
+    rows = rows.join(F.broadcast(lab.select("id")), "id", "left_semi") if few else rows
+    rows = rows.unionByName(lab, allowMissingColumns=True)
+    parts = max(slots, -(-entries // BLOCK_ENTRIES))
     rows = cut_partitioned(rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), parts, "part")
     docs = rows.groupBy("part", "id").agg(F.max("y").alias("y"), F.max("fold").alias("fold"), F.max("terms").alias("terms")).filter("y IS NOT NULL")
     docs = cut_partitioned((docs.filter("terms != ''") if held else docs).drop("terms"), parts, "part")
@@ -214,24 +227,101 @@ def post(rows: DataFrame, labels: DataFrame | None, id_col: str, entries: int |
             ids = ids.filter(pc.is_in(ids, value_set=whole(t.filter(pc.not_equal(t["terms"], ""))["id"])))
         place = pc.index_in(whole(t["id"]), value_set=whole(ids))
         t = t.filter(pc.is_valid(place))
-        text, place = whole(t["terms"]), place.drop_null().to_numpy(zero_copy_only=False).astype(np.int32)
-        some = pc.greater(pc.binary_length(text), 0)
-        terms = pc.split_pattern(text.filter(some), SEP)
-        size = np.zeros(len(text), np.int64)
-        size[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
-        n = lists(t["n"], np.int32 if whole_n else np.float64)[0]
-        codes = whole(pa.chunked_array([terms.flatten().dictionary_encode()]))
-        code, at = codes.indices.to_numpy(zero_copy_only=False), np.repeat(place, size)
-        order = np.lexsort((at, code))
-        ends = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(codes.dictionary)))]).astype(np.int32)
-        listed = lambda a: pa.ListArray.from_arrays(pa.array(ends), pa.array(a[order]))
-        return pa.table({"term": codes.dictionary, "part": pa.array(np.full(len(codes.dictionary), key[0].as_py(), np.int32)),
-                         "at": listed(at), "n": listed(n)})
-
-    posts = (rows.select("part", "id", "terms", "n", "y").groupBy("part")
-             .applyInArrow(turned, f"term string, part int, at array<int>, n array<{n_kind}>")
-             .withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int")))
-    return Posted(docs.select("part", F.col("id").cast(kind).alias(id_col), "y", "fold"), cut_partitioned(posts, blocks, "block"), sizes, blocks, id_col)
+        return by_term(t, place.drop_null().to_numpy(zero_copy_only=False), key[0].as_py(), whole_n, blocks, runs)
+
+    posts = rows.select("part", "id", "terms", "n", "y").groupBy("part").applyInArrow(turned, POSTS)
+    posts = cut_partitioned(posts, len(blocks), "block", order=["run"])
+    release(rows)
+    if first is not None:
+        release(first)
+    return Posted(docs.select("part", F.col("id").cast(kind).alias(id_col), "y", "fold"), posts, sizes, blocks, id_col)
+
+
+POSTS = "block int, run int, part int, terms string, size binary, at binary, n binary"
+
+
+def pack(a: np.ndarray) -> bytes:
+    """Numbers of eight bytes, whole ones of one, two or four as the largest needs."""
+    if a.dtype.kind == "f":
+        return a.astype(np.float64).tobytes()
+    low, high = (int(a.min()), int(a.max())) if len(a) else (0, 0)
+    return a.astype(np.uint8 if 0 <= low and high < 1 << 8 else np.uint16 if 0 <= low and high < 1 << 16 else np.int32).tobytes()
+
+
+def unpack(data: bytes, count: int) -> np.ndarray:
+    """What :func:`pack` made of ``count`` numbers."""
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.int32, 8: np.float64}[len(data) // count] if count else np.uint8)
+
+
+def by_term(t: pa.Table, place: np.ndarray, part: int, whole_n: bool, blocks: list, runs: int) -> pa.Table:
+    """The entries of rows (terms, n) at ``place`` in a part, by block and run of terms."""
+    text = whole(t["terms"])
+    some = pc.greater(pc.binary_length(text), 0)
+    terms = pc.split_pattern(text.filter(some), SEP)
+    size = np.zeros(len(text), np.int64)
+    size[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+    n = lists(t["n"], np.int32 if whole_n else np.float64)[0]
+    codes = whole(pa.chunked_array([terms.flatten().dictionary_encode()]))
+    words = codes.dictionary.to_numpy(zero_copy_only=False).astype(object)
+    run = (pd.util.hash_array(words, categorize=False) % np.uint64(len(blocks) * runs)).astype(np.int64) if len(words) else np.zeros(0, np.int64)
+    by_run = np.argsort(run, kind="stable")
+    rank = np.empty(len(words), np.int64)
+    rank[by_run] = np.arange(len(words))
+    code, at = rank[codes.indices.to_numpy(zero_copy_only=False)], np.repeat(place, size)
+    order = np.argsort(code, kind="stable")
+    at, n, words, run = at[order], n[order], words[by_run], run[by_run]
+    per = np.bincount(code, minlength=len(words))
+    ends = np.concatenate([[0], np.cumsum(per)])
+    cut = np.flatnonzero(np.diff(run, prepend=-1)).tolist()
+    out: list = [[] for _ in range(7)]
+    for a, z in zip(cut, [*cut[1:], len(words)]):
+        e = slice(ends[a], ends[z])
+        row = (blocks[run[a] % len(blocks)], int(run[a] // len(blocks)), part, SEP.join(words[a:z]), pack(per[a:z]), pack(at[e]), pack(n[e]))
+        for column, v in zip(out, row):
+            column.append(v)
+    kinds = [pa.int32()] * 3 + [pa.string()] + [pa.binary()] * 3
+    return pa.table({c.split()[0]: pa.array(v, kind) for c, v, kind in zip(POSTS.split(", "), out, kinds)})
+
+
+# Parts that a task makes at most.
+TASK_PARTS = 1 << 12
+
+
+def post_all(rows: DataFrame, blocks: list, runs: int, id_col: str, whole_n: bool) -> Posted:
+    """:func:`post` of all ids, without labels.  A part is a run of rows, in order
+    of ids, where they are: only their entries are shuffled, by term."""
+    limit = BLOCK_ENTRIES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        part, waiting, size = TaskContext.get().partitionId() * TASK_PARTS, [], 0
+        end = part + TASK_PARTS
+
+        def made():
+            t = pa.concat_tables(waiting)
+            found = by_term(t, np.arange(t.num_rows), part, whole_n, blocks, runs)
+            # one row without terms has the number of the part's documents
+            told = pa.table({f.name: pa.array([{"block": blocks[0], "part": part}.get(f.name)], f.type) for f in found.schema})
+            docs = pa.array([None] * found.num_rows + [t.num_rows], pa.int32())
+            yield from pa.concat_tables([found, told]).append_column("docs", docs).to_batches()
+
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            if t.num_rows:
+                waiting.append(t)
+                size += pc.sum(pc.list_value_length(t["n"])).as_py() or 0
+            if size >= limit:
+                if part == end:
+                    raise RuntimeError("too many rows in a task")
+                yield from made()
+                part, waiting, size = part + 1, [], 0
+        if waiting:
+            yield from made()
+
+    posts = rows.sortWithinPartitions("id").select("terms", "n").mapInArrow(run, POSTS + ", docs int")
+    posts = cut_partitioned(posts, len(blocks), "block", order=["run"])
+    sizes = {r["part"]: r["docs"] for r in posts.filter("docs IS NOT NULL").select("part", "docs").collect()}
+    return Posted(None, posts.filter("docs IS NULL").drop("docs"), sizes, blocks, id_col)
 
 
 def in_order(docs: pa.Table, id_col: str = "id") -> pa.Table:
@@ -239,10 +329,11 @@ def in_order(docs: pa.Table, id_col: str = "id") -> pa.Table:
 
 
 class Slice:
-    """Some terms of a block with all their entries, in order of terms."""
+    """A run of terms with all their entries.  ``rows`` has what was read; ``code``:
+    the numbers of all terms there, one after the other."""
 
-    def __init__(self, terms: pa.Array, term: np.ndarray, doc: np.ndarray, n: np.ndarray):
-        self.terms, self.term, self.doc, self.n = terms, term, doc, n
+    def __init__(self, terms: pa.Array, term: np.ndarray, doc: np.ndarray, n: np.ndarray, rows: pa.Table, code: np.ndarray):
+        self.terms, self.term, self.doc, self.n, self.rows, self.code = terms, term, doc, n, rows, code
         self.df = None
 
     def count(self, fold: np.ndarray, folds: int) -> None:
@@ -261,7 +352,7 @@ class Slice:
             out[:, i] = np.where((long >= v.low) & (long <= v.high) & (df >= many.min_df) & (every >= many.min_df), w, 0.0)
         return out
 
-    def features(self, b: Block, many: ManyModels, norms: bool = True):
+    def features(self, b: Documents, many: ManyModels, norms: bool = True):
         """(view, numbers of its models, values, their places) of each view."""
         idf = self.idf(many)
         for i, v in enumerate(many.views):
@@ -280,55 +371,61 @@ def steps_of(many: ManyModels, j: int, y: np.ndarray, k: np.ndarray) -> np.ndarr
 
 
 class Block:
-    """One block of terms, and all documents' y, fold, norms and steps."""
+    """The terms of one block, or of several, as they come, and all documents.
+    Rows without a term tell of the documents of a part (``take``); a block's
+    come before its terms."""
+
+    take: Callable | None = None
 
-    def __init__(self, posts: pa.Table, sent: pa.Table, sizes: dict, views: int = 0, models: int = 0, folds: int = 0):
-        self.sizes, self.folds = sizes, folds
+    def __init__(self, batches: Iterator[pa.RecordBatch], sizes: dict):
+        self.batches, self.sizes = batches, sizes
         self.parts = sorted(sizes)
-        self.start = dict(zip(self.parts, np.cumsum([0] + [sizes[p] for p in self.parts])[:-1].tolist()))
+        first = np.cumsum([0] + [sizes[p] for p in self.parts])[:-1]
+        self.start = dict(zip(self.parts, first.tolist()))
         self.m = sum(sizes.values())
-        self.posts = posts
-        if views:
-            self.y, self.fold = np.zeros(self.m, np.int32), np.full(self.m, -1, np.int32)
-            self.norm, self.k = np.zeros((views, self.m)), np.zeros((models, self.m), np.uint16)
-            for r in sent.to_pylist():
-                a = self.start[r["part"]]
-                z = a + sizes[r["part"]]
-                self.y[a:z], self.fold[a:z] = np.frombuffer(r["y"], np.int32), np.frombuffer(r["fold"], np.int32)
-                if r["norm"]:
-                    self.norm[:, a:z] = np.frombuffer(r["norm"], np.float64).reshape(views, -1)
-                if r["k"]:
-                    self.k[:, a:z] = np.frombuffer(r["k"], np.uint16).reshape(models, -1)
-            self.norm[self.norm == 0] = 1.0
+        self.met: set = set()
+        self.seen = False        # any term
+
+    def posts(self) -> Iterator[pa.Table]:
+        for b in self.batches:
+            t = pa.Table.from_batches([b])
+            told = pc.is_null(t["terms"])
+            if self.take is not None and pc.any(told).as_py():
+                about = t.filter(told)
+                self.take(about)
+                self.met.update(about["part"].to_pylist())
+                t = t.filter(pc.invert(told))
+            if t.num_rows:
+                if self.take is not None and len(self.met) < len(self.sizes):
+                    raise RuntimeError("the terms of a block came without its documents")
+                self.seen = True
+                yield t
 
     def slices(self) -> Iterator[Slice]:
-        if not self.posts.num_rows:
-            return
-        words = whole(pa.chunked_array([c.dictionary_encode() for c in self.posts["term"].chunks]).unify_dictionaries())
-        code = words.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(code, kind="stable")
-        at, n = whole(self.posts["at"]), whole(self.posts["n"])
-        size, first = np.diff(np.asarray(at.offsets)), np.asarray(at.offsets)[:-1] - np.asarray(at.offsets)[0]
-        at, n = at.flatten().to_numpy(zero_copy_only=False), n.flatten().to_numpy(zero_copy_only=False)
-        part = self.posts["part"].to_numpy()
-        base = np.zeros(max(self.parts) + 1, np.int64)
-        base[self.parts] = [self.start[p] for p in self.parts]
-        per = np.bincount(code, weights=size, minlength=len(words.dictionary))
-        cut = np.flatnonzero(np.diff((np.cumsum(per) // SLICE).astype(np.int64))) + 1     # ends of runs of terms
-        rows = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(words.dictionary)))])
-        for a, z in zip([0, *cut.tolist()], [*cut.tolist(), len(per)]):
-            mine = order[rows[a]:rows[z]]
-            long = size[mine]
-            where = np.repeat(first[mine] - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum())
-            s = Slice(words.dictionary.slice(a, z - a), np.repeat(code[mine].astype(np.int64) - a, long),
-                      at[where] + np.repeat(base[part[mine]], long), n[where].astype(np.float64))
-            if hasattr(self, "fold"):
-                s.count(self.fold, self.folds)
-            yield s
-
-    def coefficients(self, many: ManyModels, j: int) -> np.ndarray:
-        """The weights of model ``j`` are these times the documents' features."""
-        return steps_of(many, j, self.y, self.k[j])
+        waiting, held = [], None
+        for t in self.posts():
+            block, run = t["block"].to_numpy(), t["run"].to_numpy()
+            cut = (np.flatnonzero((np.diff(block) != 0) | (np.diff(run) != 0)) + 1).tolist()
+            for a, z in zip([0, *cut], [*cut, len(run)]):
+                if waiting and held != (block[a], run[a]):
+                    yield self.slice(pa.concat_tables(waiting))
+                    waiting = []
+                waiting.append(t.slice(a, z - a))
+                held = block[a], run[a]
+        if waiting:
+            yield self.slice(pa.concat_tables(waiting))
+
+    def slice(self, t: pa.Table) -> Slice:
+        terms = pc.split_pattern(whole(t["terms"]), SEP)
+        codes = terms.flatten().dictionary_encode()
+        code = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        size, doc, n = [], [], []
+        for p, count, r in zip(t["part"].to_pylist(), pc.list_value_length(terms).to_pylist(), t.select(["size", "at", "n"]).to_pylist()):
+            size.append(unpack(r["size"], count))
+            entries = int(size[-1].sum())
+            doc.append(unpack(r["at"], entries) + np.int64(self.start[p]))
+            n.append(unpack(r["n"], entries).astype(np.float64))
+        return Slice(codes.dictionary, np.repeat(code, np.concatenate(size)), np.concatenate(doc), np.concatenate(n), t, code)
 
     def by_part(self, sums: np.ndarray) -> pa.Table:
         """(part, v): the columns of a part's documents as bytes."""
@@ -336,32 +433,104 @@ class Block:
         return pa.table({"part": pa.array(self.parts, pa.int32()), "v": pa.array(v, pa.binary())})
 
 
-def routed(docs: DataFrame, blocks: int) -> DataFrame:
-    """The rows of the parts, for every block of terms."""
-    return docs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+class Documents(Block):
+    """With all documents' y, fold, norms and steps."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], sizes: dict, views: int, models: int, folds: int, kind):
+        super().__init__(batches, sizes)
+        self.folds, self.kind = folds, kind
+        self.y, self.fold = np.zeros(self.m, np.int32), np.full(self.m, -1, np.int32)
+        self.norm, self.k = np.ones((views, self.m)), np.zeros((models, self.m), kind)
+
+    def take(self, about: pa.Table) -> None:
+        for r in about.select(STATE_NAMES).to_pylist():
+            a = self.start[r["part"]]
+            z = a + self.sizes[r["part"]]
+            self.y[a:z], self.fold[a:z] = np.frombuffer(r["y"], np.int32), np.frombuffer(r["fold"], np.int32)
+            if r["norm"]:
+                norm = np.frombuffer(r["norm"], np.float64).reshape(len(self.norm), -1)
+                self.norm[:, a:z] = np.where(norm == 0, 1.0, norm)
+            if r["k"]:
+                self.k[:, a:z] = np.frombuffer(r["k"], self.kind).reshape(len(self.k), -1)
+
+    def slice(self, t: pa.Table) -> Slice:
+        s = super().slice(t)
+        s.count(self.fold, self.folds)
+        return s
 
+    def coefficients(self, many: ManyModels, j: int) -> np.ndarray:
+        """The weights of model ``j`` are these times the documents' features."""
+        return steps_of(many, j, self.y, self.k[j])
 
-def passed(many: ManyModels, body: Callable[[ManyModels, Block], Iterator[pa.Table]], schema: str) -> DataFrame:
-    """``body`` over every block of terms, which gets the documents' state."""
-    sizes, views, models = many.posted.sizes, len(many.views), len(many.models)
+
+def routed(docs: DataFrame, blocks: list) -> DataFrame:
+    """The rows of the parts, for every block of terms."""
+    return docs.withColumn("block", F.explode(F.array(*map(F.lit, blocks))))
+
+
+def streamed(posted: Posted, docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
+             tasks: int | None = None) -> DataFrame:
+    """``run`` over every block: the rows of ``docs`` (part, ..) and then the terms
+    that are there already, one partition after the other in ``tasks`` tasks (none
+    given: a task a block).  The union keeps both sides' partitions together and
+    in this order (spark.sql.unionOutputPartitioning); :class:`Block` fails if not."""
+    rows = (routed(docs, posted.blocks).repartition(len(posted.blocks), "block")
+            .unionByName(posted.posts, allowMissingColumns=True))
+    if tasks is not None and tasks < len(posted.blocks):
+        rows = rows.coalesce(tasks)
+    return rows.mapInArrow(run, schema)
+
+
+def passed(many: ManyModels, body: Callable[[ManyModels, Documents], Iterator[pa.Table]], schema: str,
+           mine: Sequence[int] | None = None, tasks: int | None = None) -> DataFrame:
+    """``body`` over every block of terms (see :func:`streamed`), which gets the
+    documents' state; ``mine``: of these models and their views alone."""
+    at = sorted({many.models[j].view for j in mine}) if mine else list(range(len(many.views)))
+    mine = list(range(len(many.models))) if mine is None else list(mine)
+    sizes, n_views, n_models = many.posted.sizes, len(many.views), len(many.models)
     folds = max([v.fold for v in many.views] + list(many.held) + [-1]) + 1
-    slim = dataclasses.replace(many, posted=None, state=None)
-    none = empty(schema)
+    slim = dataclasses.replace(many, posted=None, state=None, views=[many.views[v] for v in at],
+                               models=[dataclasses.replace(many.models[j], view=at.index(many.models[j].view)) for j in mine])
+    kind = np.uint8 if many.steps < 256 else np.uint16
+
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                norm = np.frombuffer(r["norm"], np.float64).reshape(n_views, -1)[at].tobytes() if r["norm"] else None
+                k = np.frombuffer(r["k"], np.uint16).reshape(n_models, -1)[mine].astype(kind).tobytes() if r["k"] else None
+                yield pa.record_batch([pa.array([r["part"]], pa.int32()), *[pa.array([x], pa.binary()) for x in (r["y"], r["fold"], norm, k)]],
+                                      names=STATE_NAMES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        b = Documents(batches, sizes, len(at), len(mine), folds, kind)
+        for t in body(slim, b):
+            if b.seen:
+                yield from t.to_batches()
+
+    return streamed(many.posted, many.state.select(STATE_NAMES).mapInArrow(picked, STATE), run, schema, tasks)
+
+
+def slots_of(many: ManyModels) -> int:
+    return many.state.sparkSession.sparkContext.defaultParallelism
 
-    def run(posts: pa.Table, sent: pa.Table) -> pa.Table:
-        made = list(body(slim, Block(posts, sent, sizes, views, models, folds))) if posts.num_rows and sent.num_rows else []
-        return pa.concat_tables(made) if made else none
 
-    sent = routed(many.state, many.posted.blocks)
-    return many.posted.posts.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, schema)
+def groups(many: ManyModels) -> list:
+    """The models in groups, those of a view together, for the tasks of a pass: as
+    many as there are views, up to half the task slots."""
+    n = max(1, min(len(many.views), -(-slots_of(many) // 2)))
+    return [[j for j, m in enumerate(many.models) if m.view % n == i] for i in range(n)]
 
 
-def empty(schema: str) -> pa.Table:
-    kinds = {"string": pa.string(), "int": pa.int32(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}
-    return pa.table({name: pa.array([], kinds[kind]) for name, kind in (c.split(" ", 1) for c in schema.split(", "))})
+def shared(many: ManyModels) -> DataFrame:
+    """(part, v, g): shares of the margins of each group of models, a row a part
+    and task."""
+    of = groups(many)
+    tasks = -(-slots_of(many) // len(of))
+    return functools.reduce(DataFrame.unionByName, [passed(many, margins, "part int, v binary", g, tasks).withColumn("g", F.lit(i))
+                                                    for i, g in enumerate(of)])
 
 
-def squares(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+def squares(many: ManyModels, b: Documents) -> Iterator[pa.Table]:
     """Sums of squared features by view, of each document."""
     out = np.zeros((len(many.views), b.m))
     for s in b.slices():
@@ -370,7 +539,7 @@ def squares(many: ManyModels, b: Block) -> Iterator[pa.Table]:
     yield b.by_part(out)
 
 
-def margins(many: ManyModels, b: Block) -> Iterator[pa.Table]:
+def margins(many: ManyModels, b: Documents) -> Iterator[pa.Table]:
     """The block's share of every document's margins, without the intercept."""
     held = np.zeros((len(many.models), b.m))
     for s in b.slices():
@@ -382,11 +551,12 @@ def margins(many: ManyModels, b: Block) -> Iterator[pa.Table]:
     yield b.by_part(held)
 
 
-def added(shares: pa.Table, rows: int, m: int) -> np.ndarray:
-    """The sum of the blocks' shares of a part."""
+def added(shares: pa.Table, rows: int, m: int, of: Sequence[Sequence[int]] | None = None) -> np.ndarray:
+    """The sum of the tasks' shares of a part; ``of``: the rows of each group."""
     out = np.zeros((rows, m))
-    for v in whole(shares["v"]) if shares.num_rows else ():
-        out += np.frombuffer(v.as_buffer(), np.float64).reshape(rows, m)
+    for i, v in enumerate(whole(shares["v"]) if shares.num_rows else ()):
+        mine = slice(None) if of is None else of[shares["g"][i].as_py()]
+        out[mine] += np.frombuffer(v.as_buffer(), np.float64).reshape(-1, m)
     return out
 
 
@@ -433,7 +603,7 @@ def prepare(counts: DataFrame, labels: DataFrame | None, settings: Sequence[Sett
         norm = np.sqrt(added(shares, n_views, len(docs["y"][0].as_py()) // 4))
         return docs.select(STATE_NAMES).set_column(3, "norm", pa.array([norm.tobytes()], pa.binary()))
 
-    shares = passed(many, squares, "part int, v binary")
+    shares = passed(many, squares, "part int, v binary", tasks=slots_of(many))
     new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(normed, STATE)
     return dataclasses.replace(many, state=cut_partitioned(new, parts, "part"))
 
@@ -445,13 +615,14 @@ STATE_NAMES = ["part", "y", "fold", "norm", "k"]
 def stepped(many: ManyModels):
     """Cogroup body over a part: its margins, and one step more for each document
     and model where the hinge has a slope."""
-    n_models = len(many.models)
+    n_models, of = len(many.models), groups(many)
+    many = dataclasses.replace(many, posted=None, state=None)
 
     def run(docs: pa.Table, shares: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return docs.select(STATE_NAMES).append_column("sums", pa.array([], pa.list_(pa.float64())))
         y, fold = (np.frombuffer(docs[c][0].as_py(), np.int32) for c in ("y", "fold"))
-        m, k = added(shares, n_models, len(y)), docs["k"][0].as_py()
+        m, k = added(shares, n_models, len(y), of), docs["k"][0].as_py()
         k = np.frombuffer(k, np.uint16).reshape(n_models, -1).copy() if k else np.zeros((n_models, len(y)), np.uint16)
         sums = np.zeros((3, n_models))       # subgradients of the intercepts, losses, |w|^2
         for j, model in enumerate(many.models):
@@ -482,12 +653,16 @@ def fit(many: ManyModels, iters: int = 10, start: int = 0) -> ManyModels:
         return many
     sizes, alphas = many.train_sizes(), np.array([m.alpha for m in models])
     n_models, parts = len(models), max(1, many.state.rdd.getNumPartitions())
+    written = None
     for _ in range(iters):
-        shares = passed(many, margins, "part int, v binary")
+        shares = shared(many)
         if not many.steps:
             shares = shares.limit(0)         # all margins are zero
-        new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(stepped(dataclasses.replace(many, posted=None, state=None)), STATE + ", sums array<double>")
+        new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(stepped(many), STATE + ", sums array<double>")
         new = cut_partitioned(new, parts, "part")
+        if written is not None:
+            release(written)
+        written = new
         sums = np.zeros((3, n_models))
         for r in new.select("sums").toLocalIterator():
             sums += np.array(r["sums"]).reshape(3, n_models)
@@ -504,19 +679,19 @@ def scores(many: ManyModels, held_out: bool = False) -> DataFrame:
     document's own fold, which didn't train on it.  Two classes have one margin
     (of the second class)."""
     views, n_models, id_col, bias = many.views, len(many.models), many.id_col, many.bias
-    docs = many.posted.docs
+    docs, of = many.posted.docs, groups(many)
     kind = docs.schema[id_col].dataType.simpleString()
-    groups: dict = {}
+    fitted: dict = {}
     for i, m in enumerate(many.models):
-        groups.setdefault((m.setting, m.view), []).append(i)
+        fitted.setdefault((m.setting, m.view), []).append(i)
 
     def run(docs: pa.Table, shares: pa.Table) -> pa.Table:
         made = []
         if docs.num_rows:
             docs = in_order(docs, id_col)
             y, fold = docs["y"].to_numpy().astype(np.int32), docs["fold"].to_numpy()
-            m = added(shares, n_models, len(y)) + bias[:, None]
-            for (setting, v), mine in groups.items():
+            m = added(shares, n_models, len(y), of) + bias[:, None]
+            for (setting, v), mine in fitted.items():
                 rows = np.flatnonzero(fold == views[v].fold) if held_out else np.arange(len(y))
                 made.append(pa.table({
                     id_col: docs[id_col].take(pa.array(rows)), "setting": pa.array(np.full(len(rows), setting, np.int32)),
@@ -527,8 +702,7 @@ def scores(many: ManyModels, held_out: bool = False) -> DataFrame:
         return pa.table({id_col: docs[id_col].slice(0, 0), "setting": pa.array([], pa.int32()), "fold": pa.array([], pa.int32()),
                          "y": pa.array([], pa.int32()), "scores": pa.array([], pa.list_(pa.float64()))})
 
-    shares = passed(many, margins, "part int, v binary")
-    return (docs.groupBy("part").cogroup(shares.groupBy("part"))
+    return (docs.groupBy("part").cogroup(shared(many).groupBy("part"))
             .applyInArrow(run, f"`{id_col}` {kind}, setting int, fold int, y int, scores array<double>"))
 
 

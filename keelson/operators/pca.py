@@ -21,7 +21,8 @@ from keelson.functions.expr import col, complete_vector, linear
 from keelson.operators import gram as G
 from keelson.operators import many_sparse as MS
 from keelson.operators.joins import join_skewed
-from keelson.session import cut_lineage, cut_partitioned
+from keelson.operators.lookup import parted
+from keelson.session import cut_lineage, cut_partitioned, release
 
 
 def covariance(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
@@ -207,92 +208,97 @@ class SparseComponents:
 def sparse_subspace(rows: DataFrame, k: int, iters: int = 20, extra: int = 4, tol: float = 1e-10, id_col: str = "doc_id",
                     term: str = "term", x: str = "w", seed: int = 5, entries: int | None = None) -> SparseComponents:
     """D2 on (id, term, x) rows, or (id, terms, x) lists with about ``entries``
-    entries, uncentred, for any vocabulary: block subspace iteration in which the
-    block is a table by term.  Entries are dealt to blocks of terms once
-    (:func:`many_sparse.post`); a pass adds up XQ by document, ships it to the
-    blocks and forms X'(XQ) there; the Gram matrix of [Q, X'XQ], of
-    (2 (k + extra))^2 numbers, reaches the driver and gives eigenvalues and the
-    next orthonormal block as a small matrix.  Eigenvalues are of X'X / m, m the
-    number of ids; ids and terms must not be null."""
+    entries, uncentred, for any vocabulary: block subspace iteration.  Entries are
+    dealt to blocks of terms once (:func:`many_sparse.post`).  Only Z = XQ, by
+    document, is kept from pass to pass: a block gets Z, forms its terms' rows of
+    W = X'Z and sends back its share of XW; no table by term is written before the
+    end.  Q = WT is orthonormal for a small T from W'W, so that the next Z is XWT,
+    and Z'Z gives eigenvalues; only these matrices, of (k + extra)^2 numbers, reach
+    the driver.  Eigenvalues are of X'X / m, m the number of ids; ids and terms
+    must not be null."""
     listed = "terms" in rows.columns
     rows = rows.select(F.col(id_col).alias("id"), "terms" if listed else F.col(term).alias("term"),
                        F.col(x).cast("array<double>" if listed else "double").alias("n"))
     posted = MS.post(rows, None, "id", entries)
-    sizes, blocks = posted.sizes, posted.blocks
-    # names of their own: the two sides of a cogroup must not share columns
-    held = cut_partitioned(posted.posts.select(F.col("block").alias("block"), F.col("term").alias("term")).distinct(), blocks, "block")
-    m, n = sum(sizes.values()), held.count()
+    sizes, tasks = posted.sizes, rows.sparkSession.sparkContext.defaultParallelism
+
+    def counted(batches):
+        import pyarrow as pa
+        for s in MS.Block(batches, sizes).slices():
+            yield pa.record_batch([pa.array([len(s.terms)], pa.int64())], names=["n"])
+
+    m, n = sum(sizes.values()), posted.posts.mapInArrow(counted, "n long").agg(F.sum("n")).first()[0]
     if not m or not n:
         raise ValueError("no rows")
     k, width = min(k, n), min(k + extra, n)
-    noise = F.array(*[F.hash("term", F.lit(seed + i)) / F.lit(2.0 ** 31) for i in range(width)])
-    state = cut_partitioned(held.select(F.col("block").alias("block"), F.col("term").alias("term"), noise.alias("q"), noise.alias("w")), blocks, "block")
-    kept = "block int, term string, q array<double>, w array<double>"
-    iu = np.triu_indices(2 * width)
-    list_of = MS.list_of
 
-    def placed(s, t):
-        """The rows of a slice's terms in a table by term."""
-        import pyarrow.compute as pc
-        return pc.index_in(s.terms, value_set=MS.whole(t["term"])).to_numpy(zero_copy_only=False)
+    def noisy(i: int) -> Column:
+        return F.transform(parted(), lambda t: F.hash(t, F.lit(seed + i)) / F.lit(2.0 ** 31)).alias(f"q{i}")
 
-    def pushed(T: np.ndarray):
-        """Cogroup body: a block's share of XQ, Q = w T."""
-        def run(posts, held):
-            import pyarrow as pa
-            if not posts.num_rows:
-                return pa.table({"part": pa.array([], pa.int32()), "v": pa.array([], pa.binary())})
-            b, Q = MS.Block(posts, held, sizes), MS.square(held["w"], width) @ T
-            z = np.zeros((width, b.m))
-            for s in b.slices():
-                q = Q[placed(s, held)]
-                for i in range(width):
-                    z[i] += np.bincount(s.doc, s.n * q[s.term, i], b.m)
-            return b.by_part(z)
-        return run
-
-    def total(key, shares):
-        """The sum of the shares of a part."""
-        import pyarrow as pa
-        z = MS.added(shares, width, sizes[key[0].as_py()])
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "v": pa.array([z.tobytes()], pa.binary())})
+    noise = [noisy(i) for i in range(width)]
+    list_of = MS.list_of
 
-    def summed(T: np.ndarray):
-        """Cogroup body: q = w T, and w = X'(XQ) of a block's terms."""
-        def run(posts, sent):
-            import pyarrow as pa
-            import pyarrow.compute as pc
-            if not posts.num_rows:
-                return pa.table({"block": pa.array([], pa.int32()), "term": pa.array([], pa.string()),
-                                 **{c: pa.array([], pa.list_(pa.float64())) for c in ("q", "w")}})
-            held, parts = sent.filter(pc.is_valid(sent["term"])), sent.filter(pc.is_valid(sent["v"]))
-            b, Q = MS.Block(posts, sent, sizes), MS.square(held["w"], width) @ T
-            z, w = np.zeros((width, b.m)), np.zeros_like(Q)
-            for p, v in zip(parts["part"].to_pylist(), MS.whole(parts["v"])):
-                z[:, b.start[p]:b.start[p] + sizes[p]] = np.frombuffer(v.as_buffer(), np.float64).reshape(width, -1)
-            for s in b.slices():
-                at = placed(s, held)
-                for i in range(width):
-                    w[at, i] = np.bincount(s.term, s.n * z[i][s.doc], len(s.terms))
-            return pa.table({"block": held["block"], "term": held["term"], "q": list_of(Q), "w": list_of(w)})
-        return run
-
-    def grams(t: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """(Q'Y, Y'Y) of the columns q and w."""
-        def run(batches):
+    def weighed(b: MS.Block):
+        """Slices of terms and their rows of W: X'Z, or the noise that it starts from."""
+        for s in b.slices():
+            if b.take is None:
+                q = np.stack([MS.lists(s.rows[f"q{i}"], np.float64)[0] for i in range(width)], axis=1)
+                yield s, q[np.unique(s.code, return_index=True)[1]]
+            else:
+                yield s, np.stack([np.bincount(s.term, s.n * z[s.doc], len(s.terms)) for z in b.z], axis=1)
+
+    def shares(b: MS.Block):
+        """A task's share of XW by part, and of W'W as part -1."""
+        import pyarrow as pa
+        out, both = np.zeros((width, b.m)), np.zeros((width, width))
+        for s, w in weighed(b):
+            both += w.T @ w
+            for i in range(width):
+                out[i] += np.bincount(s.doc, s.n * w[s.term, i], b.m)
+        if b.seen:
+            yield from b.by_part(out).to_batches()
+            yield from pa.table({"part": pa.array([-1], pa.int32()), "v": pa.array([both.tobytes()], pa.binary())}).to_batches()
+
+    def told(b: MS.Block, M: np.ndarray):
+        """(term, u = w M)."""
+        import pyarrow as pa
+        for s, w in weighed(b):
+            yield from pa.table({"term": s.terms, "u": list_of(w @ M)}).to_batches()
+
+    def passed(state, body, schema: str):
+        """``body`` over the blocks, with Z = v T of ``state`` (v by part, T), or the noise."""
+        if state is None:
+            begun = posted.posts.select("*", *noise)
+            begun = begun.coalesce(tasks) if tasks < len(posted.blocks) else begun
+            return begun.mapInArrow(lambda batches: body(MS.Block(batches, sizes)), schema)
+        frame, T = state
+
+        def sent(batches):
             import pyarrow as pa
-            acc, seen = np.zeros((2 * width, 2 * width)), False
             for b in batches:
-                if b.num_rows:
-                    both = np.hstack([b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for c in ("q", "w")])
-                    acc += both.T @ both
-                    seen = True
-            if seen:
-                yield pa.record_batch([pa.array(np.arange(len(iu[0]))), pa.array(acc[iu])], names=["i", "v"])
-        G = np.zeros((2 * width, 2 * width))
-        for r in t.select("q", "w").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-            G[iu[0][r["i"]], iu[1][r["i"]]] = G[iu[1][r["i"]], iu[0][r["i"]]] = r["v"]
-        return G[:width, width:], G[width:, width:]
+                for p, v in zip(b.column("part").to_pylist(), b.column("v")):
+                    z = T.T @ np.frombuffer(v.as_buffer(), np.float64).reshape(width, -1)
+                    yield pa.record_batch([pa.array([p], pa.int32()), pa.array([z.tobytes()], pa.binary())], names=["part", "v"])
+
+        docs = frame.filter("part >= 0").select("part", "v").mapInArrow(sent, "part int, v binary")
+        return MS.streamed(posted, docs, lambda batches: body(Vectors(batches, sizes, width)), schema, tasks)
+
+    def total(key, t):
+        """The sum of the shares of a part, v, and v'v (of part -1: that sum itself)."""
+        import pyarrow as pa
+        part = key[0].as_py()
+        v = MS.added(t, width, width if part < 0 else sizes[part])
+        return pa.table({"part": pa.array([part], pa.int32()), "v": pa.array([v.tobytes()], pa.binary()),
+                         "both": list_of((v if part < 0 else v @ v.T).reshape(1, -1))})
+
+    def product(state):
+        """XW by part, written, its Gram matrix and that of W."""
+        summed = passed(state, shares, "part int, v binary").groupBy("part").applyInArrow(total, "part int, v binary, both array<double>")
+        frame = cut_partitioned(summed, len(posted.blocks), "part")
+        ZZ, WW = np.zeros((width, width)), np.zeros((width, width))
+        for r in frame.select("part", "both").toLocalIterator():
+            (WW if r["part"] < 0 else ZZ)[...] += np.array(r["both"]).reshape(width, width)
+        return frame, ZZ, WW
 
     def orthonormal(V: np.ndarray, C: np.ndarray) -> np.ndarray:
         """T with Y T orthonormal, Y'Y = C: columns turned by V, scaled, then
@@ -302,27 +308,33 @@ def sparse_subspace(rows: DataFrame, k: int, iters: int = 20, extra: int = 4, to
         e, U = np.linalg.eigh(Z * d[:, None] * d[None, :])
         return (V * d) @ (U / np.sqrt(np.maximum(e, 1e-14))) @ U.T
 
-    T, last, V, S = orthonormal(np.eye(width), grams(state)[1]), None, np.eye(width), np.zeros(width)
-    for _ in range(iters):
-        shares = (posted.posts.groupBy("block").cogroup(state.select("block", "term", "w").groupBy("block"))
-                  .applyInArrow(pushed(T), "part int, v binary"))
-        z = MS.routed(shares.groupBy("part").applyInArrow(total, "part int, v binary"), blocks)
-        sent = z.unionByName(state.select("block", "term", "w"), allowMissingColumns=True)
-        new = posted.posts.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(summed(T), kept)
-        state = cut_partitioned(new, blocks, "block")
-        B, C = grams(state)
+    state, (frame, ZZ, WW) = None, product(None)       # W is made from state, frame is XW
+    T, last, V, S = orthonormal(np.eye(width), WW), None, np.eye(width), np.zeros(width)
+    for i in range(iters):
+        B = T.T @ ZZ @ T
         S, V = np.linalg.eigh((B + B.T) / 2)
         S, V = S[::-1], V[:, ::-1]
-        if last is not None and np.max(np.abs(S[:k] - last[:k])) <= tol * max(S[0], 1e-300):
+        if i == iters - 1 or last is not None and np.max(np.abs(S[:k] - last[:k])) <= tol * max(S[0], 1e-300):
             break
-        T, last = orthonormal(V, C), S
-    turn = np.ascontiguousarray(V[:, :k])
-
-    def turned(batches):
-        import pyarrow as pa
-        for b in batches:
-            if b.num_rows:
-                u = b.column("q").flatten().to_numpy(zero_copy_only=False).reshape(-1, width) @ turn
-                yield pa.record_batch([b.column("term"), list_of(u)], names=["term", "u"])
-
-    return SparseComponents(cut_lineage(state.select("term", "q").mapInArrow(turned, "term string, u array<double>")), S[:k] / m)
+        if state is not None:
+            release(state[0])
+        state = (frame, T)
+        frame, ZZ, WW = product(state)
+        T, last = orthonormal(V, WW), S
+    turn = T @ np.ascontiguousarray(V[:, :k])
+    found = cut_lineage(passed(state, lambda b: told(b, turn), "term string, u array<double>"))
+    for used in [frame] + ([state[0]] if state else []):
+        release(used)
+    return SparseComponents(found, S[:k] / m)
+
+
+class Vectors(MS.Block):
+    """With a matrix by document, ``z`` (width, documents)."""
+
+    def __init__(self, batches, sizes: dict, width: int):
+        super().__init__(batches, sizes)
+        self.z = np.zeros((width, self.m))
+
+    def take(self, about) -> None:
+        for p, v in zip(about["part"].to_pylist(), MS.whole(about["v"])):
+            self.z[:, self.start[p]:self.start[p] + self.sizes[p]] = np.frombuffer(v.as_buffer(), np.float64).reshape(len(self.z), -1)

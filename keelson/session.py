@@ -13,6 +13,7 @@ import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, partitions: int | None = None,
@@ -85,12 +86,37 @@ def cut_partitioned(df: DataFrame, parts: int, *keys: str, order: Sequence[str]
     sorted there (by ``order`` after them), so that later groupings and joins on them need neither a
     shuffle nor a sort of this side.  An
     adaptive plan doesn't say how its result is partitioned, so this one step
-    runs without; the setting is put back."""
+    runs without; its shuffle files go when the result is written.  The settings
+    are put back."""
     checkpoint_dir(df.sparkSession)
     conf = df.sparkSession.conf
-    before = conf.get("spark.sql.adaptive.enabled")
-    conf.set("spark.sql.adaptive.enabled", "false")
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    before = {k: conf.get(k) for k in own}
     try:
+        for k, v in own.items():
+            conf.set(k, v)
         return df.repartition(parts, *keys).sortWithinPartitions(*keys, *order).checkpoint(eager=True)
     finally:
-        conf.set("spark.sql.adaptive.enabled", before)
+        for k, v in before.items():
+            conf.set(k, v)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a frame that :func:`cut_lineage` or :func:`cut_partitioned`
+    returned, which nothing will read again; else they stay until the driver
+    happens to collect its garbage."""
+    sc = df.sparkSession.sparkContext
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        path = sc._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbers(spark: SparkSession, blocks: int) -> list[int]:
+    """So many block numbers, each dealt to a partition of its own."""
+    at, tried = {}, 0
+    while len(at) < blocks:
+        ids = spark.range(tried, tried := 2 * tried + 16 * blocks, numPartitions=1).select(F.col("id").cast("int").alias("n"))
+        for r in ids.groupBy(F.pmod(F.hash("n"), F.lit(blocks)).alias("at")).agg(F.min("n").alias("n")).collect():
+            at.setdefault(r["at"], r["n"])
+    return [at[i] for i in range(blocks)]
