@@ -71,3 +71,15 @@ def test_numbers_keep_their_values_when_packed():
         term = np.repeat(r["terms"].split("\n"), size)
         found.update(zip(zip(term.tolist(), at.tolist()), n.tolist()))
     assert found == {("a", 0): 1, ("b", 0): 2, ("c", 0): 300, ("b", 2): 7}
+
+
+def test_models_of_many_views_are_dealt_to_tasks_so_that_few_send_margins(spark):
+    counts, labels = frames(spark)
+    settings = [MS.Setting(1, h, idf, True, a) for h, idf, a in itertools.product((1, 2), (True, False), (1e-2, 1e-3))]
+    many = MS.fit(MS.prepare(counts, labels, settings, folds=3, fold="f", min_df=2, entries=600), 2)
+    slots = spark.sparkContext.defaultParallelism
+    of = MS.groups(many)
+    assert sorted(j for g in of for j in g) == list(range(len(many.models))) and len(of) == min(12, -(-slots // 2))
+    moved = MS.shared(many).agg(F.sum(F.length("v"))).first()[0]
+    # every block of terms sent all of them before
+    assert moved <= 8 * sum(many.posted.sizes.values()) * len(many.models) * -(-slots // len(of))
