@@ -83,3 +83,23 @@ def test_models_of_many_views_are_dealt_to_tasks_so_that_few_send_margins(spark)
     moved = MS.shared(many).agg(F.sum(F.length("v"))).first()[0]
     # every block of terms sent all of them before
     assert moved <= 8 * sum(many.posted.sizes.values()) * len(many.models) * -(-slots // len(of))
+
+
+def test_many_entries_make_few_blocks_and_packed_rows(spark):
+    counts, labels = frames(spark)
+    setting = [MS.Setting(1, 2, True, True, 1e-2)]
+    slots = spark.sparkContext.defaultParallelism
+    few = MS.fit(MS.prepare(counts, labels, setting, min_df=2, entries=600), 2)
+    many = MS.fit(MS.prepare(counts, labels, setting, min_df=2, entries=50_000_000 * slots), 2)
+    assert len(many.posted.blocks) == slots
+    assert few.posted.posts.count() <= slots * len(few.posted.sizes)     # a row a part and run, not a row a term
+    assert weights(many) == pytest.approx(weights(few), abs=1e-12)
+
+
+def test_passes_leave_no_shuffle_files_and_one_state(spark):
+    counts, labels = frames(spark)
+    many = MS.prepare(counts, labels, [MS.Setting(1, 2, True, True, 1e-2)], min_df=2, entries=600)
+    files, folders = shuffle_files(spark), written(spark)
+    done = MS.fit(many, 4)
+    assert not shuffle_files(spark) - files and len(written(spark) - folders) == 1
+    assert weights(MS.fit(MS.fit(many, 1), 3, start=1)) == pytest.approx(weights(done), abs=1e-12)
