@@ -476,7 +476,8 @@ def streamed(posted: Posted, docs: DataFrame, run: Callable[[Iterator[pa.RecordB
     in this order (spark.sql.unionOutputPartitioning); :class:`Block` fails if not."""
     rows = (routed(docs, posted.blocks).repartition(len(posted.blocks), "block")
             .unionByName(posted.posts, allowMissingColumns=True))
-    if tasks is not None and tasks < len(posted.blocks):
+    tasks = min(tasks or len(posted.blocks), len(posted.blocks))
+    if tasks < len(posted.blocks) or tasks == 1:
         rows = rows.coalesce(tasks)
     return rows.mapInArrow(run, schema)
 
@@ -521,10 +522,10 @@ def groups(many: ManyModels) -> list:
     return [[j for j, m in enumerate(many.models) if m.view % n == i] for i in range(n)]
 
 
-def shared(many: ManyModels) -> DataFrame:
+def shared(many: ManyModels, of: list | None = None) -> DataFrame:
     """(part, v, g): shares of the margins of each group of models, a row a part
     and task."""
-    of = groups(many)
+    of = of or groups(many)
     tasks = -(-slots_of(many) // len(of))
     return functools.reduce(DataFrame.unionByName, [passed(many, margins, "part int, v binary", g, tasks).withColumn("g", F.lit(i))
                                                     for i, g in enumerate(of)])
@@ -612,10 +613,10 @@ STATE = "part int, y binary, fold binary, norm binary, k binary"
 STATE_NAMES = ["part", "y", "fold", "norm", "k"]
 
 
-def stepped(many: ManyModels):
-    """Cogroup body over a part: its margins, and one step more for each document
-    and model where the hinge has a slope."""
-    n_models, of = len(many.models), groups(many)
+def stepped(many: ManyModels, of: list):
+    """Cogroup body over a part: its margins (of the groups ``of``), and one step
+    more for each document and model where the hinge has a slope."""
+    n_models = len(many.models)
     many = dataclasses.replace(many, posted=None, state=None)
 
     def run(docs: pa.Table, shares: pa.Table) -> pa.Table:
@@ -653,12 +654,12 @@ def fit(many: ManyModels, iters: int = 10, start: int = 0) -> ManyModels:
         return many
     sizes, alphas = many.train_sizes(), np.array([m.alpha for m in models])
     n_models, parts = len(models), max(1, many.state.rdd.getNumPartitions())
-    written = None
+    of, written = groups(many), None
     for _ in range(iters):
-        shares = shared(many)
+        shares = shared(many, of)
         if not many.steps:
             shares = shares.limit(0)         # all margins are zero
-        new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(stepped(many), STATE + ", sums array<double>")
+        new = many.state.groupBy("part").cogroup(shares.groupBy("part")).applyInArrow(stepped(many, of), STATE + ", sums array<double>")
         new = cut_partitioned(new, parts, "part")
         if written is not None:
             release(written)
@@ -702,7 +703,7 @@ def scores(many: ManyModels, held_out: bool = False) -> DataFrame:
         return pa.table({id_col: docs[id_col].slice(0, 0), "setting": pa.array([], pa.int32()), "fold": pa.array([], pa.int32()),
                          "y": pa.array([], pa.int32()), "scores": pa.array([], pa.list_(pa.float64()))})
 
-    return (docs.groupBy("part").cogroup(shared(many).groupBy("part"))
+    return (docs.groupBy("part").cogroup(shared(many, of).groupBy("part"))
             .applyInArrow(run, f"`{id_col}` {kind}, setting int, fold int, y int, scores array<double>"))
 
 

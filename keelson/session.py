@@ -91,14 +91,14 @@ def cut_partitioned(df: DataFrame, parts: int, *keys: str, order: Sequence[str]
     checkpoint_dir(df.sparkSession)
     conf = df.sparkSession.conf
     own = {"spark.sql.adaptive.enabled": "false", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
-    before = {k: conf.get(k) for k in own}
+    before = {k: conf.get(k, None) for k in own}
     try:
         for k, v in own.items():
             conf.set(k, v)
         return df.repartition(parts, *keys).sortWithinPartitions(*keys, *order).checkpoint(eager=True)
     finally:
         for k, v in before.items():
-            conf.set(k, v)
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def release(df: DataFrame) -> None:
